@@ -1,3 +1,4 @@
 """Named query plans over the driver tables; importing registers them all."""
 
 from gridzone.plans import zonal_queries  # noqa: F401
+from gridzone.plans import accum_queries  # noqa: F401
