@@ -123,3 +123,21 @@ def to_geojson_polygon_text(parts: list[list[list[tuple[float, float]]]]) -> str
     if len(coords) == 1:
         return json.dumps({"type": "Polygon", "coordinates": coords[0]})
     return json.dumps({"type": "MultiPolygon", "coordinates": coords})
+
+
+# ---------------------------------------------------------------------------
+# A published example polygon in WGS84 lon/lat (8 vertices, closed)
+# and its planar area in EPSG:5070 square metres as recorded by the reference run.
+# ---------------------------------------------------------------------------
+EXAMPLE_POLYGON_LONLAT = [
+    (-75.220813751220703, 39.932512033740309),
+    (-75.150260925292969, 39.929221201562726),
+    (-75.120391845703125, 39.924350479594167),
+    (-75.124168395996094, 39.894723763816785),
+    (-75.192832946777344, 39.89643587838578),
+    (-75.229225158691406, 39.903810652180944),
+    (-75.224761962890625, 39.928957928153828),
+    (-75.220813751220703, 39.932512033740309),
+]
+EXAMPLE_POLYGON_AREA_M2 = 3.261282488501819e7
+EXAMPLE_POLYGON_CELLS = 36249  # cells of the 30 m grid under the cell-centre rule
