@@ -4,3 +4,4 @@ from gridzone.plans import zonal_queries  # noqa: F401
 from gridzone.plans import accum_queries  # noqa: F401
 from gridzone.plans import layout_queries  # noqa: F401
 from gridzone.plans import band_queries  # noqa: F401
+from gridzone.plans import terrain_queries  # noqa: F401
