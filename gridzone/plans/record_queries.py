@@ -131,3 +131,46 @@ def label_text_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_size"])
     return p.select("p_partkey", sentence_case(F.col("p_name")).alias("name_case"),
                     sentence_case(F.col("p_type")).alias("type_case"), ordinal(F.col("p_size")).alias("size_label"))
+
+
+# ---------------------------------------------------------------- GeoJSON sink + source round trip
+def _bbox_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounding-box ring (5 closed vertices) of the event points of each event type."""
+    from gridzone.sources.layers import points
+
+    b = points(spark, sf_dir).groupBy(F.col("event_type").alias("poly_id")).agg(
+        F.min("lon").alias("x0"), F.min("lat").alias("y0"), F.max("lon").alias("x1"), F.max("lat").alias("y1")
+    )
+    corners = F.array(
+        F.struct(F.lit(0).alias("seq"), F.col("x0").alias("px"), F.col("y0").alias("py")),
+        F.struct(F.lit(1).alias("seq"), F.col("x1").alias("px"), F.col("y0").alias("py")),
+        F.struct(F.lit(2).alias("seq"), F.col("x1").alias("px"), F.col("y1").alias("py")),
+        F.struct(F.lit(3).alias("seq"), F.col("x0").alias("px"), F.col("y1").alias("py")),
+        F.struct(F.lit(4).alias("seq"), F.col("x0").alias("px"), F.col("y0").alias("py")),
+    )
+    return b.select("poly_id", F.lit(0).alias("part"), F.lit(0).alias("ring"), F.inline(corners))
+
+
+@query("geojson_feature")
+def geojson_feature_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON Feature text of each event type's bounding-box polygon."""
+    from gridzone.sources.reports import geojson_feature
+
+    return geojson_feature(_bbox_vertices(spark, sf_dir))
+
+
+@query(
+    "geojson_vertices",
+    S.with_(S.layers("pts"),
+            "b AS (SELECT event_type AS poly_id, min(lon) AS x0, min(lat) AS y0, max(lon) AS x1, max(lat) AS y1 FROM pts GROUP BY ALL)")
+    + "SELECT poly_id, 0 AS part, 0 AS ring, 0 AS seq, x0 AS px, y0 AS py FROM b UNION ALL "
+      "SELECT poly_id, 0, 0, 1, x1, y0 FROM b UNION ALL SELECT poly_id, 0, 0, 2, x1, y1 FROM b UNION ALL "
+      "SELECT poly_id, 0, 0, 3, x0, y1 FROM b UNION ALL SELECT poly_id, 0, 0, 4, x0, y0 FROM b",
+)
+def geojson_vertices_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round trip: bounding-box polygons written as GeoJSON Features, parsed back to vertices."""
+    from gridzone.sources.polygons import geojson_vertices
+    from gridzone.sources.reports import geojson_feature
+
+    feats = geojson_feature(_bbox_vertices(spark, sf_dir))
+    return geojson_vertices(feats, "poly_id", "feature")
