@@ -6,6 +6,8 @@ row-major order (index = row * tile + col inside the tile), NULL = no-data.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +23,33 @@ def with_keys(cells: DataFrame, tile: int) -> DataFrame:
     return cells.withColumn("key_col", F.floor(F.col("x") / tile)).withColumn("key_row", F.floor(F.col("y") / tile))
 
 
+def _dense_udf(size: int, dtype: str):
+    """Arrow-batched scatter of (positions, values) into a dense ``size`` array (NULL gaps)."""
+
+    @F.pandas_udf(f"array<{dtype}>")
+    def scatter(ps: pd.Series, vs: pd.Series) -> pd.Series:
+        out = []
+        for p, v in zip(ps, vs):
+            a = np.full(size, None, dtype=object)
+            a[np.asarray(p, dtype=np.int64)] = list(v)
+            out.append(a)
+        return pd.Series(out)
+
+    return scatter
+
+
 def to_tiles(cells: DataFrame, tile: int, value: str = "v") -> DataFrame:
-    """Cells -> dense tiles. Each group holds at most ``tile * tile`` cells (bounded)."""
-    pos = (F.col("y") % tile) * tile + (F.col("x") % tile)
+    """Cells -> dense tiles. Each group holds at most ``tile * tile`` cells (bounded).
+
+    The sparse (position, value) lists are gathered by ``groupBy``; the dense
+    fill is a vectorised scatter per tile (Arrow batches, no per-element lambdas).
+    """
+    pos = ((F.col("y") % tile) * tile + (F.col("x") % tile)).cast("int")
+    dtype = dict(cells.dtypes)[value]
     g = with_keys(cells.filter(F.col(value).isNotNull()), tile).groupBy("key_col", "key_row").agg(
-        F.map_from_entries(F.collect_list(F.struct(pos.alias("p"), F.col(value).alias("v")))).alias("m")
-    )
-    return g.select(
-        "key_col", "key_row",
-        F.transform(F.sequence(F.lit(0), F.lit(tile * tile - 1)), lambda i: F.col("m")[i]).alias("cells"),
+        F.collect_list(F.struct(pos.alias("p"), F.col(value).alias("v"))).alias("s")
     )
+    return g.select("key_col", "key_row", _dense_udf(tile * tile, dtype)(F.col("s.p"), F.col("s.v")).alias("cells"))
 
 
 def from_tiles(tiles: DataFrame, tile: int, cells_col: str = "cells") -> DataFrame:
@@ -43,39 +62,52 @@ def from_tiles(tiles: DataFrame, tile: int, cells_col: str = "cells") -> DataFra
     )
 
 
+def _subtiles_udf(tile: int, new_tile: int, dtype: str):
+    r = tile // new_tile
+
+    @F.pandas_udf(f"array<array<{dtype}>>")
+    def split(cells: pd.Series) -> pd.Series:
+        out = []
+        for c in cells:
+            a = np.asarray(c, dtype=object).reshape(r, new_tile, r, new_tile)  # (j, row, i, col)
+            subs = a.transpose(0, 2, 1, 3).reshape(r * r, new_tile * new_tile)  # sub-tile s = j * r + i
+            out.append([list(sub) for sub in subs])
+        return pd.Series(out)
+
+    return split
+
+
 def retile(tiles: DataFrame, tile: int, new_tile: int) -> DataFrame:
     """Split every tile into (tile / new_tile)^2 smaller tiles on the refined layout.
 
     Each small tile comes from exactly one big tile, so this is a narrow
-    transformation (no shuffle): explode the sub-tile index and slice with
-    ``transform`` over index arithmetic.
+    transformation (no shuffle): a vectorised reshape per tile, then ``posexplode``
+    of the sub-tiles; sub-tiles without data are dropped.
     """
     if tile % new_tile:
         raise ValueError(f"tile size {tile} is not a multiple of {new_tile}")
     r = tile // new_tile
-    sub = tiles.select("key_col", "key_row", "cells", F.explode(F.sequence(F.lit(0), F.lit(r * r - 1))).alias("s"))
-    i, j = F.col("s") % r, F.floor(F.col("s") / r)
-
-    def src(k: Column) -> Column:
-        row = j * new_tile + F.floor(k / new_tile)
-        col = i * new_tile + k % new_tile
-        return F.col("cells")[row * tile + col]
-
+    dtype = dict(tiles.dtypes)["cells"][len("array<"):-1]
+    sub = tiles.select("key_col", "key_row", F.posexplode(_subtiles_udf(tile, new_tile, dtype)("cells")).alias("s", "cells"))
     out = sub.select(
-        (F.col("key_col") * r + i).alias("key_col"),
-        (F.col("key_row") * r + j).alias("key_row"),
-        F.transform(F.sequence(F.lit(0), F.lit(new_tile * new_tile - 1)), src).alias("cells"),
+        (F.col("key_col") * r + F.col("s") % r).alias("key_col"),
+        (F.col("key_row") * r + F.floor(F.col("s") / r)).alias("key_row"),
+        "cells",
     )
-    return out.filter(F.exists("cells", lambda c: c.isNotNull()))
+    return out.filter(F.size(F.array_compact("cells")) > 0)
 
 
 def tile_summary(tiles: DataFrame) -> DataFrame:
     """Per tile: data-cell count and value sum (for checks without comparing arrays)."""
-    data = F.filter("cells", lambda c: c.isNotNull())
+
+    @F.pandas_udf("double")
+    def total(cells: pd.Series) -> pd.Series:
+        return pd.Series([float(np.sum([v for v in c if v is not None and v == v])) for c in cells])
+
     return tiles.select(
         "key_col", "key_row",
-        F.size(data).cast("bigint").alias("n_data"),
-        F.aggregate(data, F.lit(0).cast("double"), lambda acc, c: acc + c.cast("double")).alias("sum_v"),
+        F.size(F.array_compact("cells")).cast("bigint").alias("n_data"),
+        total("cells").alias("sum_v"),
     )
 
 
