@@ -55,17 +55,22 @@ def block_prefix_counts(pairs: DataFrame, block: int, height: int) -> DataFrame:
 
 def span_ends(spans: DataFrame) -> DataFrame:
     """Signed span ends ``(poly_id, x, e, sign)``: +1 at r1, -1 at r0 (r0 = 0 adds nothing)."""
-    hi = spans.select("poly_id", "x", F.col("r1").alias("e"), F.lit(1).alias("sign"))
-    lo = spans.filter(F.col("r0") > 0).select("poly_id", "x", F.col("r0").alias("e"), F.lit(-1).alias("sign"))
-    return hi.unionByName(lo)
+    ends = F.array(F.struct(F.col("r1").alias("e"), F.lit(1).alias("sign")),
+                   F.struct(F.col("r0").alias("e"), F.lit(-1).alias("sign")))
+    return spans.select("poly_id", "x", F.inline(ends)).filter(F.col("e") > 0)
 
 
 def zonal_crosstab_accum(prefix: DataFrame, pairs: DataFrame, spans: DataFrame, block: int,
-                         max_rows: int | None = None) -> DataFrame:
+                         max_rows: int | None = None, x_range: tuple[int, int] | None = None) -> DataFrame:
     """Cross-tab ``(poly_id, a, b, n)`` from the prefix table and boundary blocks only.
 
-    ``spans`` must be clipped to the grid (``polygon_spans`` does this).
+    ``spans`` must be clipped to the grid (``polygon_spans`` does this). An
+    optional half-open ``x_range`` of the zone is applied to both stored tables
+    as a literal filter (parquet row-group pruning on x).
     """
+    if x_range is not None:
+        xr = (F.col("x") >= x_range[0]) & (F.col("x") < x_range[1])
+        prefix, pairs = prefix.filter(xr), pairs.filter(xr)
     ends = span_ends(spans).select(
         "poly_id", "x", "e", "sign",
         (F.floor(F.col("e") / block) - 1).alias("t"), F.floor(F.col("e") / block).alias("rb"),

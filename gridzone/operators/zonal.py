@@ -9,20 +9,65 @@ so the overlay join adds no exchange for them.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridzone.operators.joins import cells_in_zone, sized_broadcast
+from gridzone.operators.joins import BROADCAST_MAX_ROWS
+from gridzone.operators.joins import cells_in_zone as _cells_in_zone
 from gridzone.operators.vector import polygon_spans, span_pieces
 
 DEFAULT_BLOCK = 64
 
 
+@dataclass
+class Zone:
+    """Span pieces of a set of polygons plus what one small job learnt about them.
+
+    ``pieces`` is broadcast when ``rows`` is under the limit; ``bbox`` =
+    (x0, x1, y0, y1), half-open, bounds every zone cell (None: empty zone).
+    """
+
+    pieces: DataFrame
+    rows: int
+    bbox: tuple[int, int, int, int] | None
+
+    def restrict(self, cells: DataFrame) -> DataFrame:
+        """Literal x/y range filter: Catalyst moves it below layer aggregations and
+        into parquet row-group pruning for stored layers."""
+        if self.bbox is None:
+            return cells.filter(F.lit(False))
+        x0, x1, y0, y1 = self.bbox
+        return cells.filter((F.col("x") >= x0) & (F.col("x") < x1) & (F.col("y") >= y0) & (F.col("y") < y1))
+
+
+def zone(vertices: DataFrame, width: int, height: int, block: int = DEFAULT_BLOCK,
+         max_rows: int | None = None) -> Zone:
+    """Rasterise polygons into span pieces; size and bounding box in one small job."""
+    pieces = span_pieces(polygon_spans(vertices, width, height), block)
+    s = pieces.agg(F.count(F.lit(1)).alias("n"), F.min("x"), F.max("x"), F.min("r0"), F.max("r1")).first()
+    rows = int(s[0])
+    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    bbox = None if rows == 0 else (int(s[1]), int(s[2]) + 1, int(s[3]), int(s[4]))
+    return Zone(F.broadcast(pieces) if rows <= limit else pieces, rows, bbox)
+
+
 def zone_pieces(vertices: DataFrame, width: int, height: int, block: int = DEFAULT_BLOCK,
-                max_rows: int | None = None) -> DataFrame:
-    """Span pieces of the polygons, broadcast when small enough."""
-    spans = polygon_spans(vertices, width, height)
-    return sized_broadcast(span_pieces(spans, block), max_rows)[0]
+                max_rows: int | None = None) -> Zone:
+    """Backwards-compatible name of :func:`zone`."""
+    return zone(vertices, width, height, block, max_rows)
+
+
+def cells_in_zone(cells: DataFrame, z: Zone | DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Cells inside each zone with ``poly_id`` (bbox pre-filter, then the span range join)."""
+    if isinstance(z, Zone):
+        return _cells_in_zone(z.restrict(cells), z.pieces, block)
+    return _cells_in_zone(cells, z, block)
+
+
+def _restrict(cells: DataFrame, z: Zone | DataFrame) -> DataFrame:
+    return z.restrict(cells) if isinstance(z, Zone) else cells
 
 
 def data_cells(layer: DataFrame, name: str = "v") -> DataFrame:
@@ -44,10 +89,10 @@ def key_intersect(a: DataFrame, b: DataFrame, tile: int) -> DataFrame:
     return keys(a).intersect(keys(b))
 
 
-def zonal_crosstab(a: DataFrame, b: DataFrame, pieces: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
+def zonal_crosstab(a: DataFrame, b: DataFrame, pieces: Zone | DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Cells per (poly_id, a, b) value pair inside each zone: ``(poly_id, a, b, n)``."""
     za = cells_in_zone(data_cells(a, "a"), pieces, block)
-    j = za.join(data_cells(b, "b"), ["x", "y"])
+    j = za.join(_restrict(data_cells(b, "b"), pieces), ["x", "y"])
     return j.groupBy("poly_id", "a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -66,7 +111,7 @@ def poly_diff_stats(l1: DataFrame, l2: DataFrame, pieces: DataFrame, cell_area:
 
     volume = sum(v1 - v2) * cell area.
     """
-    z = cells_in_zone(data_cells(l1, "v1"), pieces, block).join(data_cells(l2, "v2"), ["x", "y"])
+    z = cells_in_zone(data_cells(l1, "v1"), pieces, block).join(_restrict(data_cells(l2, "v2"), pieces), ["x", "y"])
     d = F.col("v1") - F.col("v2")
     return z.groupBy("poly_id").agg(
         F.avg(d).alias("mean"), F.min(d).alias("min"), F.max(d).alias("max"),
