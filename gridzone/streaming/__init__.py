@@ -1 +1,6 @@
-"""streaming."""
+"""Streaming operators.
+
+The surveyed system has no streaming sources, watermarks, windows over event
+time or stateful operators, so nothing lives here yet. Batch jobs in
+``gridzone.plans`` run unchanged on micro-batches via ``foreachBatch``.
+"""
