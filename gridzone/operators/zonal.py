@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridzone.operators.joins import BROADCAST_MAX_ROWS
+from gridzone.operators.joins import BROADCAST_MAX_ROWS, sized_broadcast
 from gridzone.operators.joins import cells_in_zone as _cells_in_zone
 from gridzone.operators.vector import polygon_spans, span_pieces
 
