@@ -22,26 +22,34 @@ def value_ranks(values: DataFrame, col: str, ranges: int = 64) -> DataFrame:
     cuts = h.agg(F.percentile_approx("v", probs, 1000).alias("q")).first()["q"] or []
     q = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
     hr = h.select("v", "c", F.size(F.filter(q, lambda b: b < F.col("v"))).alias("rg"))
-    totals = hr.groupBy("rg").agg(F.sum("c").alias("t"))
-    wt = Window.orderBy("rg").rowsBetween(Window.unboundedPreceding, -1)  # at most `ranges` rows
-    offsets = totals.select("rg", F.coalesce(F.sum("t").over(wt), F.lit(0)).alias("off"))
+    # one total per range (at most `ranges` numbers) -> exclusive prefix offsets
+    totals = {r["rg"]: r["t"] for r in hr.groupBy("rg").agg(F.sum("c").alias("t")).collect()}
+    offs, acc = [], 0
+    for k in range(max(totals, default=-1) + 1):
+        offs.append(acc)
+        acc += totals.get(k, 0)
+    off = F.get(F.array(*[F.lit(o).cast("bigint") for o in offs]), F.col("rg")) if offs else F.lit(0).cast("bigint")
     w = Window.partitionBy("rg").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return hr.join(F.broadcast(offsets), "rg").select(
-        "v", "c", (F.col("off") + F.sum("c").over(w)).cast("bigint").alias("cum")
-    )
+    return hr.select("v", "c", (off + F.sum("c").over(w)).cast("bigint").alias("cum"))
 
 
 def class_breaks(values: DataFrame, col: str, n: int = 10) -> DataFrame:
     """``n`` exact breaks: break i (1..n) is the smallest value whose running
     count reaches ceil(i * N / n), N = number of non-null values.
+
+    A value with running count ``cum`` and count ``c`` is break i exactly when
+    cum - c < ceil(i N / n) <= cum, i.e. for i in
+    [floor((cum - c) n / N) + 1, floor(cum n / N)]: each value emits its own
+    (usually empty) range of i, so no join against the targets is needed.
     """
     r = value_ranks(values, col)
-    total = r.agg(F.sum("c").alias("N"))
-    targets = total.select(F.explode(F.sequence(F.lit(1), F.lit(n))).alias("i"), "N").select(
-        "i", F.floor((F.col("i") * F.col("N") + (n - 1)) / n).alias("k")
-    )
-    j = r.join(F.broadcast(targets), (F.col("cum") - F.col("c") < F.col("k")) & (F.col("k") <= F.col("cum")))
-    return j.select(F.col("i").cast("int").alias("i"), F.col("v").alias("brk"))
+    total = r.agg(F.sum("c")).first()[0] or 0
+    if total == 0:
+        return r.select(F.lit(0).alias("i"), F.col("v").alias("brk")).limit(0)
+    lo = F.expr(f"((cum - c) * {n}) div {total}") + 1  # integer division: exact for any count
+    hi = F.expr(f"(cum * {n}) div {total}")
+    e = r.filter(lo <= hi).select("v", F.explode(F.sequence(lo, hi)).alias("i"))
+    return e.select(F.col("i").cast("int").alias("i"), F.col("v").alias("brk"))
 
 
 def classify(v, breaks_array) -> "F.Column":

@@ -141,3 +141,49 @@ EXAMPLE_POLYGON_LONLAT = [
 ]
 EXAMPLE_POLYGON_AREA_M2 = 3.261282488501819e7
 EXAMPLE_POLYGON_CELLS = 36249  # cells of the 30 m grid under the cell-centre rule
+
+# A hand-drawn polygon in WGS84 lon/lat (39 vertices, closed) and its
+# planar area in EPSG:5070 square metres as recorded by the reference run.
+HAND_DRAWN_POLYGON_LONLAT = [
+    (-76.783447265625, 38.44068226417387),
+    (-76.7010498046875, 38.831149809348744),
+    (-77.069091796875, 39.27053717095511),
+    (-76.915283203125, 39.48284540453334),
+    (-76.6790771484375, 39.53793974517628),
+    (-76.79443359375, 39.6437675734185),
+    (-77.1624755859375, 39.67337039176558),
+    (-77.398681640625, 39.38526381099774),
+    (-77.6678466796875, 39.50404070558415),
+    (-77.86560058593749, 39.46164364205549),
+    (-77.904052734375, 39.33429742980725),
+    (-77.95898437499999, 39.18117526158749),
+    (-78.1842041015625, 39.11727568585598),
+    (-78.1842041015625, 39.33854604847979),
+    (-78.37646484375, 39.58452390500424),
+    (-78.760986328125, 39.41497702499074),
+    (-78.651123046875, 39.10022600175347),
+    (-78.3544921875, 38.81403111409755),
+    (-78.5302734375, 38.58252615935333),
+    (-78.2501220703125, 38.39764411353178),
+    (-77.926025390625, 38.29424797320529),
+    (-77.794189453125, 38.50948995925553),
+    (-78.0084228515625, 38.67264490154078),
+    (-77.82714843749999, 38.843986129756615),
+    (-77.5799560546875, 38.46219172306828),
+    (-77.7117919921875, 37.94419750075404),
+    (-77.28881835937499, 37.93986540897977),
+    (-77.2613525390625, 38.20797181420939),
+    (-77.069091796875, 38.13455657705411),
+    (-77.200927734375, 38.363195134453846),
+    (-77.398681640625, 38.634036452919226),
+    (-77.091064453125, 38.44068226417387),
+    (-77.025146484375, 38.591113776147445),
+    (-76.9482421875, 38.38472766885085),
+    (-76.871337890625, 38.33734763569314),
+    (-76.80541992187499, 38.3287297527893),
+    (-76.728515625, 38.36750215395045),
+    (-76.7010498046875, 38.42777351132902),
+    (-76.783447265625, 38.44068226417387),
+]
+HAND_DRAWN_POLYGON_AREA_M2 = 1.8568230076630947e10
+HAND_DRAWN_POLYGON_CELLS = 20631339  # cells of the 30 m grid under the cell-centre rule

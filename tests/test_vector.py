@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from gridzone.functions import crs
 from gridzone.operators import vector
 from gridzone.sources.polygons import (
-    EXAMPLE_POLYGON_AREA_M2, EXAMPLE_POLYGON_CELLS, EXAMPLE_POLYGON_LONLAT, TEST_POLYGONS, geojson_vertices,
-    to_geojson_polygon_text, vertices_df,
+    EXAMPLE_POLYGON_AREA_M2, EXAMPLE_POLYGON_CELLS, EXAMPLE_POLYGON_LONLAT, HAND_DRAWN_POLYGON_AREA_M2,
+    HAND_DRAWN_POLYGON_CELLS, HAND_DRAWN_POLYGON_LONLAT, TEST_POLYGONS, geojson_vertices, to_geojson_polygon_text,
+    vertices_df,
 )
 
 
@@ -40,18 +41,24 @@ def _random_polygon(rng, n, cx, cy, r):
     return pts
 
 
-def test_example_polygon_area_and_cells(spark):
-    v = vertices_df(spark, {"ex": [[EXAMPLE_POLYGON_LONLAT]]})
+@pytest.mark.parametrize("ring,area_m2,cells", [
+    (EXAMPLE_POLYGON_LONLAT, EXAMPLE_POLYGON_AREA_M2, EXAMPLE_POLYGON_CELLS),
+    (HAND_DRAWN_POLYGON_LONLAT, HAND_DRAWN_POLYGON_AREA_M2, HAND_DRAWN_POLYGON_CELLS),
+])
+def test_golden_polygon_area_and_cells(spark, ring, area_m2, cells):
+    """Albers area equals the reference's recorded value; the 30 m cell count (sum of
+    span lengths, no cell listing) matches an independent scan-line count."""
+    v = vertices_df(spark, {"ex": [[ring]]})
     x, y = crs.albers_xy(F.col("px"), F.col("py"))
     va = v.select("poly_id", "part", "ring", "seq", x.alias("px"), y.alias("py"))
     area = vector.polygon_area(va).first()["area"]
-    assert abs(area - EXAMPLE_POLYGON_AREA_M2) / EXAMPLE_POLYGON_AREA_M2 < 1e-9
+    assert abs(area - area_m2) / area_m2 < 1e-9
     cx, cy = crs.to_cell_units(F.col("px"), F.col("py"))
     vc = va.select("poly_id", "part", "ring", "seq", cx.alias("px"), cy.alias("py"))
     spans = vector.polygon_spans(vc, 161280, 104448)
-    assert vector.zone_cell_count(spans).first()["n_cells"] == EXAMPLE_POLYGON_CELLS
+    assert vector.zone_cell_count(spans).first()["n_cells"] == cells
     # cell count x cell area agrees with the planar area to 0.1 %
-    assert abs(EXAMPLE_POLYGON_CELLS * 900 - area) / area < 1e-3
+    assert abs(cells * 900 - area) / area < 1e-3
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
