@@ -97,3 +97,21 @@ def test_band_vectors_sum_to_crosstab(spark):
     want = {(r.a, r.b): r["count"] for r in pairs.groupBy("a", "b").count().collect()}
     assert s == want
     assert pairs.filter(F.col("a") * 4 + F.col("b") > 63).count() == 0
+
+
+def test_shuffle_fallback_when_spans_exceed_broadcast_limit(spark):
+    """max_rows=0 forces the shuffle join on (x, blk); results must not change."""
+    W, H = 30, 30
+    la, lb = _layers(spark, W, H, 21)
+    verts = vertices_df(spark, {"hole": [[[(x * 30 / 128, y * 30 / 128) for x, y in r] for r in TEST_POLYGONS["hole"][0]]]})
+    z_b = zonal.zone(verts, W, H, 8)
+    z_s = zonal.zone(verts, W, H, 8, max_rows=0)
+    assert z_b.rows == z_s.rows > 0
+    plan = z_s.pieces._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in plan.lower()
+    assert _as_set(zonal.zonal_crosstab(la, lb, z_s, 8)) == _as_set(zonal.zonal_crosstab(la, lb, z_b, 8))
+    pairs = accum.overlay_pairs(la, lb)
+    prefix = accum.block_prefix_counts(pairs, 8, H)
+    spans = vector.polygon_spans(verts, W, H)
+    assert _as_set(accum.zonal_crosstab_accum(prefix, pairs, spans, 8, max_rows=0)) == \
+        _as_set(zonal.zonal_crosstab(la, lb, z_b, 8))
