@@ -80,11 +80,21 @@ def horn_hillshade(a, b, c, d, e, f, g, h, i, azimuth, altitude, cell_size, z_fa
     return F.greatest(hs, F.lit(0.0))
 
 
+CHECKPOINT_EVERY = 3  # pyramid levels between lineage cuts
+
+
+def _cut(df: DataFrame, lvl: int) -> DataFrame:
+    """Deep pyramids: checkpoint every few levels into the shared checkpoint folder so a
+    lost executor recomputes from the last level written, not from the base layer."""
+    return df.checkpoint(eager=True) if lvl % CHECKPOINT_EVERY == 0 else df
+
+
 def pyramid_mean(cells: DataFrame, levels: int) -> DataFrame:
     """Levels 1..levels above the base: each cell = mean of the 2 x 2 cells below it."""
     out, cur = [], cells.select("x", "y", F.col("v").cast("double").alias("v"))
     for lvl in range(1, levels + 1):
         cur = cur.groupBy(F.floor(F.col("x") / 2).alias("x"), F.floor(F.col("y") / 2).alias("y")).agg(F.avg("v").alias("v"))
+        cur = _cut(cur, lvl)
         out.append(cur.select(F.lit(lvl).alias("level"), "x", "y", "v"))
     res = out[0]
     for o in out[1:]:
@@ -99,7 +109,7 @@ def pyramid_mode(cells: DataFrame, levels: int) -> DataFrame:
         cnt = cur.groupBy(F.floor(F.col("x") / 2).alias("x"), F.floor(F.col("y") / 2).alias("y"), "v").agg(
             F.count(F.lit(1)).alias("n")
         )
-        cur = cnt.groupBy("x", "y").agg(F.max_by("v", F.col("n") * 1000000 - F.col("v")).alias("v"))
+        cur = _cut(cnt.groupBy("x", "y").agg(F.max_by("v", F.col("n") * 1000000 - F.col("v")).alias("v")), lvl)
         out.append(cur.select(F.lit(lvl).alias("level"), "x", "y", "v"))
     res = out[0]
     for o in out[1:]:

@@ -32,6 +32,27 @@ def zonal_crosstab_accum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accum.zonal_crosstab_accum(prefix, pairs, spans, K)
 
 
+@query(
+    "zonal_methods",
+    S.with_(
+        S.grid(), S.layers("la", "lb"), S.polygon_ctes(ALL_POLYS),
+        "ov AS (SELECT la.x, la.y, la.v AS a, lb.v AS b FROM la JOIN lb USING (x, y))", S.inzone("ov"),
+        "ct AS (SELECT inz.poly_id, ov.a, ov.b, count(*) AS n FROM inz JOIN ov USING (x, y) GROUP BY ALL)",
+    )
+    + "SELECT 'baseline' AS method, * FROM ct UNION ALL SELECT 'accumulator' AS method, * FROM ct",
+)
+def zonal_methods_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test polygon answered by both methods (full count and accumulator), one row
+    per (method, polygon, pair): the reference's polygons x methods table, with results."""
+    n, verts = _setup(spark, sf_dir, ALL_POLYS)
+    a, b = L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n)
+    base = zonal.zonal_crosstab(a, b, zonal.zone(verts, n, n, BLOCK), BLOCK)
+    pairs = accum.overlay_pairs(a, b)
+    fast = accum.zonal_crosstab_accum(accum.block_prefix_counts(pairs, K, n), pairs, vector.polygon_spans(verts, n, n), K)
+    return base.select(F.lit("baseline").alias("method"), "*").unionByName(
+        fast.select(F.lit("accumulator").alias("method"), "*"))
+
+
 @query(
     "block_prefix_counts",
     S.with_(

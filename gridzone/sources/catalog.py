@@ -83,3 +83,40 @@ def meta_json(meta: DataFrame) -> DataFrame:
             "crs",
         )).alias("metadata"),
     )
+
+
+# Layer metadata files as written by tile-layer catalogs: a JSON array of two
+# records, the layer id ``{name, zoom}`` and ``{header, metadata, keyIndex, schema}``.
+_EXTENT = "struct<xmin: double, ymin: double, xmax: double, ymax: double>"
+_KEY = "struct<col: int, row: int>"
+CATALOG_META_SCHEMA = (
+    "array<struct<name: string, zoom: int, "
+    "header: struct<format: string, key: string, keyClass: string, valueClass: string, bucket: string>, "
+    f"metadata: struct<extent: {_EXTENT}, layoutDefinition: struct<extent: {_EXTENT}, "
+    "tileLayout: struct<layoutCols: int, layoutRows: int, tileCols: int, tileRows: int>>, "
+    f"bounds: struct<minKey: {_KEY}, maxKey: {_KEY}>, cellType: string, crs: string>, "
+    "keyIndex: struct<type: string>>>"
+)
+
+
+def read_catalog_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """Metadata JSON files -> one flat row per layer (``keyIndex.properties`` and the
+    Avro ``schema`` are not needed and not parsed). Files are read whole."""
+    t = spark.read.text(path, wholetext=True).select(F.from_json("value", CATALOG_META_SCHEMA).alias("a"))
+    id_rec = F.filter("a", lambda r: r["name"].isNotNull())[0]
+    md_rec = F.filter("a", lambda r: r["metadata"].isNotNull())[0]
+    m = t.select(id_rec.alias("i"), md_rec.alias("r"))
+    return m.select(
+        F.col("i.name").alias("layer"), F.col("i.zoom").alias("zoom"),
+        F.col("r.metadata.cellType").alias("cell_type"),
+        F.col("r.metadata.layoutDefinition.tileLayout.layoutCols").alias("layout_cols"),
+        F.col("r.metadata.layoutDefinition.tileLayout.layoutRows").alias("layout_rows"),
+        F.col("r.metadata.layoutDefinition.tileLayout.tileCols").alias("tile_cols"),
+        F.col("r.metadata.layoutDefinition.tileLayout.tileRows").alias("tile_rows"),
+        F.col("r.metadata.bounds.minKey.col").cast("bigint").alias("min_key_col"), F.col("r.metadata.bounds.minKey.row").cast("bigint").alias("min_key_row"),
+        F.col("r.metadata.bounds.maxKey.col").cast("bigint").alias("max_key_col"), F.col("r.metadata.bounds.maxKey.row").cast("bigint").alias("max_key_row"),
+        F.col("r.metadata.extent.xmin").alias("xmin"), F.col("r.metadata.extent.ymin").alias("ymin"),
+        F.col("r.metadata.extent.xmax").alias("xmax"), F.col("r.metadata.extent.ymax").alias("ymax"),
+        F.col("r.metadata.crs").alias("crs"), F.col("r.keyIndex.type").alias("key_index"),
+        F.col("r.header.format").alias("format"),
+    )

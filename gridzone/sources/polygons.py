@@ -187,3 +187,15 @@ HAND_DRAWN_POLYGON_LONLAT = [
 ]
 HAND_DRAWN_POLYGON_AREA_M2 = 1.8568230076630947e10
 HAND_DRAWN_POLYGON_CELLS = 20631339  # cells of the 30 m grid under the cell-centre rule
+
+
+def read_geojson_files(spark: SparkSession, path: str) -> DataFrame:
+    """GeoJSON text resources read whole (line breaks become spaces) -> vertex table.
+
+    ``poly_id`` is the file name without extension.
+    """
+    t = spark.read.text(path, wholetext=True).select(
+        F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]*)?$", 1).alias("poly_id"),
+        F.regexp_replace("value", r"\r?\n", " ").alias("geojson"),
+    )
+    return geojson_vertices(t)

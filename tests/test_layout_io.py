@@ -121,3 +121,36 @@ def test_ordinal_labels(spark):
     got = {r.n: r.o for r in df.select("n", ordinal(F.col("n")).alias("o")).collect()}
     assert [got[i] for i in (1, 2, 3, 4, 11, 12, 13, 21, 22, 23, 101, 111, 112, 113, 121)] == [
         "1st", "2nd", "3rd", "4th", "11th", "12th", "13th", "21st", "22nd", "23rd", "101st", "111th", "112th", "113th", "121st"]
+
+
+def test_catalog_metadata_files_and_geojson_resources(spark):
+    import json
+
+    from gridzone.operators import vector
+    from gridzone.sources.polygons import read_geojson_files, to_geojson_polygon_text
+
+    root = tempfile.mkdtemp(prefix="meta-", dir=ensure_checkpoint_dir(spark))
+    ext = {"xmin": -100.0, "ymin": 0.0, "xmax": 1436.0, "ymax": 1024.0}
+    doc = [
+        {"name": "landcover-ts128", "zoom": 0},
+        {"header": {"format": "file", "key": "k", "keyClass": "SpatialKey", "valueClass": "Tile", "bucket": "b"},
+         "metadata": {"extent": ext, "layoutDefinition": {"extent": ext, "tileLayout": {
+             "layoutCols": 12, "layoutRows": 8, "tileCols": 128, "tileRows": 128}},
+             "bounds": {"minKey": {"col": 0, "row": 0}, "maxKey": {"col": 11, "row": 7}},
+             "cellType": "int32", "crs": "+proj=aea"},
+         "keyIndex": {"type": "zorder", "properties": {}}, "schema": {"type": "record"}},
+    ]
+    with open(os.path.join(root, "meta.json"), "w") as f:
+        json.dump(doc, f, indent=2)
+    m = catalog.read_catalog_metadata(spark, os.path.join(root, "meta.json")).first()
+    assert (m.layer, m.zoom, m.layout_cols, m.tile_rows, m.max_key_col, m.key_index, m.cell_type) == (
+        "landcover-ts128", 0, 12, 128, 11, "zorder", "int32")
+
+    gdir = os.path.join(root, "polys")
+    os.makedirs(gdir)
+    with open(os.path.join(gdir, "hole.json"), "w") as f:
+        f.write(json.dumps(json.loads(to_geojson_polygon_text(TEST_POLYGONS["hole"])), indent=2))
+    v = read_geojson_files(spark, gdir)
+    assert {r.poly_id for r in v.select("poly_id").distinct().collect()} == {"hole"}
+    spans = vector.polygon_spans(v, 128, 128)
+    assert vector.zone_cell_count(spans).first()["n_cells"] == 6715

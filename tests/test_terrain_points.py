@@ -106,3 +106,10 @@ def test_clip_extent_max(spark):
     got = {(r.x, r.y) for r in P.clip_extent_max(df, (2, 3, 6, 8), 20.0).collect()}
     assert got == {(x, y) for (x, y), v in cells.items() if 2 <= x < 6 and 3 <= y < 8 and v <= 20.0}
     assert P.clip_extent_max(df).count() == len(cells)  # nothing set: nothing clipped
+
+
+def test_deep_pyramid_with_lineage_cuts(spark):
+    df, cells = _grid(spark, 16, 16, 8, holes=0.0)
+    p = terrain.pyramid_mean(df, 4)  # level 3 is checkpointed
+    top = p.filter("level = 4").collect()
+    assert len(top) == 1 and top[0].v == pytest.approx(sum(cells.values()) / len(cells))
