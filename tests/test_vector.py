@@ -136,3 +136,20 @@ def test_covering_keys_contain_zone_and_boundary_tiles(spark):
     need = {(r.x // 16, r.y // 16) for r in cells.collect()}
     need |= {(r.x // 16, r.y // 16) for r in vector.boundary_cells(verts, 128, 128).collect()}
     assert keys == need
+
+
+@pytest.mark.parametrize("name,parts", [
+    ("vertex_on_centre", [[[(2.5, 2.5), (9.5, 2.5), (9.5, 9.5), (5.5, 12.5), (2.5, 9.5)]]]),
+    ("hole_touching_vertex", [[[(1.0, 1.0), (15.0, 1.0), (15.0, 15.0), (1.0, 15.0)],
+                               [(1.0, 1.0), (8.0, 4.5), (4.5, 8.0)]]]),
+    ("vertical_edges", [[[(3.0, 1.2), (3.0, 13.7), (11.0, 13.7), (11.0, 6.5), (7.0, 6.5), (7.0, 1.2)]]]),
+    ("bowtie", [[[(1.0, 1.0), (14.0, 14.0), (14.0, 1.0), (1.0, 14.0)]]]),
+    ("beyond_grid", [[[(-6.3, 4.1), (21.7, -3.3), (22.4, 19.9)]]]),
+])
+def test_edge_cases_equal_brute_force(spark, name, parts):
+    W = H = 16
+    spans = vector.polygon_spans(vertices_df(spark, {name: parts}), W, H)
+    got = {(r.x, r.y) for r in vector.polygon_cells(spans).collect()}
+    want = {(x, y) for x in range(W) for y in range(H) if _inside(parts, x, y)}
+    assert got == want
+    assert all(0 <= x < W and 0 <= y < H for x, y in got)
