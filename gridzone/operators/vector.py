@@ -25,9 +25,21 @@ from gridzone.operators.joins import sized_broadcast
 def polygon_edges(vertices: DataFrame) -> DataFrame:
     """Rings -> directed edges ``(poly_id, part, ring, gx, gy, hx, hy)``.
 
-    Each vertex is joined to the next one of its ring (exterior and holes, all
-    parts); a ring that is not closed is closed by wrapping to its first vertex.
+    Accepts a ring table ``(poly_id, part, ring, coords ARRAY<ARRAY<DOUBLE>>)``
+    — each ring zipped with itself shifted by one, no shuffle — or a vertex
+    table ``(poly_id, part, ring, seq, px, py)``, where each vertex meets the
+    next one of its ring through a window. Either way a ring that is not
+    closed is closed by wrapping to its first vertex; zero-length edges drop.
     """
+    if "coords" in vertices.columns:
+        c = F.col("coords")
+        nxt = F.concat(F.slice(c, 2, F.size(c) - 1), F.array(c[0]))
+        pairs = F.zip_with(c, nxt, lambda g, h: F.struct(
+            g[0].alias("gx"), g[1].alias("gy"), h[0].alias("hx"), h[1].alias("hy")))
+        return (
+            vertices.select("poly_id", "part", "ring", F.inline(pairs))
+            .filter((F.col("gx") != F.col("hx")) | (F.col("gy") != F.col("hy")))
+        )
     w = Window.partitionBy("poly_id", "part", "ring").orderBy("seq")
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (

@@ -164,12 +164,10 @@ def mercator_tile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lonlat_polys(spark: SparkSession) -> DataFrame:
     """Test polygons placed over the points' extent (lon -80..-75, lat 40..42)."""
-    v = test_polygons(spark, FIXTURE_GRID, ALL_POLYS)
-    return v.select(
-        "poly_id", "part", "ring", "seq",
-        (F.lit(-80.0) + F.col("px") / F.lit(float(FIXTURE_GRID)) * F.lit(5.0)).alias("px"),
-        (F.lit(42.0) - F.col("py") / F.lit(float(FIXTURE_GRID)) * F.lit(2.0)).alias("py"),
-    )
+    r = test_polygons(spark, FIXTURE_GRID, ALL_POLYS)
+    g = float(FIXTURE_GRID)
+    return r.select("poly_id", "part", "ring", F.transform("coords", lambda p: F.array(
+        F.lit(-80.0) + p[0] / F.lit(g) * F.lit(5.0), F.lit(42.0) - p[1] / F.lit(g) * F.lit(2.0))).alias("coords"))
 
 
 @query(

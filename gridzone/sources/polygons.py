@@ -76,6 +76,32 @@ def vertex_rows(polys: dict[str, list[list[list[tuple[float, float]]]]], scale:
     return rows
 
 
+RING_SCHEMA = T.StructType(
+    [
+        T.StructField("poly_id", T.StringType(), False),
+        T.StructField("part", T.IntegerType(), False),
+        T.StructField("ring", T.IntegerType(), False),
+        T.StructField("coords", T.ArrayType(T.ArrayType(T.DoubleType(), False), False), False),
+    ]
+)
+
+
+def rings_df(spark: SparkSession, polys: dict, scale: float = 1.0) -> DataFrame:
+    """Ring table of small, fixed polygons: one row per ring with its closed coordinate array."""
+    rows: dict[tuple, list] = {}
+    for pid, pi, ri, _, x, y in vertex_rows(polys, scale):
+        rows.setdefault((pid, pi, ri), []).append([x, y])
+    return spark.createDataFrame([(p, a, b, c) for (p, a, b), c in rows.items()], RING_SCHEMA)
+
+
+def geojson_rings(df: DataFrame, id_col: str = "poly_id", text_col: str = "geojson") -> DataFrame:
+    """GeoJSON polygons -> ring table ``(poly_id, part, ring, coords)`` (two ``posexplode`` levels)."""
+    parts = df.select(F.col(id_col).cast("string").alias("poly_id"), geojson_parts(F.col(text_col)).alias("parts"))
+    p = parts.select("poly_id", F.posexplode("parts").alias("part", "rings"))
+    r = p.select("poly_id", "part", F.posexplode("rings").alias("ring", "coords"))
+    return r.select("poly_id", F.col("part").cast("int").alias("part"), F.col("ring").cast("int").alias("ring"), "coords")
+
+
 def vertices_df(spark: SparkSession, polys: dict, scale: float = 1.0) -> DataFrame:
     """Vertex table of small, fixed polygons (a query input; size bounded by the literal)."""
     return spark.createDataFrame(vertex_rows(polys, scale), VERTEX_SCHEMA)
@@ -107,8 +133,9 @@ FLAGSHIP = "hole"
 
 
 def test_polygons(spark: SparkSession, n: int, names: list[str] | None = None) -> DataFrame:
+    """Ring table of the chosen test polygons scaled to an N x N grid."""
     chosen = {k: v for k, v in TEST_POLYGONS.items() if names is None or k in names}
-    return vertices_df(spark, chosen, scale=n / FIXTURE_GRID)
+    return rings_df(spark, chosen, scale=n / FIXTURE_GRID)
 
 
 def to_geojson_polygon_text(parts: list[list[list[tuple[float, float]]]]) -> str:

@@ -153,3 +153,13 @@ def test_edge_cases_equal_brute_force(spark, name, parts):
     want = {(x, y) for x in range(W) for y in range(H) if _inside(parts, x, y)}
     assert got == want
     assert all(0 <= x < W and 0 <= y < H for x, y in got)
+
+
+def test_ring_and_vertex_tables_give_the_same_edges(spark):
+    from gridzone.sources.polygons import geojson_rings, rings_df
+
+    polys = {k: TEST_POLYGONS[k] for k in ("hole", "two_parts", "thin")}
+    norm = lambda df: sorted(tuple(r) for r in vector.polygon_edges(df).collect())
+    assert norm(rings_df(spark, polys)) == norm(vertices_df(spark, polys))
+    gj = spark.createDataFrame([(k, to_geojson_polygon_text(v)) for k, v in polys.items()], "poly_id string, geojson string")
+    assert norm(geojson_rings(gj)) == norm(vertices_df(spark, polys))
