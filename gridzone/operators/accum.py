@@ -61,13 +61,19 @@ def span_ends(spans: DataFrame) -> DataFrame:
 
 
 def zonal_crosstab_accum(prefix: DataFrame, pairs: DataFrame, spans: DataFrame, block: int,
-                         max_rows: int | None = None, x_range: tuple[int, int] | None = None) -> DataFrame:
+                         max_rows: int | None = None, x_range: tuple[int, int] | None = None,
+                         tile: int | None = None) -> DataFrame:
     """Cross-tab ``(poly_id, a, b, n)`` from the prefix table and boundary blocks only.
 
     ``spans`` must be clipped to the grid (``polygon_spans`` does this). An
     optional half-open ``x_range`` of the zone is applied to both stored tables
-    as a literal filter (parquet row-group pruning on x).
+    as a literal filter (parquet row-group pruning on x). With ``tile`` the
+    tables are the tile-partitioned form (``catalog.write_tiled``, tile a
+    multiple of ``block``): every look-up also matches the tile key ``z``, so
+    dynamic partition pruning reads only tiles holding a span end.
     """
+    if tile is not None and tile % block:
+        raise ValueError("tile must be a multiple of the block length")
     if x_range is not None:
         xr = (F.col("x") >= x_range[0]) & (F.col("x") < x_range[1])
         prefix, pairs = prefix.filter(xr), pairs.filter(xr)
@@ -75,15 +81,26 @@ def zonal_crosstab_accum(prefix: DataFrame, pairs: DataFrame, spans: DataFrame,
         "poly_id", "x", "e", "sign",
         (F.floor(F.col("e") / block) - 1).alias("t"), F.floor(F.col("e") / block).alias("rb"),
     )
+    if tile is not None:
+        from gridzone.operators.layout import zorder
+
+        kc = F.floor(F.col("x") / tile)
+        ends = ends.withColumn("zt", zorder(kc, F.floor(F.col("t") * block / tile))) \
+                   .withColumn("zr", zorder(kc, F.floor(F.col("rb") * block / tile)))
+    else:
+        ends = ends.withColumn("zt", F.lit(None).cast("bigint")).withColumn("zr", F.lit(None).cast("bigint"))
     ends = sized_broadcast(ends, max_rows)[0]
-    whole = prefix.join(
-        ends.filter(F.col("t") >= 0).select("poly_id", F.col("x").alias("ex"), "t", "sign"),
-        (F.col("x") == F.col("ex")) & (F.col("blk") == F.col("t")),
-    ).select("poly_id", "a", "b", (F.col("sign") * F.col("cum")).alias("c"))
-    raw = pairs.withColumn("rbk", F.floor(F.col("y") / block)).join(
-        ends.filter(F.col("e") % block != 0).select("poly_id", F.col("x").alias("ex"), "e", "rb", "sign"),
-        (F.col("x") == F.col("ex")) & (F.col("rbk") == F.col("rb")) & (F.col("y") < F.col("e")),
-    ).select("poly_id", "a", "b", F.col("sign").cast("bigint").alias("c"))
+    we = ends.filter(F.col("t") >= 0).select("poly_id", F.col("x").alias("ex"), "t", "sign", "zt")
+    cond = (F.col("x") == F.col("ex")) & (F.col("blk") == F.col("t"))
+    if tile is not None:
+        cond = (F.col("z") == F.col("zt")) & cond
+    whole = prefix.join(we, cond).select("poly_id", "a", "b", (F.col("sign") * F.col("cum")).alias("c"))
+    re_ = ends.filter(F.col("e") % block != 0).select("poly_id", F.col("x").alias("ex"), "e", "rb", "sign", "zr")
+    cond = (F.col("x") == F.col("ex")) & (F.col("rbk") == F.col("rb")) & (F.col("y") < F.col("e"))
+    if tile is not None:
+        cond = (F.col("z") == F.col("zr")) & cond
+    raw = pairs.withColumn("rbk", F.floor(F.col("y") / block)).join(re_, cond).select(
+        "poly_id", "a", "b", F.col("sign").cast("bigint").alias("c"))
     return (
         whole.unionByName(raw)
         .groupBy("poly_id", "a", "b")

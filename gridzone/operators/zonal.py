@@ -133,3 +133,37 @@ def scan_intersects(layer: DataFrame, keys: DataFrame, tile: int) -> DataFrame:
     c = layer.withColumn("key_col", F.floor(F.col("x") / tile)).withColumn("key_row", F.floor(F.col("y") / tile))
     k = sized_broadcast(keys.select("key_col", "key_row").distinct())[0]
     return c.join(k, ["key_col", "key_row"], "left_semi")
+
+
+# ------------------------------------------------------------------ stored, tile-partitioned layers
+def _tile_z(x, row, tile: int):
+    from gridzone.operators.layout import zorder
+
+    return zorder(F.floor(x / tile), F.floor(row / tile))
+
+
+def cells_in_zone_tiled(cells: DataFrame, z: Zone, tile: int) -> DataFrame:
+    """Zone cells of a layer stored partitioned by tile key ``z`` (``catalog.write_tiled``).
+
+    The broadcast span pieces (block = tile) carry their tile key, and the join
+    on it lets dynamic partition pruning read only the tiles covering the zone.
+    """
+    p = z.pieces.select(
+        "poly_id", F.col("x").alias("_px"), "r0", "r1",
+        _tile_z(F.col("x"), F.col("blk") * tile, tile).alias("_pz"),
+    )
+    j = cells.join(p, (F.col("z") == F.col("_pz")) & (F.col("x") == F.col("_px"))
+                   & (F.col("y") >= F.col("r0")) & (F.col("y") < F.col("r1")))
+    return j.drop("_px", "_pz", "r0", "r1")
+
+
+def zonal_crosstab_tiled(a: DataFrame, b: DataFrame, z: Zone, tile: int) -> DataFrame:
+    """Cross-tab over two tile-partitioned layers; both reads are pruned to the zone's tiles."""
+    za = cells_in_zone_tiled(data_cells_z(a, "a"), z, tile)
+    zb = cells_in_zone_tiled(data_cells_z(b, "b"), z, tile)
+    j = za.join(zb, ["poly_id", "x", "y"])
+    return j.groupBy("poly_id", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def data_cells_z(layer: DataFrame, name: str) -> DataFrame:
+    return layer.filter(F.col("v").isNotNull()).select("z", "x", "y", F.col("v").alias(name))

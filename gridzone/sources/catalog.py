@@ -11,7 +11,7 @@ metadata partition columns only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridzone.operators.layout import layout_meta, with_keys, zorder
@@ -120,3 +120,20 @@ def read_catalog_metadata(spark: SparkSession, path: str) -> DataFrame:
         F.col("r.metadata.crs").alias("crs"), F.col("r.keyIndex.type").alias("key_index"),
         F.col("r.header.format").alias("format"),
     )
+
+
+def write_tiled(df: DataFrame, path: str, tile: int, row: Column | None = None) -> None:
+    """Write a cell-keyed table partitioned by the Z-curve key ``z`` of its tile.
+
+    ``row`` is the row coordinate used for the tile (default ``y``; the prefix
+    table passes ``blk * K``). One partition column holding the whole tile key
+    lets dynamic partition pruning select exactly the tiles a query joins on.
+    """
+    r = F.col("y") if row is None else row
+    z = zorder(F.floor(F.col("x") / tile), F.floor(r / tile))
+    order = [c for c in ("x", "y", "blk") if c in df.columns]
+    df.withColumn("z", z).repartition("z").sortWithinPartitions(*order).write.mode("overwrite").partitionBy("z").parquet(path)
+
+
+def read_tiled(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("z", F.col("z").cast("bigint"))
