@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridzone.operators.joins import sized_broadcast
-
 
 def polygon_edges(vertices: DataFrame) -> DataFrame:
     """Rings -> directed edges ``(poly_id, part, ring, gx, gy, hx, hy)``.
@@ -164,9 +162,3 @@ def polygon_area(vertices: DataFrame) -> DataFrame:
     )
     signed = F.when(F.col("ring") == 0, F.col("a")).otherwise(-F.col("a"))
     return rings.groupBy("poly_id").agg(F.sum(signed).alias("area"))
-
-
-def sized_spans(spans: DataFrame, block: int, max_rows: int | None = None) -> DataFrame:
-    """Span pieces, broadcast when their counted size is under the limit."""
-    pieces = span_pieces(spans, block)
-    return sized_broadcast(pieces, max_rows)[0]

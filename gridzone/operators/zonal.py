@@ -25,13 +25,15 @@ DEFAULT_BLOCK = 64
 class Zone:
     """Span pieces of a set of polygons plus what one small job learnt about them.
 
-    ``pieces`` is broadcast when ``rows`` is under the limit; ``bbox`` =
-    (x0, x1, y0, y1), half-open, bounds every zone cell (None: empty zone).
+    ``rows`` is a proven upper bound on the number of pieces; ``pieces`` is
+    broadcast when it is under the limit. ``block`` is the piece height in rows;
+    ``bbox`` = (x0, x1, y0, y1), half-open, bounds every zone cell (None: empty).
     """
 
     pieces: DataFrame
     rows: int
     bbox: tuple[int, int, int, int] | None
+    block: int = DEFAULT_BLOCK
 
     def restrict(self, cells: DataFrame) -> DataFrame:
         """Literal x/y range filter: Catalyst moves it below layer aggregations and
@@ -42,27 +44,49 @@ class Zone:
         return cells.filter((F.col("x") >= x0) & (F.col("x") < x1) & (F.col("y") >= y0) & (F.col("y") < y1))
 
 
-def zone(vertices: DataFrame, width: int, height: int, block: int = DEFAULT_BLOCK,
+def zone(vertices: DataFrame, width: int, height: int, block: int | None = None,
          max_rows: int | None = None) -> Zone:
-    """Rasterise polygons into span pieces; size and bounding box in one small job."""
-    pieces = span_pieces(polygon_spans(vertices, width, height), block)
-    s = pieces.agg(F.count(F.lit(1)).alias("n"), F.min("x"), F.max("x"), F.min("r0"), F.max("r1")).first()
-    rows = int(s[0])
+    """Rasterise polygons into span pieces, learning size and bounding box in one small job.
+
+    A span [r0, r1) splits into at most (r1 - r0) / block + 2 pieces, so
+    ``cells / block + 2 * spans`` bounds the piece count without listing the
+    pieces. With ``block=None`` the block is chosen as the smallest multiple of
+    ``DEFAULT_BLOCK`` that keeps that bound under the broadcast limit (large
+    grids get long blocks instead of billions of pieces); when even the spans
+    alone exceed the limit the pieces stay at ``DEFAULT_BLOCK`` rows and are
+    joined by shuffle on (x, blk), where short blocks bound every join key.
+    """
+    spans = polygon_spans(vertices, width, height)
+    s = spans.agg(
+        F.count(F.lit(1)), F.sum(F.col("r1") - F.col("r0")), F.min("x"), F.max("x"), F.min("r0"), F.max("r1")
+    ).first()
+    n_spans, n_cells = int(s[0]), int(s[1] or 0)
     limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    bbox = None if rows == 0 else (int(s[1]), int(s[2]) + 1, int(s[3]), int(s[4]))
-    return Zone(F.broadcast(pieces) if rows <= limit else pieces, rows, bbox)
-
-
-def zone_pieces(vertices: DataFrame, width: int, height: int, block: int = DEFAULT_BLOCK,
+    if block is None:
+        room = limit - 2 * n_spans
+        block = DEFAULT_BLOCK
+        if room > 0:
+            need = -(-n_cells // room)  # ceil: smallest block with cells / block <= room
+            block = max(DEFAULT_BLOCK, -(-need // DEFAULT_BLOCK) * DEFAULT_BLOCK)
+    bound = n_cells // block + 2 * n_spans
+    bbox = None if n_spans == 0 else (int(s[2]), int(s[3]) + 1, int(s[4]), int(s[5]))
+    pieces = span_pieces(spans, block)
+    return Zone(F.broadcast(pieces) if bound <= limit else pieces, bound, bbox, block)
+
+
+def zone_pieces(vertices: DataFrame, width: int, height: int, block: int | None = None,
                 max_rows: int | None = None) -> Zone:
     """Backwards-compatible name of :func:`zone`."""
     return zone(vertices, width, height, block, max_rows)
 
 
 def cells_in_zone(cells: DataFrame, z: Zone | DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Cells inside each zone with ``poly_id`` (bbox pre-filter, then the span range join)."""
+    """Cells inside each zone with ``poly_id`` (bbox pre-filter, then the span range join).
+
+    For a :class:`Zone` its own block height is used.
+    """
     if isinstance(z, Zone):
-        return _cells_in_zone(z.restrict(cells), z.pieces, block)
+        return _cells_in_zone(z.restrict(cells), z.pieces, z.block)
     return _cells_in_zone(cells, z, block)
 
 
@@ -148,6 +172,8 @@ def cells_in_zone_tiled(cells: DataFrame, z: Zone, tile: int) -> DataFrame:
     The broadcast span pieces (block = tile) carry their tile key, and the join
     on it lets dynamic partition pruning read only the tiles covering the zone.
     """
+    if z.block != tile:
+        raise ValueError("the zone's block must equal the tile size")
     p = z.pieces.select(
         "poly_id", F.col("x").alias("_px"), "r0", "r1",
         _tile_z(F.col("x"), F.col("blk") * tile, tile).alias("_pz"),

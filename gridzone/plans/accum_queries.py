@@ -46,7 +46,7 @@ def zonal_methods_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     per (method, polygon, pair): the reference's polygons x methods table, with results."""
     n, verts = _setup(spark, sf_dir, ALL_POLYS)
     a, b = L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n)
-    base = zonal.zonal_crosstab(a, b, zonal.zone(verts, n, n, BLOCK), BLOCK)
+    base = zonal.zonal_crosstab(a, b, zonal.zone(verts, n, n), BLOCK)
     pairs = accum.overlay_pairs(a, b)
     fast = accum.zonal_crosstab_accum(accum.block_prefix_counts(pairs, K, n), pairs, vector.polygon_spans(verts, n, n), K)
     return base.select(F.lit("baseline").alias("method"), "*").unionByName(
@@ -140,7 +140,7 @@ def boundary_last_minus_first_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def band_vector_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-tile-column 64-band pair-count vectors of the flagship zone, summed band by band."""
     n, verts = _setup(spark, sf_dir, [FLAGSHIP])
-    pieces = zonal.zone_pieces(verts, n, n, BLOCK)
+    pieces = zonal.zone(verts, n, n)
     inz = zonal.cells_in_zone(_pairs(spark, sf_dir, n), pieces, BLOCK)
     return accum.band_vector_sum(accum.band_vectors(inz, TILE))
 

@@ -25,7 +25,7 @@ def _setup(spark: SparkSession, sf_dir: str, names: list[str]):
 # ---------------------------------------------------------------- flagship
 def zonal_crosstab_q(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> DataFrame:
     n, verts = _setup(spark, sf_dir, names or [FLAGSHIP])
-    pieces = zonal.zone_pieces(verts, n, n, BLOCK)
+    pieces = zonal.zone(verts, n, n)
     return zonal.zonal_crosstab(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), pieces, BLOCK)
 
 
@@ -73,7 +73,7 @@ def polygon_spans_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = spans.groupBy("poly_id").agg(
         F.sum(F.col("r1") - F.col("r0")).cast("bigint").alias("n_cells"), F.count(F.lit(1)).alias("n_spans")
     )
-    pieces = zonal.zone_pieces(verts, n, n, BLOCK)
+    pieces = zonal.zone(verts, n, n)
     data = zonal.cells_in_zone(zonal.data_cells(L.layer_a(spark, sf_dir, n)), pieces, BLOCK).groupBy("poly_id").agg(
         F.count(F.lit(1)).alias("n_data")
     )
@@ -95,7 +95,7 @@ def polygon_spans_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def polygon_cells_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of ``layer_a`` inside each test polygon (cell-centre rule)."""
     n, verts = _setup(spark, sf_dir, ALL_POLYS)
-    pieces = zonal.zone_pieces(verts, n, n, BLOCK)
+    pieces = zonal.zone(verts, n, n)
     return zonal.cells_in_zone(zonal.data_cells(L.layer_a(spark, sf_dir, n)), pieces, BLOCK).select(
         "poly_id", "x", "y", "v"
     )
@@ -219,7 +219,7 @@ def overlay_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def poly_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zonal mean / min / max of the value layer for each test polygon."""
     n, verts = _setup(spark, sf_dir, ALL_POLYS)
-    pieces = zonal.zone_pieces(verts, n, n, BLOCK)
+    pieces = zonal.zone(verts, n, n)
     return zonal.poly_stats(L.layer_v(spark, sf_dir, n), pieces, BLOCK).withColumn("mean", F.round("mean", 6))
 
 
@@ -236,6 +236,6 @@ CELL_AREA = 900.0  # 30 m cells
 def poly_diff_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zonal statistics of (value layer - partner layer) and volume = sum * cell area."""
     n, verts = _setup(spark, sf_dir, ALL_POLYS)
-    pieces = zonal.zone_pieces(verts, n, n, BLOCK)
+    pieces = zonal.zone(verts, n, n)
     r = zonal.poly_diff_stats(L.layer_v(spark, sf_dir, n), L.layer_w(spark, sf_dir, n), pieces, CELL_AREA, BLOCK)
     return r.withColumn("mean", F.round("mean", 6)).withColumn("volume", F.round("volume", 6))

@@ -146,3 +146,17 @@ def test_tile_partitioned_stores_prune_and_agree(spark, block):
     assert _as_set(fast) == want
     for df in (tiled, fast):
         assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_adaptive_block_keeps_pieces_under_the_limit(spark):
+    """A big zone on a big grid gets long blocks instead of millions of pieces; results unchanged."""
+    W, H = 40, 37
+    la, lb = _layers(spark, W, H, 41)
+    verts = vertices_df(spark, {"big": [[[(-1.0, -1.0), (41.0, -1.0), (41.0, 38.0), (-1.0, 38.0)]]]})
+    small = zonal.zone(verts, W, H, max_rows=100)  # 40 spans of 37 rows: 1480 cells
+    assert small.block > zonal.DEFAULT_BLOCK or small.rows <= 100
+    assert small.rows <= 100 and "broadcast" in small.pieces._jdf.queryExecution().analyzed().toString().lower()
+    pieces = small.pieces.count()
+    assert pieces <= small.rows  # the bound holds
+    fixed = zonal.zone(verts, W, H, 4)
+    assert _as_set(zonal.zonal_crosstab(la, lb, small)) == _as_set(zonal.zonal_crosstab(la, lb, fixed))
