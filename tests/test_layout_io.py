@@ -154,3 +154,13 @@ def test_catalog_metadata_files_and_geojson_resources(spark):
     assert {r.poly_id for r in v.select("poly_id").distinct().collect()} == {"hole"}
     spans = vector.polygon_spans(v, 128, 128)
     assert vector.zone_cell_count(spans).first()["n_cells"] == 6715
+
+
+def test_address_record_shape(spark):
+    from gridzone.operators.records import address_record
+
+    df = spark.createDataFrame([("1 Main St", 39.95, -75.16, "19107"), ("Somewhere", 40.0, -75.1, None)],
+                               "text string, lat double, lng double, zip string")
+    r = df.select(address_record(F.col("text"), F.col("lat"), F.col("lng"), F.col("zip")).alias("a")).collect()
+    assert r[0].a.text == "1 Main St" and r[0].a.latlng.lat == 39.95 and r[0].a.latlng.lng == -75.16
+    assert r[0].a.zipCode == "19107" and r[1].a.zipCode is None
