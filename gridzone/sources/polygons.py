@@ -226,3 +226,16 @@ def read_geojson_files(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_replace("value", r"\r?\n", " ").alias("geojson"),
     )
     return geojson_vertices(t)
+
+
+def transform_coords(polys: DataFrame, fn) -> DataFrame:
+    """Apply ``fn(x, y) -> (x', y')`` (Column expressions, e.g. ``crs.albers_xy``) to every
+    vertex of a ring table or a vertex table."""
+    if "coords" in polys.columns:
+        def one(p):
+            x, y = fn(p[0], p[1])
+            return F.array(x, y)
+
+        return polys.withColumn("coords", F.transform("coords", one))
+    x, y = fn(F.col("px"), F.col("py"))
+    return polys.withColumn("px", x).withColumn("py", y)

@@ -163,3 +163,15 @@ def test_ring_and_vertex_tables_give_the_same_edges(spark):
     assert norm(rings_df(spark, polys)) == norm(vertices_df(spark, polys))
     gj = spark.createDataFrame([(k, to_geojson_polygon_text(v)) for k, v in polys.items()], "poly_id string, geojson string")
     assert norm(geojson_rings(gj)) == norm(vertices_df(spark, polys))
+
+
+def test_transform_coords_on_rings_and_vertices(spark):
+    from gridzone.sources.polygons import rings_df, transform_coords
+
+    polys = {"ex": [[EXAMPLE_POLYGON_LONLAT]]}
+    for df in (rings_df(spark, polys), vertices_df(spark, polys)):
+        cells = transform_coords(transform_coords(df, crs.albers_xy), crs.to_cell_units)
+        n = vector.zone_cell_count(vector.polygon_spans(cells, 161280, 104448)).first()["n_cells"]
+        assert n == EXAMPLE_POLYGON_CELLS
+        area = vector.polygon_area(transform_coords(df, crs.albers_xy)).first()["area"]
+        assert abs(area - EXAMPLE_POLYGON_AREA_M2) / EXAMPLE_POLYGON_AREA_M2 < 1e-9
