@@ -238,4 +238,4 @@ def transform_coords(polys: DataFrame, fn) -> DataFrame:
 
         return polys.withColumn("coords", F.transform("coords", one))
     x, y = fn(F.col("px"), F.col("py"))
-    return polys.withColumn("px", x).withColumn("py", y)
+    return polys.withColumns({"px": x, "py": y})  # both from the original coordinates
