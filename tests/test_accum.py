@@ -123,19 +123,15 @@ def test_tile_partitioned_stores_prune_and_agree(spark, block):
     import tempfile
 
     from gridzone.session import ensure_checkpoint_dir
-    from gridzone.sources import catalog
 
     W = H = 32
     T = 8
     la, lb = _layers(spark, W, H, 31)
+    from gridzone.plans.ingest import ingest_class_layers, open_ingested
+
     root = tempfile.mkdtemp(prefix="tiled-", dir=ensure_checkpoint_dir(spark))
-    catalog.write_tiled(la, f"{root}/a", T)
-    catalog.write_tiled(lb, f"{root}/b", T)
-    pairs = accum.overlay_pairs(la, lb)
-    catalog.write_tiled(pairs, f"{root}/pairs", T)
-    catalog.write_tiled(accum.block_prefix_counts(pairs, block, H), f"{root}/prefix", T, F.col("blk") * block)
-    a, b = catalog.read_tiled(spark, f"{root}/a"), catalog.read_tiled(spark, f"{root}/b")
-    sp, pf = catalog.read_tiled(spark, f"{root}/pairs"), catalog.read_tiled(spark, f"{root}/prefix")
+    st = open_ingested(spark, ingest_class_layers(la, lb, root, H, T, block))
+    a, b, sp, pf = st["a"], st["b"], st["pairs"], st["prefix"]
     rng = random.Random(block)
     verts = vertices_df(spark, {"p": [[_random_polygon(rng, 7, 12, 14, 9)]], "q": [[_random_polygon(rng, 5, 24, 20, 6)]]})
     want = _as_set(zonal.zonal_crosstab(la, lb, zonal.zone(verts, W, H, T), T))
