@@ -1,4 +1,4 @@
-"""Polygon operators on vertex tables: edges, rasterisation, covering keys, area.
+"""Polygon operators on ring or vertex tables: edges, rasterisation, covering keys, area.
 
 Coordinates are cell units: x grows east, y grows south, cell (x, y) covers
 [x, x+1) x [y, y+1) and its centre is (x + 0.5, y + 0.5).

@@ -1,10 +1,12 @@
 """Zonal operators: overlay of aligned layers and per-polygon aggregation.
 
-Plan shape (per query): polygon -> spans (small, broadcast behind a size check)
--> cells of the first layer inside the zone (broadcast range join, no shuffle)
--> equi-join with the second layer on (x, y) -> partial + final aggregation.
+Plan shape (per query): polygon -> span pieces (small; broadcast when a proven
+bound is under the limit) -> both layers filtered by the zone's bounding box ->
+cells of the first layer inside the zone (broadcast range join, no shuffle) ->
+equi-join with the second layer on (x, y) -> partial + final aggregation.
 Layers coming out of ``groupBy(x, y)`` are already hash-partitioned on (x, y),
-so the overlay join adds no exchange for them.
+so the overlay join adds no exchange for them. Stored layers partitioned by
+tile key use the ``*_tiled`` variants, which read only the zone's tiles.
 """
 
 from __future__ import annotations
