@@ -119,6 +119,11 @@ def read_catalog_metadata(spark: SparkSession, path: str) -> DataFrame:
         F.col("r.metadata.extent.xmax").alias("xmax"), F.col("r.metadata.extent.ymax").alias("ymax"),
         F.col("r.metadata.crs").alias("crs"), F.col("r.keyIndex.type").alias("key_index"),
         F.col("r.header.format").alias("format"),
+    ).withColumn(
+        # inclusive max keys must lie inside the half-open layout [0, cols) x [0, rows)
+        "bounds_ok",
+        (F.col("min_key_col") >= 0) & (F.col("min_key_row") >= 0)
+        & (F.col("max_key_col") < F.col("layout_cols")) & (F.col("max_key_row") < F.col("layout_rows")),
     )
 
 

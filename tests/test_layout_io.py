@@ -143,8 +143,12 @@ def test_catalog_metadata_files_and_geojson_resources(spark):
     with open(os.path.join(root, "meta.json"), "w") as f:
         json.dump(doc, f, indent=2)
     m = catalog.read_catalog_metadata(spark, os.path.join(root, "meta.json")).first()
-    assert (m.layer, m.zoom, m.layout_cols, m.tile_rows, m.max_key_col, m.key_index, m.cell_type) == (
-        "landcover-ts128", 0, 12, 128, 11, "zorder", "int32")
+    assert (m.layer, m.zoom, m.layout_cols, m.tile_rows, m.max_key_col, m.key_index, m.cell_type, m.bounds_ok) == (
+        "landcover-ts128", 0, 12, 128, 11, "zorder", "int32", True)
+    doc[1]["metadata"]["bounds"]["maxKey"]["row"] = 8  # one past the last row of the layout
+    with open(os.path.join(root, "meta_bad.json"), "w") as f:
+        json.dump(doc, f)
+    assert catalog.read_catalog_metadata(spark, os.path.join(root, "meta_bad.json")).first().bounds_ok is False
 
     gdir = os.path.join(root, "polys")
     os.makedirs(gdir)
