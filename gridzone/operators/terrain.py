@@ -32,10 +32,14 @@ def halo_copies(cells: DataFrame, tile: int, halo: int = 1, partitions: int | No
     return c.repartition(partitions, "key_col", "key_row") if partitions else c.repartition("key_col", "key_row")
 
 
-def neighbourhood(cells: DataFrame, tile: int) -> DataFrame:
-    """``(key_col, key_row, tx, ty, ox, oy, v)``: each cell as neighbour (ox, oy) of target (tx, ty)."""
-    h = halo_copies(cells.filter(F.col("v").isNotNull()), tile)
-    offs = F.array(*[F.struct(F.lit(dx).alias("ox"), F.lit(dy).alias("oy")) for dx, dy in OFFSETS])
+def neighbourhood(cells: DataFrame, tile: int, radius: int = 1) -> DataFrame:
+    """``(key_col, key_row, tx, ty, ox, oy, v)``: each cell as neighbour (ox, oy) of target (tx, ty)
+    for every target within ``radius`` cells (a (2r + 1)^2 window)."""
+    if radius >= tile:
+        raise ValueError("radius must be smaller than the tile size")
+    h = halo_copies(cells.filter(F.col("v").isNotNull()), tile, radius)
+    offs = F.array(*[F.struct(F.lit(dx).alias("ox"), F.lit(dy).alias("oy"))
+                     for dy in range(-radius, radius + 1) for dx in range(-radius, radius + 1)])
     e = h.select("key_col", "key_row", "x", "y", "v", F.explode(offs).alias("o"))
     t = e.select(
         "key_col", "key_row", "v",
@@ -46,14 +50,23 @@ def neighbourhood(cells: DataFrame, tile: int) -> DataFrame:
     return t.filter(home)
 
 
-def focal_mean(cells: DataFrame, tile: int) -> DataFrame:
-    """Mean of the data cells in each data cell's 3 x 3 window: ``(x, y, mean, n)``."""
-    nb = neighbourhood(cells, tile)
+FOCAL_STATS = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
+
+
+def focal_stats(cells: DataFrame, tile: int, radius: int = 1,
+                stats: tuple[str, ...] = ("mean", "min", "max", "sum")) -> DataFrame:
+    """Statistics of the data cells in each data cell's (2r + 1)^2 window: ``(x, y, <stats>, n)``."""
+    nb = neighbourhood(cells, tile, radius)
     g = nb.groupBy("key_col", "key_row", "tx", "ty").agg(
-        F.avg("v").alias("mean"), F.count(F.lit(1)).alias("n"),
+        *[FOCAL_STATS[s]("v").alias(s) for s in stats], F.count(F.lit(1)).alias("n"),
         F.max(F.when((F.col("ox") == 0) & (F.col("oy") == 0), 1)).alias("centre"),
     )
-    return g.filter(F.col("centre") == 1).select(F.col("tx").alias("x"), F.col("ty").alias("y"), "mean", "n")
+    return g.filter(F.col("centre") == 1).select(F.col("tx").alias("x"), F.col("ty").alias("y"), *stats, "n")
+
+
+def focal_mean(cells: DataFrame, tile: int) -> DataFrame:
+    """Mean of the data cells in each data cell's 3 x 3 window: ``(x, y, mean, n)``."""
+    return focal_stats(cells, tile, 1, ("mean",))
 
 
 def hillshade(cells: DataFrame, tile: int, azimuth: float = 315.0, altitude: float = 45.0,

@@ -41,6 +41,19 @@ def focal_mean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("mean", F.round("mean", 6))
 
 
+@query(
+    "focal_stats",
+    S.with_(S.grid(), S.layers("lv"))
+    + "SELECT c.x, c.y, round(avg(nb.v), 6) AS mean, min(nb.v) AS min, max(nb.v) AS max, sum(nb.v) AS sum, "
+      "count(*) AS n FROM lv c JOIN lv nb ON nb.x BETWEEN c.x - 2 AND c.x + 2 AND nb.y BETWEEN c.y - 2 AND c.y + 2 "
+      "GROUP BY c.x, c.y",
+)
+def focal_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 x 5 focal mean / min / max / sum of the value layer (radius 2, tile halos of 2 cells)."""
+    r = T.focal_stats(L.layer_v(spark, sf_dir, _n(spark, sf_dir)), TILE, 2)
+    return r.withColumn("mean", F.round("mean", 6))
+
+
 def _hillshade_sql() -> str:
     names = "abcdefghi"
     cases = ", ".join(

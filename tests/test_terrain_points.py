@@ -113,3 +113,18 @@ def test_deep_pyramid_with_lineage_cuts(spark):
     p = terrain.pyramid_mean(df, 4)  # level 3 is checkpointed
     top = p.filter("level = 4").collect()
     assert len(top) == 1 and top[0].v == pytest.approx(sum(cells.values()) / len(cells))
+
+
+@pytest.mark.parametrize("radius,tile", [(2, 5), (3, 16)])
+def test_focal_stats_any_radius_matches_brute_force(spark, radius, tile):
+    df, cells = _grid(spark, 17, 14, radius * 10 + tile)
+    got = {(r.x, r.y): (round(r.mean, 9), r.min, r.max, r.sum, r.n)
+           for r in terrain.focal_stats(df, tile, radius).collect()}
+    want = {}
+    for (x, y) in cells:
+        vals = [cells[(x + dx, y + dy)] for dx in range(-radius, radius + 1) for dy in range(-radius, radius + 1)
+                if (x + dx, y + dy) in cells]
+        want[(x, y)] = (round(sum(vals) / len(vals), 9), min(vals), max(vals), sum(vals), len(vals))
+    assert got == want
+    with pytest.raises(ValueError):
+        terrain.focal_stats(df, 4, 4)
