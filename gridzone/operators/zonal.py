@@ -195,3 +195,19 @@ def zonal_crosstab_tiled(a: DataFrame, b: DataFrame, z: Zone, tile: int) -> Data
 
 def data_cells_z(layer: DataFrame, name: str) -> DataFrame:
     return layer.filter(F.col("v").isNotNull()).select("z", "x", "y", F.col("v").alias(name))
+
+
+# Size of the 30 m EPSG:5070 grid the surveyed layers use (cells).
+ALBERS_GRID_COLS = 161280
+ALBERS_GRID_ROWS = 104448
+
+
+def zone_from_lonlat(polys: DataFrame, width: int = ALBERS_GRID_COLS, height: int = ALBERS_GRID_ROWS,
+                     block: int | None = None, max_rows: int | None = None) -> Zone:
+    """Zone of WGS84 lon/lat polygons (ring or vertex table) on the 30 m Albers grid:
+    project to EPSG:5070, move to cell units, rasterise."""
+    from gridzone.functions import crs
+    from gridzone.sources.polygons import transform_coords
+
+    cells = transform_coords(transform_coords(polys, crs.albers_xy), crs.to_cell_units)
+    return zone(cells, width, height, block, max_rows)

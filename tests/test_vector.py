@@ -175,3 +175,15 @@ def test_transform_coords_on_rings_and_vertices(spark):
         assert n == EXAMPLE_POLYGON_CELLS
         area = vector.polygon_area(transform_coords(df, crs.albers_xy)).first()["area"]
         assert abs(area - EXAMPLE_POLYGON_AREA_M2) / EXAMPLE_POLYGON_AREA_M2 < 1e-9
+
+
+def test_zone_from_lonlat_on_the_albers_grid(spark):
+    from gridzone.operators import zonal
+    from gridzone.sources.polygons import rings_df
+
+    z = zonal.zone_from_lonlat(rings_df(spark, {"ex": [[EXAMPLE_POLYGON_LONLAT]]}))
+    x0, x1, y0, y1 = z.bbox
+    assert 0 <= x0 < x1 <= zonal.ALBERS_GRID_COLS and 0 <= y0 < y1 <= zonal.ALBERS_GRID_ROWS
+    assert (x1 - x0) * (y1 - y0) >= EXAMPLE_POLYGON_CELLS
+    cells = z.pieces.agg(F.sum(F.col("r1") - F.col("r0"))).first()[0]
+    assert cells == EXAMPLE_POLYGON_CELLS and z.pieces.count() <= z.rows
