@@ -66,8 +66,10 @@ def _first_or_empty(arr: Column) -> Column:
 
 
 def _channel_url(channels: Column, kind: str, prefix: str) -> Column:
-    ch = F.get(F.filter(channels, lambda c: c["type"] == kind), 0)
-    return F.when(ch.isNotNull(), F.concat(F.lit(prefix), ch["id"])).otherwise(F.lit(""))
+    """URL of the first channel of ``kind`` ('' when none): a native search over the
+    ``type`` field array, no per-element lambda."""
+    pos = F.array_position(channels["type"], kind)
+    return F.when(pos > 0, F.concat(F.lit(prefix), F.element_at(channels, pos.cast("int"))["id"])).otherwise(F.lit(""))
 
 
 def directory_flatten(docs: DataFrame, id_col: str = "doc_id", json_col: str = "json") -> DataFrame:
