@@ -66,6 +66,9 @@ def weighted_overlay(layers: dict[str, DataFrame], weights: dict[str, float]) ->
     aggregation map-side) instead of a chain of joins; a cell counts only when
     every weighted layer holds data there.
     """
+    bad = {k: w for k, w in weights.items() if not -5 <= w <= 5}
+    if bad:
+        raise ValueError(f"weights must lie in -5..5: {bad}")
     active = [(k, w) for k, w in weights.items() if w != 0]
     if not active:
         raise ValueError("no layer with a non-zero weight")

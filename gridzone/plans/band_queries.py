@@ -146,6 +146,29 @@ _NAMES_SQL = "nm AS (SELECT * FROM (VALUES " + ", ".join(
     f"({i}, '{n}')" for i, n in enumerate(B.LABEL_NAMES)) + ") t(cls, name))"
 
 
+_WO_SQL = ("wo AS (SELECT x, y, la.v * 2.0 + lb.v * -1.0 + lw.v * 3.0 AS value "
+           "FROM la JOIN lb USING (x, y) JOIN lw USING (x, y))")
+
+
+@query(
+    "weighted_breaks",
+    S.with_(
+        S.grid(), S.layers("la", "lb", "lw"), _WO_SQL,
+        "h AS (SELECT value AS v, count(*) AS c FROM wo GROUP BY ALL)",
+        "r AS (SELECT v, c, sum(c) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM h)",
+        f"tg AS (SELECT CAST(i AS INTEGER) AS i, (i * (SELECT sum(c) FROM h) + {N_BREAKS - 1}) // {N_BREAKS} AS k "
+        f"FROM range(1, {N_BREAKS + 1}) t(i))",
+    )
+    + "SELECT tg.i, r.v AS brk FROM tg JOIN r ON r.cum - r.c < tg.k AND tg.k <= r.cum",
+)
+def weighted_breaks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten exact breaks of the weighted overlay (what the overlay's colour ramp is classed by)."""
+    n = _n(spark, sf_dir)
+    layers = {"a": L.layer_a(spark, sf_dir, n), "b": L.layer_b(spark, sf_dir, n),
+              "v": L.layer_v(spark, sf_dir, n), "w": L.layer_w(spark, sf_dir, n)}
+    return stats.class_breaks(B.weighted_overlay(layers, WEIGHTS), "value", N_BREAKS)
+
+
 @query(
     "label_lookup",
     S.with_(S.grid(), S.layers("tp"), _NAMES_SQL)

@@ -47,8 +47,10 @@ def write_layer(cells: DataFrame, root: str, layer: str, grid: int, tile: int, c
     meta.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/_meta/layer={layer}/zoom={zoom}")
 
 
-def read_layer(spark: SparkSession, root: str, layer: str, zoom: int = 0) -> DataFrame:
-    return spark.read.parquet(layer_path(root, layer, zoom))
+def read_layer(spark: SparkSession, root: str, layer: str, zoom: int = 0, partitions: int | None = None) -> DataFrame:
+    """Read a stored layer; ``partitions`` spreads a full scan over that many tasks."""
+    df = spark.read.parquet(layer_path(root, layer, zoom))
+    return df.repartition(partitions) if partitions else df
 
 
 def list_layers(spark: SparkSession, root: str) -> DataFrame:

@@ -128,3 +128,13 @@ def test_focal_stats_any_radius_matches_brute_force(spark, radius, tile):
     assert got == want
     with pytest.raises(ValueError):
         terrain.focal_stats(df, 4, 4)
+
+
+def test_weighted_overlay_rejects_out_of_range_weights(spark):
+    from gridzone.operators import bands
+
+    df, _ = _grid(spark, 4, 4, 1)
+    with pytest.raises(ValueError):
+        bands.weighted_overlay({"a": df}, {"a": 6})
+    with pytest.raises(ValueError):
+        bands.weighted_overlay({"a": df}, {"a": 0})  # nothing left once zero weights are skipped
