@@ -38,13 +38,17 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the folder is configured by the deployment and only read here.
-    When it is unset (local tests) a fresh scratch folder is created and set.
+    On a cluster the folder is configured by the deployment and only read here;
+    if it is missing there, this fails instead of falling back to a folder that
+    only one machine can see. In local mode (tests, bench) a fresh scratch
+    folder is created and set when the setting is absent.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder for this cluster")
         path = tempfile.mkdtemp(prefix="gridzone-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", path)
