@@ -81,3 +81,25 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["poly_id", "a", "b", "n"]
     assert df.count() > 0
+
+
+def test_derived_layers_match_fixture_numbers(spark):
+    """FIXTURES.md (sf0.01, N = 128): layer sizes, overlap, pairs and flagship zone sizes."""
+    if not SF.endswith("sf0.01"):
+        pytest.skip("numbers are for sf0.01")
+    from gridzone.operators import accum, vector, zonal
+    from gridzone.sources import layers as L
+    from gridzone.sources.polygons import test_polygons
+    from gridzone.sources.tables import grid_size
+
+    n = grid_size(spark, SF)
+    assert n == 128
+    a, b = L.layer_a(spark, SF, n), L.layer_b(spark, SF, n)
+    assert (a.count(), b.count()) == (15946, 9869)
+    pairs = accum.overlay_pairs(a, b)
+    assert pairs.count() == 9616
+    assert pairs.select("a", "b").distinct().count() == 64
+    verts = test_polygons(spark, n, ["hole"])
+    assert vector.zone_cell_count(vector.polygon_spans(verts, n, n)).first()["n_cells"] == 6715
+    ct = zonal.zonal_crosstab(a, b, zonal.zone(verts, n, n))
+    assert ct.agg({"n": "sum"}).first()[0] == 3916
