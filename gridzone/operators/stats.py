@@ -13,8 +13,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def value_ranks(values: DataFrame, col: str, ranges: int = 64) -> DataFrame:
-    """``(v, c, cum)``: distinct values, their counts and the running count (inclusive)."""
+def value_ranks(values: DataFrame, col: str, ranges: int | None = None) -> DataFrame:
+    """``(v, c, cum)``: distinct values, their counts and the running count (inclusive).
+
+    ``ranges`` defaults to the session's shuffle partition count (at least 64), so on a
+    cluster each range window holds about distinct values / partitions rows.
+    """
+    if ranges is None:
+        ranges = max(64, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions", "64")))
     h = values.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
     # cut points from an approximate quantile sketch (one small aggregate row);
     # they only balance the ranges, exactness comes from the per-range counts.
@@ -22,7 +28,7 @@ def value_ranks(values: DataFrame, col: str, ranges: int = 64) -> DataFrame:
     cuts = h.agg(F.percentile_approx("v", probs, 1000).alias("q")).first()["q"] or []
     q = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
     hr = h.select("v", "c", F.size(F.filter(q, lambda b: b < F.col("v"))).alias("rg"))
-    # one total per range (at most `ranges` numbers) -> exclusive prefix offsets
+    # one total per range (at most `ranges` numbers, collected) -> exclusive prefix offsets
     totals = {r["rg"]: r["t"] for r in hr.groupBy("rg").agg(F.sum("c").alias("t")).collect()}
     offs, acc = [], 0
     for k in range(max(totals, default=-1) + 1):
