@@ -14,7 +14,7 @@ EARTH_RADIUS_M = 6371008.8  # mean Earth radius (sphere stands in for the geogra
 METERS_PER_MILE = 1609.344
 
 
-def pip_join(points: DataFrame, vertices: DataFrame, band: float) -> DataFrame:
+def pip_join(points: DataFrame, vertices: DataFrame, band: float | None = None) -> DataFrame:
     """Points inside polygons (even-odd per part): ``(pid, poly_id)``.
 
     Edges are cut into horizontal bands of height ``band`` (in the points' y
@@ -23,6 +23,9 @@ def pip_join(points: DataFrame, vertices: DataFrame, band: float) -> DataFrame:
     on the polygons only and is broadcast behind a size check.
     """
     e = polygon_edges(vertices).filter(F.col("gy") != F.col("hy"))
+    if band is None:  # default: 256 bands over the polygons' y extent (one aggregate row)
+        lo, hi = e.agg(F.min(F.least("gy", "hy")), F.max(F.greatest("gy", "hy"))).first()
+        band = (hi - lo) / 256.0 if lo is not None and hi > lo else 1.0
     eb = e.select(
         "poly_id", "part", "gx", "gy", "hx", "hy",
         F.explode(F.sequence(F.floor(F.least("gy", "hy") / band), F.floor(F.greatest("gy", "hy") / band))).alias("band"),
