@@ -239,3 +239,38 @@ def poly_diff_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = zonal.zone(verts, n, n)
     r = zonal.poly_diff_stats(L.layer_v(spark, sf_dir, n), L.layer_w(spark, sf_dir, n), pieces, CELL_AREA, BLOCK)
     return r.withColumn("mean", F.round("mean", 6)).withColumn("volume", F.round("volume", 6))
+
+
+@query(
+    "zonal_count",
+    S.with_(S.grid(), S.layers("la"), S.polygon_ctes(ALL_POLYS), S.inzone("la"))
+    + "SELECT poly_id, count(*) AS n FROM inz GROUP BY ALL",
+)
+def zonal_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range join cell x span on its own: data cells of ``layer_a`` inside each test polygon."""
+    n, verts = _setup(spark, sf_dir, ALL_POLYS)
+    z = zonal.zone(verts, n, n)
+    return zonal.cells_in_zone(zonal.data_cells(L.layer_a(spark, sf_dir, n)), z).groupBy("poly_id").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "polygon_area",
+    S.with_(S.grid(), S.layers("la"), S.polygon_ctes(ALL_POLYS), S.inzone("la"),
+            "rings AS (SELECT poly_id, part, ring, abs(sum(gx * hy - hx * gy)) / 2.0 AS a FROM edges GROUP BY ALL)",
+            "areas AS (SELECT poly_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area FROM rings GROUP BY ALL)",
+            "dat AS (SELECT poly_id, count(*) AS n_data FROM inz GROUP BY ALL)")
+    + "SELECT poly_id, round(area, 6) AS area, CAST(coalesce(n_data, 0) AS BIGINT) AS n_data, "
+      "round(coalesce(n_data, 0) / area, 6) AS data_density FROM areas LEFT JOIN dat USING (poly_id)",
+)
+def polygon_area_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planar area of each test polygon (cell units, holes subtracted) and the density of
+    ``layer_a`` data cells in it."""
+    n, verts = _setup(spark, sf_dir, ALL_POLYS)
+    z = zonal.zone(verts, n, n)
+    dat = zonal.cells_in_zone(zonal.data_cells(L.layer_a(spark, sf_dir, n)), z).groupBy("poly_id").agg(
+        F.count(F.lit(1)).alias("n_data"))
+    a = vector.polygon_area(verts).join(dat, "poly_id", "left")
+    nd = F.coalesce("n_data", F.lit(0)).cast("bigint")
+    return a.select("poly_id", F.round("area", 6).alias("area"), nd.alias("n_data"),
+                    F.round(nd / F.col("area"), 6).alias("data_density"))
