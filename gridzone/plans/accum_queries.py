@@ -65,6 +65,7 @@ def zonal_methods_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT x, t.blk, a, b, CAST(cum AS BIGINT) AS cum FROM run, LATERAL generate_series(run.blk, run.until) t(blk)",
 )
 def block_prefix_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored accumulator form: pair counts per column up to each 16-row block."""
     n = grid_size(spark, sf_dir)
     return accum.block_prefix_counts(_pairs(spark, sf_dir, n), K, n)
 
@@ -76,6 +77,7 @@ def block_prefix_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
       "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM ov",
 )
 def column_prefix_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running count of each cell's own pair down its column (dense per-cell form)."""
     n = grid_size(spark, sf_dir)
     return accum.column_prefix_counts(_pairs(spark, sf_dir, n))
 
@@ -100,6 +102,7 @@ def _seq(spark: SparkSession, sf_dir: str) -> DataFrame:
       "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_seen FROM seq",
 )
 def last_seen_fill_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship boundary cells in visiting order with the last data value carried forward."""
     return accum.last_seen_fill(_seq(spark, sf_dir))
 
 
@@ -114,6 +117,7 @@ def last_seen_fill_q(spark: SparkSession, sf_dir: str) -> DataFrame:
       "WHERE v IS NOT NULL AND last_seen IS NOT NULL GROUP BY ALL",
 )
 def boundary_diffs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per tile column: number and sum of differences to the last seen data value."""
     return accum.boundary_diffs(_seq(spark, sf_dir))
 
 
@@ -127,6 +131,7 @@ def boundary_diffs_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT band, band // 4 AS a, band % 4 AS b, n FROM tot, range(64) r(band)",
 )
 def boundary_last_minus_first_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The literal 64-band marching result: last - first per tile column, summed."""
     return accum.boundary_last_minus_first(_seq(spark, sf_dir))
 
 

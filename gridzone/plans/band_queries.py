@@ -35,6 +35,7 @@ def _pts_cells(spark: SparkSession, sf_dir: str, n: int):
     + "SELECT pid, x, y, lv.v AS value FROM pc JOIN lv USING (x, y)",
 )
 def point_value_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Value layer under every event point (cell look-up by equi-join on x, y)."""
     n = _n(spark, sf_dir)
     pts, cx, cy = _pts_cells(spark, sf_dir, n)
     return B.point_value(pts, L.layer_v(spark, sf_dir, n), cx, cy)
@@ -47,6 +48,7 @@ def point_value_q(spark: SparkSession, sf_dir: str) -> DataFrame:
       "WHERE lv.v IS NOT NULL OR lw.v IS NOT NULL",
 )
 def point_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both value layers under every event point (NULL where one has no data)."""
     n = _n(spark, sf_dir)
     pts, cx, cy = _pts_cells(spark, sf_dir, n)
     return B.point_diff(pts, L.layer_v(spark, sf_dir, n), L.layer_w(spark, sf_dir, n), cx, cy)
@@ -54,6 +56,7 @@ def point_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("layer_diff", S.with_(S.grid(), S.layers("lv", "lw")) + "SELECT x, y, lv.v - lw.v AS v FROM lv JOIN lw USING (x, y)")
 def layer_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-cell difference of the two value layers where both hold data."""
     n = _n(spark, sf_dir)
     return B.layer_diff(L.layer_v(spark, sf_dir, n), L.layer_w(spark, sf_dir, n))
 
@@ -64,6 +67,7 @@ def layer_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT x, y, (lv.v - lw.v) - (bands.b2 - bands.b3) AS v FROM lv JOIN lw USING (x, y) JOIN bands USING (x, y)",
 )
 def layer_diff4_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-cell difference of two differences over four layers."""
     n = _n(spark, sf_dir)
     img = L.bands(spark, sf_dir, n)
     return B.layer_diff4(
@@ -79,6 +83,7 @@ def layer_diff4_q(spark: SparkSession, sf_dir: str) -> DataFrame:
       "UNION ALL SELECT x, y, 'irrg' AS composite, b3 AS c0, b0 AS c1, b1 AS c2 FROM bands",
 )
 def band_select_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RGB and IR-R-G composites of the four-band image."""
     img = L.bands(spark, sf_dir, _n(spark, sf_dir))
     return B.band_select(img, "rgb").unionByName(B.band_select(img, "irrg"))
 
@@ -89,6 +94,7 @@ def band_select_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT x, y, CAST(floor(0.299::DOUBLE * b0 + 0.587::DOUBLE * b1 + 0.114::DOUBLE * b2 + 0.5::DOUBLE) AS BIGINT) AS gray FROM bands",
 )
 def grayscale_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Luma of the RGB bands, rounded half up."""
     img = L.bands(spark, sf_dir, _n(spark, sf_dir))
     return img.select("x", "y", B.grayscale(F.col("b0"), F.col("b1"), F.col("b2")).alias("gray"))
 
@@ -99,6 +105,7 @@ def grayscale_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT x, y, CASE WHEN b3 + b0 <> 0 THEN round((b3 - b0) / (b3 + b0), 6) END AS ndvi FROM bands",
 )
 def ndvi_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised difference of the infrared and red bands (NULL where their sum is 0)."""
     img = L.bands(spark, sf_dir, _n(spark, sf_dir))
     return img.select("x", "y", F.round(B.ndvi(F.col("b3"), F.col("b0")), 6).alias("ndvi"))
 
@@ -136,6 +143,7 @@ def classify_breaks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT x, y, la.v * 2.0 + lb.v * -1.0 + lw.v * 3.0 AS value FROM la JOIN lb USING (x, y) JOIN lw USING (x, y)",
 )
 def weighted_overlay_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted sum of the class and value layers (zero weights skipped)."""
     n = _n(spark, sf_dir)
     layers = {"a": L.layer_a(spark, sf_dir, n), "b": L.layer_b(spark, sf_dir, n),
               "v": L.layer_v(spark, sf_dir, n), "w": L.layer_w(spark, sf_dir, n)}
@@ -188,6 +196,7 @@ def label_lookup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.with_(S.grid(), S.layers("tp")) + "SELECT x, y, pred_a AS pred, truth FROM tp WHERE pred_a <> truth",
 )
 def prediction_incorrect_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells where model A's class differs from the label."""
     return B.prediction_incorrect(L.truth_pred(spark, sf_dir, _n(spark, sf_dir)), "pred_a")
 
 
@@ -196,6 +205,7 @@ def prediction_incorrect_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.with_(S.grid(), S.layers("tp")) + "SELECT truth, pred_a AS pred, count(*) AS n FROM tp GROUP BY ALL",
 )
 def confusion_matrix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells per (label, model A class)."""
     return B.confusion_matrix(L.truth_pred(spark, sf_dir, _n(spark, sf_dir)), "pred_a")
 
 
@@ -206,6 +216,7 @@ def confusion_matrix_q(spark: SparkSession, sf_dir: str) -> DataFrame:
       "WHEN pred_b = truth THEN 'b_only' ELSE 'neither' END AS category, count(*) AS n FROM tp GROUP BY ALL",
 )
 def prediction_ab_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells per agreement class of models A and B with the label."""
     return B.prediction_ab(L.truth_pred(spark, sf_dir, _n(spark, sf_dir)))
 
 
@@ -216,5 +227,6 @@ def prediction_ab_q(spark: SparkSession, sf_dir: str) -> DataFrame:
       "THEN 1 ELSE 0 END) / count(*), 6) AS p FROM lineitem, g GROUP BY ALL",
 )
 def class_probability_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability band of class 2 from the six-band probability layer."""
     probs = L.probabilities(spark, sf_dir, _n(spark, sf_dir))
     return B.class_probability(probs, PROB_LABEL).withColumn("p", F.round("p", 6))

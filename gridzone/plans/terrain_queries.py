@@ -117,6 +117,7 @@ _PC_SQL = ("pc AS (SELECT pid, v, CAST(floor((lon - (-80.0::DOUBLE)) / 5.0::DOUB
     + "SELECT x, y, count(*) AS n, round(avg(v), 6) AS mean, max(v) AS max FROM pc GROUP BY ALL",
 )
 def point_binning_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event points per grid cell: count, mean and max value."""
     n = _n(spark, sf_dir)
     pts = L.points(spark, sf_dir)
     cx, cy = L.lonlat_to_cell(F.col("lon"), F.col("lat"), n)

@@ -24,6 +24,7 @@ def _setup(spark: SparkSession, sf_dir: str, names: list[str]):
 
 # ---------------------------------------------------------------- flagship
 def zonal_crosstab_q(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> DataFrame:
+    """Cells per (land-cover, soil) pair inside each polygon (flagship; full count)."""
     n, verts = _setup(spark, sf_dir, names or [FLAGSHIP])
     pieces = zonal.zone(verts, n, n)
     return zonal.zonal_crosstab(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), pieces, BLOCK)
@@ -195,6 +196,7 @@ def tiles_touched_q(spark: SparkSession, sf_dir: str) -> DataFrame:
       f"INTERSECT SELECT DISTINCT x // {TILE} AS key_col, y // {TILE} AS key_row FROM lb",
 )
 def key_intersect_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tile keys holding data in both class layers."""
     n = grid_size(spark, sf_dir)
     return zonal.key_intersect(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), TILE)
 
@@ -205,6 +207,7 @@ def key_intersect_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT x, y, la.v AS a, lb.v AS b FROM la JOIN lb USING (x, y)",
 )
 def overlay_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell-aligned overlay of the two class layers (both values present)."""
     n = grid_size(spark, sf_dir)
     return zonal.overlay_join(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n))
 
