@@ -79,9 +79,13 @@ def directory_flatten(docs: DataFrame, id_col: str = "doc_id", json_col: str = "
     official's position; level is ``country`` or else ``pennsylvania``.
     """
     p = docs.select(F.col(id_col).alias("doc_id"), F.from_json(json_col, DIRECTORY_SCHEMA).alias("r"))
+    # once per document: all official indices in office order, and the office owning each
+    idxs = F.flatten(F.col("r.offices.officialIndices"))
+    owner = F.flatten(F.transform("r.offices", lambda of, k: F.array_repeat(k, F.size(of["officialIndices"]))))
     o = p.select("doc_id", F.size("r.officials").alias("cnt"), F.col("r.offices").alias("offices"),
-                 F.posexplode("r.officials").alias("i", "o"))
-    office = F.get(F.filter("offices", lambda of: F.array_contains(of["officialIndices"], F.col("i"))), 0)
+                 idxs.alias("idxs"), owner.alias("owner"), F.posexplode("r.officials").alias("i", "o"))
+    pos = F.array_position("idxs", F.col("i"))  # first office listing the official (native search)
+    office = F.when(pos > 0, F.get(F.col("offices"), F.get(F.col("owner"), (pos - 1).cast("int"))))
     party = F.col("o.party")
     addr = F.get(F.col("o.address"), 0)
     return o.select(
