@@ -11,6 +11,7 @@ tile key use the ``*_tiled`` variants, which read only the zone's tiles.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from gridzone.operators.joins import BROADCAST_MAX_ROWS, sized_broadcast
 from gridzone.operators.joins import cells_in_zone as _cells_in_zone
-from gridzone.operators.vector import polygon_spans, span_pieces
+from gridzone.operators.vector import polygon_edges, polygon_spans, span_pieces
 
 DEFAULT_BLOCK = 64
 
@@ -48,31 +49,45 @@ class Zone:
 
 def zone(vertices: DataFrame, width: int, height: int, block: int | None = None,
          max_rows: int | None = None) -> Zone:
-    """Rasterise polygons into span pieces, learning size and bounding box in one small job.
+    """Rasterise polygons into span pieces; size bound and bounding box from one small job.
 
+    The job reads the edges only (no shuffle for ring tables): the number of
+    column-centre crossings C bounds the spans (C / 2), and the polygons'
+    bounding box, in cell centres clipped to the grid, bounds the zone cells.
     A span [r0, r1) splits into at most (r1 - r0) / block + 2 pieces, so
-    ``cells / block + 2 * spans`` bounds the piece count without listing the
-    pieces. With ``block=None`` the block is chosen as the smallest multiple of
-    ``DEFAULT_BLOCK`` that keeps that bound under the broadcast limit (large
-    grids get long blocks instead of billions of pieces); when even the spans
-    alone exceed the limit the pieces stay at ``DEFAULT_BLOCK`` rows and are
-    joined by shuffle on (x, blk), where short blocks bound every join key.
+    ``cells / block + C`` bounds the piece count without listing the pieces.
+    With ``block=None`` the block is the smallest multiple of ``DEFAULT_BLOCK``
+    that keeps that bound under the broadcast limit (large grids get long
+    blocks instead of billions of pieces); when even the spans alone exceed the
+    limit the pieces stay at ``DEFAULT_BLOCK`` rows and are joined by shuffle on
+    (x, blk), where short blocks bound every join key.
     """
-    spans = polygon_spans(vertices, width, height)
-    s = spans.agg(
-        F.count(F.lit(1)), F.sum(F.col("r1") - F.col("r0")), F.min("x"), F.max("x"), F.min("r0"), F.max("r1")
+    e = polygon_edges(vertices)
+    lo = F.greatest(F.ceil(F.least("gx", "hx") - 0.5), F.lit(0))
+    hi = F.least(F.ceil(F.greatest("gx", "hx") - 0.5) - 1, F.lit(width - 1))
+    ncols = F.when(F.col("gx") != F.col("hx"), F.greatest(hi - lo + 1, F.lit(0))).otherwise(F.lit(0))
+    s = e.agg(
+        F.sum(ncols), F.min(F.least("gx", "hx")), F.max(F.greatest("gx", "hx")),
+        F.min(F.least("gy", "hy")), F.max(F.greatest("gy", "hy")),
     ).first()
-    n_spans, n_cells = int(s[0]), int(s[1] or 0)
+    crossings = int(s[0] or 0)
+    bbox = None
+    if crossings:
+        # cells whose centre can lie inside: centre x in [min x, max x), centre y in [min y, max y)
+        x0, x1 = max(0, math.ceil(s[1] - 0.5)), min(width, math.ceil(s[2] - 0.5))
+        y0, y1 = max(0, math.ceil(s[3] - 0.5)), min(height, math.ceil(s[4] - 0.5))
+        if x0 < x1 and y0 < y1:
+            bbox = (x0, x1, y0, y1)
+    n_cells = 0 if bbox is None else (bbox[1] - bbox[0]) * (bbox[3] - bbox[2])
     limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     if block is None:
-        room = limit - 2 * n_spans
+        room = limit - crossings
         block = DEFAULT_BLOCK
         if room > 0:
             need = -(-n_cells // room)  # ceil: smallest block with cells / block <= room
             block = max(DEFAULT_BLOCK, -(-need // DEFAULT_BLOCK) * DEFAULT_BLOCK)
-    bound = n_cells // block + 2 * n_spans
-    bbox = None if n_spans == 0 else (int(s[2]), int(s[3]) + 1, int(s[4]), int(s[5]))
-    pieces = span_pieces(spans, block)
+    bound = n_cells // block + crossings  # 2 pieces of slack per span, spans <= crossings / 2
+    pieces = span_pieces(polygon_spans(vertices, width, height), block)
     return Zone(F.broadcast(pieces) if bound <= limit else pieces, bound, bbox, block)
 
 
