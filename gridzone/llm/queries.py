@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridzone.llm.common import read
+from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +23,25 @@ def query(fn):
 @query
 def op1_simhash(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
+
+
+@query
+def op9_line_dedup(spark, sf_dir):
+    docs = dedup_lines(read(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op9_line_dedup"] = r"""
+WITH lines AS (
+  SELECT d.rid, d.doc_id, u.pos, u.line
+  FROM (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents) d,
+       LATERAL (SELECT unnest(d.ls) AS line, generate_subscripts(d.ls, 1) AS pos) u
+), keyed AS (
+  SELECT *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), common AS (
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY k.rid
+"""
