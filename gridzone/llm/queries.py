@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
+from gridzone.llm.packing import pack
 from gridzone.llm.simhash import near_duplicates
+from gridzone.llm.tokens import public_vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +47,9 @@ SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines, count(c.key) AS n_dro
        sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
 FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY k.rid
 """
+
+
+@query
+def op7_packing(spark, sf_dir):
+    pieces = pack(read(spark, sf_dir, "documents"), public_vocabulary("byte_bpe_50k.json"), end_id=1, window=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
