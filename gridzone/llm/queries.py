@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridzone.llm import pii
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.packing import pack
@@ -53,3 +54,11 @@ FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY k.rid
 def op7_packing(spark, sf_dir):
     pieces = pack(read(spark, sf_dir, "documents"), public_vocabulary("byte_bpe_50k.json"), end_id=1, window=2048)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op4_pii(spark, sf_dir):
+    found = pii.find_pii(read(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("pii", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(of(*pii.BASE_KINDS)), 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
