@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzone.llm import pii
+from gridzone.llm import pii, quality
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.packing import pack
@@ -62,3 +62,10 @@ def op4_pii(spark, sf_dir):
     of = lambda *kinds: F.filter("pii", lambda s: s["kind"].isin(*kinds))
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.joined(of(*pii.BASE_KINDS)), 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
+
+
+@query
+def op3_quality(spark, sf_dir):
+    judged = quality.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
+    return judged.select("doc_id", *(F.col(f"__{n}").alias(n) for n in names))
