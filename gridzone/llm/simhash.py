@@ -11,8 +11,8 @@ The remaining flips are made where the prefix arrives, in numpy, so each
 variant exists exactly once, in one task. ``t`` grows with the number of
 distinct fingerprints so that a prefix never holds much more than
 ``VARIANTS_PER_PREFIX`` variants on average. A prefix with over 1/1024 of all
-rows (at most 1024 of these exist, which bounds what the driver reads) is dealt
-out once more by further bits, and inside a task a prefix is bisected until a
+rows and several times the mean (at most 1024 of these exist, which bounds what
+the driver reads) is dealt out once more by further bits, and inside a task a prefix is bisected until a
 part's variants fit the same bound, so memory is bounded whatever the skew.
 
 All fingerprints of one variant are within ``max_bits`` of each other, so the
@@ -36,8 +36,8 @@ from gridzone.llm.common import connected_components, stored
 
 #: Variants that one prefix should hold on average, and the most that one numpy pass expands.
 VARIANTS_PER_PREFIX = 2_000_000
-#: A prefix with more than 1/HOT_SHARE of all rows is dealt out again by HOT_BITS further bits.
-HOT_SHARE, HOT_BITS, HOT_ROWS = 1024, 8, 20_000
+#: A prefix with more than HOT_TIMES its mean share of the rows, and 1/1024 of them, is dealt out again by HOT_BITS further bits.
+HOT_TIMES, HOT_BITS, HOT_ROWS = 8, 8, 20_000
 
 
 def fingerprint_of(text: str | None, shingle_words: int) -> int:
@@ -163,7 +163,7 @@ def near_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     t = min(24, max(8, math.ceil(math.log2(max(1, n * ball / VARIANTS_PER_PREFIX)))))
     top = F.shiftrightunsigned("fp", 64 - t)
     rows = _deal(fps.select("fp"), "prefix", top, F.lit(radius), t, radius)
-    share = n * sum(math.comb(t, k) for k in range(radius + 1)) / HOT_SHARE
+    share = n * sum(math.comb(t, k) for k in range(radius + 1)) * max(HOT_TIMES / 2**t, 1 / 1024)
     hot = [r.prefix for r in rows.groupBy("prefix").count().where(F.col("count") > max(share, HOT_ROWS)).select("prefix").collect()]
     if hot:
         is_hot = F.col("prefix").isin(hot)

@@ -84,7 +84,7 @@ def test_links_lose_nothing(spark, monkeypatch, hot, most):
     fps = _planted(300, 3)
     if hot:
         monkeypatch.setattr(simhash, "HOT_ROWS", 20)
-        monkeypatch.setattr(simhash, "HOT_SHARE", 10**9)
+        monkeypatch.setattr(simhash, "HOT_TIMES", 0)
     df = spark.createDataFrame([(x - 2**64 if x >= 2**63 else x,) for x in fps], "fp long")
     links = [(r.a % 2**64, r.b % 2**64) for r in simhash.near_links(df, most).collect()]
     assert set(parts(fps, links)) == set(parts(fps, [(a, b) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= most]))
