@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzone.llm import pii, quality
+from gridzone.llm import pii, quality, secretscan
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.packing import pack
@@ -69,3 +69,11 @@ def op3_quality(spark, sf_dir):
     judged = quality.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
     return judged.select("doc_id", *(F.col(f"__{n}").alias(n) for n in names))
+
+
+@query
+def op5_secrets(spark, sf_dir):
+    found = secretscan.find_secrets(read(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in secretscan.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(secretscan.joined(of(*secretscan.BASE_KINDS)), 256).alias("base_sha256"), secretscan.joined(F.col("secrets")).alias("spans"))
