@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzone.llm import pii, quality, secretscan
+from gridzone.llm import langid, pii, quality, secretscan
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.packing import pack
@@ -77,3 +77,11 @@ def op5_secrets(spark, sf_dir):
     of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in secretscan.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(secretscan.joined(of(*secretscan.BASE_KINDS)), 256).alias("base_sha256"), secretscan.joined(F.col("secrets")).alias("spans"))
+
+
+@query
+def op8_langid(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    found = langid.identify(docs, docs.where(~held_out & F.col("lang").isNotNull()))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
