@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzone.llm import langid, pii, quality, secretscan
+from gridzone.llm import langid, pii, quality, secretscan, warc
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.packing import pack
@@ -85,3 +85,18 @@ def op8_langid(spark, sf_dir):
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     found = langid.identify(docs, docs.where(~held_out & F.col("lang").isNotNull()))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_warc(spark, sf_dir):
+    records = warc.round_trip(spark, read(spark, sf_dir, "pages"))
+    page = lambda c: F.regexp_extract(c, "^urn:page:(.*)$", 1).cast("long")
+    return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
+ORACLE["op2_warc"] = """
+SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+       CASE WHEN strlen(coalesce(html, '')) >= 100 AND page_id <> min(page_id) OVER (PARTITION BY coalesce(html, '')) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(coalesce(html, '')) >= 100 AND page_id <> min(page_id) OVER (PARTITION BY coalesce(html, '')) THEN min(page_id) OVER (PARTITION BY coalesce(html, '')) END AS refers_to
+FROM pages
+"""
