@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzone.llm import langid, pii, quality, secretscan, warc
+from gridzone.llm import langid, pii, quality, secretscan, segment, warc
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.packing import pack
@@ -100,3 +100,11 @@ SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coal
        CASE WHEN strlen(coalesce(html, '')) >= 100 AND page_id <> min(page_id) OVER (PARTITION BY coalesce(html, '')) THEN min(page_id) OVER (PARTITION BY coalesce(html, '')) END AS refers_to
 FROM pages
 """
+
+
+@query
+def op10_sentencepiece(spark, sf_dir):
+    model = public_vocabulary("piece_bpe_32k.model")
+    samples = segment.sample(read(spark, sf_dir, "documents"), model, k=2, seed=1)
+    decoded = F.sha2(segment.decode(F.col("ids"), model), 256).alias("decoded_sha256")
+    return samples.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "inclusion", decoded)
