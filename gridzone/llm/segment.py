@@ -1,7 +1,7 @@
 """SentencePiece segmentations sampled without replacement: Gumbel top-k by A* search over the lattice.
 
-A text's lattice is cut where no piece can span (before each run of spaces);
-its arcs are pieces, and forward sums of probabilities make every arc's
+A text's lattice is cut wherever no piece can span (where no piece holds the two
+characters side by side); its arcs are pieces, and forward sums of probabilities make every arc's
 conditional probability exact. The search runs from the text's end. A node is a
 suffix segmentation with a Gumbel-perturbed log-probability, its best completion's
 value; its children's values are drawn conditional on their maximum being the node's own.
@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import heapq
 import math
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,8 +36,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPACE = "▁"
-WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 ZIPF_SHIFT = 2.7
 #: Characters sampled at a time; arcs of words remembered by a worker at most.
 BATCH_CHARS, REMEMBERED_ARCS = 400_000, 4_000_000
@@ -70,6 +67,8 @@ def _sums(x: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarra
 
 
 class Sampler:
+    code_points = 0x110000
+
     def __init__(self, path: str, scores: str = "zipf"):
         import sentencepiece
 
@@ -82,13 +81,29 @@ class Sampler:
         else:
             log = {i: sp.get_score(i) for i in own}
         self.pieces = {sp.id_to_piece(i): (log[i], i) for i in own}
-        if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
-            raise ValueError("pieces that span spaces are not supported")
+        self._grow()
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown = min(log.values(), default=0.0) - 10
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self._forget()
 
+    def _grow(self) -> None:
+        """The pieces' trie as sorted edges, and the pairs of characters that stand side by side in a piece."""
+        edges: dict[tuple[int, str], int] = {}
+        ends, pairs = {}, {-1}
+        for piece, (log, i) in self.pieces.items():
+            node = 0
+            for c in piece:
+                node = edges.setdefault((node, c), len(edges) + 1)
+            ends[node] = (log, i)
+            pairs.update(ord(a) * self.code_points + ord(b) for a, b in zip(piece, piece[1:], strict=False))
+        key = np.array([n * self.code_points + ord(c) for n, c in edges] or [-1], dtype=np.int64)
+        order = np.argsort(key)
+        self.edge_key, self.edge_to = key[order], np.array(list(edges.values()) or [0], dtype=np.int64)[order]
+        self.node_log = np.array([ends.get(n, (0.0, 0))[0] for n in range(len(edges) + 1)])
+        self.node_symbol = np.array([ends.get(n, (0.0, -1))[1] for n in range(len(edges) + 1)], dtype=np.int64)
+        self.pairs = np.array(sorted(pairs), dtype=np.int64)
+
     def _forget(self) -> None:
         """Words remembered: their nodes' first arc and number of arcs, and the arcs, entering each node in order."""
         self.words: dict[str, int] = {}
@@ -109,39 +124,71 @@ class Sampler:
         if len(self.arc_from) > REMEMBERED_ARCS:
             self._forget()
             new = words
-        first, count, froms, logs, symbols = [], [], [], [], []
-        node, arc, get = len(self.first), len(self.arc_from), self.pieces.get
-        for w in new:
-            self.words[w] = node
-            n, alpha = len(w), [0.0]
-            first.append(arc)
-            count.append(0)
-            for j in range(1, n + 1):
-                into = []
-                for i in range(max(0, j - self.longest), j):
-                    piece = get(w[i:j])
-                    if piece is not None:
-                        into.append((i, alpha[i] + piece[0], piece[1]))
-                if not into or into[-1][0] != j - 1:
-                    into.append((j - 1, alpha[j - 1] + self.unknown, self._symbol(w[j - 1])))
-                if len(into) == 1:
-                    a = into[0][1]
-                else:
-                    top = max(x[1] for x in into)
-                    a = top + math.log(sum([math.exp(x[1] - top) for x in into]))
-                alpha.append(a)
-                first.append(arc)
-                count.append(len(into))
-                for i, x, s in into:
-                    froms.append(i)
-                    logs.append(x - a)
-                    symbols.append(s)
-                arc += len(into)
-            node += n + 1
-        if new:
-            self.first, self.count = np.concatenate([self.first, first]).astype(np.int64), np.concatenate([self.count, count]).astype(np.int64)
-            self.arc_from, self.arc_log = np.concatenate([self.arc_from, froms]).astype(np.int64), np.concatenate([self.arc_log, logs])
-            self.arc_symbol = np.concatenate([self.arc_symbol, symbols]).astype(np.int64)
+        if not new:
+            return
+        length = np.array([len(w) for w in new], dtype=np.int64)
+        chars = np.frombuffer("".join(new).encode("utf-32-le"), "<u4").astype(np.int64)
+        start = np.cumsum(length) - length
+        word = np.repeat(np.arange(len(new)), length)
+        begin, end, log, symbol = self._arcs(chars, (start + length)[word])
+        at = word[begin]
+        into = end + at  # a word has a node more than characters
+        order = np.lexsort((begin, into))
+        begin, into, log, symbol, at = begin[order], into[order], log[order], symbol[order], at[order]
+        node = start + np.arange(len(new))
+        count = np.bincount(into, minlength=len(chars) + len(new))
+        first = np.cumsum(count) - count
+        alpha, source = np.zeros(len(count)), begin + at
+        longest_first = np.argsort(-length, kind="stable")
+        reach = np.searchsorted(-length[longest_first], -np.arange(1, length.max() + 1), side="right")
+        for j, m in enumerate(reach.tolist(), 1):  # all words at once, position by position
+            nodes = node[longest_first[:m]] + j
+            n = count[nodes]
+            starts = np.cumsum(n) - n
+            owner = np.repeat(np.arange(m), n)
+            arcs = np.arange(len(owner)) + (first[nodes] - starts)[owner]
+            x = alpha[source[arcs]] + log[arcs]
+            top = np.maximum.reduceat(x, starts)
+            alpha[nodes] = top + np.log(np.add.reduceat(np.exp(x - top[owner]), starts))
+            log[arcs] = x - alpha[nodes][owner]
+        self.words.update(zip(new, (node + len(self.first)).tolist(), strict=True))
+        self.first, self.count = np.concatenate([self.first, first + len(self.arc_from)]), np.concatenate([self.count, count])
+        self.arc_from, self.arc_log = np.concatenate([self.arc_from, begin - start[at]]), np.concatenate([self.arc_log, log])
+        self.arc_symbol = np.concatenate([self.arc_symbol, symbol])
+
+    def _arcs(self, chars: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(begin, end, log, symbol) of every piece that begins at a character and ends by its ``limit``, and of
+        single characters that are no piece."""
+        at, state, found = np.arange(len(chars)), np.zeros(len(chars), np.int64), []
+        for n in range(1, self.longest + 1):
+            fits = at + n <= limit[at]
+            at, state = at[fits], state[fits]
+            key = state * self.code_points + chars[at + n - 1]
+            edge = np.minimum(np.searchsorted(self.edge_key, key), len(self.edge_key) - 1)
+            hit = self.edge_key[edge] == key
+            at, state = at[hit], self.edge_to[edge[hit]]
+            full = self.node_symbol[state] >= 0
+            found.append((at[full], at[full] + n, self.node_log[state[full]], self.node_symbol[state[full]]))
+            if n == 1:
+                bare = np.ones(len(chars), bool)
+                bare[at[full]] = False
+                bare = np.flatnonzero(bare)
+                kinds, which = np.unique(chars[bare], return_inverse=True)
+                symbols = np.array([self._symbol(chr(c)) for c in kinds], dtype=np.int64)
+                found.append((bare, bare + 1, np.full(len(bare), self.unknown), symbols[which]))
+            if not len(at):
+                break
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+    def cuts(self, text: str) -> list[str]:
+        """The text in parts that no piece spans: cut where no piece holds the two characters side by side."""
+        if len(text) < 2:
+            return [text] if text else []
+        chars = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        pair = chars[:-1] * self.code_points + chars[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        edges = [0, *(np.flatnonzero(self.pairs[at] != pair) + 1).tolist(), len(text)]
+        return [text[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
     def _walk(self, base, pos, off, seed, path, log):
         """Follows best children from node ``pos`` of each word (at ``off`` in the batch) to its start. Marks arcs in
@@ -184,7 +231,7 @@ class Sampler:
     def sample(self, texts: list[str], keys: np.ndarray, k: int, seed: int) -> list[list[tuple[bytes, int, float, float, float]]]:
         """For each text up to k samples (ids, pieces, log p, perturbed, inclusion), best first; ``keys`` are uint64."""
         texts = [self.sp.normalize(t) for t in texts]
-        words = [WORD.findall(t) for t in texts]
+        words = [self.cuts(t) for t in texts]
         self._learn(list(dict.fromkeys(w for ws in words for w in ws)))
         size = np.array([len(t) for t in texts], dtype=np.int64)
         start = np.cumsum(size) - size
