@@ -30,6 +30,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -109,8 +110,17 @@ class Sampler:
         self.words: dict[str, int] = {}
         self.emitted: list[tuple[int, ...]] = [(i,) for i in range(len(self.sp))]  # ids of a symbol; characters without a piece follow
         self.characters: dict[str, int] = {}
-        self.first, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.arc_from, self.arc_log, self.arc_symbol = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+        self.nodes = self.arcs = 0
+        self.first, self.count = np.empty(0, np.int32), np.empty(0, np.int8)
+        self.arc_from, self.arc_log, self.arc_symbol = np.empty(0, np.int32), np.empty(0), np.empty(0, np.int32)
+
+    def _room(self, nodes: int, arcs: int) -> None:
+        """Room for so many more, at least doubled where it runs out."""
+        for names, used, more in ((("first", "count"), self.nodes, nodes), (("arc_from", "arc_log", "arc_symbol"), self.arcs, arcs)):
+            for name in names:
+                old = getattr(self, name)
+                if used + more > len(old):
+                    setattr(self, name, np.concatenate([old[:used], np.empty(max(more, used), old.dtype)]))
 
     def _symbol(self, char: str) -> int:
         if char not in self.characters:
@@ -119,11 +129,11 @@ class Sampler:
             self.emitted.append(tuple(self.bytes[b] for b in char.encode()) if known else (self.sp.unk_id(),))
         return self.characters[char]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.words]
-        if len(self.arc_from) > REMEMBERED_ARCS:
+        if self.arcs > REMEMBERED_ARCS:
             self._forget()
-            new = words
+            new = list(words)
         if not new:
             return
         length = np.array([len(w) for w in new], dtype=np.int64)
@@ -151,10 +161,12 @@ class Sampler:
             top = np.maximum.reduceat(x, starts)
             alpha[nodes] = top + np.log(np.add.reduceat(np.exp(x - top[owner]), starts))
             log[arcs] = x - alpha[nodes][owner]
-        self.words.update(zip(new, (node + len(self.first)).tolist(), strict=True))
-        self.first, self.count = np.concatenate([self.first, first + len(self.arc_from)]), np.concatenate([self.count, count])
-        self.arc_from, self.arc_log = np.concatenate([self.arc_from, begin - start[at]]), np.concatenate([self.arc_log, log])
-        self.arc_symbol = np.concatenate([self.arc_symbol, symbol])
+        self._room(len(count), len(log))
+        own, their = slice(self.nodes, self.nodes + len(count)), slice(self.arcs, self.arcs + len(log))
+        self.words.update(zip(new, (node + self.nodes).tolist(), strict=True))
+        self.first[own], self.count[own] = first + self.arcs, count
+        self.arc_from[their], self.arc_log[their], self.arc_symbol[their] = begin - start[at], log, symbol
+        self.nodes, self.arcs = own.stop, their.stop
 
     def _arcs(self, chars: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(begin, end, log, symbol) of every piece that begins at a character and ends by its ``limit``, and of
@@ -188,7 +200,7 @@ class Sampler:
         pair = chars[:-1] * self.code_points + chars[1:]
         at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         edges = [0, *(np.flatnonzero(self.pairs[at] != pair) + 1).tolist(), len(text)]
-        return [text[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+        return [text[a:b] for a, b in pairwise(edges)]
 
     def _walk(self, base, pos, off, seed, path, log):
         """Follows best children from node ``pos`` of each word (at ``off`` in the batch) to its start. Marks arcs in
@@ -198,7 +210,7 @@ class Sampler:
         out = []
         while len(state):
             node = base[state] + pos
-            first, count = self.first[node], self.count[node]
+            first, count = self.first[node].astype(np.int64), self.count[node].astype(np.int64)
             best = first.copy()
             many = np.flatnonzero(count > 1)
             if len(many):
@@ -223,7 +235,7 @@ class Sampler:
                 out.append((state[many][own], end[own], arc[rest], x[rest], top[own]))
             begin = off[state] + self.arc_from[best]
             path[begin], log[begin] = best, self.arc_log[best]
-            pos = self.arc_from[best]
+            pos = self.arc_from[best].astype(np.int64)
             go = pos > 0
             state, pos = state[go], pos[go]
         return [np.concatenate(c) for c in zip(*out, strict=True)] if out else None
@@ -232,12 +244,13 @@ class Sampler:
         """For each text up to k samples (ids, pieces, log p, perturbed, inclusion), best first; ``keys`` are uint64."""
         texts = [self.sp.normalize(t) for t in texts]
         words = [self.cuts(t) for t in texts]
-        self._learn(list(dict.fromkeys(w for ws in words for w in ws)))
+        flat = list(chain.from_iterable(words))
+        self._learn(set(flat))
         size = np.array([len(t) for t in texts], dtype=np.int64)
         start = np.cumsum(size) - size
         total, docs = int(size.sum()), len(texts)
-        length = np.fromiter((len(w) for ws in words for w in ws), np.int64)
-        base = np.fromiter((self.words[w] for ws in words for w in ws), np.int64, len(length))
+        length = np.array(list(map(len, flat)), dtype=np.int64)
+        base = np.array(list(map(self.words.__getitem__, flat)), dtype=np.int64)
         per_doc = np.array([len(ws) for ws in words], dtype=np.int64)
         first_word = np.cumsum(per_doc) - per_doc
         off, doc = np.cumsum(length) - length, np.repeat(np.arange(docs), per_doc)
