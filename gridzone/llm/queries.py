@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzone.llm import langid, pii, quality, secretscan, segment, warc
+from gridzone.llm import langid, pii, quality, secretscan, segment, vecdedup, warc
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.packing import pack
@@ -108,3 +108,8 @@ def op10_sentencepiece(spark, sf_dir):
     samples = segment.sample(read(spark, sf_dir, "documents"), model, k=2, seed=1)
     decoded = F.sha2(segment.decode(F.col("ids"), model), 256).alias("decoded_sha256")
     return samples.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "inclusion", decoded)
+
+
+@query
+def op6_embeddings(spark, sf_dir):
+    return vecdedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.98)
