@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from gridzone.llm.common import WS
 
+#: Tasks that the rows of one line are spread over where they meet its count.
+SALTS = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -57,7 +59,9 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     in_doc = Window.partitionBy("h1", "h2", "id").orderBy("pos")  # as ranged and sorted: no further exchange or sort
     firsts = runs.withColumn("nth", F.row_number().over(in_doc)).where("nth = 1")
     common = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("id", "pos")).alias("first")).where(F.col("n") >= min_docs)
-    hits = ranged.join(common.select("h1", "h2", "first"), ["h1", "h2"])
+    # A line of a third of all documents meets its one row in SALTS tasks, not in one.
+    salted = common.select("h1", "h2", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    hits = ranged.withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS))).join(salted, ["h1", "h2", "salt"])
     if keep_first:
         hits = hits.where(~F.struct("id", "pos").eqNullSafe(F.col("first")))
     word = F.floor(F.col("pos") / 64).cast("int")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,3 +114,8 @@ def op10_sentencepiece(spark, sf_dir):
 @query
 def op6_embeddings(spark, sf_dir):
     return vecdedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -192,6 +192,17 @@ def near_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     return rows.groupBy("prefix", "more").applyInArrow(link, "a long, b long")
 
 
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(rows (id, text_hash, fp), distinct fingerprints (fp, first, component)); a component is named by its smallest fingerprint."""
+    named = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), fingerprint(F.col(text_col), shingle_words).alias("fp"))
+    rows = stored(named, "fingerprints")
+    first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "text_hash"))).alias("first")
+    distinct = stored(rows.groupBy("fp").agg(first, F.min("text_hash").alias("any_hash")), "distinct-fingerprints")
+    linked = connected_components(near_links(distinct, max_bits), "simhash")
+    node = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "first", "any_hash", F.coalesce("component", "fp").alias("component"))
+    return rows, node
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """One row per document: its id, ``fingerprint`` (16 hex digits) and ``component_id``.
 
@@ -201,11 +212,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null id is never the smallest of a group that has another. Other columns of
     ``docs`` are ignored, whatever their names. An empty table gives no rows.
     """
-    named = docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle_words).alias("fp"))
-    rows = stored(named, "fingerprints")
-    distinct = stored(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
-    linked = connected_components(near_links(distinct, max_bits), "simhash")
-    node = distinct.join(linked, distinct.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    smallest = node.groupBy("component").agg(F.min("first").alias("component_id"))
+    rows, node = _components(docs, id_col, text_col, shingle_words, max_bits)
+    smallest = node.groupBy("component").agg(F.min("first.id").alias("component_id"))
     component = node.join(smallest, "component").select("fp", "component_id")
     return rows.join(component, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest id (of repeated rows one, of rows with one id and
+    different texts the smaller text hash). Groups and null ids as in ``near_duplicates``; all columns stay."""
+    _, node = _components(docs, id_col, text_col, shingle_words, max_bits)
+    best = node.groupBy("component").agg(F.min("first").alias("first"), F.min("any_hash").alias("any_hash"))
+    best = best.select(F.col("first.id").alias("__id"), F.coalesce("first.text_hash", "any_hash").alias("__hash"))
+    keyed = docs.withColumn("__own", F.xxhash64(F.col(text_col)))
+    kept = keyed.join(best, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(id_col, "__own").orderBy(F.lit(0)))
+    return kept.withColumn("__nth", nth).where("__nth = 1").drop("__nth", "__own")
