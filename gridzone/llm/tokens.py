@@ -1,33 +1,35 @@
 """Token ids of a byte-level BPE vocabulary, remembered per word.
 
-Byte-level BPE never merges across the boundaries of its pre-tokens, and every
-space outside a run of spaces begins one, so the ids of a text are those of its
-space-separated parts put one after another. Parts recur; each is encoded once by the
-tokenizer and then remembered. Texts where this reasoning does not hold
-(runs of spaces, special tokens, characters that Python's ``re`` classifies
-otherwise) take a plainer way.
+The pre-tokenizer of such vocabularies never joins a character to a single
+space after it (a space opens the next word), and merges stay within its words. So the ids of a
+text are those of its parts, cut before every space that has no
+space beside it. Parts recur; each is encoded once by the tokenizer and then
+remembered. Texts with special tokens are encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import sys
-import unicodedata
 from functools import lru_cache
 
 import numpy as np
 
-#: Pre-token pattern of the public byte-level BPE vocabularies, written for ``re`` (fixed value).
-PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: Before a single space.
+CUT = re.compile(r"(?<! )(?= (?! ))")
+#: A new part is cut further where words always end: about a line break between two characters, and before closing marks.
+BREAK = re.compile(r"(?<=\S)(\n)(?=\S)")
+MARKS = re.compile(r"(?<=[^\W\d_])[.,!?;:%$&*#|]+\Z")
 #: Remembered parts at most; beyond, memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 
 
-def _unlike_re() -> str:
-    """Characters that ``re`` sees as letters or space and Unicode's classes do not: numerals other than digits, and separators 1C-1F."""
-    odd = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("No", "Nl")]
-    return "[\x1c-\x1f" + "".join(map(chr, odd)) + "]"
+def _words(part: str) -> list[str]:
+    out = []
+    for piece in BREAK.split(part):
+        marks = MARKS.search(piece)
+        out += [piece[: marks.start()], marks[0]] if marks else [piece]
+    return out
 
 
 class Encoder:
@@ -36,21 +38,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([_unlike_re(), *special]))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self.parts]
-        cut = [PRE_TOKEN.findall(p) for p in new]
-        words = list({w for c in cut for w in c})
-        ids = dict(zip(words, self._plain(words), strict=True))
-        for p, c in zip(new, cut, strict=True):
-            self.parts[p] = b"".join([ids[w] for w in c])
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.parts) > REMEMBERED:
@@ -58,17 +51,20 @@ class Encoder:
         out: list = [None] * len(texts)
         split = {}
         for i, text in enumerate(texts):
-            if self.odd.search(text):
+            if any(s in text for s in self.special):
                 out[i] = self._plain([text])[0]
             elif "  " in text:
-                split[i] = PRE_TOKEN.findall(text)
-            elif text:
-                first, *rest = text.split(" ")
-                split[i] = ([first] if first else []) + [" " + r for r in rest]
+                split[i] = CUT.split(text)
             else:
-                out[i] = b""
-        self._learn(set().union(*split.values()))
+                first, *rest = text.split(" ")
+                split[i] = [first, *[" " + r for r in rest]]
         known = self.parts
+        new = {p: _words(p) for p in set().union(*split.values()) if p not in known}
+        words = [w for w in set().union(*new.values()) if w not in known]
+        known.update(zip(words, self._plain(words), strict=True))
+        for part, own in new.items():
+            if part not in known:
+                known[part] = b"".join([known[w] for w in own])
         for i, parts in split.items():
             out[i] = b"".join([known[p] for p in parts])
         return out
