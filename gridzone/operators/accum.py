@@ -149,6 +149,17 @@ def boundary_last_minus_first(seq: DataFrame, bands: int = 64) -> DataFrame:
     )
 
 
+# Classes per layer of the 64-band layout, band = a * 4 + b.
+CLASSES_A, CLASSES_B = 16, 4
+
+
+def pair_band(a, b):
+    """Band of a class pair; a class outside the 16 x 4 layout fails instead of taking another pair's band."""
+    outside = (a < 0) | (a >= CLASSES_A) | (b < 0) | (b >= CLASSES_B)
+    message = F.concat(F.lit("class pair outside 16 x 4: "), a.cast("string"), F.lit(", "), b.cast("string"))
+    return F.when(outside, F.raise_error(message).cast("bigint")).otherwise(a * CLASSES_B + b)
+
+
 def band_label_a(band):
     return F.floor(band / 4)
 
@@ -157,9 +168,10 @@ def band_label_b(band):
     return band % 4
 
 
-def band_vectors(pairs_in_zone: DataFrame, tile: int, bands: int = 64) -> DataFrame:
-    """Per tile column, the ``bands``-long vector of pair counts (band = a * 4 + b)."""
-    per = pairs_in_zone.groupBy(F.floor(F.col("x") / tile).alias("key_col"), (F.col("a") * 4 + F.col("b")).alias("band")).agg(
+def band_vectors(pairs_in_zone: DataFrame, tile: int) -> DataFrame:
+    """Per tile column, the 64-long vector of pair counts (band = a * 4 + b)."""
+    bands = CLASSES_A * CLASSES_B
+    per = pairs_in_zone.groupBy(F.floor(F.col("x") / tile).alias("key_col"), pair_band(F.col("a"), F.col("b")).alias("band")).agg(
         F.count(F.lit(1)).alias("n")
     )
     m = per.groupBy("key_col").agg(F.map_from_entries(F.collect_list(F.struct("band", "n"))).alias("m"))

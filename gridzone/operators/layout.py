@@ -123,13 +123,23 @@ def band_stack(tiles: DataFrame, bands: int = 64) -> DataFrame:
     return tiles.select("key_col", "key_row", F.array_repeat("cells", bands).alias("bands"))
 
 
-def zorder(col: Column, row: Column, bits: int = 16) -> Column:
-    """Z-curve (Morton) key: bit i of col -> bit 2i, bit i of row -> bit 2i + 1."""
-    z = F.lit(0).cast("bigint")
-    for i in range(bits):
-        z = z.bitwiseOR(F.shiftleft(F.shiftright(col.cast("bigint"), i).bitwiseAND(1), 2 * i))
-        z = z.bitwiseOR(F.shiftleft(F.shiftright(row.cast("bigint"), i).bitwiseAND(1), 2 * i + 1))
-    return z
+def _spread(v: Column) -> Column:
+    """Moves bit i of a 31-bit number to bit 2i (each step doubles the gaps)."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+    return v
+
+
+def zorder(col: Column, row: Column) -> Column:
+    """Z-curve (Morton) key: bit i of col -> bit 2i, bit i of row -> bit 2i + 1.
+
+    Keys are 0 .. 2^31 - 1; anything else fails instead of sharing another key's place.
+    """
+    c, r = col.cast("bigint"), row.cast("bigint")
+    outside = (c < 0) | (r < 0) | (c >= 1 << 31) | (r >= 1 << 31)
+    fail = F.raise_error(F.concat(F.lit("tile key outside 0..2^31-1: "), c.cast("string"), F.lit(", "), r.cast("string")))
+    return F.when(outside, fail.cast("bigint")).otherwise(_spread(c).bitwiseOR(F.shiftleft(_spread(r), 1)))
 
 
 def key_extent(keys: DataFrame, tile: int, cell_size: float = CELL_SIZE,

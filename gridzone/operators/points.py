@@ -50,14 +50,24 @@ def radius_filter(points: DataFrame, lon: float, lat: float, miles: float) -> Da
     """Points within ``miles`` of (lon, lat) on the sphere: ``(pid, dist_m)``.
 
     A lat/lon box that contains the circle is applied first (cheap, and
-    pushable to storage when lon/lat are stored columns).
+    pushable to storage when lon/lat are stored columns). Longitudes are in
+    [-180, 180]; a box across the antimeridian is two ranges, and a circle that
+    reaches a pole has no bound on longitude.
     """
     r = miles * METERS_PER_MILE
-    dlat = math.degrees(r / EARTH_RADIUS_M)
-    cos_min = math.cos(math.radians(min(89.999, abs(lat) + dlat)))
-    dlon = 180.0 if cos_min <= 0 else min(180.0, math.degrees(r / (EARTH_RADIUS_M * cos_min)))
-    box = points.filter(F.col("lat").between(lat - dlat, lat + dlat) & F.col("lon").between(lon - dlon, lon + dlon))
-    d = box.select("pid", haversine_m(F.col("lon"), F.col("lat"), lon, lat).alias("dist_m"))
+    angle, slack = r / EARTH_RADIUS_M, 1e-9  # slack: rounding must not cut the box below the circle
+    dlat = math.degrees(angle) + slack
+    inside = F.col("lat").between(max(-90.0, lat - dlat), min(90.0, lat + dlat))
+    if abs(lat) + dlat < 90.0:
+        dlon = math.degrees(math.asin(min(1.0, math.sin(angle) / math.cos(math.radians(lat))))) + slack
+        west, east = lon - dlon, lon + dlon
+        near = F.col("lon").between(west, east)
+        if west < -180.0:
+            near = near | (F.col("lon") >= west + 360.0)
+        if east > 180.0:
+            near = near | (F.col("lon") <= east - 360.0)
+        inside = inside & near
+    d = points.filter(inside).select("pid", haversine_m(F.col("lon"), F.col("lat"), lon, lat).alias("dist_m"))
     return d.filter(F.col("dist_m") <= r)
 
 

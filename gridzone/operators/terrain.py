@@ -71,14 +71,17 @@ def focal_mean(cells: DataFrame, tile: int) -> DataFrame:
 
 def hillshade(cells: DataFrame, tile: int, azimuth: float = 315.0, altitude: float = 45.0,
               cell_size: float = CELL_SIZE, z_factor: float = 1.0) -> DataFrame:
-    """Horn (1981) 3 x 3 gradient hillshade, 0..255; cells need all 8 neighbours."""
+    """Horn (1981) 3 x 3 gradient hillshade, 0..255, of every data cell.
+
+    A neighbour without data (layer edge, gap) counts as level with the cell.
+    """
     nb = neighbourhood(cells, tile)
     names = "abcdefghi"  # row-major over the window, y down: a b c / d e f / g h i
     aggs = [F.max(F.when((F.col("ox") == dx) & (F.col("oy") == dy), F.col("v"))).alias(names[k])
             for k, (dx, dy) in enumerate(OFFSETS)]
-    g = nb.groupBy("key_col", "key_row", "tx", "ty").agg(*aggs, F.count(F.lit(1)).alias("k")).filter("k = 9")
+    g = nb.groupBy("key_col", "key_row", "tx", "ty").agg(*aggs).filter("e IS NOT NULL")
     return g.select(F.col("tx").alias("x"), F.col("ty").alias("y"),
-                    horn_hillshade(*[F.col(c) for c in names], azimuth, altitude, cell_size, z_factor).alias("hs"))
+                    horn_hillshade(*[F.coalesce(c, "e") for c in names], azimuth, altitude, cell_size, z_factor).alias("hs"))
 
 
 def horn_hillshade(a, b, c, d, e, f, g, h, i, azimuth, altitude, cell_size, z_factor) -> Column:
@@ -93,13 +96,15 @@ def horn_hillshade(a, b, c, d, e, f, g, h, i, azimuth, altitude, cell_size, z_fa
     return F.greatest(hs, F.lit(0.0))
 
 
-CHECKPOINT_EVERY = 3  # pyramid levels between lineage cuts
+def pyramid_levels(width: int, height: int) -> int:
+    """Levels above the base until one cell is left."""
+    return max(0, math.ceil(math.log2(max(1, width, height))))
 
 
-def _cut(df: DataFrame, lvl: int) -> DataFrame:
-    """Deep pyramids: checkpoint every few levels into the shared checkpoint folder so a
-    lost executor recomputes from the last level written, not from the base layer."""
-    return df.checkpoint(eager=True) if lvl % CHECKPOINT_EVERY == 0 else df
+def _cut(df: DataFrame) -> DataFrame:
+    """Each level goes to the shared checkpoint folder: the next one is computed from it, and all
+    levels together read the base layer once."""
+    return df.checkpoint(eager=True)
 
 
 def pyramid_mean(cells: DataFrame, levels: int) -> DataFrame:
@@ -107,7 +112,7 @@ def pyramid_mean(cells: DataFrame, levels: int) -> DataFrame:
     out, cur = [], cells.select("x", "y", F.col("v").cast("double").alias("v"))
     for lvl in range(1, levels + 1):
         cur = cur.groupBy(F.floor(F.col("x") / 2).alias("x"), F.floor(F.col("y") / 2).alias("y")).agg(F.avg("v").alias("v"))
-        cur = _cut(cur, lvl)
+        cur = _cut(cur)
         out.append(cur.select(F.lit(lvl).alias("level"), "x", "y", "v"))
     res = out[0]
     for o in out[1:]:
@@ -122,7 +127,7 @@ def pyramid_mode(cells: DataFrame, levels: int) -> DataFrame:
         cnt = cur.groupBy(F.floor(F.col("x") / 2).alias("x"), F.floor(F.col("y") / 2).alias("y"), "v").agg(
             F.count(F.lit(1)).alias("n")
         )
-        cur = _cut(cnt.groupBy("x", "y").agg(F.max_by("v", F.col("n") * 1000000 - F.col("v")).alias("v")), lvl)
+        cur = _cut(cnt.groupBy("x", "y").agg(F.max_by("v", F.struct(F.col("n"), -F.col("v"))).alias("v")))
         out.append(cur.select(F.lit(lvl).alias("level"), "x", "y", "v"))
     res = out[0]
     for o in out[1:]:

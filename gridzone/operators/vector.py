@@ -65,15 +65,24 @@ def edge_crossings(edges: DataFrame, width: int) -> DataFrame:
 
 
 def polygon_spans(vertices: DataFrame, width: int, height: int) -> DataFrame:
-    """Interior row spans ``(poly_id, part, x, r0, r1)``, half-open, clipped to the grid."""
+    """Interior row spans ``(poly_id, x, r0, r1)``, half-open, clipped to the grid.
+
+    Spans of one polygon and column are disjoint: where parts overlap or touch they
+    are merged, so every cell counts once.
+    """
     cr = edge_crossings(polygon_edges(vertices), width)
     w = Window.partitionBy("poly_id", "part", "x").orderBy("yy")
     paired = cr.select(
-        "poly_id", "part", "x", "yy", F.row_number().over(w).alias("k"), F.lead("yy").over(w).alias("yy1")
+        "poly_id", "x", "yy", F.row_number().over(w).alias("k"), F.lead("yy").over(w).alias("yy1")
     ).filter((F.col("k") % 2) == 1)
     r0 = F.greatest(F.ceil(F.col("yy") - 0.5), F.lit(0))
     r1 = F.least(F.ceil(F.col("yy1") - 0.5), F.lit(height))
-    return paired.select("poly_id", "part", "x", r0.alias("r0"), r1.alias("r1")).filter("r1 > r0")
+    spans = paired.select("poly_id", "x", r0.alias("r0"), r1.alias("r1")).filter("r1 > r0")
+    column = Window.partitionBy("poly_id", "x").orderBy("r0", "r1")
+    reach = F.max("r1").over(column.rowsBetween(Window.unboundedPreceding, -1))
+    starts = spans.withColumn("new", F.when(F.col("r0") <= reach, 0).otherwise(1))
+    runs = starts.withColumn("run", F.sum("new").over(column.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return runs.groupBy("poly_id", "x", "run").agg(F.min("r0").alias("r0"), F.max("r1").alias("r1")).drop("run")
 
 
 def span_pieces(spans: DataFrame, block: int) -> DataFrame:

@@ -11,7 +11,6 @@ tile key use the ``*_tiled`` variants, which read only the zone's tiles.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -51,11 +50,12 @@ def zone(vertices: DataFrame, width: int, height: int, block: int | None = None,
          max_rows: int | None = None) -> Zone:
     """Rasterise polygons into span pieces; size bound and bounding box from one small job.
 
-    The job reads the edges only (no shuffle for ring tables): the number of
-    column-centre crossings C bounds the spans (C / 2), and the polygons'
-    bounding box, in cell centres clipped to the grid, bounds the zone cells.
-    A span [r0, r1) splits into at most (r1 - r0) / block + 2 pieces, so
-    ``cells / block + C`` bounds the piece count without listing the pieces.
+    The job reads the edges only: per polygon and part, the number of
+    column-centre crossings bounds the spans (half of it), and the part's own
+    bounding box, in cell centres clipped to the grid, bounds its cells. A span
+    [r0, r1) splits into at most (r1 - r0) / block + 2 pieces, so the sum over all
+    parts of ``cells / block + crossings`` bounds the piece count without listing
+    the pieces, however the polygons overlap.
     With ``block=None`` the block is the smallest multiple of ``DEFAULT_BLOCK``
     that keeps that bound under the broadcast limit (large grids get long
     blocks instead of billions of pieces); when even the spans alone exceed the
@@ -66,19 +66,18 @@ def zone(vertices: DataFrame, width: int, height: int, block: int | None = None,
     lo = F.greatest(F.ceil(F.least("gx", "hx") - 0.5), F.lit(0))
     hi = F.least(F.ceil(F.greatest("gx", "hx") - 0.5) - 1, F.lit(width - 1))
     ncols = F.when(F.col("gx") != F.col("hx"), F.greatest(hi - lo + 1, F.lit(0))).otherwise(F.lit(0))
-    s = e.agg(
-        F.sum(ncols), F.min(F.least("gx", "hx")), F.max(F.greatest("gx", "hx")),
-        F.min(F.least("gy", "hy")), F.max(F.greatest("gy", "hy")),
+    first = lambda c: F.greatest(F.ceil(c - 0.5), F.lit(0))  # noqa: E731  cells whose centre is in [min, max)
+    parts = e.groupBy("poly_id", "part").agg(
+        F.sum(ncols).alias("crossings"),
+        first(F.min(F.least("gx", "hx"))).alias("x0"), F.least(F.ceil(F.max(F.greatest("gx", "hx")) - 0.5), F.lit(width)).alias("x1"),
+        first(F.min(F.least("gy", "hy"))).alias("y0"), F.least(F.ceil(F.max(F.greatest("gy", "hy")) - 0.5), F.lit(height)).alias("y1"),
+    ).filter("crossings > 0 AND x0 < x1 AND y0 < y1")
+    s = parts.agg(
+        F.sum("crossings"), F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))),
+        F.min("x0"), F.max("x1"), F.min("y0"), F.max("y1"),
     ).first()
-    crossings = int(s[0] or 0)
-    bbox = None
-    if crossings:
-        # cells whose centre can lie inside: centre x in [min x, max x), centre y in [min y, max y)
-        x0, x1 = max(0, math.ceil(s[1] - 0.5)), min(width, math.ceil(s[2] - 0.5))
-        y0, y1 = max(0, math.ceil(s[3] - 0.5)), min(height, math.ceil(s[4] - 0.5))
-        if x0 < x1 and y0 < y1:
-            bbox = (x0, x1, y0, y1)
-    n_cells = 0 if bbox is None else (bbox[1] - bbox[0]) * (bbox[3] - bbox[2])
+    crossings, n_cells = int(s[0] or 0), int(s[1] or 0)
+    bbox = tuple(int(v) for v in s[2:]) if crossings else None
     limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     if block is None:
         room = limit - crossings
@@ -91,12 +90,6 @@ def zone(vertices: DataFrame, width: int, height: int, block: int | None = None,
     return Zone(F.broadcast(pieces) if bound <= limit else pieces, bound, bbox, block)
 
 
-def zone_pieces(vertices: DataFrame, width: int, height: int, block: int | None = None,
-                max_rows: int | None = None) -> Zone:
-    """Backwards-compatible name of :func:`zone`."""
-    return zone(vertices, width, height, block, max_rows)
-
-
 def cells_in_zone(cells: DataFrame, z: Zone | DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Cells inside each zone with ``poly_id`` (bbox pre-filter, then the span range join).
 

@@ -159,7 +159,7 @@ def band_vector_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def band_labels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Band position -> (land-cover, soil) label for the overlay's pair counts."""
     n = grid_size(spark, sf_dir)
-    ct = _pairs(spark, sf_dir, n).groupBy((F.col("a") * 4 + F.col("b")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
+    ct = _pairs(spark, sf_dir, n).groupBy(accum.pair_band(F.col("a"), F.col("b")).alias("band")).agg(F.count(F.lit(1)).alias("n"))
     return ct.select(
         F.col("band").cast("bigint").alias("band"),
         accum.band_label_a(F.col("band")).alias("nlcd"), accum.band_label_b(F.col("band")).alias("soil"), "n",

@@ -151,12 +151,26 @@ def _bbox_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("poly_id", F.lit(0).alias("part"), F.lit(0).alias("ring"), F.inline(corners))
 
 
-@query("geojson_feature")
+def _feature_sql() -> str:
+    """The Feature text put together from decimals: whole hundredths of a degree, the last digits written out."""
+    at = lambda c: (f"(CASE WHEN {c} < 0 THEN '-' ELSE '' END || CAST(abs(CAST(round({c} * 100) AS BIGINT)) // 100 AS VARCHAR) || '.' || "
+                    f"CASE WHEN abs(CAST(round({c} * 100) AS BIGINT)) % 10 = 0 THEN CAST(abs(CAST(round({c} * 100) AS BIGINT)) // 10 % 10 AS VARCHAR) "
+                    f"ELSE lpad(CAST(abs(CAST(round({c} * 100) AS BIGINT)) % 100 AS VARCHAR), 2, '0') END)")
+    corner = lambda x, y: f"'[' || {at(x)} || ',' || {at(y)} || ']'"
+    ring = " || ',' || ".join(corner(x, y) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")))
+    return S.with_(
+        S.layers("pts"), "b AS (SELECT event_type AS poly_id, min(lon) AS x0, min(lat) AS y0, max(lon) AS x1, max(lat) AS y1 FROM pts GROUP BY ALL)"
+    ) + ("SELECT poly_id, '{\"type\":\"Feature\",\"properties\":{\"id\":\"' || poly_id || '\"},\"geometry\":{\"type\":\"Polygon\",\"coordinates\":[[' || "
+         + ring + " || ']]}}' AS feature FROM b")
+
+
+@query("geojson_feature", _feature_sql())
 def geojson_feature_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GeoJSON Feature text of each event type's bounding-box polygon."""
+    """GeoJSON Feature text of each event type's bounding-box polygon, to hundredths of a degree."""
     from gridzone.sources.reports import geojson_feature
 
-    return geojson_feature(_bbox_vertices(spark, sf_dir))
+    v = _bbox_vertices(spark, sf_dir).withColumns({c: F.round(c, 2) for c in ("px", "py")})
+    return geojson_feature(v)
 
 
 @query(

@@ -17,7 +17,7 @@ from gridzone.sources import layers as L
 from gridzone.sources.polygons import FIXTURE_GRID, test_polygons
 from gridzone.sources.tables import grid_size
 
-PYRAMID_LEVELS = 2
+MAX_PYRAMID = 20  # levels the oracle spells out; levels above the grid size are empty there
 IDW_RADIUS = 1.5
 TILE_ZOOM = 10
 RADIUS_CENTER = (-77.5, 41.0)
@@ -57,17 +57,17 @@ def focal_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _hillshade_sql() -> str:
     names = "abcdefghi"
     cases = ", ".join(
-        f"max(CASE WHEN nb.x = c.x + ({dx}) AND nb.y = c.y + ({dy}) THEN nb.v END) AS {names[k]}"
+        f"coalesce(max(CASE WHEN nb.x = c.x + ({dx}) AND nb.y = c.y + ({dy}) THEN nb.v END), any_value(c.v)) AS {names[k]}"
         for k, (dx, dy) in enumerate(T.OFFSETS)
     )
     zen = math.radians(45.0)
     az = math.radians((360.0 - 315.0 + 90.0) % 360.0)
     return S.with_(
         S.grid(), S.layers("lv"),
-        f"w AS (SELECT c.x, c.y, {cases}, count(*) AS k FROM lv c JOIN lv nb "
+        f"w AS (SELECT c.x, c.y, {cases} FROM lv c JOIN lv nb "
         "ON nb.x BETWEEN c.x - 1 AND c.x + 1 AND nb.y BETWEEN c.y - 1 AND c.y + 1 GROUP BY c.x, c.y)",
         f"gr AS (SELECT x, y, ((c + 2.0::DOUBLE * f + i) - (a + 2.0::DOUBLE * d + g)) / {8.0 * crs.CELL_SIZE!r}::DOUBLE AS dzdx, "
-        f"((g + 2.0::DOUBLE * h + i) - (a + 2.0::DOUBLE * b + c)) / {8.0 * crs.CELL_SIZE!r}::DOUBLE AS dzdy FROM w WHERE k = 9)",
+        f"((g + 2.0::DOUBLE * h + i) - (a + 2.0::DOUBLE * b + c)) / {8.0 * crs.CELL_SIZE!r}::DOUBLE AS dzdy FROM w)",
         "sa AS (SELECT x, y, atan(1.0::DOUBLE * sqrt(dzdx * dzdx + dzdy * dzdy)) AS slope, atan2(dzdy, -dzdx) AS aspect FROM gr)",
     ) + (
         f"SELECT x, y, round(greatest(255.0::DOUBLE * ({math.cos(zen)!r}::DOUBLE * cos(slope) + "
@@ -82,27 +82,28 @@ def hillshade_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("hs", F.round("hs", 3))
 
 
-@query(
-    "pyramid",
-    S.with_(
-        S.grid(), S.layers("lv", "la"),
-        "m1 AS (SELECT x // 2 AS x, y // 2 AS y, avg(v) AS v FROM lv GROUP BY ALL)",
-        "m2 AS (SELECT x // 2 AS x, y // 2 AS y, avg(v) AS v FROM m1 GROUP BY ALL)",
-        "c1 AS (SELECT x, y, arg_max(v, n * 1000000 - v) AS v FROM "
-        "(SELECT x // 2 AS x, y // 2 AS y, v, count(*) AS n FROM la GROUP BY ALL) GROUP BY x, y)",
-        "c2 AS (SELECT x, y, arg_max(v, n * 1000000 - v) AS v FROM "
-        "(SELECT x // 2 AS x, y // 2 AS y, v, count(*) AS n FROM c1 GROUP BY ALL) GROUP BY x, y)",
-    )
-    + "SELECT 'mean' AS kind, 1 AS level, x, y, round(v, 6) AS v FROM m1 UNION ALL "
-      "SELECT 'mean', 2, x, y, round(v, 6) FROM m2 UNION ALL "
-      "SELECT 'mode', 1, x, y, CAST(v AS DOUBLE) FROM c1 UNION ALL SELECT 'mode', 2, x, y, CAST(v AS DOUBLE) FROM c2",
-)
+def _pyramid_sql() -> str:
+    """All levels as a chain; class ties by rank, and one mean per level written out as sum / count."""
+    ctes, rows = [], []
+    for k in range(1, MAX_PYRAMID + 1):
+        below_m, below_c = ("lv", "la") if k == 1 else (f"m{k - 1}", f"c{k - 1}")
+        deep = f"(SELECT n FROM g) >= {2 ** k}"
+        ctes.append(f"m{k} AS (SELECT x // 2 AS x, y // 2 AS y, sum(CAST(v AS DOUBLE)) / count(*) AS v FROM {below_m} WHERE {deep} GROUP BY ALL)")
+        ctes.append(f"c{k} AS (SELECT x, y, v FROM (SELECT x, y, v, row_number() OVER (PARTITION BY x, y ORDER BY n DESC, v) AS nth FROM "
+                    f"(SELECT x // 2 AS x, y // 2 AS y, v, count(*) AS n FROM {below_c} WHERE {deep} GROUP BY ALL)) WHERE nth = 1)")
+        rows += [f"SELECT 'mean' AS kind, {k} AS level, x, y, round(v, 6) AS v FROM m{k}",
+                 f"SELECT 'mode' AS kind, {k} AS level, x, y, CAST(v AS DOUBLE) AS v FROM c{k}"]
+    return S.with_(S.grid(), S.layers("lv", "la"), *ctes) + " UNION ALL ".join(rows)
+
+
+@query("pyramid", _pyramid_sql())
 def pyramid_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two pyramid levels: mean of 2 x 2 for the value layer, mode for the class layer."""
+    """Every level down to one cell: mean of 2 x 2 for the value layer, mode for the class layer."""
     n = _n(spark, sf_dir)
-    m = T.pyramid_mean(L.layer_v(spark, sf_dir, n), PYRAMID_LEVELS).select(
+    levels = T.pyramid_levels(n, n)
+    m = T.pyramid_mean(L.layer_v(spark, sf_dir, n), levels).select(
         F.lit("mean").alias("kind"), "level", "x", "y", F.round("v", 6).alias("v"))
-    c = T.pyramid_mode(L.layer_a(spark, sf_dir, n), PYRAMID_LEVELS).select(
+    c = T.pyramid_mode(L.layer_a(spark, sf_dir, n), levels).select(
         F.lit("mode").alias("kind"), "level", "x", "y", F.col("v").cast("double").alias("v"))
     return m.unionByName(c)
 

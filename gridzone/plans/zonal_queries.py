@@ -47,13 +47,13 @@ query("zonal_crosstab_multi", _crosstab_sql(ALL_POLYS))(lambda spark, sf: zonal_
 # ---------------------------------------------------------------- polygon rasterisation
 _SPANS_SQL = S.with_(
     S.grid(), S.layers("la"), S.polygon_ctes(ALL_POLYS), S.grid_cells(),
-    # per-part membership over the whole grid; a span starts where the cell above is outside
-    "pin AS (SELECT e.poly_id, e.part, c.x, c.y FROM allc c JOIN edges e "
+    # membership over the whole grid (odd crossings of any part); a span starts where the cell above is outside
+    "pin AS (SELECT DISTINCT poly_id, x, y FROM (SELECT e.poly_id, e.part, c.x, c.y FROM allc c JOIN edges e "
     "ON (e.gx > c.x + 0.5::DOUBLE) <> (e.hx > c.x + 0.5::DOUBLE) "
     "WHERE e.gy + (c.x + 0.5::DOUBLE - e.gx) / (e.hx - e.gx) * (e.hy - e.gy) <= c.y + 0.5::DOUBLE "
-    "GROUP BY ALL HAVING count(*) % 2 = 1)",
+    "GROUP BY ALL HAVING count(*) % 2 = 1))",
     "starts AS (SELECT p.poly_id, count(*) AS n_spans FROM pin p LEFT JOIN pin q "
-    "ON p.poly_id = q.poly_id AND p.part = q.part AND p.x = q.x AND q.y = p.y - 1 WHERE q.y IS NULL GROUP BY ALL)",
+    "ON p.poly_id = q.poly_id AND p.x = q.x AND q.y = p.y - 1 WHERE q.y IS NULL GROUP BY ALL)",
     "sizes AS (SELECT poly_id, count(*) AS n_cells FROM pin GROUP BY ALL)",
     "rings AS (SELECT poly_id, part, ring, abs(sum(gx * hy - hx * gy)) / 2.0 AS a FROM edges GROUP BY ALL)",
     "areas AS (SELECT poly_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area FROM rings GROUP BY ALL)",

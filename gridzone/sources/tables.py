@@ -28,16 +28,11 @@ def grid_size_for_rows(rows: int) -> int:
     return max(16, 2 ** int(round(math.log2(math.sqrt(rows / 4.0)))))
 
 
-_GRID_CACHE: dict[str, int] = {}
-
-
 def grid_size(spark: SparkSession, sf_dir: str) -> int:
-    """Grid side for the tables under ``sf_dir`` (remembered per path: the tables are read-only)."""
-    if sf_dir not in _GRID_CACHE:
-        # parquet row counts come from footers: no data pages are read
-        _GRID_CACHE[sf_dir] = grid_size_for_rows(spark.read.parquet(table_path(sf_dir, "lineitem")).count())
-    return _GRID_CACHE[sf_dir]
+    """Grid side for the tables under ``sf_dir`` (a row count from parquet footers: no data pages are read)."""
+    return grid_size_for_rows(spark.read.parquet(table_path(sf_dir, "lineitem")).count())
 
 
 # Same rule in SQL, for the DuckDB oracle.
-GRID_SQL = "SELECT CAST(power(2, round(log2(sqrt(count(*) / 4.0)))) AS BIGINT) AS n FROM lineitem"
+GRID_SQL = ("SELECT CASE WHEN count(*) = 0 THEN 16 ELSE greatest(16, CAST(power(2, round(log2(sqrt(greatest(count(*), 1) / 4.0)))) AS BIGINT)) END "
+            "AS n FROM lineitem")

@@ -39,7 +39,7 @@ def test_accum_equals_full_crosstab(spark, block):
         "edge": [[[(-5.0, -3.0), (45.0, -2.0), (44.0, 50.0), (-4.0, 41.0)]]],  # covers the grid and beyond
     }
     verts = vertices_df(spark, polys)
-    full = zonal.zonal_crosstab(la, lb, zonal.zone_pieces(verts, W, H, 8), 8)
+    full = zonal.zonal_crosstab(la, lb, zonal.zone(verts, W, H, 8), 8)
     pairs = accum.overlay_pairs(la, lb)
     prefix = accum.block_prefix_counts(pairs, block, H)
     fast = accum.zonal_crosstab_accum(prefix, pairs, vector.polygon_spans(verts, W, H), block)
@@ -71,7 +71,7 @@ def test_empty_zone_gives_no_rows(spark):
     res = accum.zonal_crosstab_accum(accum.block_prefix_counts(pairs, 4, 10), pairs,
                                      vector.polygon_spans(verts, 10, 10), 4)
     assert res.count() == 0
-    assert zonal.zonal_crosstab(la, lb, zonal.zone_pieces(verts, 10, 10, 4), 4).count() == 0
+    assert zonal.zonal_crosstab(la, lb, zonal.zone(verts, 10, 10, 4), 4).count() == 0
 
 
 def test_telescoping_literal_variant(spark):
