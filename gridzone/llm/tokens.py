@@ -11,10 +11,9 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from functools import lru_cache
 
-import numpy as np
-
 #: Before a single space.
 CUT = re.compile(r"(?<! )(?= (?! ))")
 #: A new part is cut further where words always end: about a line break between two characters, and before closing marks.
@@ -26,8 +25,8 @@ REMEMBERED = 800_000
 
 def _words(part: str) -> list[str]:
     out = []
-    for piece in BREAK.split(part):
-        marks = MARKS.search(piece)
+    for piece in BREAK.split(part) if "\n" in part else (part,):
+        marks = None if piece[-1:].isalnum() else MARKS.search(piece)
         out += [piece[: marks.start()], marks[0]] if marks else [piece]
     return out
 
@@ -40,35 +39,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}  # parts that follow a single space, which is theirs
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [struct.pack(f"<{len(ids := e.ids)}I", *ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.parts) > REMEMBERED:
+        if len(self.parts) + len(self.spaced) > REMEMBERED:
             self.parts.clear()
+            self.spaced.clear()
         out: list = [None] * len(texts)
-        split = {}
+        bare, spaced = {}, {}
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out[i] = self._plain([text])[0]
             elif "  " in text:
-                split[i] = CUT.split(text)
+                bare[i] = CUT.split(text)
             else:
-                first, *rest = text.split(" ")
-                split[i] = [first, *[" " + r for r in rest]]
-        known = self.parts
-        new = {p: _words(p) for p in set().union(*split.values()) if p not in known}
-        words = [w for w in set().union(*new.values()) if w not in known]
-        known.update(zip(words, self._plain(words), strict=True))
-        for part, own in new.items():
-            if part not in known:
-                known[part] = b"".join([known[w] for w in own])
-        for i, parts in split.items():
-            out[i] = b"".join([known[p] for p in parts])
+                first, *spaced[i] = text.split(" ")
+                bare[i] = [first]
+        self._learn(set().union(*bare.values()), set().union(*spaced.values()))
+        part, after_space = self.parts.__getitem__, self.spaced.__getitem__
+        for i, own in bare.items():
+            out[i] = b"".join([*map(part, own), *map(after_space, spaced.get(i, ()))])
         return out
 
+    def _learn(self, bare: set[str], spaced: set[str]) -> None:
+        new = {p: _words(p) for p in bare if p not in self.parts}
+        new_spaced = {p: _words(" " + p) for p in spaced if p not in self.spaced}
+        words = list(set().union(*new.values(), *new_spaced.values()))
+        ids = dict(zip(words, self._plain(words), strict=True))
+        for known, own in ((self.parts, new), (self.spaced, new_spaced)):
+            for part, cut in own.items():
+                known[part] = ids[cut[0]] if len(cut) == 1 else b"".join([ids[w] for w in cut])
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
