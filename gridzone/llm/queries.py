@@ -106,8 +106,8 @@ FROM pages
 @query
 def op10_sentencepiece(spark, sf_dir):
     model = public_vocabulary("piece_bpe_32k.model")
-    samples = segment.sample(read(spark, sf_dir, "documents"), model, k=2, seed=1)
-    decoded = F.sha2(segment.decode(F.col("ids"), model), 256).alias("decoded_sha256")
+    samples = segment.sample(read(spark, sf_dir, "documents"), model, k=2, seed=1, decoded=True)
+    decoded = F.sha2("decoded", 256).alias("decoded_sha256")
     return samples.select("doc_id", "sample", "n_pieces", F.crc32("ids").alias("ids_crc32"), "log_prob", "perturbed", "inclusion", decoded)
 
 

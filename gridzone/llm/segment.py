@@ -30,7 +30,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 ZIPF_SHIFT = 2.7
 #: Characters sampled at a time; arcs of words remembered by a worker at most.
-BATCH_CHARS, REMEMBERED_ARCS = 400_000, 4_000_000
+BATCH_CHARS, REMEMBERED_ARCS = 250_000, 4_000_000
 SCHEMA = "sample int, ids binary, n_pieces long, log_prob double, perturbed double, inclusion double"
 
 
@@ -91,19 +91,24 @@ class Sampler:
     def _grow(self) -> None:
         """The pieces' trie as sorted edges, and the pairs of characters that stand side by side in a piece."""
         edges: dict[tuple[int, str], int] = {}
-        ends, pairs = {}, {-1}
+        ends, pairs = {}, set()
         for piece, (log, i) in self.pieces.items():
             node = 0
             for c in piece:
                 node = edges.setdefault((node, c), len(edges) + 1)
             ends[node] = (log, i)
-            pairs.update(ord(a) * self.code_points + ord(b) for a, b in zip(piece, piece[1:], strict=False))
+            pairs.update(pairwise(piece))
         key = np.array([n * self.code_points + ord(c) for n, c in edges] or [-1], dtype=np.int64)
         order = np.argsort(key)
         self.edge_key, self.edge_to = key[order], np.array(list(edges.values()) or [0], dtype=np.int64)[order]
         self.node_log = np.array([ends.get(n, (0.0, 0))[0] for n in range(len(edges) + 1)])
         self.node_symbol = np.array([ends.get(n, (0.0, -1))[1] for n in range(len(edges) + 1)], dtype=np.int64)
-        self.pairs = np.array(sorted(pairs), dtype=np.int64)
+        kinds = {c: i for i, c in enumerate(sorted({c for p in pairs for c in p}), 1)}  # 0: in no pair
+        self.kind = np.zeros(self.code_points, np.int32)
+        self.kind[[ord(c) for c in kinds]] = list(kinds.values())
+        self.beside = np.zeros((len(kinds) + 1, len(kinds) + 1), bool)
+        for a, b in pairs:
+            self.beside[kinds[a], kinds[b]] = True
 
     def _forget(self) -> None:
         """Words remembered: their nodes' first arc and number of arcs, and the arcs, entering each node in order."""
@@ -192,15 +197,13 @@ class Sampler:
                 break
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
-    def cuts(self, text: str) -> list[str]:
-        """The text in parts that no piece spans: cut where no piece holds the two characters side by side."""
-        if len(text) < 2:
-            return [text] if text else []
-        chars = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
-        pair = chars[:-1] * self.code_points + chars[1:]
-        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-        edges = [0, *(np.flatnonzero(self.pairs[at] != pair) + 1).tolist(), len(text)]
-        return [text[a:b] for a, b in pairwise(edges)]
+    def _starts(self, text: str, of_texts: np.ndarray) -> np.ndarray:
+        """Where the words of the joined texts begin: at each text, and where no piece holds the two characters side by side."""
+        chars = self.kind[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+        first = np.ones(len(chars), bool)
+        first[1:] = ~self.beside[chars[:-1], chars[1:]]
+        first[of_texts] = True
+        return np.flatnonzero(first)
 
     def _walk(self, base, pos, off, seed, path, log):
         """Follows best children from node ``pos`` of each word (at ``off`` in the batch) to its start. Marks arcs in
@@ -243,17 +246,16 @@ class Sampler:
     def sample(self, texts: list[str], keys: np.ndarray, k: int, seed: int) -> list[list[tuple[bytes, int, float, float, float]]]:
         """For each text up to k samples (ids, pieces, log p, perturbed, inclusion), best first; ``keys`` are uint64."""
         texts = [self.sp.normalize(t) for t in texts]
-        words = [self.cuts(t) for t in texts]
-        flat = list(chain.from_iterable(words))
-        self._learn(set(flat))
         size = np.array([len(t) for t in texts], dtype=np.int64)
         start = np.cumsum(size) - size
-        total, docs = int(size.sum()), len(texts)
-        length = np.array(list(map(len, flat)), dtype=np.int64)
-        base = np.array(list(map(self.words.__getitem__, flat)), dtype=np.int64)
-        per_doc = np.array([len(ws) for ws in words], dtype=np.int64)
-        first_word = np.cumsum(per_doc) - per_doc
-        off, doc = np.cumsum(length) - length, np.repeat(np.arange(docs), per_doc)
+        total, docs, whole = int(size.sum()), len(texts), "".join(texts)
+        off = self._starts(whole, start[size > 0])
+        length = np.diff(off, append=total)
+        flat = [whole[a:b] for a, b in pairwise([*off.tolist(), total])]
+        self._learn(set(flat))
+        base = np.fromiter(map(self.words.__getitem__, flat), np.int64, len(flat))
+        first_word = np.searchsorted(off, start)
+        doc = np.repeat(np.arange(docs), np.searchsorted(off, start + size) - first_word)
         row = _mix(keys ^ _mix(np.full(docs, seed, np.uint64)))
         value = [_gumbel(row ^ np.uint64(1))]  # of each sample; -inf where there is none
         agenda: list[list[tuple[float, int, int, int]]] = [[] for _ in range(docs)]  # (-value, path, end offset, arc)
@@ -328,9 +330,9 @@ def sampler(path: str, scores: str = "zipf") -> Sampler:
     return Sampler(path, scores)
 
 
-def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", k: int = 2, seed: int = 1, scores: str = "zipf") -> DataFrame:
+def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", k: int = 2, seed: int = 1, scores: str = "zipf", decoded: bool = False) -> DataFrame:
     """Up to ``k`` rows per row of ``docs``, one per distinct segmentation: id, sample (0 is the best value), ids
-    (little-endian unsigned 32-bit), n_pieces, log_prob, perturbed, inclusion.
+    (little-endian unsigned 32-bit), n_pieces, log_prob, perturbed, inclusion, and with ``decoded`` the ids' text.
 
     A text with fewer segmentations has them all, with inclusion 1; null and
     empty texts have the empty one. The noise depends on ``seed`` and the id alone, so
@@ -343,8 +345,10 @@ def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     kind = own.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        draw = sampler(model, scores).sample
+        own = sampler(model, scores)
+        draw = own.sample
         types = [pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+        names = ["id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion"] + ["decoded"] * decoded
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("key").to_numpy().view(np.uint64)
             lo = 0
@@ -355,13 +359,24 @@ def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                     hi += 1
                 rows = [(lo + d, e, *s) for d, found in enumerate(draw(texts[lo:hi], keys[lo:hi], k, seed)) for e, s in enumerate(found)]
                 at, *columns = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(at)), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
-                    names=["id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion"],
-                )
+                arrays = [batch.column("id").take(pa.array(at)), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))]
+                if decoded:
+                    arrays.append(pa.array([_decoded(own.sp, ids) for ids in columns[1]], pa.string()))
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
                 lo = hi
 
-    return own.mapInArrow(run, f"id {kind}, {SCHEMA}").withColumnRenamed("id", id_col)
+    return own.mapInArrow(run, f"id {kind}, {SCHEMA}" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
+
+
+@lru_cache(maxsize=2)
+def processor(path: str):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+def _decoded(sp, ids: bytes) -> str:
+    return sp.decode(np.frombuffer(ids, "<u4").tolist()) if ids else ""
 
 
 def decode(ids: Column, model: str) -> Column:
@@ -369,9 +384,8 @@ def decode(ids: Column, model: str) -> Column:
 
     @F.arrow_udf("string")
     def text(packed: pa.Array) -> pa.Array:
-        sp = sampler(model).sp
-        rows = [None if x is None else np.frombuffer(x, "<u4").tolist() for x in packed.to_pylist()]
-        return pa.array([None if r is None else sp.decode(r) if r else "" for r in rows], pa.string())
+        sp = processor(model)
+        return pa.array([None if x is None else _decoded(sp, x) for x in packed.to_pylist()], pa.string())
 
     return text(ids)
 
@@ -381,7 +395,7 @@ def encode(text: Column, model: str) -> Column:
 
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
-        sp = sampler(model).sp
+        sp = processor(model)
         return pa.array([None if t is None else np.array(sp.encode(t), "<u4").tobytes() for t in texts.to_pylist()], pa.binary())
 
     return ids(text)
