@@ -115,6 +115,7 @@ class Sampler:
         self.words: dict[str, int] = {}
         self.emitted: list[tuple[int, ...]] = [(i,) for i in range(len(self.sp))]  # ids of a symbol; characters without a piece follow
         self.characters: dict[str, int] = {}
+        self.flat = (np.empty(0, np.int64),) * 3
         self.nodes = self.arcs = 0
         self.first, self.count = np.empty(0, np.int32), np.empty(0, np.int8)
         self.arc_from, self.arc_log, self.arc_symbol = np.empty(0, np.int32), np.empty(0), np.empty(0, np.int32)
@@ -134,6 +135,13 @@ class Sampler:
             self.emitted.append(tuple(self.bytes[b] for b in char.encode()) if known else (self.sp.unk_id(),))
         return self.characters[char]
 
+    def _emissions(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all symbols: number of ids, where they begin, and the ids one after another."""
+        if len(self.flat[0]) != len(self.emitted):
+            n = np.array([len(i) for i in self.emitted], dtype=np.int64)
+            self.flat = (n, np.cumsum(n) - n, np.array([i for ids in self.emitted for i in ids], "<u4"))
+        return self.flat
+
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.words]
         if self.arcs > REMEMBERED_ARCS:
@@ -145,14 +153,18 @@ class Sampler:
         chars = np.frombuffer("".join(new).encode("utf-32-le"), "<u4").astype(np.int64)
         start = np.cumsum(length) - length
         word = np.repeat(np.arange(len(new)), length)
-        begin, end, log, symbol = self._arcs(chars, (start + length)[word])
-        at = word[begin]
-        into = end + at  # a word has a node more than characters
-        order = np.lexsort((begin, into))
-        begin, into, log, symbol, at = begin[order], into[order], log[order], symbol[order], at[order]
-        node = start + np.arange(len(new))
-        count = np.bincount(into, minlength=len(chars) + len(new))
+        found = self._arcs(chars, (start + length)[word])
+        node = start + np.arange(len(new))  # of each word's first node; a word has a node more than characters
+        into = [end + word[begin] for begin, end, _, _ in found]
+        count = np.bincount(np.concatenate(into), minlength=len(chars) + len(new))
         first = np.cumsum(count) - count
+        begin, log, symbol = np.empty(count.sum(), np.int64), np.empty(count.sum()), np.empty(count.sum(), np.int64)
+        free = first.copy()
+        for ends, (own, _, logs, symbols) in zip(into[::-1], found[::-1], strict=True):  # by node, then from long to short
+            at = free[ends]  # pieces of one length end at different nodes
+            begin[at], log[at], symbol[at] = own, logs, symbols
+            free[ends] += 1
+        at = word[begin]
         alpha, source = np.zeros(len(count)), begin + at
         longest_first = np.argsort(-length, kind="stable")
         reach = np.searchsorted(-length[longest_first], -np.arange(1, length.max() + 1), side="right")
@@ -173,9 +185,9 @@ class Sampler:
         self.arc_from[their], self.arc_log[their], self.arc_symbol[their] = begin - start[at], log, symbol
         self.nodes, self.arcs = own.stop, their.stop
 
-    def _arcs(self, chars: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(begin, end, log, symbol) of every piece that begins at a character and ends by its ``limit``, and of
-        single characters that are no piece."""
+    def _arcs(self, chars: np.ndarray, limit: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(begin, end, log, symbol) of every piece that begins at a character and ends by its ``limit``, by length; first
+        those of single characters that are no piece."""
         at, state, found = np.arange(len(chars)), np.zeros(len(chars), np.int64), []
         for n in range(1, self.longest + 1):
             fits = at + n <= limit[at]
@@ -192,10 +204,10 @@ class Sampler:
                 bare = np.flatnonzero(bare)
                 kinds, which = np.unique(chars[bare], return_inverse=True)
                 symbols = np.array([self._symbol(chr(c)) for c in kinds], dtype=np.int64)
-                found.append((bare, bare + 1, np.full(len(bare), self.unknown), symbols[which]))
+                found.insert(0, (bare, bare + 1, np.full(len(bare), self.unknown), symbols[which]))
             if not len(at):
                 break
-        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+        return found
 
     def _starts(self, text: str, of_texts: np.ndarray) -> np.ndarray:
         """Where the words of the joined texts begin: at each text, and where no piece holds the two characters side by side."""
@@ -310,17 +322,21 @@ class Sampler:
                     heapq.heappush(agenda[own_doc], (-child[i], e, int(end[i]), int(arc[i])))
                 child[at] = -np.inf
         limit = np.array([-a[0][0] if a else -np.inf for a in agenda])
+        emits, emitted_at, emitted = self._emissions()
         out: list[list] = [[] for _ in range(docs)]
         for e, (path, log) in enumerate(zip(paths, logs, strict=True)):
-            arcs = path[path >= 0]
-            in_doc = np.searchsorted(np.flatnonzero(path >= 0), np.append(start, total))
-            symbols = self.arc_symbol[arcs].tolist()
+            at = np.flatnonzero(path >= 0)
+            symbols = self.arc_symbol[path[at]]
+            n = emits[symbols]
+            upto = np.concatenate([[0], np.cumsum(n)])
+            ids = emitted[np.repeat(emitted_at[symbols] - upto[:-1], n) + np.arange(upto[-1])]
+            in_doc = upto[np.searchsorted(at, np.append(start, total))]
             log_p = _sums(log, start, size)[1]
             for d in range(docs):
                 if value[e][d] > -np.inf:
-                    ids = [i for s in symbols[in_doc[d] : in_doc[d + 1]] for i in self.emitted[s]]
+                    own = ids[in_doc[d] : in_doc[d + 1]]
                     inclusion = 1.0 if limit[d] == -np.inf else float(-np.expm1(-np.exp(log_p[d] - limit[d])))
-                    out[d].append((np.array(ids, "<u4").tobytes(), len(ids), float(log_p[d]), float(value[e][d]), inclusion))
+                    out[d].append((own.tobytes(), len(own), float(log_p[d]), float(value[e][d]), inclusion))
         return out
 
 
