@@ -72,6 +72,8 @@ def zonal_crosstab_accum(prefix: DataFrame, pairs: DataFrame, spans: DataFrame,
     multiple of ``block``): every look-up also matches the tile key ``z``, so
     dynamic partition pruning reads only tiles holding a span end.
     """
+    from gridzone.sources.catalog import folder
+
     if tile is not None and tile % block:
         raise ValueError("tile must be a multiple of the block length")
     if x_range is not None:
@@ -93,12 +95,12 @@ def zonal_crosstab_accum(prefix: DataFrame, pairs: DataFrame, spans: DataFrame,
     we = ends.filter(F.col("t") >= 0).select("poly_id", F.col("x").alias("ex"), "t", "sign", "zt")
     cond = (F.col("x") == F.col("ex")) & (F.col("blk") == F.col("t"))
     if tile is not None:
-        cond = (F.col("z") == F.col("zt")) & cond
+        cond = (F.col("zc") == folder(F.col("zt"))) & (F.col("z") == F.col("zt")) & cond
     whole = prefix.join(we, cond).select("poly_id", "a", "b", (F.col("sign") * F.col("cum")).alias("c"))
     re_ = ends.filter(F.col("e") % block != 0).select("poly_id", F.col("x").alias("ex"), "e", "rb", "sign", "zr")
     cond = (F.col("x") == F.col("ex")) & (F.col("rbk") == F.col("rb")) & (F.col("y") < F.col("e"))
     if tile is not None:
-        cond = (F.col("z") == F.col("zr")) & cond
+        cond = (F.col("zc") == folder(F.col("zr"))) & (F.col("z") == F.col("zr")) & cond
     raw = pairs.withColumn("rbk", F.floor(F.col("y") / block)).join(re_, cond).select(
         "poly_id", "a", "b", F.col("sign").cast("bigint").alias("c"))
     return (

@@ -124,11 +124,13 @@ def band_stack(tiles: DataFrame, bands: int = 64) -> DataFrame:
 
 
 def _spread(v: Column) -> Column:
-    """Moves bit i of a 31-bit number to bit 2i (each step doubles the gaps)."""
-    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
-                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
-    return v
+    """Moves bit i of a 31-bit number to bit 2i, a byte at a time from a table made by that rule."""
+    table = F.array(*(F.lit(sum((byte >> i & 1) << 2 * i for i in range(8))) for byte in range(256)))
+    out = F.lit(0).cast("bigint")
+    for k in range(4):
+        byte = F.shiftright(v, 8 * k).bitwiseAND(F.lit(255)).cast("int")
+        out = out.bitwiseOR(F.shiftleft(F.get(table, byte).cast("bigint"), 16 * k))
+    return out
 
 
 def zorder(col: Column, row: Column) -> Column:
@@ -156,31 +158,32 @@ def key_extent(keys: DataFrame, tile: int, cell_size: float = CELL_SIZE,
     )
 
 
-def layout_meta(cells: DataFrame, layer: str, grid: int, tile: int, cell_type: str) -> DataFrame:
+def layout_meta(cells: DataFrame, layer: str, grid: int | tuple[int, int], tile: int, cell_type: str) -> DataFrame:
     """One metadata row for a layer: extent, tile layout, key bounds (half-open), cell type, CRS.
 
-    Bounds come from an aggregate over the cells (min/max keys with data).
+    ``grid`` is the side of a square grid or (width, height) in cells. Bounds
+    come from an aggregate over the cells (min/max keys with data).
     """
-    if grid % tile:
+    width, height = (grid, grid) if isinstance(grid, int) else grid
+    if width % tile or height % tile:
         raise ValueError("grid size must be a multiple of the tile size")
     k = with_keys(cells.filter(F.col("v").isNotNull()), tile).agg(
         F.min("key_col").alias("min_col"), F.min("key_row").alias("min_row"),
         F.max("key_col").alias("max_col"), F.max("key_row").alias("max_row"),
         F.count(F.lit(1)).alias("n_cells"),
     )
-    ext = grid * CELL_SIZE
     return k.select(
         F.lit(layer).alias("layer"),
         F.lit(0).alias("zoom"),
         F.lit(cell_type).alias("cell_type"),
-        F.lit(grid // tile).alias("layout_cols"),
-        F.lit(grid // tile).alias("layout_rows"),
+        F.lit(width // tile).alias("layout_cols"),
+        F.lit(height // tile).alias("layout_rows"),
         F.lit(tile).alias("tile_cols"),
         F.lit(tile).alias("tile_rows"),
         F.col("min_col").alias("min_key_col"), F.col("min_row").alias("min_key_row"),
         (F.col("max_col") + 1).alias("end_key_col"), (F.col("max_row") + 1).alias("end_key_row"),
-        F.lit(GRID_XMIN).alias("xmin"), F.lit(GRID_YMAX - ext).alias("ymin"),
-        F.lit(GRID_XMIN + ext).alias("xmax"), F.lit(GRID_YMAX).alias("ymax"),
+        F.lit(GRID_XMIN).alias("xmin"), F.lit(GRID_YMAX - height * CELL_SIZE).alias("ymin"),
+        F.lit(GRID_XMIN + width * CELL_SIZE).alias("xmax"), F.lit(GRID_YMAX).alias("ymax"),
         F.lit(ALBERS_PROJ4).alias("crs"),
         "n_cells",
     )

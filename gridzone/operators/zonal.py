@@ -177,10 +177,11 @@ def _tile_z(x, row, tile: int):
 
 
 def cells_in_zone_tiled(cells: DataFrame, z: Zone, tile: int) -> DataFrame:
-    """Zone cells of a layer stored partitioned by tile key ``z`` (``catalog.write_tiled``).
+    """Zone cells of a layer stored by tile key ``z`` (``catalog.write_tiled``).
 
-    The broadcast span pieces (block = tile) carry their tile key, and the join
-    on it lets dynamic partition pruning read only the tiles covering the zone.
+    The span pieces (block = tile) carry their tile key and its folder, and the
+    join on them lets dynamic partition pruning read only the folders that cover
+    the zone. Independent of the pieces' size, ``catalog.in_ranges`` prunes with literals.
     """
     if z.block != tile:
         raise ValueError("the zone's block must equal the tile size")
@@ -188,9 +189,12 @@ def cells_in_zone_tiled(cells: DataFrame, z: Zone, tile: int) -> DataFrame:
         "poly_id", F.col("x").alias("_px"), "r0", "r1",
         _tile_z(F.col("x"), F.col("blk") * tile, tile).alias("_pz"),
     )
-    j = cells.join(p, (F.col("z") == F.col("_pz")) & (F.col("x") == F.col("_px"))
+    from gridzone.sources.catalog import folder
+
+    p = p.withColumn("_pc", folder(F.col("_pz")))
+    j = cells.join(p, (F.col("zc") == F.col("_pc")) & (F.col("z") == F.col("_pz")) & (F.col("x") == F.col("_px"))
                    & (F.col("y") >= F.col("r0")) & (F.col("y") < F.col("r1")))
-    return j.drop("_px", "_pz", "r0", "r1")
+    return j.drop("_px", "_pz", "_pc", "r0", "r1")
 
 
 def zonal_crosstab_tiled(a: DataFrame, b: DataFrame, z: Zone, tile: int) -> DataFrame:
@@ -202,7 +206,7 @@ def zonal_crosstab_tiled(a: DataFrame, b: DataFrame, z: Zone, tile: int) -> Data
 
 
 def data_cells_z(layer: DataFrame, name: str) -> DataFrame:
-    return layer.filter(F.col("v").isNotNull()).select("z", "x", "y", F.col("v").alias(name))
+    return layer.filter(F.col("v").isNotNull()).select("zc", "z", "x", "y", F.col("v").alias(name))
 
 
 # Size of the 30 m EPSG:5070 grid the surveyed layers use (cells).

@@ -6,3 +6,4 @@ from gridzone.plans import layout_queries  # noqa: F401
 from gridzone.plans import band_queries  # noqa: F401
 from gridzone.plans import terrain_queries  # noqa: F401
 from gridzone.plans import record_queries  # noqa: F401
+from gridzone.plans import stored_queries  # noqa: F401

@@ -2,8 +2,8 @@
 
 Writes (replacing earlier output) under ``root``:
 
-    a/, b/        the two layers, partitioned by the Z-curve key of their tiles
-    pairs/        cells where both layers hold data (x, y, a, b), same partitioning
+    a/, b/        the two layers, in the order and folders of the Z-curve key of their tiles
+    pairs/        cells where both layers hold data (x, y, a, b), same order
     prefix/       block prefix counts (x, blk, a, b, cum), tile of row blk * K
 
 Both zonal methods then read only the tiles they need (dynamic partition
@@ -36,10 +36,10 @@ def ingest_class_layers(a: DataFrame, b: DataFrame, root: str, height: int, tile
     paths = {k: f"{root.rstrip('/')}/{k}" for k in ("a", "b", "pairs", "prefix")}
     catalog.write_tiled(a.select("x", "y", "v"), paths["a"], tile)
     catalog.write_tiled(b.select("x", "y", "v"), paths["b"], tile)
-    sa = catalog.read_tiled(spark, paths["a"]).drop("z")
-    sb = catalog.read_tiled(spark, paths["b"]).drop("z")
+    sa = catalog.read_tiled(spark, paths["a"]).drop("z", "zc")
+    sb = catalog.read_tiled(spark, paths["b"]).drop("z", "zc")
     catalog.write_tiled(accum.overlay_pairs(sa, sb), paths["pairs"], tile)
-    pairs = catalog.read_tiled(spark, paths["pairs"]).drop("z")
+    pairs = catalog.read_tiled(spark, paths["pairs"]).drop("z", "zc")
     catalog.write_tiled(accum.block_prefix_counts(pairs, block, height), paths["prefix"], tile, F.col("blk") * block)
     return paths
 

@@ -2,7 +2,7 @@
 
 Layout under ``root``::
 
-    root/<layer>/zoom=<z>/part-*.parquet        cells (key_col, key_row, z, x, y, v)
+    root/<layer>/zoom=<z>/zc=<folder>/*.parquet cells (key_col, key_row, z, x, y, v)
     root/_meta/layer=<layer>/zoom=<z>/*.json    one metadata record per layer
 
 Writes replace an existing layer (overwrite-if-exists); listing reads the
@@ -37,19 +37,18 @@ def zordered(cells: DataFrame, tile: int) -> DataFrame:
     return k.repartitionByRange("z").sortWithinPartitions("z", "y", "x")
 
 
-def write_layer(cells: DataFrame, root: str, layer: str, grid: int, tile: int, cell_type: str,
+def write_layer(cells: DataFrame, root: str, layer: str, grid: int | tuple[int, int], tile: int, cell_type: str,
                 zoom: int = 0) -> None:
-    """Write (replace) a layer and its metadata record."""
-    zordered(cells, tile).select("key_col", "key_row", "z", "x", "y", "v").write.mode("overwrite").parquet(
-        layer_path(root, layer, zoom)
-    )
+    """Write (replace) a layer and its metadata record; ``grid`` is the side or (width, height) in cells."""
+    stored = zordered(cells, tile).select("key_col", "key_row", "z", "x", "y", "v", folder(F.col("z")).alias("zc"))
+    stored.write.mode("overwrite").partitionBy("zc").parquet(layer_path(root, layer, zoom))
     meta = layout_meta(cells, layer, grid, tile, cell_type).drop("layer", "zoom").withColumn("zoom", F.lit(zoom))
     meta.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/_meta/layer={layer}/zoom={zoom}")
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, zoom: int = 0, partitions: int | None = None) -> DataFrame:
     """Read a stored layer; ``partitions`` spreads a full scan over that many tasks."""
-    df = spark.read.parquet(layer_path(root, layer, zoom))
+    df = spark.read.parquet(layer_path(root, layer, zoom)).withColumn("zc", F.col("zc").cast("bigint"))
     return df.repartition(partitions) if partitions else df
 
 
@@ -129,18 +128,61 @@ def read_catalog_metadata(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Bits of the Z-curve key below a folder: 2^10 tiles (32 x 32) share one, so a grid of a million tiles has about
+# a thousand folders. Inside a folder files are sorted by z, whose row-group statistics prune further.
+FOLDER_BITS = 10
+
+
+def folder(z: Column) -> Column:
+    """Folder key ``zc`` of a tile's Z-curve key."""
+    return F.shiftright(z, FOLDER_BITS)
+
+
 def write_tiled(df: DataFrame, path: str, tile: int, row: Column | None = None) -> None:
-    """Write a cell-keyed table partitioned by the Z-curve key ``z`` of its tile.
+    """Write a cell-keyed table in the order of the Z-curve key ``z`` of its tiles, in folders of 2^FOLDER_BITS tiles (``zc``).
 
     ``row`` is the row coordinate used for the tile (default ``y``; the prefix
-    table passes ``blk * K``). One partition column holding the whole tile key
-    lets dynamic partition pruning select exactly the tiles a query joins on.
+    table passes ``blk * K``). Range partitioning on z splits a large folder over
+    several files; a query's join on ``zc`` prunes folders, on ``z`` row groups.
     """
     r = F.col("y") if row is None else row
     z = zorder(F.floor(F.col("x") / tile), F.floor(r / tile))
     order = [c for c in ("x", "y", "blk") if c in df.columns]
-    df.withColumn("z", z).repartition("z").sortWithinPartitions(*order).write.mode("overwrite").partitionBy("z").parquet(path)
+    keyed = df.withColumn("z", z).withColumn("zc", folder(F.col("z")))
+    keyed.repartitionByRange("z", "x").sortWithinPartitions("zc", "z", *order).write.mode("overwrite").partitionBy("zc").parquet(path)
 
 
 def read_tiled(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn("z", F.col("z").cast("bigint"))
+    return spark.read.parquet(path).withColumn("zc", F.col("zc").cast("bigint"))
+
+
+def z_ranges(keys: DataFrame, width: int, height: int, tile: int, most: int = 64) -> list[tuple[int, int]]:
+    """Z-curve ranges (first, last) that hold all tile keys ``(key_col, key_row)`` of a grid.
+
+    Keys are grouped by the leading bits of z, as many as give at most ``most``
+    groups on this grid; only each group's first and last z reach the driver.
+    """
+    side = max(1, -(-max(width, height) // tile))
+    drop = 0
+    while (-(-side >> drop)) ** 2 > most:
+        drop += 1
+    z = keys.select(zorder(F.col("key_col"), F.col("key_row")).alias("z"))
+    g = z.groupBy(F.shiftright("z", 2 * drop).alias("g")).agg(F.min("z").alias("a"), F.max("z").alias("b"))
+    return [(r.a, r.b) for r in g.orderBy("a").collect()]
+
+
+def in_ranges(layer: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Rows whose z is in one of the literal ranges: prunes folders (``zc``) and row groups (``z``) at planning time, with
+    no join and so the same for any number of keys."""
+    keep = F.lit(False)
+    for a, b in ranges:
+        keep = keep | F.col("z").between(a, b)
+    return in_folders(layer, ranges).filter(keep)
+
+
+def in_folders(layer: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Rows in the folders and between the ends of the ranges: what a join on the tile key wants pruned beforehand."""
+    if not ranges:
+        return layer.filter(F.lit(False))
+    folders = sorted({zc for a, b in ranges for zc in range(a >> FOLDER_BITS, (b >> FOLDER_BITS) + 1)})
+    return layer.filter(F.col("zc").isin(folders) & F.col("z").between(ranges[0][0], ranges[-1][1]))
