@@ -1,12 +1,11 @@
 """Running-count accumulator: answer zonal cross-tabs from the zone boundary.
 
-Stored table (built once per layer pair, "ingest"):
-``prefix(x, blk, a, b, cum)`` = cells of value pair (a, b) in pixel column x at
-rows < (blk + 1) * K, one row per block from the pair's first block in the
-column to the column's last block (dense in blk, so look-ups are equalities).
+Stored table (built once per layer pair, "ingest"): ``tile_prefix``, one row
+per pixel column and tile with the counts of each value pair (a, b) above the
+tile and in the tile's blocks of K rows.
 
 Query for a row span [r0, r1) of column x: count(pair) = P(r1) - P(r0) with
-P(e) = cum at block (e div K - 1) + raw cells of block (e div K) with y < e.
+P(e) = entries of e's tile before e's block + raw cells of that block with y < e.
 Only the prefix rows at span ends and the raw cells of the blocks holding a
 span end are read: the work follows the polygon boundary, not its area.
 """
@@ -60,48 +59,57 @@ def span_ends(spans: DataFrame) -> DataFrame:
     return spans.select("poly_id", "x", F.inline(ends)).filter(F.col("e") > 0)
 
 
-def zonal_crosstab_accum(prefix: DataFrame, pairs: DataFrame, spans: DataFrame, block: int,
-                         max_rows: int | None = None, x_range: tuple[int, int] | None = None,
-                         tile: int | None = None) -> DataFrame:
+def tile_prefix(pairs: DataFrame, block: int, height: int, tile: int) -> DataFrame:
+    """Stored form of the running counts: one row per pixel column and tile, ``(x, tr, entries)``.
+
+    ``entries`` holds (blk, a, b, n): with blk = -1 the cells of pair (a, b) in
+    the column above the tile, else those in block blk of the tile. So a pair
+    has an entry where it occurs and one per tile below, not one per block, and
+    a span end needs a single row. ``tile`` is a multiple of ``block``; a row's
+    array holds at most tile + pairs entries.
+    """
+    if tile % block:
+        raise ValueError("tile must be a multiple of the block length")
+    counts = pairs.groupBy("x", F.floor(F.col("y") / block).alias("blk"), "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    here = counts.select("x", F.floor(F.col("blk") * block / tile).alias("tr"), "blk", "a", "b", "n")
+    column = Window.partitionBy("x", "a", "b").orderBy("tr")
+    total = here.groupBy("x", "a", "b", "tr").agg(F.sum("n").alias("n")).select(
+        "x", "a", "b", (F.col("tr") + 1).alias("first"),
+        F.coalesce(F.lead("tr").over(column), F.lit(height // tile)).alias("last"),
+        F.sum("n").over(column.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"),
+    ).filter("first <= last")
+    above = total.select("x", F.explode(F.sequence("first", "last")).alias("tr"), F.lit(-1).cast("bigint").alias("blk"), "a", "b", "n")
+    return here.unionByName(above).groupBy("x", "tr").agg(F.collect_list(F.struct("blk", "a", "b", "n")).alias("entries"))
+
+
+def zonal_crosstab_accum(prefix: DataFrame, pairs: DataFrame, spans: DataFrame, block: int, tile: int,
+                         max_rows: int | None = None) -> DataFrame:
     """Cross-tab ``(poly_id, a, b, n)`` from the prefix table and boundary blocks only.
 
-    ``spans`` must be clipped to the grid (``polygon_spans`` does this). An
-    optional half-open ``x_range`` of the zone is applied to both stored tables
-    as a literal filter (parquet row-group pruning on x). With ``tile`` the
-    tables are the tile-partitioned form (``catalog.write_tiled``, tile a
-    multiple of ``block``): every look-up also matches the tile key ``z``, so
-    dynamic partition pruning reads only tiles holding a span end.
+    ``prefix`` is ``tile_prefix(pairs, block, height, tile)``; ``spans`` must be
+    clipped to the grid (``polygon_spans`` does this). Where the tables are
+    stored by tile (``catalog.write_tiled``) every look-up also matches the tile
+    key and its folder, so only folders holding a span end are read.
     """
+    from gridzone.operators.layout import zorder
     from gridzone.sources.catalog import folder
 
-    if tile is not None and tile % block:
+    if tile % block:
         raise ValueError("tile must be a multiple of the block length")
-    if x_range is not None:
-        xr = (F.col("x") >= x_range[0]) & (F.col("x") < x_range[1])
-        prefix, pairs = prefix.filter(xr), pairs.filter(xr)
-    ends = span_ends(spans).select(
-        "poly_id", "x", "e", "sign",
-        (F.floor(F.col("e") / block) - 1).alias("t"), F.floor(F.col("e") / block).alias("rb"),
-    )
-    if tile is not None:
-        from gridzone.operators.layout import zorder
-
-        kc = F.floor(F.col("x") / tile)
-        ends = ends.withColumn("zt", zorder(kc, F.floor(F.col("t") * block / tile))) \
-                   .withColumn("zr", zorder(kc, F.floor(F.col("rb") * block / tile)))
-    else:
-        ends = ends.withColumn("zt", F.lit(None).cast("bigint")).withColumn("zr", F.lit(None).cast("bigint"))
+    ends = span_ends(spans).select("poly_id", F.col("x").alias("ex"), "e", "sign", F.floor(F.col("e") / block).alias("rb"))
+    ends = ends.withColumn("et", F.floor(F.col("rb") * block / tile))
+    ends = ends.withColumn("ez", zorder(F.floor(F.col("ex") / tile), F.col("et")))
     ends = sized_broadcast(ends, max_rows)[0]
-    we = ends.filter(F.col("t") >= 0).select("poly_id", F.col("x").alias("ex"), "t", "sign", "zt")
-    cond = (F.col("x") == F.col("ex")) & (F.col("blk") == F.col("t"))
-    if tile is not None:
-        cond = (F.col("zc") == folder(F.col("zt"))) & (F.col("z") == F.col("zt")) & cond
-    whole = prefix.join(we, cond).select("poly_id", "a", "b", (F.col("sign") * F.col("cum")).alias("c"))
-    re_ = ends.filter(F.col("e") % block != 0).select("poly_id", F.col("x").alias("ex"), "e", "rb", "sign", "zr")
+
+    def stored(table: DataFrame, cond):
+        return (F.col("zc") == folder(F.col("ez"))) & (F.col("z") == F.col("ez")) & cond if "zc" in table.columns else cond
+
+    row = prefix.join(ends, stored(prefix, (F.col("x") == F.col("ex")) & (F.col("tr") == F.col("et"))))
+    whole = row.select("poly_id", "rb", "sign", F.inline("entries")).filter(F.col("blk") < F.col("rb")).select(
+        "poly_id", "a", "b", (F.col("sign") * F.col("n")).alias("c"))
+    inside = ends.filter(F.col("e") % block != 0)
     cond = (F.col("x") == F.col("ex")) & (F.col("rbk") == F.col("rb")) & (F.col("y") < F.col("e"))
-    if tile is not None:
-        cond = (F.col("zc") == folder(F.col("zr"))) & (F.col("z") == F.col("zr")) & cond
-    raw = pairs.withColumn("rbk", F.floor(F.col("y") / block)).join(re_, cond).select(
+    raw = pairs.withColumn("rbk", F.floor(F.col("y") / block)).join(inside, stored(pairs, cond)).select(
         "poly_id", "a", "b", F.col("sign").cast("bigint").alias("c"))
     return (
         whole.unionByName(raw)

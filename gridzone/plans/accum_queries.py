@@ -27,9 +27,9 @@ def zonal_crosstab_accum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same answer as ``zonal_crosstab_multi``, from block prefix counts + boundary blocks."""
     n, verts = _setup(spark, sf_dir, ALL_POLYS)
     pairs = _pairs(spark, sf_dir, n)
-    prefix = accum.block_prefix_counts(pairs, K, n)
+    prefix = accum.tile_prefix(pairs, K, n, 4 * K)
     spans = vector.polygon_spans(verts, n, n)
-    return accum.zonal_crosstab_accum(prefix, pairs, spans, K)
+    return accum.zonal_crosstab_accum(prefix, pairs, spans, K, 4 * K)
 
 
 @query(
@@ -48,7 +48,7 @@ def zonal_methods_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n)
     base = zonal.zonal_crosstab(a, b, zonal.zone(verts, n, n), BLOCK)
     pairs = accum.overlay_pairs(a, b)
-    fast = accum.zonal_crosstab_accum(accum.block_prefix_counts(pairs, K, n), pairs, vector.polygon_spans(verts, n, n), K)
+    fast = accum.zonal_crosstab_accum(accum.tile_prefix(pairs, K, n, 4 * K), pairs, vector.polygon_spans(verts, n, n), K, 4 * K)
     return base.select(F.lit("baseline").alias("method"), "*").unionByName(
         fast.select(F.lit("accumulator").alias("method"), "*"))
 

@@ -4,7 +4,7 @@ Writes (replacing earlier output) under ``root``:
 
     a/, b/        the two layers, in the order and folders of the Z-curve key of their tiles
     pairs/        cells where both layers hold data (x, y, a, b), same order
-    prefix/       block prefix counts (x, blk, a, b, cum), tile of row blk * K
+    prefix/       running counts per column and tile (x, tr, entries), tile row tr
 
 Both zonal methods then read only the tiles they need (dynamic partition
 pruning): ``zonal_crosstab_tiled`` the covering tiles, ``zonal_crosstab_accum``
@@ -40,7 +40,7 @@ def ingest_class_layers(a: DataFrame, b: DataFrame, root: str, height: int, tile
     sb = catalog.read_tiled(spark, paths["b"]).drop("z", "zc")
     catalog.write_tiled(accum.overlay_pairs(sa, sb), paths["pairs"], tile)
     pairs = catalog.read_tiled(spark, paths["pairs"]).drop("z", "zc")
-    catalog.write_tiled(accum.block_prefix_counts(pairs, block, height), paths["prefix"], tile, F.col("blk") * block)
+    catalog.write_tiled(accum.tile_prefix(pairs, block, height, tile), paths["prefix"], tile, F.col("tr") * tile)
     return paths
 
 

@@ -85,7 +85,7 @@ def zonal_crosstab_accum_stored_q(spark: SparkSession, sf_dir: str) -> DataFrame
     """The same from the ingested prefix table and pairs, read where spans end."""
     n, verts = _polygons(spark, sf_dir, ALL_POLYS)
     st = open_ingested(spark, ingest_class_layers(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), _root(spark, "ingest"), n, TILE, TILE))
-    return accum.zonal_crosstab_accum(st["prefix"], st["pairs"], vector.polygon_spans(verts, n, n), TILE, tile=TILE)
+    return accum.zonal_crosstab_accum(st["prefix"], st["pairs"], vector.polygon_spans(verts, n, n), TILE, TILE)
 
 
 @query(

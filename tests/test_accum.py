@@ -41,8 +41,8 @@ def test_accum_equals_full_crosstab(spark, block):
     verts = vertices_df(spark, polys)
     full = zonal.zonal_crosstab(la, lb, zonal.zone(verts, W, H, 8), 8)
     pairs = accum.overlay_pairs(la, lb)
-    prefix = accum.block_prefix_counts(pairs, block, H)
-    fast = accum.zonal_crosstab_accum(prefix, pairs, vector.polygon_spans(verts, W, H), block)
+    prefix = accum.tile_prefix(pairs, block, H, 4 * block)
+    fast = accum.zonal_crosstab_accum(prefix, pairs, vector.polygon_spans(verts, W, H), block, 4 * block)
     assert _as_set(fast) == _as_set(full)
 
 
@@ -68,8 +68,8 @@ def test_empty_zone_gives_no_rows(spark):
     la, lb = _layers(spark, 10, 10, 5)
     verts = vertices_df(spark, {"outside": TEST_POLYGONS["outside"]})
     pairs = accum.overlay_pairs(la, lb)
-    res = accum.zonal_crosstab_accum(accum.block_prefix_counts(pairs, 4, 10), pairs,
-                                     vector.polygon_spans(verts, 10, 10), 4)
+    res = accum.zonal_crosstab_accum(accum.tile_prefix(pairs, 4, 10, 8), pairs,
+                                     vector.polygon_spans(verts, 10, 10), 4, 8)
     assert res.count() == 0
     assert zonal.zonal_crosstab(la, lb, zonal.zone(verts, 10, 10, 4), 4).count() == 0
 
@@ -111,9 +111,9 @@ def test_shuffle_fallback_when_spans_exceed_broadcast_limit(spark):
     assert "broadcast" not in plan.lower()
     assert _as_set(zonal.zonal_crosstab(la, lb, z_s, 8)) == _as_set(zonal.zonal_crosstab(la, lb, z_b, 8))
     pairs = accum.overlay_pairs(la, lb)
-    prefix = accum.block_prefix_counts(pairs, 8, H)
+    prefix = accum.tile_prefix(pairs, 8, H, 16)
     spans = vector.polygon_spans(verts, W, H)
-    assert _as_set(accum.zonal_crosstab_accum(prefix, pairs, spans, 8, max_rows=0)) == \
+    assert _as_set(accum.zonal_crosstab_accum(prefix, pairs, spans, 8, 16, max_rows=0)) == \
         _as_set(zonal.zonal_crosstab(la, lb, z_b, 8))
 
 
@@ -138,7 +138,7 @@ def test_tile_partitioned_stores_prune_and_agree(spark, block):
     z = zonal.zone(verts, W, H, T)
     tiled = zonal.zonal_crosstab_tiled(a, b, z, T)
     assert _as_set(tiled) == want
-    fast = accum.zonal_crosstab_accum(pf, sp, vector.polygon_spans(verts, W, H), block, tile=T)
+    fast = accum.zonal_crosstab_accum(pf, sp, vector.polygon_spans(verts, W, H), block, T)
     assert _as_set(fast) == want
     for df in (tiled, fast):
         assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString().lower()

@@ -31,6 +31,6 @@ def test_accumulator_equals_full_count_for_arbitrary_polygons(spark, parts, bloc
     la, lb = _layers(spark, W, H, 5)
     verts = vertices_df(spark, {"p": parts})
     pairs = accum.overlay_pairs(la, lb)
-    fast = accum.zonal_crosstab_accum(accum.block_prefix_counts(pairs, block, H), pairs,
-                                      vector.polygon_spans(verts, W, H), block)
+    fast = accum.zonal_crosstab_accum(accum.tile_prefix(pairs, block, H, 2 * block), pairs,
+                                      vector.polygon_spans(verts, W, H), block, 2 * block)
     assert _as_set(fast) == _as_set(zonal.zonal_crosstab(la, lb, zonal.zone(verts, W, H)))
