@@ -80,4 +80,4 @@ def test_edge_cases_pass_every_stage(spark):
                 assert out.columns == own.columns
             assert bool(out.count()) == bool(own.count())
     kept = corpus_pipeline.simhash_dedup(spark, docs, SF).collect()
-    assert sorted((r.doc_id, r.component) for r in kept) == [(1, "own"), (3, "own"), (4, "own")]
+    assert sorted((r.doc_id or 0, r.component) for r in kept) == [(0, "own"), (1, "own"), (3, "own"), (4, "own")]
