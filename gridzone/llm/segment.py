@@ -217,7 +217,7 @@ class Sampler:
         first[of_texts] = True
         return np.flatnonzero(first)
 
-    def _walk(self, base, pos, off, seed, path, log):
+    def _walk(self, base, pos, off, doc_start, seed, path, log):
         """Follows best children from node ``pos`` of each word (at ``off`` in the batch) to its start. Marks arcs in
         ``path`` and their logs in ``log`` where they begin; returns the siblings (state, end offset, arc, value, best value)."""
         state = np.arange(len(base))
@@ -234,9 +234,10 @@ class Sampler:
                 owner = np.repeat(np.arange(len(many)), n)
                 nth = np.arange(len(owner)) - starts[owner]
                 arc = first[many][owner] + nth
-                end = off[state[many]] + pos[many]
+                who = state[many]
+                end = off[who] + pos[many]
                 with np.errstate(over="ignore"):
-                    place = seed[state[many]] + _mix(end.astype(np.uint64) - self.doc_start[state[many]].astype(np.uint64))
+                    place = seed[who] + _mix((end - doc_start[who]).astype(np.uint64))
                     code = place[owner] + nth.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
                 x = self.arc_log[arc] + _gumbel(code)
                 top = np.maximum.reduceat(x, starts)
@@ -247,7 +248,7 @@ class Sampler:
                 rest = np.ones(len(arc), bool)
                 rest[at] = False
                 own = owner[rest]
-                out.append((state[many][own], end[own], arc[rest], x[rest], top[own]))
+                out.append((who[own], end[own], arc[rest], x[rest], top[own]))
             begin = off[state] + self.arc_from[best]
             path[begin], log[begin] = best, self.arc_log[best]
             pos = self.arc_from[best].astype(np.int64)
@@ -299,8 +300,7 @@ class Sampler:
             own = doc[state_word]
             with np.errstate(over="ignore"):
                 seeds = _mix(row + np.uint64(e + 2))[own]
-            self.doc_start = start[own]
-            found = self._walk(base[state_word], pos, off[state_word], seeds, path, log)
+            found = self._walk(base[state_word], pos, off[state_word], start[own], seeds, path, log)
             paths.append(path)
             logs.append(log)
             if found is None:
