@@ -98,16 +98,14 @@ def retile(tiles: DataFrame, tile: int, new_tile: int) -> DataFrame:
 
 
 def tile_summary(tiles: DataFrame) -> DataFrame:
-    """Per tile: data-cell count and value sum (for checks without comparing arrays)."""
-
-    @F.pandas_udf("double")
-    def total(cells: pd.Series) -> pd.Series:
-        return pd.Series([float(np.sum([v for v in c if v is not None and v == v])) for c in cells])
-
+    """Per tile: data-cell count, value sum and a digest of all cells in order (NULL: empty between commas)."""
+    data = F.array_compact("cells")
+    texts = F.transform("cells", lambda c: F.coalesce(c.cast("string"), F.lit("")))
     return tiles.select(
         "key_col", "key_row",
-        F.size(F.array_compact("cells")).cast("bigint").alias("n_data"),
-        total("cells").alias("sum_v"),
+        F.size(data).cast("bigint").alias("n_data"),
+        F.aggregate(data, F.lit(0.0), lambda a, v: a + v.cast("double")).alias("sum_v"),
+        F.sha2(F.array_join(texts, ","), 256).alias("cells_sha256"),
     )
 
 

@@ -23,8 +23,11 @@ def _tiles(spark: SparkSession, sf_dir: str, tile: int = TILE) -> DataFrame:
 
 
 def _tile_sum_sql(t: int, layer: str = "la") -> str:
-    return (f"SELECT x // {t} AS key_col, y // {t} AS key_row, count(*) AS n_data, "
-            f"sum(CAST(v AS DOUBLE)) AS sum_v FROM {layer} GROUP BY ALL")
+    """Tiles with data, every position of each spelled out in row-major order."""
+    return (f"SELECT k.key_col, k.key_row, count(l.v) AS n_data, sum(CAST(l.v AS DOUBLE)) AS sum_v, "
+            "sha256(string_agg(coalesce(CAST(l.v AS VARCHAR), ''), ',' ORDER BY p.pos)) AS cells_sha256 "
+            f"FROM (SELECT DISTINCT x // {t} AS key_col, y // {t} AS key_row FROM {layer}) k CROSS JOIN range({t * t}) p(pos) "
+            f"LEFT JOIN {layer} l ON l.x = k.key_col * {t} + p.pos % {t} AND l.y = k.key_row * {t} + p.pos // {t} GROUP BY ALL")
 
 
 @query("layer_scan", S.with_(S.grid(), S.layers("la")) + _tile_sum_sql(TILE))
@@ -52,18 +55,16 @@ def convert_nodata_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "band_stack",
-    S.with_(S.grid(), S.layers("la"))
-    + f"SELECT x // {TILE} AS key_col, y // {TILE} AS key_row, 64 AS n_bands, count(*) AS n_data, "
-      "sum(CAST(v AS DOUBLE)) AS sum_v FROM la GROUP BY ALL",
+    S.with_(S.grid(), S.layers("la"),
+            _tile_sum_sql(TILE).replace("sha256(string_agg(", "string_agg(").replace("p.pos)) AS cells_sha256", "p.pos) AS cells").join(("t AS (", ")")))
+    + "SELECT key_col, key_row, 64 AS n_bands, 64 * n_data AS n_data, 64 * sum_v AS sum_v, "
+      "sha256(repeat(cells || ',', 63) || cells) AS cells_sha256 FROM t",
 )
 def band_stack_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """64-band stack of each land-cover tile (the ingest's literal band copy)."""
+    """64-band stack of each land-cover tile (the ingest's literal band copy), summarised over all bands."""
     st = layout.band_stack(_tiles(spark, sf_dir))
-    last = st.select("key_col", "key_row", F.size("bands").alias("n_bands"), F.col("bands")[63].alias("cells"))
-    s = layout.tile_summary(last)
-    return s.join(last.select("key_col", "key_row", "n_bands"), ["key_col", "key_row"]).select(
-        "key_col", "key_row", "n_bands", "n_data", "sum_v"
-    )
+    s = layout.tile_summary(st.select("key_col", "key_row", F.flatten("bands").alias("cells")))
+    return s.select("key_col", "key_row", F.lit(64).alias("n_bands"), "n_data", "sum_v", "cells_sha256")
 
 
 def _z_sql(c: str, r: str, bits: int = 16) -> str:
