@@ -37,9 +37,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: SentencePiece's space (fixed value).
+SPACE = "\u2581"
 ZIPF_SHIFT = 2.7
 #: Characters sampled at a time; arcs of words remembered by a worker at most.
-BATCH_CHARS, REMEMBERED_ARCS = 250_000, 4_000_000
+BATCH_CHARS, REMEMBERED_ARCS = 250_000, 6_000_000
 SCHEMA = "sample int, ids binary, n_pieces long, log_prob double, perturbed double, inclusion double"
 
 
@@ -85,6 +87,14 @@ class Sampler:
         self._grow()
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown = min(log.values(), default=0.0) - 10
+        surface = [sp.id_to_piece(i).replace(SPACE, " ").encode() if i in log else b"" for i in range(len(sp))]
+        surface[sp.unk_id()] = " \u2047 ".encode()
+        for b in range(256):
+            if not sp.is_unknown(sp.piece_to_id(f"<0x{b:02X}>")):
+                surface[sp.piece_to_id(f"<0x{b:02X}>")] = bytes([b])
+        n = np.array([len(x) for x in surface], dtype=np.int64)
+        self.surface = (n, np.cumsum(n) - n, np.frombuffer(b"".join(surface), np.uint8))
+        self.prefixed = sp.normalize("a").startswith(SPACE)
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self._forget()
 
@@ -256,8 +266,18 @@ class Sampler:
             state, pos = state[go], pos[go]
         return [np.concatenate(c) for c in zip(*out, strict=True)] if out else None
 
-    def sample(self, texts: list[str], keys: np.ndarray, k: int, seed: int) -> list[list[tuple[bytes, int, float, float, float]]]:
-        """For each text up to k samples (ids, pieces, log p, perturbed, inclusion), best first; ``keys`` are uint64."""
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """Texts of ids[bounds[i] : bounds[i + 1]], as the model's own decoder gives them for what ``sample`` emits."""
+        size, at, data = self.surface
+        n = size[ids]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        joined = data[np.repeat(at[ids] - upto[:-1], n) + np.arange(upto[-1])].tobytes()
+        texts = [joined[a:b].decode("utf-8", "replace") for a, b in pairwise(upto[bounds].tolist())]
+        return [t.removeprefix(" ") for t in texts] if self.prefixed else texts
+
+    def sample(self, texts: list[str], keys: np.ndarray, k: int, seed: int, decoded: bool = False) -> list[list[tuple]]:
+        """For each text up to k samples (ids, pieces, log p, perturbed, inclusion, with ``decoded`` the ids' text), best
+        first; ``keys`` are uint64."""
         texts = [self.sp.normalize(t) for t in texts]
         size = np.array([len(t) for t in texts], dtype=np.int64)
         start = np.cumsum(size) - size
@@ -332,11 +352,12 @@ class Sampler:
             ids = emitted[np.repeat(emitted_at[symbols] - upto[:-1], n) + np.arange(upto[-1])]
             in_doc = upto[np.searchsorted(at, np.append(start, total))]
             log_p = _sums(log, start, size)[1]
+            back = self.decode(ids, in_doc) if decoded else None
             for d in range(docs):
                 if value[e][d] > -np.inf:
                     own = ids[in_doc[d] : in_doc[d + 1]]
                     inclusion = 1.0 if limit[d] == -np.inf else float(-np.expm1(-np.exp(log_p[d] - limit[d])))
-                    out[d].append((own.tobytes(), len(own), float(log_p[d]), float(value[e][d]), inclusion))
+                    out[d].append((own.tobytes(), len(own), float(log_p[d]), float(value[e][d]), inclusion, *([back[d]] if decoded else [])))
         return out
 
 
@@ -361,9 +382,8 @@ def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     kind = own.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sampler(model, scores)
-        draw = own.sample
-        types = [pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+        draw = sampler(model, scores).sample
+        types = [pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64()] + [pa.string()] * decoded
         names = ["id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion"] + ["decoded"] * decoded
         for batch in batches:
             texts, keys = batch.column("text").to_pylist(), batch.column("key").to_numpy().view(np.uint64)
@@ -373,11 +393,9 @@ def sample(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                 while hi < len(texts) and (hi == lo or chars + len(texts[hi]) <= BATCH_CHARS):
                     chars += len(texts[hi])
                     hi += 1
-                rows = [(lo + d, e, *s) for d, found in enumerate(draw(texts[lo:hi], keys[lo:hi], k, seed)) for e, s in enumerate(found)]
+                rows = [(lo + d, e, *s) for d, found in enumerate(draw(texts[lo:hi], keys[lo:hi], k, seed, decoded)) for e, s in enumerate(found)]
                 at, *columns = zip(*rows, strict=True)
                 arrays = [batch.column("id").take(pa.array(at)), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))]
-                if decoded:
-                    arrays.append(pa.array([_decoded(own.sp, ids) for ids in columns[1]], pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
                 lo = hi
 

@@ -88,6 +88,13 @@ def test_samples_do_not_depend_on_the_batch(sampler):
     assert whole[0] == whole[4] and sampler.sample(texts, keys, 3, 2) != whole
 
 
+def test_own_decoding_equals_the_model_s(sampler):
+    texts = ["", " ", "  a  b ", "x\ny\tz", "é▁ß", "😀 ﬁ", "a" * 50, "▁▁", "\u2581x", "word " * 40, "\x00\x7f"]
+    for found in sampler.sample(texts, np.arange(len(texts), dtype=np.uint64), 3, 1, True):
+        for s in found:
+            assert s[5] == (SP.decode(list(ids_of(s))) if s[1] else "")
+
+
 def test_query_decodes_to_the_text(spark):
     from gridzone.llm.queries import QUERIES
 
