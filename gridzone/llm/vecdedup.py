@@ -75,12 +75,21 @@ def robust_graph(x: np.ndarray, seed: int = 1) -> list[np.ndarray]:
     far = np.random.default_rng(seed).integers(0, n, (2, n))
     links += [np.stack([np.arange(n), f]) for f in far]
     a, b = np.concatenate(links, axis=1)
-    pairs = np.unique(np.concatenate([a * n + b, b * n + a]))
+    back = _few_each(np.stack([b, a]), n, seed)  # a hub is not linked back to all that link to it
+    pairs = np.unique(np.concatenate([a * n + b, back[0] * n + back[1]]))
     a, b = pairs // n, pairs % n
     a, b = a[a != b], b[a != b]
     return np.split(b, np.searchsorted(a, np.arange(1, n)))
 
 
+def _few_each(links: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """At most 2 * DEGREE links from each row, a random choice where there are more."""
+    order = np.lexsort((np.random.default_rng(seed).random(links.shape[1]), links[0]))
+    links = links[:, order]
+    nth = np.arange(links.shape[1]) - np.searchsorted(links[0], links[0])
+    return links[:, nth < 2 * DEGREE]
+
+
 def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Greedy best-first search of all queries in lockstep: (nodes, similarities) of each final beam, best first.
     ``graph`` is padded with -1."""
