@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from gridzone.plans.registry import ORACLE, QUERIES
 
 SF = os.environ.get("GRIDZONE_TEST_SF", "/root/testdata/sf0.01")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -48,14 +49,14 @@ def _duck_kind(t: str) -> str:
     return {"VARCHAR": "string", "BOOLEAN": "boolean"}.get(t, t.lower())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     types = dict(df.dtypes)
     got = sorted((tuple(_norm(v) for v in r) for r in df.select(*cols).collect()), key=repr)
 
-    rel = con.execute(E.oracle_sql()[name])
+    rel = con.execute(ORACLE[name])
     ocols = [d[0] for d in rel.description]
     assert sorted(ocols) == cols
     otypes = dict(zip(ocols, [str(d[1]) for d in rel.description]))
@@ -71,8 +72,8 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_runs_and_has_rows(spark):
     """Queries without an oracle still run over the whole tables."""
-    for name, fn in E.queries().items():
-        if name in E.oracle_sql():
+    for name, fn in QUERIES.items():
+        if name in ORACLE:
             continue
         assert fn(spark, SF).count() > 0, name
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from gridzone.operators import terrain
+from gridzone.plans.registry import QUERIES
 
 SMOKE = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver tables not available")
@@ -21,7 +22,7 @@ def _plan(df):
 
 
 def test_no_nested_loop_or_cartesian_and_no_row_udfs(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         plan = _plan(fn(spark, SMOKE))
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
