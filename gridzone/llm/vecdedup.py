@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from gridzone.llm.common import connected_components, stored
 
 #: Vectors a shard should hold, shards a vector joins, pivots of one shard and of one round.
-SHARD, OVERLAP, FAN, MAX_PIVOTS, MAX_ROUNDS = 2048, 3, 64, 8192, 16
+SHARD, OVERLAP, FAN, MAX_PIVOTS, MAX_ROUNDS = 8192, 3, 64, 8192, 16
 #: Candidates and neighbours of a node, slack of the pruning rule, first and widest beam, audited members of a shard.
-CANDIDATES, DEGREE, ALPHA, BEAM, WIDEST, AUDITED = 32, 12, 1.2, 16, 128, 64
+CANDIDATES, DEGREE, ALPHA, BEAM, WIDEST, AUDITED = 32, 12, 1.2, 16, 64, 64
 #: Vectors of a component verified at a time.
 BLOCK = 1024
 
