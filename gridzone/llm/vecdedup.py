@@ -8,9 +8,9 @@
 3. Each shard builds a graph: nearest candidates of every node, robust-pruned.
    The adjacency lists of a node in all its shards are united.
 4. Each shard searches for every member over the united lists: greedy from
-   the medoid, with a beam that doubles while half of it is in range. An
-   audit compares sampled members with brute force in the shard and widens all
-   beams until nothing is missed.
+   the medoid, with a beam that doubles while half of it is in range. Then every
+   member is compared with the whole shard in blocks, and what the search left
+   apart is joined: inside a shard no component is missed.
 5. Found links are joined to components, and within a component all pairs are
    verified in blocks in double precision. So a cluster that was cut by shards
    gets all its links back, and a pair is lost only if no chain of found links connects it.
@@ -33,8 +33,8 @@ from gridzone.llm.common import connected_components, stored
 
 #: Vectors a shard should hold, shards a vector joins, pivots of one shard and of one round.
 SHARD, OVERLAP, FAN, MAX_PIVOTS, MAX_ROUNDS = 8192, 3, 64, 8192, 16
-#: Candidates and neighbours of a node, slack of the pruning rule, first and widest beam, audited members of a shard.
-CANDIDATES, DEGREE, ALPHA, BEAM, WIDEST, AUDITED = 32, 12, 1.2, 16, 64, 64
+#: Candidates and neighbours of a node, slack of the pruning rule, first and widest beam.
+CANDIDATES, DEGREE, ALPHA, BEAM, WIDEST = 32, 12, 1.2, 16, 64
 #: Vectors of a component verified at a time.
 BLOCK = 1024
 
@@ -118,7 +118,8 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: int, be
 
 
 def range_links(x: np.ndarray, neighbours: list[np.ndarray], threshold: float, beam: int = BEAM) -> np.ndarray:
-    """Links (2, n) at or above the threshold that range searches from the medoid find for every row."""
+    """Links (2, n) at or above the threshold: those that range searches from the medoid find for every row, and those that
+    join what these leave apart, so that their components are exact."""
     n = len(x)
     if n < 2:
         return np.empty((2, 0), np.int64)
@@ -127,29 +128,34 @@ def range_links(x: np.ndarray, neighbours: list[np.ndarray], threshold: float, b
     for i, b in enumerate(neighbours):
         graph[i, : len(b)] = b
     medoid = int((x @ x.sum(axis=0)).argmax())
-    audited = np.arange(0, n, max(1, n // AUDITED))
-    truth = x[audited] @ x.T >= threshold
-    truth[np.arange(len(audited)), audited] = False
-    while True:
-        found, todo, wide = [], np.arange(n), beam
-        while len(todo):
-            more = []
-            for lo in range(0, len(todo), 1024):
-                own = todo[lo : lo + 1024]
-                nodes, sims = search(x, graph, own, medoid, wide)
-                hit = (sims >= threshold) & (nodes != own[:, None]) & (nodes >= 0)
-                row, col = np.nonzero(hit)
-                found.append(np.stack([own[row], nodes[row, col]]))
-                more.append(own[2 * hit.sum(axis=1) >= wide])  # half in range: there may be more
-            todo, wide = np.concatenate(more), 2 * wide
-            if wide > WIDEST:
-                break
-        links = np.concatenate(found, axis=1)
-        root = _roots(n, links)
-        missed = truth & (root[audited][:, None] != root[None, :])
-        if not missed.any() or beam >= n:
-            return links
-        beam = min(n, 2 * beam)
+    found, todo, wide = [], np.arange(n), beam
+    while len(todo):
+        more = []
+        for lo in range(0, len(todo), 1024):
+            own = todo[lo : lo + 1024]
+            nodes, sims = search(x, graph, own, medoid, wide)
+            hit = (sims >= threshold) & (nodes != own[:, None]) & (nodes >= 0)
+            row, col = np.nonzero(hit)
+            found.append(np.stack([own[row], nodes[row, col]]))
+            more.append(own[2 * hit.sum(axis=1) >= wide])  # half in range: there may be more
+        todo, wide = np.concatenate(more), 2 * wide
+        if wide > WIDEST:
+            break
+    links = np.concatenate(found, axis=1)
+    return np.concatenate([links, _exact_links(x, np.arange(n), threshold, _roots(n, links))], axis=1)
+
+
+def _exact_links(x: np.ndarray, rows: np.ndarray, threshold: float, root: np.ndarray) -> np.ndarray:
+    """Links (2, n) of ``rows`` with any row at or above the threshold, one for each two components that are still apart (``root``)."""
+    n, out = len(x), [np.empty((2, 0), np.int64)]
+    for lo in range(0, len(rows), 512):
+        own = rows[lo : lo + 512]
+        row, col = np.nonzero((x[own] @ x.T >= threshold) & (root[own][:, None] != root[None, :]))
+        if len(row):
+            one = np.unique(root[own[row]] * n + root[col], return_index=True)[1]
+            out.append(np.stack([own[row[one]], col[one]]))
+            root = _roots(n, np.concatenate([np.stack([np.arange(n), root]), out[-1]], axis=1))
+    return np.concatenate(out, axis=1)
 
 
 def _roots(n: int, links: np.ndarray) -> np.ndarray:

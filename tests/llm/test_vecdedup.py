@@ -99,3 +99,18 @@ def test_search_finds_neighbours_through_the_graph():
 def test_tiny_shards(n):
     x = np.eye(4)[:n]
     assert len(vecdedup.robust_graph(x)) == n and vecdedup.range_links(x, vecdedup.robust_graph(x), 0.98).shape[1] == 0
+
+
+def test_bridged_clusters_larger_than_the_widest_beam():
+    """Every member's nearest WIDEST are its own group's, and no member is a multiple of 64 (those were audited): the other group is found all the same."""
+    rng = np.random.default_rng(8)
+    n, d, size = 4096, 32, vecdedup.WIDEST + 6
+    x = rng.normal(size=(n, d))
+    a, b = np.linalg.qr(rng.normal(size=(d, 2)))[0].T
+    members = np.flatnonzero(np.arange(n) % 64)[: 2 * size]
+    x[members[:size]] = a + rng.normal(size=(size, d)) * 0.0005
+    x[members[size:]] = 0.985 * a + (1 - 0.985**2) ** 0.5 * b + rng.normal(size=(size, d)) * 0.0005
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    assert (x[members] @ x[members].T >= 0.98).all()
+    links = vecdedup.range_links(x, vecdedup.robust_graph(x), 0.98)
+    assert len(set(vecdedup._roots(n, links)[members])) == 1
