@@ -68,3 +68,16 @@ def test_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
     got = sorted(tuple(r) for r in QUERIES["op9_line_dedup"](spark, d).collect())
     assert got == [(i, n, k, hashlib.sha256(t.encode()).hexdigest()) for i, n, k, t in brute(rows, 10)]
+
+
+def test_rows_of_one_id_lose_only_their_own_lines(spark):
+    """Rows that share an id, null or not, have the common line at different positions."""
+    rows = [(None, "hot\nown1"), (None, "own2\nhot"), (5, "hot\na"), (5, "b\nhot\nc"), (5, "b\nhot\nc"), (6, "hot"), (7, "x\nhot")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = lambda **rule: sorted((r.doc_id or 0, r.n_dropped, r.kept) for r in linededup.dedup_lines(df, min_docs=4, **rule).collect())
+    rest = [(5, 1, "a"), (5, 1, "b\nc"), (5, 1, "b\nc"), (6, 1, ""), (7, 1, "x")]
+    assert kept() == [(0, 1, "own1"), (0, 1, "own2"), *rest]
+    assert kept(keep_first=True) == [(0, 0, "hot\nown1"), (0, 1, "own2"), *rest]
+    same = spark.createDataFrame([(None, "hot\nown1"), (None, "hot\nown2"), (6, "hot"), (7, "hot")], "doc_id long, text string")
+    firsts = [r.kept for r in linededup.dedup_lines(same, min_docs=3, keep_first=True).collect()]
+    assert sum(t.split("\n").count("hot") for t in firsts) == 1 and {t.split("\n")[-1] for t in firsts} == {"own1", "own2", ""}
