@@ -14,6 +14,10 @@
 5. Found links are joined to components, and within a component all pairs are
    verified in blocks in double precision. So a cluster that was cut by shards
    gets all its links back, and a pair is lost only if no chain of found links connects it.
+6. Labels that were cut are audited: ``SAMPLE`` of their vectors, drawn anew each
+   round, are compared with the whole label in blocks. While a pair is found
+   apart it is joined, and the label is dealt again with other pivots; the
+   links of all rounds are united. Each round's recall is logged.
 
 A component's pairs are counted, never listed; one of K distinct vectors is
 K^2 / 2 dot products over (K / BLOCK)^2 / 2 tasks.
@@ -21,6 +25,7 @@ K^2 / 2 dot products over (K / BLOCK)^2 / 2 tasks.
 
 from __future__ import annotations
 
+import logging
 import math
 
 import numpy as np
@@ -35,8 +40,10 @@ from gridzone.llm.common import connected_components, stored
 SHARD, OVERLAP, FAN, MAX_PIVOTS, MAX_ROUNDS = 8192, 3, 64, 8192, 16
 #: Candidates and neighbours of a node, slack of the pruning rule, first and widest beam.
 CANDIDATES, DEGREE, ALPHA, BEAM, WIDEST = 32, 12, 1.2, 16, 64
-#: Vectors of a component verified at a time.
-BLOCK = 1024
+#: Vectors of a component verified at a time; vectors audited in each label that was cut.
+BLOCK, SAMPLE = 1024, 256
+
+log = logging.getLogger(__name__)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -189,8 +196,9 @@ def _nearest(pivots: Broadcast):
     return nearest
 
 
-def _shards(vectors: DataFrame) -> DataFrame:
-    """(shard, node, v): every shard near SHARD vectors; a vector is in one shard or in the nearest few of its label's."""
+def _shards(vectors: DataFrame, seed: int = 0) -> DataFrame:
+    """(shard, node, v): every shard near SHARD vectors; a vector is in one shard or in the nearest few of its label's.
+    ``seed`` draws the pivots."""
     own = stored(vectors.select("shard", "node", "v"), "shards")
     for _ in range(MAX_ROUNDS):
         sizes = own.groupBy("shard").count().where(F.col("count") > SHARD).orderBy(F.desc("count"), "shard").limit(MAX_PIVOTS // FAN)
@@ -198,7 +206,7 @@ def _shards(vectors: DataFrame) -> DataFrame:
         if not large:
             break
         split = F.col("shard").isin(list(large))
-        by_hash = Window.partitionBy("shard").orderBy(F.xxhash64("node"), "node")
+        by_hash = Window.partitionBy("shard").orderBy(F.xxhash64("node", F.lit(seed)), "node")
         wanted = own.sparkSession.createDataFrame(list(large.items()), "shard string, k int")
         pivots = own.where(split).withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= FAN).join(F.broadcast(wanted), "shard").where("nth <= k")
         pivots = pivots.orderBy("shard", "nth").select("shard", "v").toArrow()  # at most MAX_PIVOTS
@@ -218,9 +226,9 @@ def _graph_of(table: pa.Table) -> pa.Table:
     return pa.table({"node": node, "near": pa.array([node[b] for b in near], pa.list_(pa.int64()))})
 
 
-def found_links(vectors: DataFrame, threshold: float) -> DataFrame:
+def found_links(vectors: DataFrame, threshold: float, seed: int = 0) -> DataFrame:
     """(a, b): a forest over the links found by graph search, for vectors (shard, node, v)."""
-    shards = _shards(vectors)
+    shards = _shards(vectors, seed)
     lists = shards.groupBy("shard").applyInArrow(_graph_of, "node long, near array<long>")
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # of a few shards each
 
@@ -239,6 +247,58 @@ def found_links(vectors: DataFrame, threshold: float) -> DataFrame:
     return shards.join(united, "node").groupBy("shard").applyInArrow(links, "a long, b long")
 
 
+def _audit(vectors: DataFrame, linked: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """(shard, n_links, a, b): SAMPLE vectors of each label (shard) against all of it, in blocks of SHARD. A row without
+    ``a`` has a block's count of linked pairs; one with it such a pair of two components that are still apart, one for each two."""
+    own = vectors.join(linked, "node", "left").select("shard", "node", "v", F.coalesce("component", "node").alias("component"))
+    blocks = vectors.groupBy("shard").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("blocks"))
+    own = own.join(F.broadcast(blocks), "shard")  # labels over SHARD only
+    drawn = Window.partitionBy("shard").orderBy(F.xxhash64("node", F.lit(seed), F.lit("audit")), "node")
+    keys = own.select("shard", "node").withColumn("nth", F.row_number().over(drawn)).where(F.col("nth") <= SAMPLE).select("node")
+    sample = own.join(keys, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = own.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    columns = ["shard", "block", "node", "component", "v"]
+    both = dealt.select(*columns, F.lit(False).alias("drawn")).union(sample.select(*columns, F.lit(True).alias("drawn")))
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        node, part, x = table.column("node").to_numpy(), table.column("component").to_numpy(), _matrix(table.column("v"))
+        drawn = table.column("drawn").to_numpy(zero_copy_only=False)
+        a, b = np.flatnonzero(drawn), np.flatnonzero(~drawn)
+        near = (x[a] @ x[b].T >= threshold) & (node[a][:, None] != node[b][None, :])
+        row, col = np.nonzero(near & (part[a][:, None] != part[b][None, :]))
+        one = np.unique(np.stack([part[a[row]], part[b[col]]]), axis=1, return_index=True)[1] if len(row) else row
+        ends = [None, *node[a[row[one]]].tolist()], [None, *node[b[col[one]]].tolist()]
+        counts = [[int(near.sum()), len(row)], *[[0, 0]] * len(one)]
+        return pa.table({
+            "shard": pa.array([key[0].as_py()] * len(counts), pa.string()), "n_links": pa.array([n for n, _ in counts], pa.int64()),
+            "n_apart": pa.array([n for _, n in counts], pa.int64()), "a": pa.array(ends[0], pa.int64()), "b": pa.array(ends[1], pa.int64()),
+        })
+
+    return both.groupBy("shard", "block").applyInArrow(compare, "shard string, n_links long, n_apart long, a long, b long")
+
+
+def linked_components(vectors: DataFrame, threshold: float) -> DataFrame:
+    """(node, component) over the found links of vectors (shard, node, v); labels that were cut are dealt again until an audit finds nothing apart."""
+    links = stored(found_links(vectors, threshold), "vector-links")
+    linked = stored(connected_components(links, "vector-components"), "vector-components")
+    sizes = vectors.groupBy("shard").count().where(F.col("count") > SHARD).select("shard")
+    cut, seed = stored(vectors.select("shard", "node", "v").join(F.broadcast(sizes), "shard"), "cut-vectors"), 0
+    while not cut.isEmpty():
+        audit = stored(_audit(cut, linked, threshold, seed), "vector-audit")
+        n, apart = audit.agg(F.sum("n_links"), F.sum("n_apart")).first()
+        log.warning("round %d: %d of %d audited pairs of cut labels joined, recall %.6f", seed, n - apart, n, 1 - apart / n if n else 1)
+        if not apart:
+            break
+        seed += 1
+        missed = audit.where("a is not null").select("shard").distinct()
+        cut = stored(cut.join(F.broadcast(missed), "shard"), "cut-vectors")
+        # A component's star stands for all links found before.
+        stars = linked.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
+        links = stars.union(audit.where("a is not null").select("a", "b")).union(found_links(cut, threshold, seed))
+        linked = stored(connected_components(links, "vector-components"), "vector-components")
+    return linked
+
+
 def verified(members: DataFrame, threshold: float) -> DataFrame:
     """(node, links): for members (component, node, weight, v), the summed weight of others in the component at or above the threshold."""
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -296,7 +356,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     shard = F.concat_ws(":", F.col("label"), F.size("v"))
     distinct = own.where("k1 is not null").groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("v").alias("v"))
     distinct = stored(distinct.select("k1", "k2", "first", "weight", shard.alias("shard"), "v", F.monotonically_increasing_id().alias("node")), "vectors")
-    linked = stored(connected_components(found_links(distinct, threshold), "vector-components"), "vector-components")
+    linked = linked_components(distinct, threshold)
     counts = verified(distinct.join(linked, "node").select("component", "node", "weight", "v"), threshold)
     node = distinct.select("k1", "k2", "first", "weight", "node").join(linked, "node", "left").join(counts, "node", "left")
     node = node.withColumn("component", F.coalesce("component", "node"))

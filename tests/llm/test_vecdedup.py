@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridzone.llm import vecdedup
 
@@ -114,3 +115,12 @@ def test_bridged_clusters_larger_than_the_widest_beam():
     assert (x[members] @ x[members].T >= 0.98).all()
     links = vecdedup.range_links(x, vecdedup.robust_graph(x), 0.98)
     assert len(set(vecdedup._roots(n, links)[members])) == 1
+
+
+def test_pairs_that_share_no_shard_are_joined(spark, monkeypatch):
+    """A label whose first deal finds no link at all is audited, reported, and dealt again until all are joined."""
+    monkeypatch.setattr(vecdedup, "SHARD", 60)
+    monkeypatch.setattr(vecdedup, "SAMPLE", 400)
+    rows, found = planted(150, 6, labels=1), vecdedup.found_links
+    monkeypatch.setattr(vecdedup, "found_links", lambda v, t, seed=0: found(v, t, seed).where(F.lit(seed > 0)))
+    assert run(spark, rows) == brute(rows)
