@@ -9,14 +9,16 @@ is its posterior under equal priors.
 
 Statistics come from a bounded sample of labelled documents (whole texts of
 ``DOCS_PER_LANG`` documents per language, those with the smallest hash of their
-id): Spark counts 4-byte sequences per language, the driver turns at most
-``MAX_GRAMS`` counts into one table of costs (context x symbol x language, at most
-``MODEL_BYTES``) in which all escapes are already added up. Predicting is then
-two table look-ups per byte in numpy, over whole texts, without a shuffle.
+id): Spark counts 4-byte sequences per language, and the driver turns all of them
+into sparse trees, the seen symbols and the escapes of each language's contexts.
+The model's size follows the sample; no order, context or language is cut, and
+languages without text to learn from are logged. Predicting looks up each distinct
+4-byte sequence of a block once, for whole texts in numpy, without a shuffle.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,23 +29,56 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bounds of the sample and of the model.
-DOCS_PER_LANG, MAX_LANGS, MAX_GRAMS, MODEL_BYTES = 500, 256, 2_000_000, 48_000_000
+log = logging.getLogger(__name__)
+
+#: Bound of the sample.
+DOCS_PER_LANG = 500
 ORDER = 3
-#: Bytes scored at a time.
-BLOCK = 1_000_000
+#: Bytes scored at a time; costs (sequences x languages) held at a time.
+BLOCK, CELLS = 1_000_000, 4_000_000
 #: What stands before a text's first byte.
 PAD = b"\n" * ORDER
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
+@dataclass
+class Sparse:
+    """Bits of the languages that have a byte sequence: those of ``keys[i]`` are entries ``start[i]`` to ``start[i + 1]``."""
+
+    keys: np.ndarray
+    start: np.ndarray
+    lang: np.ndarray
+    bits: np.ndarray
+
+    def entries(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index into ``keys``, language, bits) of all entries of ``keys``."""
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        n = np.where(self.keys[at] == keys, self.start[at + 1] - self.start[at], 0)
+        entry = np.arange(n.sum()) + np.repeat(self.start[at] - (np.cumsum(n) - n), n)
+        return np.repeat(np.arange(len(keys)), n), self.lang[entry], self.bits[entry]
+
+
 @dataclass
 class Model:
     langs: list[str]
-    symbol: np.ndarray  # byte -> symbol; the last symbol stands for all bytes never seen
-    row: np.ndarray  # three symbols -> row of the longest context kept
-    bits: np.ndarray  # (row * symbols + symbol, language)
+    escapes: list[Sparse]  # by length of the context
+    symbols: list[Sparse]  # contexts with the byte that follows
+
+    def costs(self, gram: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of 4-byte sequences under each language."""
+        out = np.full((len(gram), len(self.langs)), 8.0)
+        for order in range(ORDER + 1):  # from the shortest context on: a seen byte's own cost, or the escape on top
+            own, at = np.unique(gram & (1 << 8 * (order + 1)) - 1, return_inverse=True)
+            add, direct = np.zeros((len(own), len(self.langs))), np.full((len(own), len(self.langs)), np.nan)
+            row, lang, bits = self.escapes[order].entries(own >> 8)
+            add[row, lang] = bits
+            row, lang, bits = self.symbols[order].entries(own)
+            direct[row, lang] = bits
+            out += add[at]
+            direct = direct[at]
+            out = np.where(np.isnan(direct), out, direct)
+        return out
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text under each language."""
@@ -64,25 +99,33 @@ class Model:
 
     def _add(self, total: np.ndarray, block: list[bytes], owner: list[int]) -> None:
         """Each block begins with ORDER bytes of context."""
-        k = int(self.symbol.max()) + 1
-        s = self.symbol[np.frombuffer(b"".join(block), np.uint8)]
-        context = (s[:-3] * k + s[1:-2]) * k + s[2:-1]
-        cost = self.bits[self.row[context] * k + s[3:]]
-        ends = np.cumsum([len(b) for b in block])
-        starts = ends - [len(b) for b in block]
-        edges = np.stack([starts, ends - ORDER], axis=1).ravel()  # own bytes, then the next block's context
-        edges = edges[:-1] if edges[-1] >= len(cost) else edges
-        sums = np.add.reduceat(cost, edges, axis=0, dtype=np.float64)[::2]
-        np.add.at(total, owner, sums)
+        b = np.frombuffer(b"".join(block), np.uint8).astype(np.int64)
+        ends = np.cumsum([len(x) for x in block])
+        of = np.repeat(np.arange(len(block)), [len(x) - ORDER for x in block])
+        last = np.arange(len(b))[ORDER:]
+        last = last[last - (ends - [len(x) for x in block])[np.searchsorted(ends, last, side="right")] >= ORDER]
+        gram, at = np.unique(((b[last - 3] << 8 | b[last - 2]) << 8 | b[last - 1]) << 8 | b[last], return_inverse=True)
+        # How often each block has each sequence, by sequence
+        pair, n = np.unique(at * len(block) + of, return_counts=True)
+        at, of, step = pair // len(block), pair % len(block), max(1, CELLS // len(self.langs))
+        for lo in range(0, len(gram), step):
+            cost = self.costs(gram[lo : lo + step])
+            here = np.arange(*np.searchsorted(at, [lo, lo + step]))
+            for some in np.array_split(here, max(1, -(-len(here) // step))):
+                by = some[np.argsort(of[some], kind="stable")]
+                first = np.flatnonzero(np.diff(of[by], prepend=-1))
+                sums = np.add.reduceat(cost[at[by] - lo] * n[by, None], first, axis=0) if len(by) else np.empty((0, len(self.langs)))
+                np.add.at(total, np.asarray(owner)[of[by[first]]], sums)
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int) -> DataFrame:
-    """(lang, text) of at most ``per_lang`` documents of each of at most MAX_LANGS languages."""
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    langs = own.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).select("lang")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = own.where("text is not null").select("id", "lang").join(F.broadcast(langs), "lang").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_lang)
-    return own.where("text is not null").join(F.broadcast(ids.select("id", "lang").distinct()), ["id", "lang"])  # at most per_lang * MAX_LANGS ids
+    """(lang, text) of ``per_lang`` documents of each language, or all that it has."""
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
+    place = F.struct(F.xxhash64("id").alias("h"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), F.xxhash64("text").alias("t"))
+    first = Window.partitionBy("lang").orderBy("place")
+    nth = own.select("lang", place.alias("place")).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_lang)
+    until = nth.groupBy("lang").agg(F.max("place").alias("until"))  # a row for each language
+    return own.join(F.broadcast(until), "lang").where(place <= F.col("until")).select("lang", "text")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,65 +144,42 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = DOCS_PER_LANG) -> Model | None:
     """The model of a labelled table; None if no row has a text and a language."""
     grams = _sample(docs, id_col, text_col, lang_col, per_lang).select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
-    grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS)
-    table = grams.toArrow()
+    table = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    names = table.column("lang").combine_chunks().dictionary_encode()
+    langs = names.dictionary.to_pylist()
+    labels = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang")).distinct().toArrow().column("lang").to_pylist()
+    if left_out := sorted(set(labels) - set(langs)):
+        log.warning("%d languages have no text to learn from and are never predicted: %s", len(left_out), left_out)
     if not table.num_rows:
         return None
-    return build(table.column("lang").to_pylist(), table.column("gram").to_numpy(), table.column("n").to_numpy())
+    order = np.argsort(langs)
+    rank = np.empty(len(langs), np.int64)
+    rank[order] = np.arange(len(langs))
+    return _trees(sorted(langs), rank[names.indices.to_numpy()], table.column("gram").to_numpy(), table.column("n").to_numpy())
 
 
 def build(lang: list[str], gram: np.ndarray, n: np.ndarray) -> Model:
-    """The cost table of counted 4-byte sequences (three of context, one that follows)."""
+    """The trees of counted 4-byte sequences (three of context, one that follows)."""
     langs = sorted(set(lang))
-    of = np.searchsorted(langs, lang)
-    seen = np.unique([gram >> (8 * i) & 255 for i in range(4)])
-    k = len(seen) + 1
-    symbol = np.full(256, k - 1, dtype=np.int64)
-    symbol[seen] = np.arange(k - 1)
-    parts = [symbol[gram >> (8 * i) & 255] for i in (3, 2, 1, 0)]
-    most = max(1, MODEL_BYTES // (4 * k * len(langs)))
-    # Contexts by length: their codes, sorted; beyond ``most`` the rarer and longer ones are left out.
-    kept: list[np.ndarray] = [np.zeros(1, np.int64)]
-    room = most - 1
-    for order in range(1, ORDER + 1):
-        code = _code(parts[ORDER - order : ORDER], k)
-        codes, at = np.unique(code, return_inverse=True)
-        if len(codes) > max(0, room):
-            often = np.bincount(at, n)
-            codes = np.sort(codes[np.lexsort((codes, -often))[: max(0, room)]])
-        kept.append(codes)
-        room -= len(codes)
-    rows = np.cumsum([0] + [len(c) for c in kept])
-    bits = np.empty((rows[-1], k, len(langs)), dtype=np.float32)
-    longest = np.zeros(1, dtype=np.int64)  # row of the longest kept context, by code of the given length
+    return _trees(langs, np.searchsorted(langs, lang), np.asarray(gram), np.asarray(n))
+
+
+def _trees(langs: list[str], of: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
+    escapes, symbols, k = [], [], len(langs)
     for order in range(ORDER + 1):
-        own = slice(rows[order], rows[order + 1])
-        if order == 0:
-            shorter = np.full((1, k, len(langs)), 8.0)
-        else:
-            longest = np.tile(longest, k)  # one byte more in front: the same suffix
-            shorter = bits[longest[kept[order]]].astype(np.float64)
-        code = _code(parts[ORDER - order : ORDER], k) if order else np.zeros(len(gram), np.int64)
-        at = np.searchsorted(kept[order], code)
-        at = np.minimum(at, max(0, len(kept[order]) - 1))
-        here = kept[order][at] == code if len(kept[order]) else np.zeros(len(code), bool)
-        count = np.zeros((len(kept[order]), k, len(langs)))
-        np.add.at(count, (at[here], parts[3][here], of[here]), n[here])
-        total, kinds = count.sum(axis=1, keepdims=True), (count > 0).sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            escape = np.where(total > 0, np.log2((total + kinds) / kinds), 0.0)
-            direct = np.log2((total + kinds) / count)
-        bits[own] = np.where(count > 0, direct, escape + shorter)
-        if order:
-            longest[kept[order]] = np.arange(rows[order], rows[order + 1])
-    return Model(langs, symbol, longest.astype(np.int32), bits.reshape(-1, len(langs)))
-
-
-def _code(parts: list[np.ndarray], k: int) -> np.ndarray:
-    code = np.zeros(len(parts[0]), dtype=np.int64)
-    for p in parts:
-        code = code * k + p
-    return code
+        seen, at = np.unique((gram & (1 << 8 * (order + 1)) - 1) * k + of, return_inverse=True)
+        count = np.bincount(at, n)
+        key, lang = seen // k, seen % k
+        context, at = np.unique((key >> 8) * k + lang, return_inverse=True)
+        total, kinds = np.bincount(at, count), np.bincount(at)
+        escapes.append(_sparse(context // k, context % k, np.log2((total + kinds) / kinds)))
+        symbols.append(_sparse(key, lang, np.log2((total + kinds)[at] / count)))
+    return Model(langs, escapes, symbols)
+
+
+def _sparse(key: np.ndarray, lang: np.ndarray, bits: np.ndarray) -> Sparse:
+    keys, start = np.unique(key, return_index=True)
+    return Sparse(keys, np.append(start, len(key)), lang.astype(np.int32), bits.astype(np.float32))
 
 
 def has_letter(text: str | None) -> bool:
@@ -181,7 +201,7 @@ def predicted(model: Model | None, texts: list[str | None]) -> tuple[list[str],
 
 
 def language(text: Column, model: Broadcast) -> Column:
-    """struct<lang, score> of a text under a broadcast model (its size is bounded by MODEL_BYTES)."""
+    """struct<lang, score> of a text under a broadcast model (its size follows the sample)."""
 
     @F.arrow_udf("struct<lang string, score double>")
     def predict(texts: pa.Array) -> pa.Array:

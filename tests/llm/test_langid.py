@@ -78,3 +78,28 @@ def test_edge_cases(spark):
     assert got == [(0, "fr"), (1, "und"), (2, "und"), (3, "und"), (4, "en"), (4, "en"), (5, "fr"), (6, "und")]
     assert {r.lang_pred for r in langid.identify(df, train.limit(0)).collect()} == {"und"}
     assert langid.identify(df.limit(0), train).collect() == []
+
+
+def test_no_order_and_no_language_is_cut():
+    """Many languages over many symbols, one of them with a single short text."""
+    rng = random.Random(4)
+    train = {f"l{i:03d}": ["".join(chr(rng.randrange(33, 500)) for _ in range(300))] for i in range(260)} | {"tiny": ["qzj qzj"]}
+    rows = []
+    for lang, texts in train.items():
+        b = langid.PAD + texts[0].encode()
+        rows += [(lang, g, c) for g, c in Counter(int.from_bytes(b[i - 3 : i + 1], "big") for i in range(3, len(b))).items()]
+    lang, gram, n = zip(*rows, strict=True)
+    model = langid.build(list(lang), np.array(gram), np.array(n))
+    assert model.langs == sorted(train)
+    probes = ["qzj", train["l007"][0][40:80], "other"]
+    for t, row in zip(probes, model.code_lengths([p.encode() for p in probes]), strict=True):
+        for code in ("tiny", "l007", "l259"):
+            assert row[model.langs.index(code)] == pytest.approx(brute_bits([train[code][0].encode()], t.encode()), rel=1e-5)
+    assert langid.predicted(model, probes[:2])[0] == ["tiny", "l007"]
+
+
+def test_learn_keeps_small_and_many_languages(spark):
+    rows = [(i, f"word{i} text{i} of language {i} " * 3, f"l{i:03d}") for i in range(300)] + [(None, "qzj qzj", "zz"), (900, None, "none")]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == sorted({lang for _, t, lang in rows if t})
+    assert langid.predicted(model, ["qzj qzj"])[0] == ["zz"]
