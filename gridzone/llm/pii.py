@@ -69,6 +69,17 @@ def _emails(text: str):
             free = m.end()
 
 
+def _ibans(text: str):
+    """Spans that pass mod-97, the longest end at a group border first: a match may run on into the words that follow."""
+    m = IBAN.search(text)
+    while m:
+        ends = [m.end(), *(i for i in range(m.end() - 1, m.start(), -1) if text[i] == " ")]
+        end = next((e for e in ends if mod_97(text[m.start() : e])), None)
+        if end:
+            yield m.start(), end
+        m = IBAN.search(text, end or m.start() + 1)
+
+
 def _proposed(text: str):
     if "@" in text:
         yield from (("email", *span) for span in _emails(text))
@@ -85,9 +96,7 @@ def _proposed(text: str):
         for m in PHONE.finditer(text):
             if 9 <= len(NOT_DIGIT.sub("", m[0])) <= 15:
                 yield "phone", *m.span()
-    for m in IBAN.finditer(text):
-        if mod_97(m[0]):
-            yield "iban", *m.span()
+    yield from (("iban", *span) for span in _ibans(text))
     for m in SSN.finditer(text):
         if m[0][:3] not in ("000", "666") and m[0] < "900" and m[0][4:6] != "00" and m[0][7:] != "0000":
             yield "ssn", *m.span()

@@ -85,3 +85,10 @@ def test_edge_cases(spark):
 def test_redaction_leaves_nothing_of_a_span():
     text = "mail a.b@c.org or card 4111 1111 1111 1111, +4111111111111111 ok"
     assert pii.redacted(text) == "mail <EMAIL> or card <CARD>, +<CARD> ok"
+
+
+def test_iban_before_capital_words():
+    iban = "AT61 1904 3002 3457 3201"
+    for after in (" BIC x", " EUR", " 5", " PLEASE", "", "."):
+        assert pii.redacted(f"pay to {iban}{after}") == f"pay to <IBAN>{after}"
+    assert pii.redacted(f"konto XX12 3456 7890 {iban} EUR 5") == "konto XX12 3456 7890 <IBAN> EUR 5"
