@@ -1,7 +1,8 @@
 """Secret scan: fixed shapes, and a battery of randomness tests for long tokens. DataFrame functions only.
 
 Shapes (assignments, access keys, hex strings) are found by pattern. Every
-other long token that mixes letters and digits is a candidate of kind
+other long token that mixes letters and digits or upper and lower case, or is
+written in the base32 alphabet, is a candidate of kind
 ``random``: its encoding is inferred (hex, base32, base64) and three tests ask
 whether it could be uniform over that alphabet - chi-squared over eight equal
 parts of the alphabet, runs about its middle, and lag-1 serial correlation.
@@ -137,7 +138,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     tagged = lambda spans, rank, kind: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), s["end"].alias("end"), F.lit(None).cast("double").alias("score")))
     base = F.concat(*(tagged(F.col(k), i, k) for i, k in enumerate(BASE_KINDS)))
-    mixed = F.filter("candidates", lambda c: c["token"].rlike("[0-9]") & c["token"].rlike("[A-Za-z]"))
+    both = lambda c, a, b: c["token"].rlike(a) & c["token"].rlike(b)
+    mixed = F.filter("candidates", lambda c: both(c, "[0-9]", "[A-Za-z]") | both(c, "[a-z]", "[A-Z]") | both(c, r"\A[A-Z2-7]+=*\z", "[A-Z]"))
     found = stored(found.select("id", "row", F.sort_array(base).alias("base"), mixed.alias("candidates")), "secret-spans")
     apart = F.filter("candidates", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     tokens = found.where(F.size("candidates") > 0).select("row", F.explode(apart).alias("c")).select("row", "c.*")

@@ -90,3 +90,13 @@ def test_edge_cases(spark):
         (0, []), (1, []), (2, []), (3, [("assign", 2, 17)]), (3, [("assign", 2, 17)]), (4, [("random", 220000, 220040)]),
     ]
     assert secretscan.find_secrets(df.limit(0)).collect() == []
+
+
+def test_letter_only_keys_are_tested(spark):
+    """Random keys without a digit, of mixed case and over the base32 alphabet."""
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(rng.choices(letters + letters.lower(), k=32)) for _ in range(20)] + ["".join(rng.choices(letters, k=32)) for _ in range(20)]
+    df = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(keys)], "doc_id long, text string")
+    found = {r.doc_id: [s.kind for s in r.secrets] for r in secretscan.find_secrets(df).collect()}
+    assert sum(kinds == ["random"] for kinds in found.values()) >= 36
