@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzone.llm import langid, pii, quality, secretscan, segment, vecdedup, warc
+from gridzone.llm import langid, pii, quality, secretscan, segment, spelling, vecdedup, warc
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.packing import pack
@@ -119,3 +119,8 @@ def op6_embeddings(spark, sf_dir):
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling.group_variants(spelling.count_words(read(spark, sf_dir, "documents"), min_chars=7, typo_rate=31), min_count=2, ratio=10)
