@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridzone.llm import langid, pii, quality, secretscan, segment, spelling, vecdedup, warc
+from gridzone.llm import langid, lexsearch, pii, quality, secretscan, segment, sharding, spelling, vecdedup, warc
 from gridzone.llm.common import read
 from gridzone.llm.linededup import dedup_lines
 from gridzone.llm.packing import pack
@@ -124,3 +124,36 @@ def pipeline(spark, sf_dir):
 @query
 def op13_spelling(spark, sf_dir):
     return spelling.group_variants(spelling.count_words(read(spark, sf_dir, "documents"), min_chars=7, typo_rate=31), min_count=2, ratio=10)
+
+
+@query
+def op12_search(spark, sf_dir):
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return lexsearch.search(lexsearch.build_index(docs, items), docs, items, k=20)
+
+
+ORACLE["op12_search"] = r"""
+WITH words AS (
+  SELECT rid, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS rid, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+), docs AS (SELECT rid, doc_id, count(*)::BIGINT AS n FROM words GROUP BY ALL
+), totals AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM docs
+), freq AS (SELECT rid, term, count(*)::BIGINT AS tf FROM words GROUP BY ALL
+), weights AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM freq, totals GROUP BY term, big_n
+), items AS (
+  SELECT iid, item_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS iid, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark)
+), scores AS (
+  SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l))))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN freq USING (term) JOIN docs USING (rid), totals GROUP BY ALL
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id)::INT AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op11_sharding(spark, sf_dir):
+    dealt = sharding.shuffle_into_shards(read(spark, sf_dir, "documents").select("doc_id", "text"), shards=8, seed=11, from_files=True)
+    text = F.coalesce("text", F.lit(""))
+    return dealt.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
