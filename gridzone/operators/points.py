@@ -7,35 +7,33 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridzone.operators.cover import inside_boundary_cell, quadtree_cover
 from gridzone.operators.joins import sized_broadcast
-from gridzone.operators.vector import polygon_edges
 
 EARTH_RADIUS_M = 6371008.8  # mean Earth radius (sphere stands in for the geography type)
 METERS_PER_MILE = 1609.344
 
 
-def pip_join(points: DataFrame, vertices: DataFrame, band: float | None = None) -> DataFrame:
+def pip_join(points: DataFrame, vertices: DataFrame, max_rows: int | None = None, cover: tuple | None = None) -> DataFrame:
     """Points inside polygons (even-odd per part): ``(pid, poly_id)``.
 
-    Edges are cut into horizontal bands of height ``band`` (in the points' y
-    unit) and joined to points on the band number, so each point meets only the
-    few edges that can cross its horizontal ray. The banded edge table depends
-    on the polygons only and is broadcast behind a size check.
+    Polygons become a quadtree cover (``cover.quadtree_cover``) and a point looks up its cell at each
+    level in use (at most a dozen): a cell inside answers at once, a boundary cell with its own few
+    edges. So a join key holds one cell of each polygon there, however many points and
+    edges there are; the cover is broadcast behind a size check, beyond it both sides are
+    dealt by (level, cell). ``cover`` takes the result of ``quadtree_cover`` where it is at hand.
     """
-    e = polygon_edges(vertices).filter(F.col("gy") != F.col("hy"))
-    if band is None:  # default: 256 bands over the polygons' y extent (one aggregate row)
-        lo, hi = e.agg(F.min(F.least("gy", "hy")), F.max(F.greatest("gy", "hy"))).first()
-        band = (hi - lo) / 256.0 if lo is not None and hi > lo else 1.0
-    eb = e.select(
-        "poly_id", "part", "gx", "gy", "hx", "hy",
-        F.explode(F.sequence(F.floor(F.least("gy", "hy") / band), F.floor(F.greatest("gy", "hy") / band))).alias("band"),
-    )
-    eb = sized_broadcast(eb)[0]
-    p = points.select("pid", "px", "py", F.floor(F.col("py") / band).alias("band"))
-    xcross = F.col("gx") + (F.col("py") - F.col("gy")) * (F.col("hx") - F.col("gx")) / (F.col("hy") - F.col("gy"))
-    j = p.join(eb, "band").filter(((F.col("gy") > F.col("py")) != (F.col("hy") > F.col("py"))) & (F.col("px") < xcross))
-    parts = j.groupBy("pid", "poly_id", "part").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") % 2 == 1)
-    return parts.select("pid", "poly_id").distinct()
+    square, cells = cover or quadtree_cover(vertices)
+    if square is None:
+        return points.select("pid", F.lit(None).cast(vertices.schema["poly_id"].dataType).alias("poly_id")).where("false")
+    levels = sorted(r["level"] for r in cells.select("level").distinct().collect())
+    cells = sized_broadcast(cells, max_rows)[0]
+    at = [square.address(F.col("px"), F.col("py"), lvl) for lvl in levels]
+    keys = F.array(*(F.struct(F.lit(lvl).alias("level"), x.alias("cx"), y.alias("cy")) for lvl, (x, y) in zip(levels, at)))
+    p = points.select("pid", "px", "py", F.inline(keys))
+    found = p.join(cells, ["level", "cx", "cy"])
+    hit = F.col("edges").isNull() | (inside_boundary_cell(F.col("px"), F.col("py"), square) == 1)
+    return found.where(hit).select("pid", "poly_id").distinct()
 
 
 def haversine_m(lon1: Column, lat1: Column, lon2: float, lat2: float) -> Column:

@@ -199,9 +199,9 @@ def _lonlat_polys(spark: SparkSession) -> DataFrame:
       "GROUP BY ALL HAVING count(*) % 2 = 1)",
 )
 def pip_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events inside each polygon (ray-casting parity, banded edge join)."""
+    """Events inside each polygon (quadtree cover, edges of boundary cells only)."""
     pts = L.points(spark, sf_dir).select("pid", F.col("lon").alias("px"), F.col("lat").alias("py"))
-    return P.pip_join(pts, _lonlat_polys(spark), band=2.0 / 64)
+    return P.pip_join(pts, _lonlat_polys(spark))
 
 
 _RLON, _RLAT = (math.radians(v) for v in RADIUS_CENTER)
