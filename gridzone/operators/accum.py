@@ -1,18 +1,18 @@
 """Running-count accumulator: answer zonal cross-tabs from the zone boundary.
 
-Stored table (built once per layer pair, "ingest"): ``tile_prefix``, one row
-per pixel column and tile with the counts of each value pair (a, b) above the
-tile and in the tile's blocks of K rows.
-
-Query for a row span [r0, r1) of column x: count(pair) = P(r1) - P(r0) with
-P(e) = entries of e's tile before e's block + raw cells of that block with y < e.
-Only the prefix rows at span ends and the raw cells of the blocks holding a
-span end are read: the work follows the polygon boundary, not its area.
+Stored table (built once per layer pair, "ingest"): ``rank_bitmaps``, one row per
+pixel column and tile with, for each value pair (a, b), the number of its
+cells in the column above the tile and the tile's own cells as 64-row bitmaps.
+
+Query for a row span [r0, r1) of column x: count(pair) = P(r1) - P(r0), and P(e)
+is the count above e's tile plus the set bits above e. So a span end needs one
+row; the raw cells are not read, and the work follows the polygon
+boundary, not its area.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridzone.operators.joins import sized_broadcast
@@ -32,26 +32,6 @@ def column_prefix_counts(pairs: DataFrame) -> DataFrame:
     return pairs.select("x", "y", "a", "b", F.count(F.lit(1)).over(w).alias("cum"))
 
 
-def block_prefix_counts(pairs: DataFrame, block: int, height: int) -> DataFrame:
-    """Blocked prefix table ``(x, blk, a, b, cum)`` (see module doc).
-
-    groupBy(x, blk, a, b) aggregates map-side before its shuffle, so only
-    per-block counts move; the running sum is a window over at most
-    ceil(height / block) rows per (x, a, b).
-    """
-    nblocks = -(-height // block)
-    counts = pairs.groupBy("x", F.floor(F.col("y") / block).alias("blk"), "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("x", "a", "b").orderBy("blk")
-    run = counts.select(
-        "x", "a", "b", "blk",
-        F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
-        F.coalesce(F.lead("blk").over(w) - 1, F.lit(nblocks - 1)).alias("until"),
-    )
-    return run.select(
-        "x", F.explode(F.sequence("blk", "until")).alias("blk"), "a", "b", F.col("cum").cast("bigint").alias("cum")
-    )
-
-
 def span_ends(spans: DataFrame) -> DataFrame:
     """Signed span ends ``(poly_id, x, e, sign)``: +1 at r1, -1 at r0 (r0 = 0 adds nothing)."""
     ends = F.array(F.struct(F.col("r1").alias("e"), F.lit(1).alias("sign")),
@@ -59,64 +39,79 @@ def span_ends(spans: DataFrame) -> DataFrame:
     return spans.select("poly_id", "x", F.inline(ends)).filter(F.col("e") > 0)
 
 
-def tile_prefix(pairs: DataFrame, block: int, height: int, tile: int) -> DataFrame:
+#: Rows of a bitmap word.
+WORD = 64
+
+
+def rank_bitmaps(pairs: DataFrame, height: int, tile: int) -> DataFrame:
     """Stored form of the running counts: one row per pixel column and tile, ``(x, tr, entries)``.
 
-    ``entries`` holds (blk, a, b, n): with blk = -1 the cells of pair (a, b) in
-    the column above the tile, else those in block blk of the tile. So a pair
-    has an entry where it occurs and one per tile below, not one per block, and
-    a span end needs a single row. ``tile`` is a multiple of ``block``; a row's
-    array holds at most tile + pairs entries.
+    ``entries`` holds (a, b, above, words): cells of the pair in the column above the tile, and word k with bit i set
+    where row ``64 k + i`` of the tile has the pair. A pair has an entry from its first tile down, with empty words where the
+    tile does not hold it, so there are at most as many entries as pairs in a column and tile.
+    Words are gathered map-side; the running sum is a window over the tiles of one column and pair.
     """
+    n_words = -(-tile // WORD)
+    inside = F.col("y") % tile
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (inside % WORD).cast("int"))
+    words = [F.coalesce(F.bit_or(F.when(F.floor(inside / WORD) == k, bit)), F.lit(0).cast("bigint")) for k in range(n_words)]
+    here = pairs.groupBy("x", "a", "b", F.floor(F.col("y") / tile).alias("tr")).agg(F.array(*words).alias("words"), F.count(F.lit(1)).alias("n"))
+    column = Window.partitionBy("x", "a", "b").orderBy("tr")
+    run = here.select(
+        "x", "a", "b", "tr", "words", "n",
+        F.sum("n").over(column.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto"),
+        F.coalesce(F.lead("tr").over(column) - 1, F.lit((height - 1) // tile)).alias("until"),
+    )
+    none = F.array(*[F.lit(0).cast("bigint")] * n_words)
+    own = F.col("at") == F.col("tr")
+    spread = run.withColumn("at", F.explode(F.sequence("tr", "until"))).select(
+        "x", F.col("at").alias("tr"), "a", "b", F.when(own, F.col("upto") - F.col("n")).otherwise(F.col("upto")).alias("above"), F.when(own, F.col("words")).otherwise(none).alias("words"))
+    return spread.groupBy("x", "tr").agg(F.collect_list(F.struct("a", "b", "above", "words")).alias("entries"))
+
+
+def rank(above: Column, words: Column, rows: Column, n_words: int) -> Column:
+    """Cells of a pair in its column before row ``rows`` (1 .. tile) of the tile: the count above plus the bits before it."""
+    out = above
+    for k in range(n_words):
+        left = (rows - WORD * k).cast("int")
+        mask = F.bitwise_not(F.call_function("shiftleft", F.lit(-1).cast("bigint"), left))
+        bits = F.when(left >= WORD, words[k]).when(left > 0, words[k].bitwiseAND(mask)).otherwise(F.lit(0).cast("bigint"))
+        out = out + F.bit_count(bits)
+    return out
+
+
+def block_prefix_counts(ranks: DataFrame, block: int, height: int, tile: int) -> DataFrame:
+    """Running counts up to the end of each ``block`` rows, ``(x, blk, a, b, cum)`` from a pair's first block down, read off ``rank_bitmaps``."""
     if tile % block:
         raise ValueError("tile must be a multiple of the block length")
-    counts = pairs.groupBy("x", F.floor(F.col("y") / block).alias("blk"), "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    here = counts.select("x", F.floor(F.col("blk") * block / tile).alias("tr"), "blk", "a", "b", "n")
-    column = Window.partitionBy("x", "a", "b").orderBy("tr")
-    total = here.groupBy("x", "a", "b", "tr").agg(F.sum("n").alias("n")).select(
-        "x", "a", "b", (F.col("tr") + 1).alias("first"),
-        F.coalesce(F.lead("tr").over(column), F.lit(height // tile)).alias("last"),
-        F.sum("n").over(column.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n"),
-    ).filter("first <= last")
-    above = total.select("x", F.explode(F.sequence("first", "last")).alias("tr"), F.lit(-1).cast("bigint").alias("blk"), "a", "b", "n")
-    return here.unionByName(above).groupBy("x", "tr").agg(F.collect_list(F.struct("blk", "a", "b", "n")).alias("entries"))
-
-
-def zonal_crosstab_accum(prefix: DataFrame, pairs: DataFrame, spans: DataFrame, block: int, tile: int,
-                         max_rows: int | None = None) -> DataFrame:
-    """Cross-tab ``(poly_id, a, b, n)`` from the prefix table and boundary blocks only.
-
-    ``prefix`` is ``tile_prefix(pairs, block, height, tile)``; ``spans`` must be
-    clipped to the grid (``polygon_spans`` does this). Where the tables are
-    stored by tile (``catalog.write_tiled``) every look-up also matches the tile
-    key and its folder, so only folders holding a span end are read.
+    per = tile // block
+    first = F.col("tr") * per
+    blocks = F.sequence(first, F.least(first + per - 1, F.lit(-(-height // block) - 1)))
+    e = ranks.select("x", "tr", F.explode(blocks).alias("blk"), "entries").select("x", "tr", "blk", F.inline("entries"))
+    rows = (F.col("blk") + 1) * block - F.col("tr") * tile
+    return e.select("x", "blk", "a", "b", rank(F.col("above"), F.col("words"), rows, -(-tile // WORD)).cast("bigint").alias("cum")).filter("cum > 0")
+
+
+def zonal_crosstab_accum(ranks: DataFrame, spans: DataFrame, tile: int, max_rows: int | None = None) -> DataFrame:
+    """Cross-tab ``(poly_id, a, b, n)`` from the rank bitmaps of the columns and tiles that hold a span end.
+
+    ``ranks`` is ``rank_bitmaps(pairs, height, tile)``; ``spans`` must be clipped to the grid (``polygon_spans`` does
+    this). Where the table is stored by tile
+    (``catalog.write_tiled``) the look-up also matches the tile key and its folder, so only folders holding a span end are read.
     """
     from gridzone.operators.layout import zorder
     from gridzone.sources.catalog import folder
 
-    if tile % block:
-        raise ValueError("tile must be a multiple of the block length")
-    ends = span_ends(spans).select("poly_id", F.col("x").alias("ex"), "e", "sign", F.floor(F.col("e") / block).alias("rb"))
-    ends = ends.withColumn("et", F.floor(F.col("rb") * block / tile))
+    tr = F.floor((F.col("e") - 1) / tile)
+    ends = span_ends(spans).select("poly_id", F.col("x").alias("ex"), tr.alias("et"), (F.col("e") - tr * tile).alias("rows"), "sign")
     ends = ends.withColumn("ez", zorder(F.floor(F.col("ex") / tile), F.col("et")))
     ends = sized_broadcast(ends, max_rows)[0]
-
-    def stored(table: DataFrame, cond):
-        return (F.col("zc") == folder(F.col("ez"))) & (F.col("z") == F.col("ez")) & cond if "zc" in table.columns else cond
-
-    row = prefix.join(ends, stored(prefix, (F.col("x") == F.col("ex")) & (F.col("tr") == F.col("et"))))
-    whole = row.select("poly_id", "rb", "sign", F.inline("entries")).filter(F.col("blk") < F.col("rb")).select(
-        "poly_id", "a", "b", (F.col("sign") * F.col("n")).alias("c"))
-    inside = ends.filter(F.col("e") % block != 0)
-    cond = (F.col("x") == F.col("ex")) & (F.col("rbk") == F.col("rb")) & (F.col("y") < F.col("e"))
-    raw = pairs.withColumn("rbk", F.floor(F.col("y") / block)).join(inside, stored(pairs, cond)).select(
-        "poly_id", "a", "b", F.col("sign").cast("bigint").alias("c"))
-    return (
-        whole.unionByName(raw)
-        .groupBy("poly_id", "a", "b")
-        .agg(F.sum("c").cast("bigint").alias("n"))
-        .filter(F.col("n") != 0)
-    )
+    cond = (F.col("x") == F.col("ex")) & (F.col("tr") == F.col("et"))
+    if "zc" in ranks.columns:
+        cond = (F.col("zc") == folder(F.col("ez"))) & (F.col("z") == F.col("ez")) & cond
+    row = ranks.join(ends, cond).select("poly_id", "rows", "sign", F.inline("entries"))
+    n = F.col("sign") * rank(F.col("above"), F.col("words"), F.col("rows"), -(-tile // WORD))
+    return row.groupBy("poly_id", "a", "b").agg(F.sum(n).cast("bigint").alias("n")).filter(F.col("n") != 0)
 
 
 # ------------------------------------------------------------------ literal marching behaviour

@@ -130,6 +130,11 @@ def zonal_crosstab(a: DataFrame, b: DataFrame, pieces: Zone | DataFrame, block:
     return j.groupBy("poly_id", "a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
+def pairs_crosstab(pairs: DataFrame, pieces: Zone | DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """The same of cells ``(x, y, a, b)`` that are overlaid already."""
+    return cells_in_zone(pairs, pieces, block).groupBy("poly_id", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
 def poly_stats(layer: DataFrame, pieces: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Zonal mean / min / max / count of one layer."""
     z = cells_in_zone(data_cells(layer), pieces, block)

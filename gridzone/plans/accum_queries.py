@@ -13,7 +13,8 @@ from gridzone.sources import layers as L
 from gridzone.sources.polygons import FLAGSHIP
 from gridzone.sources.tables import grid_size
 
-K = 16  # accumulator block length on the derived grids
+K = 16  # rows of a block of ``block_prefix_counts``
+RANK_TILE = 64  # tile of the rank bitmaps on the derived grids: one word per pair
 
 _OV = "ov AS (SELECT la.x, la.y, la.v AS a, lb.v AS b FROM la JOIN lb USING (x, y))"
 
@@ -24,12 +25,10 @@ def _pairs(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
 
 @query("zonal_crosstab_accum", _crosstab_sql(ALL_POLYS))
 def zonal_crosstab_accum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same answer as ``zonal_crosstab_multi``, from block prefix counts + boundary blocks."""
+    """Same answer as ``zonal_crosstab_multi``, from the rank bitmaps at the span ends."""
     n, verts = _setup(spark, sf_dir, ALL_POLYS)
-    pairs = _pairs(spark, sf_dir, n)
-    prefix = accum.tile_prefix(pairs, K, n, 4 * K)
-    spans = vector.polygon_spans(verts, n, n)
-    return accum.zonal_crosstab_accum(prefix, pairs, spans, K, 4 * K)
+    ranks = accum.rank_bitmaps(_pairs(spark, sf_dir, n), n, RANK_TILE)
+    return accum.zonal_crosstab_accum(ranks, vector.polygon_spans(verts, n, n), RANK_TILE)
 
 
 @query(
@@ -45,10 +44,9 @@ def zonal_methods_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every test polygon answered by both methods (full count and accumulator), one row
     per (method, polygon, pair): the reference's polygons x methods table, with results."""
     n, verts = _setup(spark, sf_dir, ALL_POLYS)
-    a, b = L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n)
-    base = zonal.zonal_crosstab(a, b, zonal.zone(verts, n, n), BLOCK)
-    pairs = accum.overlay_pairs(a, b)
-    fast = accum.zonal_crosstab_accum(accum.tile_prefix(pairs, K, n, 4 * K), pairs, vector.polygon_spans(verts, n, n), K, 4 * K)
+    pairs = _pairs(spark, sf_dir, n).checkpoint()  # the overlay once for both methods
+    base = zonal.pairs_crosstab(pairs, zonal.zone(verts, n, n))
+    fast = accum.zonal_crosstab_accum(accum.rank_bitmaps(pairs, n, RANK_TILE), vector.polygon_spans(verts, n, n), RANK_TILE)
     return base.select(F.lit("baseline").alias("method"), "*").unionByName(
         fast.select(F.lit("accumulator").alias("method"), "*"))
 
@@ -65,9 +63,9 @@ def zonal_methods_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT x, t.blk, a, b, CAST(cum AS BIGINT) AS cum FROM run, LATERAL generate_series(run.blk, run.until) t(blk)",
 )
 def block_prefix_counts_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored accumulator form: pair counts per column up to each 16-row block."""
+    """Pair counts per column up to each 16-row block, read off the rank bitmaps."""
     n = grid_size(spark, sf_dir)
-    return accum.block_prefix_counts(_pairs(spark, sf_dir, n), K, n)
+    return accum.block_prefix_counts(accum.rank_bitmaps(_pairs(spark, sf_dir, n), n, RANK_TILE), K, n, RANK_TILE)
 
 
 @query(

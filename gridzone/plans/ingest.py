@@ -3,14 +3,13 @@
 Writes (replacing earlier output) under ``root``:
 
     a/, b/        the two layers, in the order and folders of the Z-curve key of their tiles
-    pairs/        cells where both layers hold data (x, y, a, b), same order
-    prefix/       running counts per column and tile (x, tr, entries), tile row tr
+    ranks/        rank bitmaps per column and tile (x, tr, entries), tile row tr
 
 Both zonal methods then read only the tiles they need (dynamic partition
 pruning): ``zonal_crosstab_tiled`` the covering tiles, ``zonal_crosstab_accum``
-with ``tile=`` the tiles holding a span end.
+the tiles holding a span end.
 
-    python -m gridzone.plans.ingest --sf-dir /root/testdata/sf0.1 [--root DIR] [--tile 128] [--block 64]
+    python -m gridzone.plans.ingest --sf-dir /root/testdata/sf0.1 [--root DIR] [--tile 128]
 
 ``--root`` defaults to the session's ``spark.checkpoint.dir`` (shared storage).
 """
@@ -27,20 +26,15 @@ from gridzone.operators import accum
 from gridzone.sources import catalog
 
 
-def ingest_class_layers(a: DataFrame, b: DataFrame, root: str, height: int, tile: int = 512,
-                        block: int = 128) -> dict[str, str]:
-    """Write both layers, their overlay pairs and the prefix table; return the paths."""
-    if tile % block:
-        raise ValueError("tile must be a multiple of the block length")
+def ingest_class_layers(a: DataFrame, b: DataFrame, root: str, height: int, tile: int = 512) -> dict[str, str]:
+    """Write both layers and the rank bitmaps of their overlay; return the paths."""
     spark = a.sparkSession
-    paths = {k: f"{root.rstrip('/')}/{k}" for k in ("a", "b", "pairs", "prefix")}
+    paths = {k: f"{root.rstrip('/')}/{k}" for k in ("a", "b", "ranks")}
     catalog.write_tiled(a.select("x", "y", "v"), paths["a"], tile)
     catalog.write_tiled(b.select("x", "y", "v"), paths["b"], tile)
     sa = catalog.read_tiled(spark, paths["a"]).drop("z", "zc")
     sb = catalog.read_tiled(spark, paths["b"]).drop("z", "zc")
-    catalog.write_tiled(accum.overlay_pairs(sa, sb), paths["pairs"], tile)
-    pairs = catalog.read_tiled(spark, paths["pairs"]).drop("z", "zc")
-    catalog.write_tiled(accum.tile_prefix(pairs, block, height, tile), paths["prefix"], tile, F.col("tr") * tile)
+    catalog.write_tiled(accum.rank_bitmaps(accum.overlay_pairs(sa, sb), height, tile), paths["ranks"], tile, F.col("tr") * tile)
     return paths
 
 
@@ -57,13 +51,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--root", default=None)
     ap.add_argument("--tile", type=int, default=128)
-    ap.add_argument("--block", type=int, default=64)
     args = ap.parse_args(argv)
     spark = SparkSession.getActiveSession() or local_session()
     root = args.root or os.path.join(ensure_checkpoint_dir(spark), "ingest")
     n = grid_size(spark, args.sf_dir)
     paths = ingest_class_layers(L.layer_a(spark, args.sf_dir, n), L.layer_b(spark, args.sf_dir, n), root, n,
-                                args.tile, args.block)
+                                args.tile)
     for k, p in paths.items():
         print(k, p)
 

@@ -74,7 +74,7 @@ def scan_stored_boundary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zonal_crosstab_stored_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-tab of all test polygons from ingested layers, read by folders and row groups of the covering tiles."""
     n, verts = _polygons(spark, sf_dir, ALL_POLYS)
-    st = open_ingested(spark, ingest_class_layers(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), _root(spark, "ingest"), n, TILE, TILE))
+    st = open_ingested(spark, ingest_class_layers(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), _root(spark, "ingest"), n, TILE))
     ranges = catalog.z_ranges(vector.covering_keys(verts, n, n, TILE), n, n, TILE)
     a, b = (catalog.in_folders(st[k], ranges) for k in "ab")
     return zonal.zonal_crosstab_tiled(a, b, zonal.zone(verts, n, n, TILE), TILE)
@@ -82,10 +82,10 @@ def zonal_crosstab_stored_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("zonal_crosstab_accum_stored", ORACLE["zonal_crosstab_multi"])
 def zonal_crosstab_accum_stored_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from the ingested prefix table and pairs, read where spans end."""
+    """The same from the ingested rank bitmaps, read where spans end."""
     n, verts = _polygons(spark, sf_dir, ALL_POLYS)
-    st = open_ingested(spark, ingest_class_layers(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), _root(spark, "ingest"), n, TILE, TILE))
-    return accum.zonal_crosstab_accum(st["prefix"], st["pairs"], vector.polygon_spans(verts, n, n), TILE, TILE)
+    st = open_ingested(spark, ingest_class_layers(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), _root(spark, "ingest"), n, TILE))
+    return accum.zonal_crosstab_accum(st["ranks"], vector.polygon_spans(verts, n, n), TILE)
 
 
 @query(

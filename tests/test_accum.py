@@ -28,28 +28,28 @@ def _as_set(df):
     return {(r.poly_id, r.a, r.b, r.n) for r in df.collect()}
 
 
-@pytest.mark.parametrize("block", [4, 7, 16, 64])
-def test_accum_equals_full_crosstab(spark, block):
-    W, H = 40, 37  # H not a multiple of most block sizes
+@pytest.mark.parametrize("tile", [4, 7, 16, 64, 70, 130])
+def test_accum_equals_full_crosstab(spark, tile):
+    W, H = 40, 37 if tile < 64 else 150  # no multiple of the tile
     la, lb = _layers(spark, W, H, 11)
-    rng = random.Random(block)
+    rng = random.Random(tile)
     polys = {
         "r1": [[_random_polygon(rng, 8, 20, 18, 19)]],
         "r2": [[_random_polygon(rng, 6, 12, 12, 10), _random_polygon(rng, 4, 12, 12, 3)]],
-        "edge": [[[(-5.0, -3.0), (45.0, -2.0), (44.0, 50.0), (-4.0, 41.0)]]],  # covers the grid and beyond
+        "edge": [[[(-5.0, -3.0), (45.0, -2.0), (44.0, 160.0), (-4.0, 151.0)]]],  # covers the grid and beyond
     }
     verts = vertices_df(spark, polys)
     full = zonal.zonal_crosstab(la, lb, zonal.zone(verts, W, H, 8), 8)
     pairs = accum.overlay_pairs(la, lb)
-    prefix = accum.tile_prefix(pairs, block, H, 4 * block)
-    fast = accum.zonal_crosstab_accum(prefix, pairs, vector.polygon_spans(verts, W, H), block, 4 * block)
+    ranks = accum.rank_bitmaps(pairs, H, tile)
+    fast = accum.zonal_crosstab_accum(ranks, vector.polygon_spans(verts, W, H), tile)
     assert _as_set(fast) == _as_set(full)
 
 
 def test_prefix_table_is_dense_and_monotone(spark):
     la, lb = _layers(spark, 12, 30, 3)
     pairs = accum.overlay_pairs(la, lb)
-    p = accum.block_prefix_counts(pairs, 8, 30).collect()
+    p = accum.block_prefix_counts(accum.rank_bitmaps(pairs, 30, 16), 8, 30, 16).collect()
     by = {}
     for r in p:
         by.setdefault((r.x, r.a, r.b), []).append((r.blk, r.cum))
@@ -68,8 +68,7 @@ def test_empty_zone_gives_no_rows(spark):
     la, lb = _layers(spark, 10, 10, 5)
     verts = vertices_df(spark, {"outside": TEST_POLYGONS["outside"]})
     pairs = accum.overlay_pairs(la, lb)
-    res = accum.zonal_crosstab_accum(accum.tile_prefix(pairs, 4, 10, 8), pairs,
-                                     vector.polygon_spans(verts, 10, 10), 4, 8)
+    res = accum.zonal_crosstab_accum(accum.rank_bitmaps(pairs, 10, 8), vector.polygon_spans(verts, 10, 10), 8)
     assert res.count() == 0
     assert zonal.zonal_crosstab(la, lb, zonal.zone(verts, 10, 10, 4), 4).count() == 0
 
@@ -111,14 +110,12 @@ def test_shuffle_fallback_when_spans_exceed_broadcast_limit(spark):
     assert "broadcast" not in plan.lower()
     assert _as_set(zonal.zonal_crosstab(la, lb, z_s, 8)) == _as_set(zonal.zonal_crosstab(la, lb, z_b, 8))
     pairs = accum.overlay_pairs(la, lb)
-    prefix = accum.tile_prefix(pairs, 8, H, 16)
     spans = vector.polygon_spans(verts, W, H)
-    assert _as_set(accum.zonal_crosstab_accum(prefix, pairs, spans, 8, 16, max_rows=0)) == \
+    assert _as_set(accum.zonal_crosstab_accum(accum.rank_bitmaps(pairs, H, 16), spans, 16, max_rows=0)) == \
         _as_set(zonal.zonal_crosstab(la, lb, z_b, 8))
 
 
-@pytest.mark.parametrize("block", [4, 8])
-def test_tile_partitioned_stores_prune_and_agree(spark, block):
+def test_tile_partitioned_stores_prune_and_agree(spark):
     """Stored, z-partitioned layers: both methods read pruned tiles and equal the full count."""
     import tempfile
 
@@ -130,15 +127,15 @@ def test_tile_partitioned_stores_prune_and_agree(spark, block):
     from gridzone.plans.ingest import ingest_class_layers, open_ingested
 
     root = tempfile.mkdtemp(prefix="tiled-", dir=ensure_checkpoint_dir(spark))
-    st = open_ingested(spark, ingest_class_layers(la, lb, root, H, T, block))
-    a, b, sp, pf = st["a"], st["b"], st["pairs"], st["prefix"]
-    rng = random.Random(block)
+    st = open_ingested(spark, ingest_class_layers(la, lb, root, H, T))
+    a, b = st["a"], st["b"]
+    rng = random.Random(4)
     verts = vertices_df(spark, {"p": [[_random_polygon(rng, 7, 12, 14, 9)]], "q": [[_random_polygon(rng, 5, 24, 20, 6)]]})
     want = _as_set(zonal.zonal_crosstab(la, lb, zonal.zone(verts, W, H, T), T))
     z = zonal.zone(verts, W, H, T)
     tiled = zonal.zonal_crosstab_tiled(a, b, z, T)
     assert _as_set(tiled) == want
-    fast = accum.zonal_crosstab_accum(pf, sp, vector.polygon_spans(verts, W, H), block, T)
+    fast = accum.zonal_crosstab_accum(st["ranks"], vector.polygon_spans(verts, W, H), T)
     assert _as_set(fast) == want
     for df in (tiled, fast):
         assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString().lower()
@@ -156,3 +153,20 @@ def test_adaptive_block_keeps_pieces_under_the_limit(spark):
     assert pieces <= small.rows  # the bound holds
     fixed = zonal.zone(verts, W, H, 4)
     assert _as_set(zonal.zonal_crosstab(la, lb, small)) == _as_set(zonal.zonal_crosstab(la, lb, fixed))
+
+
+def test_one_entry_per_cell_at_most_and_full_words(spark):
+    """Every bit of a word, the sign bit too; no more entries than pairs in a column and tile, nor than cells."""
+    cells = [(x, y, (y * 7 + x) % 16, (y // 3) % 4) for x in range(3) for y in range(128)]
+    pairs = spark.createDataFrame(cells, "x bigint, y bigint, a bigint, b bigint")
+    for tile in (64, 128):
+        ranks = accum.rank_bitmaps(pairs, 128, tile)
+        assert ranks.agg(F.sum(F.size("entries"))).first()[0] <= len(cells)
+    spans = spark.createDataFrame([(f"e{e}", x, 0, e) for e in range(1, 129) for x in range(3)], "poly_id string, x bigint, r0 bigint, r1 bigint")
+    got = _as_set(accum.zonal_crosstab_accum(accum.rank_bitmaps(pairs, 128, 128), spans, 128))
+    want = {}
+    for e in range(1, 129):
+        for x, y, a, b in cells:
+            if y < e:
+                want[(f"e{e}", a, b)] = want.get((f"e{e}", a, b), 0) + 1
+    assert got == {(*k, n) for k, n in want.items()}

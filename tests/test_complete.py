@@ -103,11 +103,11 @@ def test_overlapping_parts_count_each_cell_once(spark):
     z = zonal.zone(verts, w, h, 8)
     assert _as_set(zonal.zonal_crosstab(la, lb, z, 8)) == want
     pairs = accum.overlay_pairs(la, lb)
-    assert _as_set(accum.zonal_crosstab_accum(accum.tile_prefix(pairs, 8, h, 16), pairs, spans, 8, 16)) == want
+    assert _as_set(accum.zonal_crosstab_accum(accum.rank_bitmaps(pairs, h, 16), spans, 16)) == want
     from gridzone.plans.ingest import ingest_class_layers, open_ingested
 
     root = tempfile.mkdtemp(prefix="overlap-", dir=ensure_checkpoint_dir(spark))
-    st = open_ingested(spark, ingest_class_layers(la, lb, root, h, 8, 8))
+    st = open_ingested(spark, ingest_class_layers(la, lb, root, h, 8))
     assert _as_set(zonal.zonal_crosstab_tiled(st["a"], st["b"], z, 8)) == want
 
 
@@ -144,12 +144,11 @@ def test_literal_ranges_read_fewer_files(spark, monkeypatch):
     assert cells(zonal.scan_intersects(pruned, keys, 4)) == cells(zonal.scan_intersects(la, keys, 4))
 
 
-def test_prefix_entries_stay_below_the_cells(spark):
-    """With classes in patches, as in land cover, the stored counts are fewer than the cells also for short blocks."""
+def test_rank_entries_stay_below_the_cells(spark):
+    """With classes in patches, as in land cover, a column and tile has few entries."""
     w, h = 16, 256
     cells = [(x, y, (y // 24 + x // 5) % 6) for x in range(w) for y in range(h)]
     layer = spark.createDataFrame(cells, "x bigint, y bigint, v bigint")
-    pairs = accum.overlay_pairs(layer, layer)
-    prefix = accum.tile_prefix(pairs, 16, h, 128)
-    assert prefix.count() <= w * (h // 128 + 1)
-    assert prefix.agg(F.sum(F.size("entries"))).first()[0] < len(cells) / 4
+    ranks = accum.rank_bitmaps(accum.overlay_pairs(layer, layer), h, 128)
+    assert ranks.count() == w * h // 128
+    assert ranks.agg(F.sum(F.size("entries"))).first()[0] < len(cells) / 16

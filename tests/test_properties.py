@@ -26,11 +26,10 @@ def test_spans_match_brute_force_for_arbitrary_polygons(spark, parts):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(parts=st.lists(polygon, min_size=1, max_size=2), block=st.sampled_from([3, 4, 8, 32]))
-def test_accumulator_equals_full_count_for_arbitrary_polygons(spark, parts, block):
+@given(parts=st.lists(polygon, min_size=1, max_size=2), tile=st.sampled_from([3, 8, 16, 64]))
+def test_accumulator_equals_full_count_for_arbitrary_polygons(spark, parts, tile):
     la, lb = _layers(spark, W, H, 5)
     verts = vertices_df(spark, {"p": parts})
-    pairs = accum.overlay_pairs(la, lb)
-    fast = accum.zonal_crosstab_accum(accum.tile_prefix(pairs, block, H, 2 * block), pairs,
-                                      vector.polygon_spans(verts, W, H), block, 2 * block)
+    ranks = accum.rank_bitmaps(accum.overlay_pairs(la, lb), H, tile)
+    fast = accum.zonal_crosstab_accum(ranks, vector.polygon_spans(verts, W, H), tile)
     assert _as_set(fast) == _as_set(zonal.zonal_crosstab(la, lb, zonal.zone(verts, W, H)))
