@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridzone.llm.common import WS
+from gridzone.llm.common import WS, stored
 
 #: Tasks that the rows of one line are spread over where they meet its count.
 SALTS = 8
@@ -41,10 +41,11 @@ def _row_keys(text: Column) -> list[Column]:
 
 
 def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(id, t1, t2, pos, h1, h2) of every line whose key has at least ``min_chars`` code points."""
+    """(id, t1, t2, pos, h1, h2) of every line whose key has at least ``min_chars`` code points. A text is hashed once, below its lines."""
     keys = F.transform(lines_of(lower_ascii(F.col(text_col))), lambda line: F.btrim(line, F.lit(WS)))
+    rows = docs.select(F.col(id_col).alias("id"), *_row_keys(F.col(text_col)), keys.alias("keys"))
     return (
-        docs.select(F.col(id_col).alias("id"), *_row_keys(F.col(text_col)), F.posexplode(keys).alias("pos", "key"))
+        rows.select("id", "t1", "t2", F.posexplode("keys").alias("pos", "key"))
         .where(F.char_length("key") >= min_chars)
         .select("id", "t1", "t2", "pos", F.xxhash64("key").alias("h1"), F.hash("key").alias("h2"))
     )
@@ -60,7 +61,7 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     (t1, t2) have bitmaps of their own, and the first line is that of one text. Null or empty texts have one empty line, whose key has no
     code point.
     """
-    keys = line_keys(docs, id_col, text_col, max(1, min_chars))
+    keys = stored(line_keys(docs, id_col, text_col, max(1, min_chars)), "line-keys")  # the range is sampled on hashes, not on texts
     ranged = keys.repartitionByRange("h1", "h2", "id")
     runs = ranged.sortWithinPartitions("h1", "h2", "id", "pos", "t1", "t2")
     in_doc = Window.partitionBy("h1", "h2", "id").orderBy("pos", "t1", "t2")  # as ranged and sorted: no further exchange or sort
@@ -68,7 +69,7 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     common = firsts.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("id", "pos", "t1", "t2")).alias("first")).where(F.col("n") >= min_docs)
     # A line of a third of all documents meets its one row in SALTS tasks, not in one.
     salted = common.select("h1", "h2", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    hits = ranged.withColumn("salt", F.pmod(F.hash("id", "t1"), F.lit(SALTS))).join(salted, ["h1", "h2", "salt"])
+    hits = keys.withColumn("salt", F.pmod(F.hash("id", "t1"), F.lit(SALTS))).join(salted, ["h1", "h2", "salt"])
     if keep_first:
         hits = hits.where(~F.struct("id", "pos", "t1", "t2").eqNullSafe(F.col("first")))
     word = F.floor(F.col("pos") / 64).cast("int")
@@ -76,20 +77,21 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return bits.groupBy("id", "t1", "t2").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("dropped")).withColumnRenamed("id", id_col)
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``text_col`` cut to the kept lines, and __n_lines, __n_dropped (long)."""
-    by_word = F.map_from_entries("dropped")
-    words = F.transform(F.sequence(F.lit(0), F.element_at("dropped", -1)["word"]), lambda w: F.coalesce(F.try_element_at("__map", w), F.lit(0).cast("long")))
-    maps = bitmaps.withColumn("__map", by_word).select(F.col(id_col).alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2"), words.alias("__bits"))
-    t1, t2 = _row_keys(docs[text_col])
-    same = docs[id_col].eqNullSafe(maps["__id"]) & (t1 == maps["__t1"]) & (t2 == maps["__t2"])
-    joined = docs.join(maps, same, "left").drop("__id", "__t1", "__t2")
-    lines = F.col("__lines")
-    kept = F.filter(lines, lambda line, i: F.coalesce(F.call_function("shiftright", F.get("__bits", F.call_function("shiftright", i, F.lit(6))), F.pmod(i, F.lit(64))).bitwiseAND(1), F.lit(0)) == 0)
-    none = F.col("__bits").isNull()
-    out = joined.withColumn("__lines", lines_of(F.col(text_col))).withColumn("__n_lines", F.size(lines).cast("long")).withColumn("__kept", F.when(~none, kept))
-    out = out.withColumn("__n_dropped", F.when(none, F.lit(0)).otherwise(F.col("__n_lines") - F.size("__kept")).cast("long"))
-    return out.withColumn(text_col, F.when(none, F.col(text_col)).otherwise(F.array_join("__kept", "\n"))).drop("__lines", "__kept", "__bits")
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
+    """``docs`` with ``text_col`` cut to the kept lines; with ``counts`` also n_lines and n_dropped (long). All other columns stay, whatever their names."""
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    text = F.col("row")[text_col]
+    words = F.transform(F.sequence(F.lit(0), F.element_at("dropped", -1)["word"]), lambda w: F.coalesce(F.try_element_at("by_word", w), F.lit(0).cast("long")))
+    maps = bitmaps.withColumn("by_word", F.map_from_entries("dropped")).select(F.col(id_col).alias("id"), "t1", "t2", words.alias("bits"))
+    t1, t2 = _row_keys(text)
+    joined = row.join(maps, F.col("row")[id_col].eqNullSafe(maps["id"]) & (t1 == maps["t1"]) & (t2 == maps["t2"]), "left").select("row", "bits")
+    kept = F.filter("lines", lambda line, i: F.coalesce(F.call_function("shiftright", F.get("bits", F.call_function("shiftright", i, F.lit(6))), F.pmod(i, F.lit(64))).bitwiseAND(1), F.lit(0)) == 0)
+    none = F.col("bits").isNull()
+    out = joined.withColumn("lines", lines_of(text)).withColumn("kept", F.when(~none, kept))
+    cut = F.when(none, text).otherwise(F.array_join("kept", "\n"))
+    columns = [(cut if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns]
+    n = F.size("lines").cast("long")
+    return out.select(*columns, *([n.alias("n_lines"), F.when(none, F.lit(0)).otherwise(n - F.size("kept")).cast("long").alias("n_dropped")] if counts else []))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
@@ -99,5 +101,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns of ``docs`` are ignored, whatever their names. Repeated rows stay.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    cut = apply_bitmaps(own, drop_bitmaps(own, **rule))
-    return cut.select(F.col("doc_id").alias(id_col), F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.coalesce("text", F.lit("")).alias("kept"))
+    cut = apply_bitmaps(own, drop_bitmaps(own, **rule), counts=True)
+    return cut.select(F.col("doc_id").alias(id_col), "n_lines", "n_dropped", F.coalesce("text", F.lit("")).alias("kept"))

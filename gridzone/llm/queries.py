@@ -43,7 +43,7 @@ WITH lines AS (
 ), keyed AS (
   SELECT *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
 ), common AS (
-  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 10
 )
 SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
        sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.pos) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256

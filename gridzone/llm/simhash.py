@@ -223,8 +223,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     different texts the smaller text hash). Groups and null ids as in ``near_duplicates``; all columns stay."""
     _, node = _components(docs, id_col, text_col, shingle_words, max_bits)
     best = node.groupBy("component").agg(F.min("first").alias("first"), F.min("any_hash").alias("any_hash"))
-    best = best.select(F.col("first.id").alias("__id"), F.coalesce("first.text_hash", "any_hash").alias("__hash"))
-    keyed = docs.withColumn("__own", F.xxhash64(F.col(text_col)))
-    kept = keyed.join(best, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy(id_col, "__own").orderBy(F.lit(0)))
-    return kept.withColumn("__nth", nth).where("__nth = 1").drop("__nth", "__own")
+    best = best.select(F.col("first.id").alias("id"), F.coalesce("first.text_hash", "any_hash").alias("hash"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64(F.col(text_col)).alias("own"))
+    mine = F.col("row")[id_col]
+    chosen = rows.join(best, mine.eqNullSafe(best["id"]) & (F.col("own") == best["hash"]), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(mine, "own").orderBy(F.lit(0)))
+    return chosen.withColumn("nth", nth).where("nth = 1").select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridzone.llm.common import scratch_path, stored
+from gridzone.operators.joins import sized_broadcast
 
 #: Formats' fixed values: frame magic numbers (little-endian) and the profile of a revisit.
 FRAME, SKIPPABLE, DICTIONARY = 0xFD2FB528, 0x184D2A50, 0x184D2A5D
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVE_BYTES, MAX_RECORD_BYTES = 8_000_000, 1 << 30
 #: A dictionary is trained on the first records of a task, up to these.
-DICTIONARY_BYTES, SAMPLES, SAMPLE_BYTES = 16_384, 400, 2_000_000
+DICTIONARY_BYTES, SAMPLES = 16_384, 400
 MIN_REVISIT = 100
 RECORDS = "archive string, frame_offset long, record_type string, record_id string, target_uri string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 
@@ -198,6 +199,7 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
     the smallest id are responses and the others revisit it. A null payload is an
     empty one. Repeated rows are records of their own. Null ids come after all
     others; a group of null ids alone is all responses. An empty table writes no file.
+    A task that is run again writes files of its own name, and the table has those of the attempt that counted: read these alone.
     """
     payload = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("name"), F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("html"), F.sha2(payload, 256).alias("digest"))
@@ -209,14 +211,14 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = fs.FileSystem.from_uri(root)
         store.create_dir(folder, recursive=True)
-        task, files, dictionary, trained = TaskContext.get().partitionId(), [], None, False
+        task, files, dictionary, trained = TaskContext.get(), [], None, False
         held, size = [], 0
 
         def flush():
             nonlocal dictionary, trained, held, size
             if not trained:
                 dictionary, trained = _dictionary(held[:SAMPLES]), True
-            name, temporary = f"{folder}/{task:06d}-{len(files):06d}.warc.zst", f"{folder}/.{uuid.uuid4().hex}"
+            name, temporary = f"{folder}/{task.partitionId():06d}-{task.taskAttemptId()}-{len(files):06d}-{uuid.uuid4().hex[:8]}.warc.zst", f"{folder}/.{uuid.uuid4().hex}"
             with store.open_output_stream(temporary) as out:
                 out.write(archive(held, dictionary))
             store.move(temporary, name)
@@ -239,7 +241,8 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
 def read_archives(files: DataFrame) -> DataFrame:
     """Records of archives given as (path, content) rows, as the ``binaryFile`` source gives them.
 
-    A damaged archive fails the read and names the file. Empty archives have no records.
+    A damaged archive fails the read and names the file, as does one that has not as many records as its column
+    ``records`` says, if there is one. Empty archives have no records.
     """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,27 +250,40 @@ def read_archives(files: DataFrame) -> DataFrame:
         types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
         schema = pa.schema([(f.split()[0], types[f.split()[1]]) for f in RECORDS.split(", ")])
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                rows, size = [], 0
+            for path, content, expected in zip(*(batch.column(c) for c in ("path", "content", "records")), strict=True):
+                rows, size, n = [], 0, 0
                 try:
                     for at, data in frames(content.as_py()):
                         rows.append(parse(data) | {"archive": path.as_py(), "frame_offset": at})
-                        size += len(data)
+                        size, n = size + len(data), n + 1
                         if size >= ARCHIVE_BYTES:
                             yield pa.RecordBatch.from_pydict({n: [r[n] for r in rows] for n in names}, schema=schema)
                             rows, size = [], 0
+                    if expected.is_valid and n != expected.as_py():
+                        raise MalformedArchive(f"{n} records where {expected.as_py()} were written")
                 except MalformedArchive as e:
                     raise MalformedArchive(f"{path.as_py()}: {e}") from e
                 if rows:
                     yield pa.RecordBatch.from_pydict({n: [r[n] for r in rows] for n in names}, schema=schema)
 
-    return files.select("path", "content").mapInArrow(decode, RECORDS)
+    counts = F.col("records").cast("long") if "records" in files.columns else F.lit(None).cast("long")
+    return files.select("path", "content", counts.alias("records")).mapInArrow(decode, RECORDS)
+
+
+def read_written(spark: SparkSession, root: str, written: DataFrame) -> DataFrame:
+    """Records of exactly the archives of ``written`` (file, records), the result of ``write_archives``; all of them must be there."""
+    name = lambda c: F.substring_index(c, "/", -1)
+    own = written.select(name("file").alias("name"), "records")
+    if not own.limit(1).count():
+        return spark.createDataFrame([], RECORDS)
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(root)
+    if missing := own.join(there.select(name("path").alias("name")), "name", "left_anti").limit(1).collect():
+        raise MalformedArchive(f"archive {missing[0]['name']} is gone")
+    return read_archives(there.withColumn("name", name("path")).join(sized_broadcast(own)[0], "name"))
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, **columns) -> DataFrame:
     """Writes ``pages`` as archives into the shared folder and reads the records back."""
     root = scratch_path(spark, "warc")
     root = root if "://" in root or root.startswith("file:") else f"file://{root}"
-    if not write_archives(pages, root, **columns).limit(1).count():
-        return spark.createDataFrame([], RECORDS)
-    return read_archives(spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(root))
+    return read_written(spark, root, write_archives(pages, root, **columns))

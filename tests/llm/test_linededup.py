@@ -81,3 +81,18 @@ def test_rows_of_one_id_lose_only_their_own_lines(spark):
     same = spark.createDataFrame([(None, "hot\nown1"), (None, "hot\nown2"), (6, "hot"), (7, "hot")], "doc_id long, text string")
     firsts = [r.kept for r in linededup.dedup_lines(same, min_docs=3, keep_first=True).collect()]
     assert sum(t.split("\n").count("hot") for t in firsts) == 1 and {t.split("\n")[-1] for t in firsts} == {"own1", "own2", ""}
+
+
+def test_a_very_long_text_and_clashing_names(spark):
+    """10 MB in 200 000 lines; columns named like those used inside stay."""
+    import time
+
+    long = "\n".join(f"line {i} " + "x" * 40 for i in range(200_000))
+    rows = [(i, "shared\nown %d" % i, i, "b", 1) for i in range(12)] + [(99, long + "\nshared", 7, "b", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, bits long, `__bits` string, kept int")
+    start = time.time()
+    cut = linededup.apply_bitmaps(docs, linededup.drop_bitmaps(docs))
+    got = {r.doc_id: r for r in cut.collect()}
+    assert time.time() - start < 60
+    assert cut.columns == docs.columns and got[99].text == long
+    assert all(got[i].text == f"own {i}" and (got[i].bits, got[i]["__bits"], got[i].kept) == (i, "b", 1) for i in range(12))

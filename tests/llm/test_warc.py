@@ -83,3 +83,29 @@ def test_damaged_file_is_named(spark, tmp_path):
     (tmp_path / "b.warc.zst").write_bytes(data[:-2])
     with pytest.raises(Exception, match="b.warc.zst"):
         warc.read_archives(spark.read.format("binaryFile").load(str(tmp_path))).collect()
+
+
+def test_a_second_attempt_that_cuts_otherwise_adds_nothing(spark, tmp_path, monkeypatch):
+    """Two attempts at one task: other row order, other cuts. Only the files of the attempt that counts are read."""
+    pages = [(i, "u", f"<p>page {i}</p> " * 40) for i in range(20)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    root = f"file://{tmp_path}/w"
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 4000)
+    first = warc.write_archives(df, root)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 9000)
+    second = warc.write_archives(df.orderBy(-df.page_id).coalesce(1), root)
+    for written in (first, second):
+        records = warc.read_written(spark, root, written).collect()
+        assert sorted(r.record_id for r in records) == sorted(f"urn:page:{i}" for i in range(20))
+    assert first.count() != second.count()
+
+
+def test_missing_and_short_archives_are_noticed(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", f"page {i}" * 30) for i in range(9)], "page_id long, url string, html string").coalesce(1)
+    root = f"file://{tmp_path}/w"
+    written = warc.write_archives(df, root)
+    with pytest.raises(Exception, match="records where"):
+        warc.read_written(spark, root, written.withColumn("records", written.records + 1)).collect()
+    other = written.selectExpr("concat(file, 'x') as file", "records")
+    with pytest.raises(warc.MalformedArchive, match="is gone"):
+        warc.read_written(spark, root, other)
