@@ -25,7 +25,7 @@ def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go; trusted text is that of good ``labels``."""
-    return quality.judged(docs, read(spark, sf_dir, "labels")).where("__kept").select(docs.columns)
+    return quality.kept(docs, read(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
