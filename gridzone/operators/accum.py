@@ -44,7 +44,7 @@ WORD = 64
 
 
 def rank_bitmaps(pairs: DataFrame, height: int, tile: int) -> DataFrame:
-    """Stored form of the running counts: one row per pixel column and tile, ``(x, tr, entries)``.
+    """Stored form of the running counts: one row per pixel column and ``tile`` rows, ``(x, tr, entries)``.
 
     ``entries`` holds (a, b, above, words): cells of the pair in the column above the tile, and word k with bit i set
     where row ``64 k + i`` of the tile has the pair. A pair has an entry from its first tile down, with empty words where the
@@ -92,19 +92,20 @@ def block_prefix_counts(ranks: DataFrame, block: int, height: int, tile: int) ->
     return e.select("x", "blk", "a", "b", rank(F.col("above"), F.col("words"), rows, -(-tile // WORD)).cast("bigint").alias("cum")).filter("cum > 0")
 
 
-def zonal_crosstab_accum(ranks: DataFrame, spans: DataFrame, tile: int, max_rows: int | None = None) -> DataFrame:
+def zonal_crosstab_accum(ranks: DataFrame, spans: DataFrame, tile: int, max_rows: int | None = None, stored_tile: int | None = None) -> DataFrame:
     """Cross-tab ``(poly_id, a, b, n)`` from the rank bitmaps of the columns and tiles that hold a span end.
 
     ``ranks`` is ``rank_bitmaps(pairs, height, tile)``; ``spans`` must be clipped to the grid (``polygon_spans`` does
     this). Where the table is stored by tile
-    (``catalog.write_tiled``) the look-up also matches the tile key and its folder, so only folders holding a span end are read.
+    (``catalog.write_tiled``) the look-up also matches the tile key and its folder, so only folders holding a span end are read;
+    ``stored_tile`` is the side of those tiles where it is not ``tile``.
     """
     from gridzone.operators.layout import zorder
     from gridzone.sources.catalog import folder
 
-    tr = F.floor((F.col("e") - 1) / tile)
+    tr, side = F.floor((F.col("e") - 1) / tile), stored_tile or tile
     ends = span_ends(spans).select("poly_id", F.col("x").alias("ex"), tr.alias("et"), (F.col("e") - tr * tile).alias("rows"), "sign")
-    ends = ends.withColumn("ez", zorder(F.floor(F.col("ex") / tile), F.col("et")))
+    ends = ends.withColumn("ez", zorder(F.floor(F.col("ex") / side), F.floor(F.col("et") * tile / side)))
     ends = sized_broadcast(ends, max_rows)[0]
     cond = (F.col("x") == F.col("ex")) & (F.col("tr") == F.col("et"))
     if "zc" in ranks.columns:

@@ -35,7 +35,7 @@ NEAR = 1e-4
 
 
 def _power(level: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), level.cast("int"))
 
 
 @dataclass
@@ -220,3 +220,34 @@ def quadtree_cover(vertices: DataFrame) -> tuple[Square | None, DataFrame | None
         split, more = _split(done.where(full), square)
         done = done.where(~F.coalesce(full, F.lit(False))).unionByName(split.select(columns)).unionByName(more.select(columns)).checkpoint()
     return square, done
+
+
+def z_intervals(vertices: DataFrame, width: int, height: int, tile: int, most: int = 64) -> DataFrame:
+    """Intervals of the tiles' Z-curve key that hold each polygon, ``(poly_id, z0, z1)`` inclusive, at most ``most`` a polygon.
+
+    The grid's tiles are the cells of a quadtree whose touched and inside cells cover the polygon; a cell of
+    any level is one interval of keys. Touching intervals are merged, then the smallest gaps between the rest are closed. The work follows the
+    polygon's boundary; tiles inside are never listed.
+    """
+    from gridzone.operators.layout import zorder
+
+    deepest = max(1, -(-max(width, height) // tile) - 1).bit_length()
+    deepest += deepest % STEP
+    square = Square(0.0, 0.0, float(tile << deepest))
+    edges = polygon_edges(vertices).drop("ring").withColumns({"level": F.lit(deepest), "root": F.lit(0)})
+    leaves = touched(edges, square).select(*CELL, "root").distinct()
+    cells = ancestors(leaves)
+    corners = untouched(cells).withColumns({"kx": F.col("cx") + 1, "ky": F.col("cy") + 1})
+    inside = corner_parity(corners, edges, square).where("odd = 1")
+    both = leaves.select(CELL).unionByName(inside.select(CELL))
+    both = both.where((F.col("cx") * _power(deepest - F.col("level")) < -(-width // tile)) & (F.col("cy") * _power(deepest - F.col("level")) < -(-height // tile)))
+    shift = (2 * (deepest - F.col("level"))).cast("int")
+    z = F.call_function("shiftleft", zorder(F.col("cx"), F.col("cy")), shift)
+    own = both.select("poly_id", z.alias("z0"), (z + _power(shift) - 1).alias("z1"))
+    order = Window.partitionBy("poly_id").orderBy("z0", "z1")
+    reach = F.max("z1").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    gaps = own.withColumn("gap", F.col("z0") - reach).withColumn("gap", F.coalesce("gap", F.lit(1 << 62)))
+    widest = F.row_number().over(Window.partitionBy("poly_id").orderBy(F.desc("gap"), "z0"))
+    starts = gaps.withColumn("start", ((F.col("gap") > 1) & (widest <= most)).cast("int"))
+    runs = starts.withColumn("run", F.sum("start").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return runs.groupBy("poly_id", "run").agg(F.min("z0").alias("z0"), F.max("z1").alias("z1")).drop("run")

@@ -1,18 +1,20 @@
-"""Focal (3 x 3) operators, pyramids and point gridding.
-
-Focal plan: every cell is copied to the tiles whose 1-cell halo contains it
-(1 copy for interior cells, 2-4 for tile-edge cells: about 1 + 4 / tile
-copies per cell), one exchange by tile key, then each copy is spread to the
-3 x 3 targets of its own tile and aggregated. The aggregation groups by
-(tile key, target), which the tile exchange already satisfies, so the 9x
-fan-out never crosses the network.
+"""Focal operators, pyramids and point gridding.
+
+Focal plan: every cell is copied to the tiles whose halo contains it (1 copy
+for interior cells, 2-4 for tile-edge cells: about 1 + 4 r / tile copies per
+cell), one exchange by tile key, and each tile with its halo becomes a dense array
+in its task. A window of (2r + 1)^2 cells is taken in two passes, along the columns and along the
+rows, each by running joins over blocks of 2r + 1 cells (``slide``): the work per
+cell does not depend on the radius, and no row is copied per neighbour.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridzone.functions.crs import CELL_SIZE
@@ -20,48 +22,87 @@ from gridzone.functions.crs import CELL_SIZE
 OFFSETS = [(dx, dy) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
 
 
-def halo_copies(cells: DataFrame, tile: int, halo: int = 1, partitions: int | None = None) -> DataFrame:
-    """Cells copied to every tile whose halo-extended area contains them, partitioned by tile."""
-    c = cells.select(
-        "x", "y", "v",
-        F.explode(F.sequence(F.floor((F.col("x") - halo) / tile), F.floor((F.col("x") + halo) / tile))).alias("key_col"),
-    ).select(
-        "x", "y", "v", "key_col",
-        F.explode(F.sequence(F.floor((F.col("y") - halo) / tile), F.floor((F.col("y") + halo) / tile))).alias("key_row"),
-    )
-    return c.repartition(partitions, "key_col", "key_row") if partitions else c.repartition("key_col", "key_row")
+def halo_copies(cells: DataFrame, tile: int, halo: int = 1) -> DataFrame:
+    """Cells copied to every tile whose halo-extended area contains them."""
+    key = lambda c: F.explode(F.sequence(F.floor((F.col(c) - halo) / tile), F.floor((F.col(c) + halo) / tile)))
+    return cells.select("x", "y", "v", key("x").alias("key_col")).select("*", key("y").alias("key_row"))
 
 
-def neighbourhood(cells: DataFrame, tile: int, radius: int = 1) -> DataFrame:
-    """``(key_col, key_row, tx, ty, ox, oy, v)``: each cell as neighbour (ox, oy) of target (tx, ty)
-    for every target within ``radius`` cells (a (2r + 1)^2 window)."""
-    if radius >= tile:
-        raise ValueError("radius must be smaller than the tile size")
-    h = halo_copies(cells.filter(F.col("v").isNotNull()), tile, radius)
-    offs = F.array(*[F.struct(F.lit(dx).alias("ox"), F.lit(dy).alias("oy"))
-                     for dy in range(-radius, radius + 1) for dx in range(-radius, radius + 1)])
-    e = h.select("key_col", "key_row", "x", "y", "v", F.explode(offs).alias("o"))
-    t = e.select(
-        "key_col", "key_row", "v",
-        F.col("o.ox").alias("ox"), F.col("o.oy").alias("oy"),
-        (F.col("x") - F.col("o.ox")).alias("tx"), (F.col("y") - F.col("o.oy")).alias("ty"),
-    )
-    home = (F.floor(F.col("tx") / tile) == F.col("key_col")) & (F.floor(F.col("ty") / tile) == F.col("key_row"))
-    return t.filter(home)
+def _on_tiles(cells: DataFrame, tile: int, halo: int, kernel, schema: str) -> DataFrame:
+    """``kernel(values, there)`` on each tile with its halo, dense: (tile + 2 halo)^2 arrays in [x, y] order, ``there`` marks data.
+
+    It returns one (tile, tile) array per column of ``schema`` after x and y; rows come out for the tile's own data cells. A task holds one
+    tile at a time, a bounded number of cells.
+    """
+    whole = cells.schema["v"].dataType.typeName() in ("byte", "short", "integer", "long")
+    kind, side = np.int64 if whole else np.float64, tile + 2 * halo
+
+    def run(table: pa.Table) -> pa.Table:
+        x0, y0 = (table.column(k)[0].as_py() * tile - halo for k in ("key_col", "key_row"))
+        at = table.column("x").to_numpy() - x0, table.column("y").to_numpy() - y0
+        values, there = np.zeros((side, side), dtype=kind), np.zeros((side, side), dtype=bool)
+        values[at], there[at] = table.column("v").cast(pa.from_numpy_dtype(kind)).to_numpy(), True
+        x, y = np.nonzero(there[halo : side - halo, halo : side - halo])
+        columns = [x + x0 + halo, y + y0 + halo, *(out[x, y] for out in kernel(values, there))]
+        return pa.table([pa.array(c) for c in columns], names=[f.split()[0] for f in ("x long", "y long", *schema.split(", "))])
+
+    own = cells.filter(F.col("v").isNotNull())
+    if not whole:
+        own = own.withColumn("v", F.col("v").cast("double"))
+    return halo_copies(own, tile, halo).groupBy("key_col", "key_row").applyInArrow(run, f"x long, y long, {schema}")
 
 
-FOCAL_STATS = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
+def slide(a: np.ndarray, width: int, join: np.ufunc) -> np.ndarray:
+    """``join`` (add, minimum or maximum) over every ``width`` neighbours of the first axis, in a time that does not depend on ``width``.
 
+    The axis is cut into blocks of ``width``: a window is the end of one block and the start of the next, and running
+    joins from both ends of each block hold both. Nothing is subtracted, so a huge or undefined value stays within its windows.
+    """
+    n = len(a)
+    pad = -n % width
+    blocks = np.concatenate([a, np.repeat(a[-1:], pad, axis=0)]).reshape(-1, width, *a.shape[1:])
+    ahead = join.accumulate(blocks, axis=1).reshape(-1, *a.shape[1:])
+    behind = join.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1, *a.shape[1:])
+    first = np.arange(n - width + 1)
+    out = join(behind[first], ahead[first + width - 1])
+    whole = first % width == 0  # a window that is a block: both ends hold all of it
+    out[whole] = behind[first[whole]]
+    return out
+
+
+def slide_square(a: np.ndarray, width: int, join: np.ufunc) -> np.ndarray:
+    """``slide`` along both axes."""
+    return slide(slide(a, width, join).T, width, join).T
+
+
+FOCAL_STATS = ("mean", "min", "max", "sum")
 
-def focal_stats(cells: DataFrame, tile: int, radius: int = 1,
-                stats: tuple[str, ...] = ("mean", "min", "max", "sum")) -> DataFrame:
+
+def focal_stats(cells: DataFrame, tile: int, radius: int = 1, stats: tuple[str, ...] = FOCAL_STATS) -> DataFrame:
     """Statistics of the data cells in each data cell's (2r + 1)^2 window: ``(x, y, <stats>, n)``."""
-    nb = neighbourhood(cells, tile, radius)
-    g = nb.groupBy("key_col", "key_row", "tx", "ty").agg(
-        *[FOCAL_STATS[s]("v").alias(s) for s in stats], F.count(F.lit(1)).alias("n"),
-        F.max(F.when((F.col("ox") == 0) & (F.col("oy") == 0), 1)).alias("centre"),
-    )
-    return g.filter(F.col("centre") == 1).select(F.col("tx").alias("x"), F.col("ty").alias("y"), *stats, "n")
+    if radius >= tile:
+        raise ValueError("radius must be smaller than the tile size")
+    if unknown := set(stats) - set(FOCAL_STATS):
+        raise ValueError(f"no such statistics: {sorted(unknown)}")
+    width = 2 * radius + 1
+    kind = cells.schema["v"].dataType.simpleString()
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    types = {"mean": "double", "sum": "bigint" if whole else "double", "min": "bigint" if whole else "double", "max": "bigint" if whole else "double"}
+
+    def kernel(values, there):
+        n = slide_square(there.astype(np.int64), width, np.add)
+        total = slide_square(np.where(there, values, 0), width, np.add) if {"sum", "mean"} & set(stats) else None
+        ends = (np.iinfo(np.int64).max, np.iinfo(np.int64).min) if values.dtype == np.int64 else (np.inf, -np.inf)
+        of = {
+            "sum": lambda: total,
+            "mean": lambda: total / np.maximum(n, 1),
+            "min": lambda: slide_square(np.where(there, values, ends[0]), width, np.minimum),
+            "max": lambda: slide_square(np.where(there, values, ends[1]), width, np.maximum),
+        }
+        return [*(of[s]() for s in stats), n]
+
+    out = _on_tiles(cells, tile, radius, kernel, ", ".join([*(f"{s} {types[s]}" for s in stats), "n long"]))
+    return out.withColumns({s: F.col(s).cast(kind) for s in stats if s in ("min", "max") and kind != types[s]})
 
 
 def focal_mean(cells: DataFrame, tile: int) -> DataFrame:
@@ -75,25 +116,22 @@ def hillshade(cells: DataFrame, tile: int, azimuth: float = 315.0, altitude: flo
 
     A neighbour without data (layer edge, gap) counts as level with the cell.
     """
-    nb = neighbourhood(cells, tile)
-    names = "abcdefghi"  # row-major over the window, y down: a b c / d e f / g h i
-    aggs = [F.max(F.when((F.col("ox") == dx) & (F.col("oy") == dy), F.col("v"))).alias(names[k])
-            for k, (dx, dy) in enumerate(OFFSETS)]
-    g = nb.groupBy("key_col", "key_row", "tx", "ty").agg(*aggs).filter("e IS NOT NULL")
-    return g.select(F.col("tx").alias("x"), F.col("ty").alias("y"),
-                    horn_hillshade(*[F.coalesce(c, "e") for c in names], azimuth, altitude, cell_size, z_factor).alias("hs"))
-
-
-def horn_hillshade(a, b, c, d, e, f, g, h, i, azimuth, altitude, cell_size, z_factor) -> Column:
-    dzdx = ((c + F.lit(2.0) * f + i) - (a + F.lit(2.0) * d + g)) / F.lit(8.0 * cell_size)
-    dzdy = ((g + F.lit(2.0) * h + i) - (a + F.lit(2.0) * b + c)) / F.lit(8.0 * cell_size)
-    slope = F.atan(F.lit(z_factor) * F.sqrt(dzdx * dzdx + dzdy * dzdy))
-    aspect = F.atan2(dzdy, -dzdx)
-    zenith = math.radians(90.0 - altitude)
-    az = math.radians((360.0 - azimuth + 90.0) % 360.0)
-    hs = F.lit(255.0) * (F.lit(math.cos(zenith)) * F.cos(slope)
-                         + F.lit(math.sin(zenith)) * F.sin(slope) * F.cos(F.lit(az) - aspect))
-    return F.greatest(hs, F.lit(0.0))
+    zenith, sun = math.radians(90.0 - altitude), math.radians((360.0 - azimuth + 90.0) % 360.0)
+
+    def kernel(values, there):
+        inner = slice(1, -1)
+        centre = values[inner, inner]
+        n = centre.shape[0]
+        at = lambda dx, dy: (slice(1 + dx, 1 + dx + n), slice(1 + dy, 1 + dy + n))
+        near = {d: np.where(there[at(*d)], values[at(*d)], centre).astype(np.float64) for d in OFFSETS}
+        east, west = (near[s, -1] + 2.0 * near[s, 0] + near[s, 1] for s in (1, -1))
+        south, north = (near[-1, s] + 2.0 * near[0, s] + near[1, s] for s in (1, -1))
+        dzdx, dzdy = (east - west) / (8.0 * cell_size), (south - north) / (8.0 * cell_size)
+        slope, aspect = np.arctan(z_factor * np.sqrt(dzdx * dzdx + dzdy * dzdy)), np.arctan2(dzdy, -dzdx)
+        light = math.cos(zenith) * np.cos(slope) + math.sin(zenith) * np.sin(slope) * np.cos(sun - aspect)
+        return [np.maximum(255.0 * light, 0.0)]
+
+    return _on_tiles(cells, tile, 1, kernel, "hs double")
 
 
 def pyramid_levels(width: int, height: int) -> int:

@@ -12,6 +12,8 @@ tile key use the ``*_tiled`` variants, which read only the zone's tiles.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ from gridzone.operators.joins import cells_in_zone as _cells_in_zone
 from gridzone.operators.vector import polygon_edges, polygon_spans, span_pieces
 
 DEFAULT_BLOCK = 64
+#: Parts whose boxes are told apart when layers are filtered; beyond, one box around all.
+MOST_BOXES = 32
 
 
 @dataclass
@@ -29,21 +33,27 @@ class Zone:
 
     ``rows`` is a proven upper bound on the number of pieces; ``pieces`` is
     broadcast when it is under the limit. ``block`` is the piece height in rows;
-    ``bbox`` = (x0, x1, y0, y1), half-open, bounds every zone cell (None: empty).
+    ``bbox`` = (x0, x1, y0, y1), half-open, bounds every zone cell (None: empty), and
+    ``boxes`` do so part by part where there are at most ``MOST_BOXES`` parts.
     """
 
     pieces: DataFrame
     rows: int
     bbox: tuple[int, int, int, int] | None
     block: int = DEFAULT_BLOCK
+    boxes: tuple[tuple[int, int, int, int], ...] = ()
 
     def restrict(self, cells: DataFrame) -> DataFrame:
         """Literal x/y range filter: Catalyst moves it below layer aggregations and
         into parquet row-group pruning for stored layers."""
         if self.bbox is None:
             return cells.filter(F.lit(False))
-        x0, x1, y0, y1 = self.bbox
-        return cells.filter((F.col("x") >= x0) & (F.col("x") < x1) & (F.col("y") >= y0) & (F.col("y") < y1))
+        def inside(box):
+            x0, x1, y0, y1 = box
+            return (F.col("x") >= x0) & (F.col("x") < x1) & (F.col("y") >= y0) & (F.col("y") < y1)
+
+        out = cells.filter(inside(self.bbox))
+        return out.filter(reduce(or_, map(inside, self.boxes))) if len(self.boxes) > 1 else out
 
 
 def zone(vertices: DataFrame, width: int, height: int, block: int | None = None,
@@ -72,12 +82,18 @@ def zone(vertices: DataFrame, width: int, height: int, block: int | None = None,
         first(F.min(F.least("gx", "hx"))).alias("x0"), F.least(F.ceil(F.max(F.greatest("gx", "hx")) - 0.5), F.lit(width)).alias("x1"),
         first(F.min(F.least("gy", "hy"))).alias("y0"), F.least(F.ceil(F.max(F.greatest("gy", "hy")) - 0.5), F.lit(height)).alias("y1"),
     ).filter("crossings > 0 AND x0 < x1 AND y0 < y1")
-    s = parts.agg(
-        F.sum("crossings"), F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))),
-        F.min("x0"), F.max("x1"), F.min("y0"), F.max("y1"),
-    ).first()
-    crossings, n_cells = int(s[0] or 0), int(s[1] or 0)
-    bbox = tuple(int(v) for v in s[2:]) if crossings else None
+    some = parts.limit(MOST_BOXES + 1).collect()
+    boxes = tuple(sorted({tuple(int(r[c]) for c in ("x0", "x1", "y0", "y1")) for r in some})) if len(some) <= MOST_BOXES else ()
+    if boxes or not some:
+        crossings = sum(int(r["crossings"]) for r in some)
+        n_cells = sum(int((r["x1"] - r["x0"]) * (r["y1"] - r["y0"])) for r in some)
+        bbox = (min(b[0] for b in boxes), max(b[1] for b in boxes), min(b[2] for b in boxes), max(b[3] for b in boxes)) if boxes else None
+    else:
+        s = parts.agg(
+            F.sum("crossings"), F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))),
+            F.min("x0"), F.max("x1"), F.min("y0"), F.max("y1"),
+        ).first()
+        crossings, n_cells, bbox = int(s[0]), int(s[1]), tuple(int(v) for v in s[2:])
     limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     if block is None:
         room = limit - crossings
@@ -87,7 +103,7 @@ def zone(vertices: DataFrame, width: int, height: int, block: int | None = None,
             block = max(DEFAULT_BLOCK, -(-need // DEFAULT_BLOCK) * DEFAULT_BLOCK)
     bound = n_cells // block + crossings  # 2 pieces of slack per span, spans <= crossings / 2
     pieces = span_pieces(polygon_spans(vertices, width, height), block)
-    return Zone(F.broadcast(pieces) if bound <= limit else pieces, bound, bbox, block)
+    return Zone(F.broadcast(pieces) if bound <= limit else pieces, bound, bbox, block, boxes)
 
 
 def cells_in_zone(cells: DataFrame, z: Zone | DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:

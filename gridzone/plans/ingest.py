@@ -3,7 +3,7 @@
 Writes (replacing earlier output) under ``root``:
 
     a/, b/        the two layers, in the order and folders of the Z-curve key of their tiles
-    ranks/        rank bitmaps per column and tile (x, tr, entries), tile row tr
+    ranks/        rank bitmaps per column and RANK_ROWS rows (x, tr, entries)
 
 Both zonal methods then read only the tiles they need (dynamic partition
 pruning): ``zonal_crosstab_tiled`` the covering tiles, ``zonal_crosstab_accum``
@@ -26,7 +26,11 @@ from gridzone.operators import accum
 from gridzone.sources import catalog
 
 
-def ingest_class_layers(a: DataFrame, b: DataFrame, root: str, height: int, tile: int = 512) -> dict[str, str]:
+#: Rows of a row of rank bitmaps: four words a pair, so that counts above it are few beside the cells.
+RANK_ROWS = 256
+
+
+def ingest_class_layers(a: DataFrame, b: DataFrame, root: str, height: int, tile: int = 512, rank_rows: int = RANK_ROWS) -> dict[str, str]:
     """Write both layers and the rank bitmaps of their overlay; return the paths."""
     spark = a.sparkSession
     paths = {k: f"{root.rstrip('/')}/{k}" for k in ("a", "b", "ranks")}
@@ -34,7 +38,7 @@ def ingest_class_layers(a: DataFrame, b: DataFrame, root: str, height: int, tile
     catalog.write_tiled(b.select("x", "y", "v"), paths["b"], tile)
     sa = catalog.read_tiled(spark, paths["a"]).drop("z", "zc")
     sb = catalog.read_tiled(spark, paths["b"]).drop("z", "zc")
-    catalog.write_tiled(accum.rank_bitmaps(accum.overlay_pairs(sa, sb), height, tile), paths["ranks"], tile, F.col("tr") * tile)
+    catalog.write_tiled(accum.rank_bitmaps(accum.overlay_pairs(sa, sb), height, rank_rows), paths["ranks"], tile, F.col("tr") * rank_rows)
     return paths
 
 

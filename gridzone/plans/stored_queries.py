@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gridzone.operators import accum, records, vector, zonal
 from gridzone.plans import record_queries as RQ
 from gridzone.plans import sqlparts as S
-from gridzone.plans.ingest import ingest_class_layers, open_ingested
+from gridzone.plans.ingest import RANK_ROWS, ingest_class_layers, open_ingested
 from gridzone.plans.registry import ORACLE, query
 from gridzone.plans.zonal_queries import ALL_POLYS, FLAGSHIP, TILE
 from gridzone.plans.zonal_queries import _setup as _polygons
@@ -46,11 +46,11 @@ def layer_overwrite_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.read_layer(spark, root, "classes").select("key_col", "key_row", "x", "y", "v")
 
 
-def _scan(spark: SparkSession, sf_dir: str, keys_of) -> DataFrame:
+def _scan(spark: SparkSession, sf_dir: str, boundary: bool) -> DataFrame:
     """Stored layers restricted to tile keys: literal z ranges prune files, the keys themselves decide."""
     n, verts = _polygons(spark, sf_dir, [FLAGSHIP])
-    keys = keys_of(verts, n, n, TILE)
-    ranges = catalog.z_ranges(keys, n, n, TILE)
+    keys = (vector.boundary_keys if boundary else vector.covering_keys)(verts, n, n, TILE)
+    ranges = catalog.z_ranges(keys, n, n, TILE) if boundary else catalog.zone_ranges(verts, n, n, TILE)
     parts = [
         zonal.scan_intersects(catalog.in_ranges(layer, ranges), keys, TILE).select(F.lit(name).alias("layer"), "x", "y", "v")
         for name, layer in _stored(spark, sf_dir, n).items()
@@ -61,13 +61,13 @@ def _scan(spark: SparkSession, sf_dir: str, keys_of) -> DataFrame:
 @query("scan_stored_polygon", ORACLE["scan_intersects_polygon"])
 def scan_stored_polygon_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored class layers restricted to the tiles meeting the flagship polygon."""
-    return _scan(spark, sf_dir, vector.covering_keys)
+    return _scan(spark, sf_dir, boundary=False)
 
 
 @query("scan_stored_boundary", ORACLE["scan_intersects_boundary"])
 def scan_stored_boundary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored first layer restricted to the tiles meeting the flagship polygon's rings."""
-    return _scan(spark, sf_dir, vector.boundary_keys).filter("layer = 'a'").drop("layer")
+    return _scan(spark, sf_dir, boundary=True).filter("layer = 'a'").drop("layer")
 
 
 @query("zonal_crosstab_stored", ORACLE["zonal_crosstab_multi"])
@@ -75,8 +75,8 @@ def zonal_crosstab_stored_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-tab of all test polygons from ingested layers, read by folders and row groups of the covering tiles."""
     n, verts = _polygons(spark, sf_dir, ALL_POLYS)
     st = open_ingested(spark, ingest_class_layers(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), _root(spark, "ingest"), n, TILE))
-    ranges = catalog.z_ranges(vector.covering_keys(verts, n, n, TILE), n, n, TILE)
-    a, b = (catalog.in_folders(st[k], ranges) for k in "ab")
+    ranges = catalog.zone_ranges(verts, n, n, TILE)
+    a, b = (catalog.in_ranges(st[k], ranges) for k in "ab")
     return zonal.zonal_crosstab_tiled(a, b, zonal.zone(verts, n, n, TILE), TILE)
 
 
@@ -85,7 +85,7 @@ def zonal_crosstab_accum_stored_q(spark: SparkSession, sf_dir: str) -> DataFrame
     """The same from the ingested rank bitmaps, read where spans end."""
     n, verts = _polygons(spark, sf_dir, ALL_POLYS)
     st = open_ingested(spark, ingest_class_layers(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), _root(spark, "ingest"), n, TILE))
-    return accum.zonal_crosstab_accum(st["ranks"], vector.polygon_spans(verts, n, n), TILE)
+    return accum.zonal_crosstab_accum(st["ranks"], vector.polygon_spans(verts, n, n), RANK_ROWS, stored_tile=TILE)
 
 
 @query(

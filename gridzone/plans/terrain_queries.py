@@ -12,13 +12,14 @@ from gridzone.operators import points as P
 from gridzone.operators import terrain as T
 from gridzone.plans import sqlparts as S
 from gridzone.plans.registry import query
-from gridzone.plans.zonal_queries import ALL_POLYS, TILE
+from gridzone.plans.zonal_queries import ALL_POLYS
 from gridzone.sources import layers as L
 from gridzone.sources.polygons import FIXTURE_GRID, test_polygons
 from gridzone.sources.tables import grid_size
 
 MAX_PYRAMID = 20  # levels the oracle spells out; levels above the grid size are empty there
 IDW_RADIUS = 1.5
+FOCAL_TILE = 128  # side of the arrays that focal windows slide over
 TILE_ZOOM = 10
 RADIUS_CENTER = (-77.5, 41.0)
 RADIUS_MILES = 50.0
@@ -36,8 +37,8 @@ def _n(spark, sf):
       "ON nb.x BETWEEN c.x - 1 AND c.x + 1 AND nb.y BETWEEN c.y - 1 AND c.y + 1 GROUP BY c.x, c.y",
 )
 def focal_mean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """3 x 3 focal mean of the value layer (tile halos: only tile-edge cells are copied)."""
-    r = T.focal_mean(L.layer_v(spark, sf_dir, _n(spark, sf_dir)), TILE)
+    """3 x 3 focal mean of the value layer (running joins over haloed tiles)."""
+    r = T.focal_mean(L.layer_v(spark, sf_dir, _n(spark, sf_dir)), FOCAL_TILE)
     return r.withColumn("mean", F.round("mean", 6))
 
 
@@ -50,7 +51,7 @@ def focal_mean_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def focal_stats_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5 x 5 focal mean / min / max / sum of the value layer (radius 2, tile halos of 2 cells)."""
-    r = T.focal_stats(L.layer_v(spark, sf_dir, _n(spark, sf_dir)), TILE, 2)
+    r = T.focal_stats(L.layer_v(spark, sf_dir, _n(spark, sf_dir)), FOCAL_TILE, 2)
     return r.withColumn("mean", F.round("mean", 6))
 
 
@@ -78,7 +79,7 @@ def _hillshade_sql() -> str:
 @query("hillshade", _hillshade_sql())
 def hillshade_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Horn hillshade (azimuth 315, altitude 45, 30 m cells) of the value layer as a DSM."""
-    r = T.hillshade(L.layer_v(spark, sf_dir, _n(spark, sf_dir)), TILE)
+    r = T.hillshade(L.layer_v(spark, sf_dir, _n(spark, sf_dir)), FOCAL_TILE)
     return r.withColumn("hs", F.round("hs", 3))
 
 

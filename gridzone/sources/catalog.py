@@ -171,6 +171,42 @@ def z_ranges(keys: DataFrame, width: int, height: int, tile: int, most: int = 64
     return [(r.a, r.b) for r in g.orderBy("a").collect()]
 
 
+#: Intervals of all polygons that reach the driver at most, however many polygons a zone has.
+INTERVALS = 4096
+
+
+def zone_ranges(vertices: DataFrame, width: int, height: int, tile: int, most: int = 64) -> list[tuple[int, int]]:
+    """Z-curve ranges (first, last) of the tiles that polygons meet, each polygon by its own (``cover.z_intervals``), so zones far apart do
+    not take in what lies between them.
+
+    With more than INTERVALS polygons the intervals are grouped by the leading bits of z instead, as ``z_ranges`` does.
+    """
+    from gridzone.operators.cover import z_intervals
+
+    polygons = vertices.select("poly_id").distinct().count()
+    if polygons > INTERVALS:
+        from gridzone.operators.vector import covering_keys
+
+        return z_ranges(covering_keys(vertices, width, height, tile), width, height, tile, most)
+    per = max(1, min(most, INTERVALS // max(1, polygons)))
+    found = sorted((r["z0"], r["z1"]) for r in z_intervals(vertices, width, height, tile, per).collect())
+    merged: list[list[int]] = []
+    for a, b in found:
+        if merged and a <= merged[-1][1] + 1:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    gaps = sorted((right[0] - left[1] for left, right in zip(merged, merged[1:])), reverse=True)
+    least = gaps[most - 1] if len(gaps) >= most else 0  # only gaps wider than this stay open
+    out: list[list[int]] = []
+    for a, b in merged:
+        if out and a - out[-1][1] <= least:
+            out[-1][1] = b
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
+
+
 def in_ranges(layer: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
     """Rows whose z is in one of the literal ranges: prunes folders (``zc``) and row groups (``z``) at planning time, with
     no join and so the same for any number of keys."""

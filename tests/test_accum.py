@@ -127,7 +127,7 @@ def test_tile_partitioned_stores_prune_and_agree(spark):
     from gridzone.plans.ingest import ingest_class_layers, open_ingested
 
     root = tempfile.mkdtemp(prefix="tiled-", dir=ensure_checkpoint_dir(spark))
-    st = open_ingested(spark, ingest_class_layers(la, lb, root, H, T))
+    st = open_ingested(spark, ingest_class_layers(la, lb, root, H, T, rank_rows=16))
     a, b = st["a"], st["b"]
     rng = random.Random(4)
     verts = vertices_df(spark, {"p": [[_random_polygon(rng, 7, 12, 14, 9)]], "q": [[_random_polygon(rng, 5, 24, 20, 6)]]})
@@ -135,7 +135,7 @@ def test_tile_partitioned_stores_prune_and_agree(spark):
     z = zonal.zone(verts, W, H, T)
     tiled = zonal.zonal_crosstab_tiled(a, b, z, T)
     assert _as_set(tiled) == want
-    fast = accum.zonal_crosstab_accum(st["ranks"], vector.polygon_spans(verts, W, H), T)
+    fast = accum.zonal_crosstab_accum(st["ranks"], vector.polygon_spans(verts, W, H), 16, stored_tile=T)
     assert _as_set(fast) == want
     for df in (tiled, fast):
         assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString().lower()

@@ -107,3 +107,63 @@ def test_cover_follows_the_boundary_not_the_area(spark, n):
     ring = [(1e6 + 1e5 * math.cos(2 * math.pi * k / n), 1e6 + 1e5 * math.sin(2 * math.pi * k / n)) for k in range(n)]
     _, cells = cover.quadtree_cover(vertices_df(spark, {"p": [[ring]], "far": [[[(0, 0), (1, 0), (1, 1)]]]}))
     assert cells.where("poly_id = 'p'").count() < 400 + 16 * n
+
+
+def _z(c, r):
+    return sum(((c >> i & 1) << 2 * i) | ((r >> i & 1) << 2 * i + 1) for i in range(20))
+
+
+def test_z_intervals_hold_the_covering_tiles_and_little_else(spark):
+    from gridzone.operators import vector
+
+    rng = random.Random(6)
+    w, h, tile = 500, 300, 8
+    polys = {f"p{i}": [[star(rng, rng.uniform(-30, 530), rng.uniform(-30, 330), rng.uniform(3, 120), rng.choice([3, 8, 40]))]] for i in range(25)}
+    polys["ring"] = [[star(rng, 250, 150, 140, 60), [(220, 120), (280, 120), (280, 180), (220, 180)]], [star(rng, 420, 60, 50, 6)]]
+    polys["aligned"] = [[[(64, 64), (128, 64), (128, 128), (64, 128)]]]
+    verts = vertices_df(spark, polys)
+    keys = {}
+    for r in vector.covering_keys(verts, w, h, tile).collect():
+        keys.setdefault(r.poly_id, set()).add(_z(r.key_col, r.key_row))
+    got = {}
+    for r in cover.z_intervals(verts, w, h, tile, 10_000).collect():
+        got.setdefault(r.poly_id, set()).update(range(r.z0, r.z1 + 1))
+    assert all(k <= got[p] for p, k in keys.items())
+    grid = {_z(c, r) for c in range(-(-w // tile)) for r in range(-(-h // tile))}
+    assert sum(len((got[p] & grid) - keys[p]) for p in keys) <= 0.02 * sum(map(len, keys.values())) + 40  # tiles touched by a hair
+    for most in (1, 5):
+        rows = cover.z_intervals(verts, w, h, tile, most).collect()
+        by = {}
+        for r in rows:
+            by.setdefault(r.poly_id, []).append((r.z0, r.z1))
+        assert max(map(len, by.values())) <= most
+        assert all(any(a <= z <= b for a, b in by[p]) for p, k in keys.items() for z in k)
+
+
+def test_zones_far_apart_read_their_own_files(spark, monkeypatch):
+    import uuid
+
+    from gridzone.operators import zonal
+    from gridzone.session import ensure_checkpoint_dir
+    from gridzone.sources import catalog
+
+    from .test_complete import _files_read
+
+    monkeypatch.setattr(catalog, "FOLDER_BITS", 4)
+    side = 256
+    layer = spark.range(side * side).selectExpr(f"id % {side} as x", f"id div {side} as y", "id % 5 as v")
+    path = f"{ensure_checkpoint_dir(spark)}/far-{uuid.uuid4().hex}"
+    catalog.write_tiled(layer, path, 8)
+    stored = catalog.read_tiled(spark, path)
+    box = lambda x, y: [[(x, y), (x + 20, y), (x + 20, y + 20), (x, y + 20)]]
+    corners = {"nw": [box(3.5, 3.5)], "se": [box(230.5, 230.5)]}
+    files = {}
+    for name in (["nw"], ["se"], ["nw", "se"]):
+        verts = vertices_df(spark, {n: corners[n] for n in name})
+        ranges = catalog.zone_ranges(verts, side, side, 8)
+        files["+".join(name)] = _files_read(catalog.in_ranges(stored, ranges))
+        z = zonal.zone(verts, side, side, 8)
+        got = zonal.cells_in_zone_tiled(catalog.in_ranges(stored, ranges).withColumnRenamed("v", "a"), z, 8).count()
+        assert got == 400 * len(name)
+    assert files["nw+se"] == files["nw"] + files["se"] < _files_read(stored) / 4
+    assert len(zonal.zone(vertices_df(spark, corners), side, side).boxes) == 2

@@ -139,3 +139,38 @@ def test_weighted_overlay_rejects_out_of_range_weights(spark):
         bands.weighted_overlay({"a": df}, {"a": 6})
     with pytest.raises(ValueError):
         bands.weighted_overlay({"a": df}, {"a": 0})  # nothing left once zero weights are skipped
+
+
+def test_sliding_joins_equal_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    for n, width in ((1, 1), (5, 3), (9, 9), (23, 5), (40, 31), (31, 1)):
+        a = rng.integers(-50, 50, (n, 4)).astype(float)
+        for join in (np.add, np.minimum, np.maximum):
+            want = np.stack([join.reduce(a[i : i + width], axis=0) for i in range(n - width + 1)])
+            assert np.array_equal(terrain.slide(a, width, join), want)
+
+
+def test_focal_keeps_types_and_huge_values_apart(spark):
+    big = 2**60 + 1
+    cells = [(x, y, big if (x, y) == (0, 0) else x - y) for x in range(12) for y in range(9)] + [(20, 20, None), (-3, -2, 4)]
+    df = spark.createDataFrame(cells, "x bigint, y bigint, v bigint")
+    out = {(r.x, r.y): r for r in terrain.focal_stats(df, 5, 2).collect()}
+    assert len(out) == 12 * 9 + 1 and dict(terrain.focal_stats(df, 5, 2).dtypes)["max"] == "bigint"
+    assert out[(1, 1)].max == big and out[(11, 8)].sum == sum(x - y for x in (9, 10, 11) for y in (6, 7, 8)) and out[(-3, -2)].n == 1
+    real = spark.createDataFrame([(x, 0, 1e300 if x == 0 else float("nan") if x == 40 else 0.1) for x in range(60)], "x bigint, y bigint, v double")
+    sums = {r.x: r.sum for r in terrain.focal_stats(real, 16, 3).collect()}
+    assert all(abs(sums[x] - 0.7) < 1e-9 for x in range(4, 37)) and all(math.isnan(sums[x]) for x in range(37, 44)) and abs(sums[59] - 0.4) < 1e-9
+
+
+def test_time_does_not_grow_with_the_radius(spark):
+    import time
+
+    df = spark.range(512 * 512).selectExpr("id % 512 as x", "id div 512 as y", "cast(id * 7919 % 251 as double) as v")
+    took = {}
+    for radius in (1, 15, 1, 15):
+        start = time.time()
+        terrain.focal_stats(df, 128, radius).write.format("noop").mode("overwrite").save()
+        took[radius] = time.time() - start
+    assert took[15] < 3 * took[1] + 1
