@@ -15,13 +15,21 @@ threshold. What is not rejected is reported. The step-up rule needs ranks among
 all candidates: they come from a histogram of p-values (LENGTHS x BINS rows at
 most, whatever the corpus), so no sort over candidates and no task holds them all.
 
+That bounds the share of random tokens among those dropped, not of ordinary ones among
+those reported. So a second null is held too: that a token is word-like (letters as often as in
+prose, few digits and separators), tested by its surprisal under that
+law. A token is reported only if Benjamini-Hochberg, again by length class, rejects this null,
+so of the reported tokens at most a share FDR is expected to be slugs, paths or identifiers.
+
 Text is scanned once; the spans found are a small table in the shared folder,
-and everything after works on that. Prefix sums of match positions copy the
-list so far, so a text's cost grows with the square of its *matches* (not its length).
+and everything after works on that. Positions are summed up in blocks of matches, so a text with
+many thousand matches costs little more than their number.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +47,12 @@ BASE16 = "0123456789abcdef"
 #: False-discovery rate; parts of the alphabet; histogram bins of -log10(p), each BIN wide.
 FDR, PARTS, BINS, BIN = 0.01, 8, 400, 0.05
 SPAN = "array<struct<start:bigint,end:bigint,token:string>>"
+#: Matches whose positions are summed up together; code points of a bucket in which candidates meet base spans.
+BLOCK, BUCKET = 128, 1024
+#: Letters a to z per thousand in prose, rounded means of English, French, German and Spanish.
+LETTERS = (80, 14, 32, 41, 145, 15, 18, 33, 71, 4, 7, 47, 28, 77, 62, 24, 8, 66, 71, 70, 45, 13, 10, 3, 8, 6)
+#: Shares of letters, digits and other characters in slugs, paths and identifiers.
+WORD_LIKE = (0.76, 0.13, 0.11)
 
 
 def _matches(text: Column, pattern: str, value_group: int = 0, min_value: int = 0) -> Column:
@@ -47,18 +61,35 @@ def _matches(text: Column, pattern: str, value_group: int = 0, min_value: int =
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
     # gaps has one entry more; the last one never counts
     steps = F.arrays_zip(F.transform(gaps, F.char_length).alias("gap"), found.alias("token"), F.transform(values, F.char_length).alias("value"))
-    start = lambda a, x: a["at"] + x["gap"]
-    spans = F.aggregate(
-        F.slice(steps, F.lit(1), F.size(found)),
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("out"), F.array().cast("array<int>").alias("n")),
-        lambda a, x: F.struct(
-            (start(a, x) + F.char_length(x["token"])).alias("at"),
-            F.concat(a["out"], F.array(F.struct(start(a, x).alias("start"), (start(a, x) + F.char_length(x["token"])).alias("end"), x["token"].alias("token")))).alias("out"),
-            F.concat(a["n"], F.array(x["value"])).alias("n"),
-        ),
-        lambda a: F.filter(a["out"], lambda s, i: F.get(a["n"], i) >= min_value),
-    )
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
+    steps = F.filter(steps, lambda x: x["token"].isNotNull())
+    length = lambda x: x["gap"] + F.char_length(x["token"])
+    none = F.array().cast(SPAN)
+
+    def span(at, x):
+        return F.struct((at + x["gap"]).alias("start"), (at + length(x)).alias("end"), x["token"].alias("token"))
+
+    def block_spans(block, at):
+        return F.aggregate(
+            block,
+            F.struct(at.alias("at"), none.alias("out")),
+            lambda a, x: F.struct((a["at"] + length(x)).alias("at"), F.when(x["value"] >= min_value, F.concat(a["out"], F.array(span(a["at"], x)))).otherwise(a["out"]).alias("out")),
+            lambda a: a["out"],
+        )
+
+    def spans(all_steps):
+        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(all_steps) / BLOCK)), lambda b: F.slice(all_steps, (b * BLOCK + 1).cast("int"), F.lit(BLOCK)))
+        return F.aggregate(
+            blocks,
+            F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out")),
+            lambda a, block: F.struct(
+                (a["at"] + F.aggregate(block, F.lit(0).cast("bigint"), lambda n, x: n + length(x))).alias("at"),
+                F.concat(a["out"], F.array(block_spans(block, a["at"]))).alias("out"),
+            ),
+            lambda a: F.flatten(a["out"]),
+        )
+
+    once = F.get(F.transform(F.array(steps), spans), F.lit(0))  # steps bound to a variable: matched once
+    return F.when(text.rlike(pattern), once).otherwise(none)
 
 
 def _upper_tail(z: Column) -> Column:
@@ -105,25 +136,58 @@ def randomness(tokens: DataFrame, token: str = "token") -> DataFrame:
     return out.drop("__alphabet", "__k", "__chars", "__codes", "__n", "__chi", "__low", "__n1", "__runs", "__mean", "__dev", "__lag", "__sq", "__half")
 
 
+def word_surprise(tokens: DataFrame, token: str = "token") -> DataFrame:
+    """``tokens`` with __p_word: how likely a word-like token is at least so surprising. One row each, no shuffle."""
+    letters, digits, others = WORD_LIKE
+    shares = [letters * x / sum(LETTERS) for x in LETTERS] + [digits / 10] * 10 + [others / 5] * 5
+    symbols = "abcdefghijklmnopqrstuvwxyz0123456789-_/+="
+    nats = [-math.log(p) for p in shares]
+    mean = sum(p * x for p, x in zip(shares, nats))
+    spread = sum(p * (x - mean) ** 2 for p, x in zip(shares, nats)) ** 0.5
+    table = F.array(*map(F.lit, nats))
+    chars = F.filter(F.split(F.lower(token), ""), lambda c: c != "")
+    sum_nats = F.aggregate(chars, F.lit(0.0), lambda a, c: a + F.get(table, F.call_function("locate", c, F.lit(symbols)) - 1))
+    n = F.char_length(token)
+    return tokens.withColumn("__p_word", _upper_tail((sum_nats - n * mean) / (spread * F.sqrt(n))))
+
+
 def _rank_bin(p: Column) -> Column:
     """Histogram bin of a p-value; 0 holds the largest."""
     return F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-30))) / BIN), F.lit(BINS)).cast("int")
 
 
-def rejected_from(tested: DataFrame, fdr: float = FDR) -> DataFrame:
-    """(length_class, from_bin): Benjamini-Hochberg rejects the candidates in bin ``from_bin`` and above; absent where it rejects none."""
-    bins = tested.groupBy("length_class", "bin").count()
+def rejected_from(tested: DataFrame, fdr: float = FDR, bin: str = "bin") -> DataFrame:
+    """(length_class, from_bin): Benjamini-Hochberg rejects the candidates in bin ``from_bin`` and above; absent where it rejects none.
+    With a column ``token_hash`` the copies of a token count once."""
+    each = tested.select("length_class", F.col(bin).alias("bin"), "token_hash").distinct() if "token_hash" in tested.columns else tested.select("length_class", F.col(bin).alias("bin"))
+    bins = each.groupBy("length_class", "bin").count()
     by_p = Window.partitionBy("length_class").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
     ranked = bins.withColumn("rank", F.sum("count").over(by_p)).withColumn("all", F.sum("count").over(Window.partitionBy("length_class")))
     largest_p = F.pow(F.lit(10.0), -F.col("bin") * BIN)
     return ranked.where(largest_p <= fdr * F.col("rank") / F.col("all")).groupBy("length_class").agg(F.min("bin").alias("from_bin"))
 
 
+def _apart(found: DataFrame) -> DataFrame:
+    """(row, start, end, token) of the candidates that overlap no base span. Both are dealt by the buckets of code points they reach
+    into, so a text with very many of both is no product of the two."""
+    buckets = F.explode(F.sequence(F.floor(F.col("start") / BUCKET), F.floor((F.col("end") - 1) / BUCKET)))
+    some = found.where(F.size("candidates") > 0)
+    alone = some.where(F.size("base") == 0).select("row", F.inline("candidates"))
+    both = some.where(F.size("base") > 0)
+    candidates = both.select("row", F.inline("candidates"))
+    base = both.select("row", F.inline(F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))).select("*", buckets.alias("bucket"))
+    base = base.select(F.col("row").alias("brow"), "bucket", F.col("start").alias("bstart"), F.col("end").alias("bend"))
+    dealt = candidates.select("*", buckets.alias("own"))
+    meet = dealt.join(base, (F.col("row") == F.col("brow")) & (F.col("own") == F.col("bucket")) & (F.col("bstart") < F.col("end")) & (F.col("start") < F.col("bend")), "left_semi")
+    hit = meet.select("row", "start").distinct()
+    return alone.unionByName(candidates.join(hit, ["row", "start"], "left_anti"))
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: float = FDR) -> DataFrame:
     """One row per row of ``docs``: id and ``secrets``, array<struct<start, rank, kind, end, score>> by start and then kind.
 
     ``score`` is the joint p-value of ``random`` spans (high: like random), else
-    null. A candidate that overlaps a base span is not reported again. Null and
+    null. A candidate that overlaps a base span is not reported again, nor one that may be word-like. Null and
     empty texts have no spans; repeated rows and ids stay; other columns are
     ignored, whatever their names. An empty table gives no rows.
     """
@@ -141,12 +205,13 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     both = lambda c, a, b: c["token"].rlike(a) & c["token"].rlike(b)
     mixed = F.filter("candidates", lambda c: both(c, "[0-9]", "[A-Za-z]") | both(c, "[a-z]", "[A-Z]") | both(c, r"\A[A-Z2-7]+=*\z", "[A-Z]"))
     found = stored(found.select("id", "row", F.sort_array(base).alias("base"), mixed.alias("candidates")), "secret-spans")
-    apart = F.filter("candidates", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    tokens = found.where(F.size("candidates") > 0).select("row", F.explode(apart).alias("c")).select("row", "c.*")
-    tested = randomness(tokens).select("row", "start", "end", F.col("__p").alias("score"), F.floor(F.log2(F.col("end") - F.col("start"))).cast("int").alias("length_class"))
-    tested = stored(tested.withColumn("bin", _rank_bin(F.col("score"))), "secret-tests")
-    bound = F.broadcast(rejected_from(tested, fdr))  # a row per power of two of length
-    kept = tested.join(bound, "length_class", "left").where(F.col("from_bin").isNull() | (F.col("bin") < F.col("from_bin")))
+    tested = word_surprise(randomness(_apart(found)))
+    tested = tested.select("row", "start", "end", F.xxhash64("token").alias("token_hash"), F.col("__p").alias("score"), "__p_word", F.floor(F.log2(F.col("end") - F.col("start"))).cast("int").alias("length_class"))
+    tested = stored(tested.withColumn("bin", _rank_bin(F.col("score"))).withColumn("word_bin", _rank_bin(F.col("__p_word"))).drop("__p_word"), "secret-tests")
+    structured = F.broadcast(rejected_from(tested, fdr))  # a row per power of two of length, here and below
+    unlike_words = F.broadcast(rejected_from(tested, fdr, "word_bin").withColumnRenamed("from_bin", "from_word_bin"))
+    kept = tested.join(structured, "length_class", "left").where(F.col("from_bin").isNull() | (F.col("bin") < F.col("from_bin")))
+    kept = kept.join(unlike_words, "length_class").where(F.col("word_bin") >= F.col("from_word_bin"))
     extra = kept.groupBy("row").agg(F.collect_list(F.struct("start", F.lit(len(BASE_KINDS)).alias("rank"), F.lit("random").alias("kind"), "end", "score")).alias("extra"))
     all_spans = F.when(F.col("extra").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "extra")))
     return found.join(extra, "row", "left").select(F.col("id").alias(id_col), all_spans.alias("secrets"))

@@ -100,3 +100,48 @@ def test_letter_only_keys_are_tested(spark):
     df = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(keys)], "doc_id long, text string")
     found = {r.doc_id: [s.kind for s in r.secrets] for r in secretscan.find_secrets(df).collect()}
     assert sum(kinds == ["random"] for kinds in found.values()) >= 36
+
+
+def _ordinary(rng, n):
+    words = "the quick brown report over lazy summer house market price index north river update table station garden paper school winter".split()
+    make = [
+        lambda: "-".join(rng.choices(words, k=4)) + f"-{rng.randrange(1990, 2030)}",
+        lambda: "/".join(rng.choices(words, k=4)) + f"/{rng.randrange(100)}",
+        lambda: "".join(w.capitalize() for w in rng.choices(words, k=5)) + str(rng.randrange(10)),
+        lambda: "_".join(rng.choices(words, k=4)).upper() + "_2",
+    ]
+    return [make[i % 4]() for i in range(n)]
+
+
+def test_slugs_paths_and_identifiers_are_not_reported(spark):
+    """Of 800 ordinary long tokens next to none is reported, of 100 random ones nearly all are."""
+    rng = random.Random(12)
+    tokens = [t for t in _ordinary(rng, 800) if len(t) >= 20]
+    keys = ["".join(rng.choices(secretscan.BASE64[:62], k=rng.choice([32, 40, 64]))) for _ in range(100)]
+    df = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(keys + tokens)], "doc_id long, text string")
+    found = {r.doc_id for r in secretscan.find_secrets(df).collect() if any(s.kind == "random" for s in r.secrets)}
+    right = sum(i < 100 for i in found)
+    assert right >= 95 and len(found) - right <= 0.01 * len(tokens) + 1
+
+
+def test_word_surprise_is_level_for_word_like_tokens(spark):
+    rng = random.Random(13)
+    letters, digits, others = secretscan.WORD_LIKE
+    weights = [letters * x / sum(secretscan.LETTERS) for x in secretscan.LETTERS] + [digits / 10] * 10 + [others / 5] * 5
+    rows = [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789-_/+=", weights, k=64)),) for _ in range(1500)]
+    p = [r["__p_word"] for r in secretscan.word_surprise(spark.createDataFrame(rows, "token string")).collect()]
+    for level in (0.01, 0.05, 0.2):
+        assert abs(sum(x < level for x in p) / len(p) - level) < 0.03 + level / 4
+
+
+def test_a_text_with_a_hundred_thousand_matches(spark):
+    import time
+
+    rng = random.Random(14)
+    slugs = _ordinary(rng, 100_000)
+    text = " ".join(f"{rng.getrandbits(96):024x}" + ("" if i % 2 else " " + slugs[i]) for i in range(100_000))
+    df = spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: r.secrets for r in secretscan.find_secrets(df).collect()}
+    assert time.time() - start < 120
+    assert [(s.start, s.rank, s.kind, s.end) for s in got[1] if s.kind != "random"] == brute(text) and len(got[1]) <= 101_000
