@@ -14,13 +14,18 @@ import re
 import struct
 from functools import lru_cache
 
+import numpy as np
+
 #: Before a single space.
 CUT = re.compile(r"(?<! )(?= (?! ))")
 #: A new part is cut further where words always end: about a line break between two characters, and before closing marks.
 BREAK = re.compile(r"(?<=\S)(\n)(?=\S)")
 MARKS = re.compile(r"(?<=[^\W\d_])[.,!?;:%$&*#|]+\Z")
+#: A space and letters alone are one word of the pre-tokenizer, so such words can be encoded in one text.
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+TOGETHER = 2_000
 #: Remembered parts at most; beyond, memory starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 1_400_000
 
 
 def _words(part: str) -> list[str]:
@@ -44,6 +49,20 @@ class Encoder:
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(ids := e.ids)}I", *ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters that follow a space, many to a text, told apart by the number of the word they belong to."""
+        out: list[bytes] = []
+        for lo in range(0, len(words), TOGETHER):
+            some = words[lo : lo + TOGETHER]
+            e = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
+            ids, number = np.array(e.ids, dtype="<u4").tobytes(), np.array(e.word_ids)
+            starts = (4 * np.flatnonzero(np.diff(number, prepend=-1))).tolist()
+            if len(starts) != len(some):
+                out += self._plain([" " + w for w in some])
+            else:
+                out += [ids[a:b] for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.parts) + len(self.spaced) > REMEMBERED:
@@ -66,13 +85,21 @@ class Encoder:
         return out
 
     def _learn(self, bare: set[str], spaced: set[str]) -> None:
-        new = {p: _words(p) for p in bare if p not in self.parts}
-        new_spaced = {p: _words(" " + p) for p in spaced if p not in self.spaced}
-        words = list(set().union(*new.values(), *new_spaced.values()))
-        ids = dict(zip(words, self._plain(words), strict=True))
-        for known, own in ((self.parts, new), (self.spaced, new_spaced)):
-            for part, cut in own.items():
-                known[part] = ids[cut[0]] if len(cut) == 1 else b"".join([ids[w] for w in cut])
+        new = spaced.difference(self.spaced)
+        plain = set(filter(LETTERS.fullmatch, new))
+        cut = {p: _words(" " + p) for p in new.difference(plain)}
+        cut_bare = {p: _words(p) for p in bare.difference(self.parts)}
+        pieces = set().union(*cut.values(), *cut_bare.values())
+        after_space = {w[1:] for w in pieces if w[:1] == " "}
+        plain.update(w for w in after_space.difference(self.spaced) if LETTERS.fullmatch(w))
+        words = list(plain)
+        known = self.spaced
+        known.update(zip(words, self._together(words), strict=True))
+        others = [w for w in pieces if w[:1] != " " or w[1:] not in known]
+        ids = dict(zip(others, self._plain(others), strict=True))
+        for own, parts in ((self.parts, cut_bare), (known, cut)):
+            for part, ws in parts.items():
+                own[part] = b"".join([ids[w] if w in ids else known[w[1:]] for w in ws])
 
 
 @lru_cache(maxsize=2)
