@@ -139,38 +139,81 @@ def pyramid_levels(width: int, height: int) -> int:
     return max(0, math.ceil(math.log2(max(1, width, height))))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Each level goes to the shared checkpoint folder: the next one is computed from it, and all
-    levels together read the base layer once."""
-    return df.checkpoint(eager=True)
+#: Levels made in one pass: a tile of 2^LEVELS_AT_ONCE cells a side becomes one cell.
+LEVELS_AT_ONCE = 8
+
+
+def _quarters(a: np.ndarray) -> np.ndarray:
+    """(4, side / 2, side / 2): the cells of each 2 x 2 block."""
+    return np.stack([a[i::2, j::2] for i in (0, 1) for j in (0, 1)])
+
+
+def _mean_of_four(values: np.ndarray, there: np.ndarray) -> np.ndarray:
+    v, t = _quarters(values), _quarters(there)
+    return np.where(t, v, 0).sum(axis=0) / np.maximum(t.sum(axis=0), 1)
+
+
+def _mode_of_four(values: np.ndarray, there: np.ndarray) -> np.ndarray:
+    v, t = _quarters(values), _quarters(there)
+    best, most = np.zeros_like(v[0]), np.zeros(v[0].shape, dtype=np.int8)
+    for i in range(4):
+        n = ((v == v[i]) & t).sum(axis=0) * t[i]
+        better = (n > most) | ((n == most) & (n > 0) & (v[i] < best))
+        best, most = np.where(better, v[i], best), np.where(better, n, most)
+    return best
+
+
+def _levels_of_a_tile(join, done: int, step: int, dtype):
+    side = 1 << step
+
+    def run(table: pa.Table) -> pa.Table:
+        x0, y0 = (table.column(k)[0].as_py() * side for k in ("key_col", "key_row"))
+        at = table.column("x").to_numpy() - x0, table.column("y").to_numpy() - y0
+        values, there = np.zeros((side, side), dtype=dtype), np.zeros((side, side), dtype=bool)
+        values[at], there[at] = table.column("v").to_numpy(), True
+        parts = []
+        for k in range(1, step + 1):
+            values, there = join(values, there), _quarters(there).any(axis=0)
+            x, y = np.nonzero(there)
+            parts.append((np.full(len(x), done + k, dtype=np.int32), x + (x0 >> k), y + (y0 >> k), values[x, y]))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*parts)], names=["level", "x", "y", "v"])
+
+    return run
+
+
+def _pyramid(cells: DataFrame, levels: int, join, kind: str) -> DataFrame:
+    """Levels 1..levels: all levels inside a tile in the task that holds it; the top of each tile is a cell of the next pass, of 2^LEVELS_AT_ONCE
+    times fewer cells a side. Between passes the tiles' tops go to the checkpoint folder."""
+    own, done, out = cells.filter(F.col("v").isNotNull()).select("x", "y", F.col("v").cast(kind).alias("v")), 0, None
+    while done < levels:
+        step = min(LEVELS_AT_ONCE, levels - done)
+        key = [F.floor(F.col(c) / (1 << step)).alias(k) for c, k in (("x", "key_col"), ("y", "key_row"))]
+        run = _levels_of_a_tile(join, done, step, np.int64 if kind == "bigint" else np.float64)
+        made = own.select("*", *key).groupBy("key_col", "key_row").applyInArrow(run, f"level int, x long, y long, v {kind}")
+        done += step
+        if done < levels:
+            made = made.checkpoint()
+            own = made.where(F.col("level") == done).select("x", "y", "v")
+        out = made if out is None else out.unionByName(made)
+    return out if out is not None else own.select(F.lit(0).alias("level"), "x", "y", "v").where("false")
 
 
 def pyramid_mean(cells: DataFrame, levels: int) -> DataFrame:
     """Levels 1..levels above the base: each cell = mean of the 2 x 2 cells below it."""
-    out, cur = [], cells.select("x", "y", F.col("v").cast("double").alias("v"))
-    for lvl in range(1, levels + 1):
-        cur = cur.groupBy(F.floor(F.col("x") / 2).alias("x"), F.floor(F.col("y") / 2).alias("y")).agg(F.avg("v").alias("v"))
-        cur = _cut(cur)
-        out.append(cur.select(F.lit(lvl).alias("level"), "x", "y", "v"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+    return _pyramid(cells, levels, _mean_of_four, "double")
 
 
 def pyramid_mode(cells: DataFrame, levels: int) -> DataFrame:
-    """Class pyramid: each cell = most frequent class of the 2 x 2 below (ties: smallest class)."""
-    out, cur = [], cells.select("x", "y", "v")
-    for lvl in range(1, levels + 1):
-        cnt = cur.groupBy(F.floor(F.col("x") / 2).alias("x"), F.floor(F.col("y") / 2).alias("y"), "v").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        cur = _cut(cnt.groupBy("x", "y").agg(F.max_by("v", F.struct(F.col("n"), -F.col("v"))).alias("v")))
-        out.append(cur.select(F.lit(lvl).alias("level"), "x", "y", "v"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+    """Class pyramid (whole-number classes): each cell = most frequent class of the 2 x 2 below (ties: smallest class)."""
+    return _pyramid(cells, levels, _mode_of_four, "bigint")
+
+
+def pyramid_level(cells: DataFrame, level: int, how: str = "mean") -> DataFrame:
+    """One level alone: 0 is the base, ``how`` is mean or mode."""
+    if level == 0:
+        return cells.select("x", "y", "v")
+    made = {"mean": pyramid_mean, "mode": pyramid_mode}[how](cells, level)
+    return made.where(F.col("level") == level).select("x", "y", "v")
 
 
 def point_binning(points: DataFrame, cx: Column, cy: Column) -> DataFrame:

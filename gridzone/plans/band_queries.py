@@ -132,9 +132,7 @@ def class_breaks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def classify_breaks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class index of every cell by the layer's breaks (colour-ramp class without the image)."""
     lv = L.layer_v(spark, sf_dir, _n(spark, sf_dir))
-    brks = [r["brk"] for r in stats.class_breaks(lv, "v", N_BREAKS).collect()]  # N_BREAKS values
-    arr = F.array(*[F.lit(b) for b in sorted(brks)])
-    return lv.select("x", "y", stats.classify(F.col("v"), arr).alias("cls"))
+    return stats.classified(lv, "v", stats.class_breaks(lv, "v", N_BREAKS)).select("x", "y", "cls")
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,8 @@ from gridzone.operators import layout
 from gridzone.plans import sqlparts as S
 from gridzone.plans.registry import query
 from gridzone.plans.zonal_queries import TILE
+from gridzone.session import ensure_checkpoint_dir
+from gridzone.sources import catalog
 from gridzone.sources import layers as L
 from gridzone.sources.tables import grid_size
 
@@ -114,16 +116,30 @@ def _meta_sql() -> str:
     return S.with_(S.grid(), S.layers("la", "lb", "lv", "lw")) + " UNION ALL ".join(parts)
 
 
+#: Catalogs written by this process: (application, tables) -> root. A catalog is written once and then read by its records.
+_CATALOGS: dict[tuple[str, str], str] = {}
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a catalog with the derived layers, below the session's shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CATALOGS:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/catalog-{uuid.uuid4().hex}"
+        n = grid_size(spark, sf_dir)
+        srcs = {"a": L.layer_a, "b": L.layer_b, "v": L.layer_v, "w": L.layer_w}
+        for name, _, ct in _META_LAYERS:
+            catalog.write_layer(srcs[name](spark, sf_dir, n), root, name, n, TILE, ct)
+        _CATALOGS[key] = root
+    return _CATALOGS[key]
+
+
 def _metas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = grid_size(spark, sf_dir)
-    srcs = {"a": L.layer_a, "b": L.layer_b, "v": L.layer_v, "w": L.layer_w}
-    metas = [layout.layout_meta(srcs[name](spark, sf_dir, n), name, n, TILE, ct) for name, _, ct in _META_LAYERS]
-    return reduce(DataFrame.unionByName, metas)
+    return catalog.read_meta(spark, _catalog(spark, sf_dir))
 
 
 @query("layer_meta", _meta_sql())
 def layer_meta_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata record of each derived layer (extent, layout, key bounds, cell type, CRS)."""
+    """Metadata record of each layer in the catalog (extent, layout, key bounds, cell type, CRS)."""
     return _metas(spark, sf_dir)
 
 

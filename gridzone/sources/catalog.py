@@ -2,15 +2,19 @@
 
 Layout under ``root``::
 
-    root/<layer>/zoom=<z>/zc=<folder>/*.parquet cells (key_col, key_row, z, x, y, v)
-    root/_meta/layer=<layer>/zoom=<z>/*.json    one metadata record per layer
+    root/<layer>/zoom=<z>/version=<n>/zc=<folder>/*.parquet     cells (key_col, key_row, z, x, y, v)
+    root/_meta/layer=<layer>/zoom=<z>/version=<n>/*.json        one metadata record per version
 
-Writes replace an existing layer (overwrite-if-exists); listing reads the
-metadata partition columns only.
+A write goes to a new version folder and counts once its metadata record is
+there: that one small file publishes cells and metadata together, and readers take the newest version
+that has one. A write that fails leaves the layer as it was; versions before the one it replaced are removed
+after the next write. Listing and metadata read the records only.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,30 +41,71 @@ def zordered(cells: DataFrame, tile: int) -> DataFrame:
     return k.repartitionByRange("z").sortWithinPartitions("z", "y", "x")
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _records(spark: SparkSession, root: str) -> DataFrame:
+    """The metadata record of every published version."""
+    fields = META_SCHEMA.replace("zoom INT, ", "")
+    return spark.read.schema(f"{fields}, layer STRING, zoom INT, version BIGINT").json(f"{root.rstrip('/')}/_meta")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def versions(spark: SparkSession, root: str, layer: str, zoom: int = 0) -> list[int]:
+    """Published versions of a layer, oldest first."""
+    if not _exists(spark, f"{root.rstrip('/')}/_meta"):
+        return []
+    rows = _records(spark, root).where((F.col("layer") == layer) & (F.col("zoom") == zoom)).select("version").distinct().collect()
+    return sorted(r["version"] for r in rows)
+
+
 def write_layer(cells: DataFrame, root: str, layer: str, grid: int | tuple[int, int], tile: int, cell_type: str,
-                zoom: int = 0) -> None:
-    """Write (replace) a layer and its metadata record; ``grid`` is the side or (width, height) in cells."""
+                zoom: int = 0, keep: int = 2) -> None:
+    """Write (replace) a layer and its metadata record; ``grid`` is the side or (width, height) in cells.
+
+    The last ``keep`` versions stay, so queries that read the layer as it was can end.
+    """
+    spark = cells.sparkSession
+    before = versions(spark, root, layer, zoom)
+    version = max(time.time_ns(), *(v + 1 for v in before), 0)
+    path = f"{layer_path(root, layer, zoom)}/version={version}"
     stored = zordered(cells, tile).select("key_col", "key_row", "z", "x", "y", "v", folder(F.col("z")).alias("zc"))
-    stored.write.mode("overwrite").partitionBy("zc").parquet(layer_path(root, layer, zoom))
-    meta = layout_meta(cells, layer, grid, tile, cell_type).drop("layer", "zoom").withColumn("zoom", F.lit(zoom))
-    meta.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/_meta/layer={layer}/zoom={zoom}")
+    stored.write.partitionBy("zc").parquet(path)
+    written = spark.read.schema(stored.schema).parquet(path)
+    meta = layout_meta(written, layer, grid, tile, cell_type).drop("layer", "zoom")
+    meta.coalesce(1).write.json(f"{root.rstrip('/')}/_meta/layer={layer}/zoom={zoom}/version={version}")
+    for old in before[: max(0, len(before) + 1 - keep)]:
+        _remove(spark, f"{root.rstrip('/')}/_meta/layer={layer}/zoom={zoom}/version={old}")
+        _remove(spark, f"{layer_path(root, layer, zoom)}/version={old}")
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, zoom: int = 0, partitions: int | None = None) -> DataFrame:
-    """Read a stored layer; ``partitions`` spreads a full scan over that many tasks."""
-    df = spark.read.parquet(layer_path(root, layer, zoom)).withColumn("zc", F.col("zc").cast("bigint"))
+    """Read the newest version of a stored layer; ``partitions`` spreads a full scan over that many tasks."""
+    known = versions(spark, root, layer, zoom)
+    if not known:
+        raise FileNotFoundError(f"no layer {layer} at zoom {zoom} in {root}")
+    df = spark.read.parquet(f"{layer_path(root, layer, zoom)}/version={known[-1]}").withColumn("zc", F.col("zc").cast("bigint"))
     return df.repartition(partitions) if partitions else df
 
 
 def list_layers(spark: SparkSession, root: str) -> DataFrame:
     """``(layer, zoom)`` of every layer in the catalog."""
-    m = spark.read.schema(f"layer STRING, {META_SCHEMA}").json(f"{root.rstrip('/')}/_meta")
-    return m.select("layer", "zoom").distinct()
+    return _records(spark, root).select("layer", "zoom").distinct()
 
 
 def read_meta(spark: SparkSession, root: str, layer: str | None = None) -> DataFrame:
-    m = spark.read.schema(f"layer STRING, {META_SCHEMA}").json(f"{root.rstrip('/')}/_meta")
-    return m if layer is None else m.filter(F.col("layer") == layer)
+    """The newest metadata record of each layer, or of one."""
+    m = _records(spark, root)
+    m = m if layer is None else m.filter(F.col("layer") == layer)
+    row = F.max_by(F.struct(*(c for c in m.columns if c not in ("layer", "zoom", "version"))), "version").alias("r")
+    return m.groupBy("layer", "zoom").agg(row).select("layer", "zoom", "r.*")
 
 
 def meta_json(meta: DataFrame) -> DataFrame:

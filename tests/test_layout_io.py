@@ -74,6 +74,7 @@ def test_catalog_write_overwrite_list(spark):
     assert (m.layout_cols, m.tile_cols, m.n_cells) == (2, 8, len(rows))
     js = catalog.meta_json(catalog.read_meta(spark, root, "soil")).first().metadata
     assert '"tileLayout":{"layoutCols":2' in js
+    assert len(catalog.versions(spark, root, "lc")) == 2
     # files of one layer are range-partitioned on the z key: z ranges of files do not overlap much
     assert "z" in got.columns
 
@@ -168,3 +169,31 @@ def test_address_record_shape(spark):
     r = df.select(address_record(F.col("text"), F.col("lat"), F.col("lng"), F.col("zip")).alias("a")).collect()
     assert r[0].a.text == "1 Main St" and r[0].a.latlng.lat == 39.95 and r[0].a.latlng.lng == -75.16
     assert r[0].a.zipCode == "19107" and r[1].a.zipCode is None
+
+
+def test_a_failed_overwrite_leaves_the_old_layer(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="versions-", dir=ensure_checkpoint_dir(spark))
+    cells, rows = _cells(spark, 16, 16)
+    few = cells.filter("v < 50")
+    catalog.write_layer(few, root, "lc", 16, 8, "int64")
+    old = catalog.read_layer(spark, root, "lc")
+    n = old.count()
+
+    def fails(*_, **__):
+        raise RuntimeError("between cells and metadata")
+
+    with monkeypatch.context() as m:
+        m.setattr(catalog, "layout_meta", fails)
+        with pytest.raises(RuntimeError):
+            catalog.write_layer(cells, root, "lc", 16, 8, "int64")
+    bad = cells.withColumn("v", F.raise_error(F.lit("while cells are written")).cast("bigint"))
+    with pytest.raises(Exception, match="while cells"):
+        catalog.write_layer(bad, root, "lc", 16, 8, "int64")
+    assert catalog.read_layer(spark, root, "lc").count() == n == catalog.read_meta(spark, root, "lc").first().n_cells
+    catalog.write_layer(cells, root, "lc", 16, 8, "int64")
+    assert catalog.read_layer(spark, root, "lc").count() == len(rows) == catalog.read_meta(spark, root, "lc").first().n_cells
+    assert old.count() == n  # a reader of the version before can still end
+    catalog.write_layer(few, root, "lc", 16, 8, "int64")
+    assert len(catalog.versions(spark, root, "lc")) == 2 and catalog.list_layers(spark, root).count() == 1
+    with pytest.raises(FileNotFoundError):
+        catalog.read_layer(spark, root, "none")

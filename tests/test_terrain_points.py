@@ -68,10 +68,39 @@ def test_class_breaks_exact(spark):
     s = sorted(vals)
     want = [s[math.ceil(i * len(s) / 10) - 1] for i in range(1, 11)]
     assert got == want
-    r = {row.v: row.cum for row in stats.value_ranks(df, "v", 7).collect()}
+    r = {row.v: row.cum for row in stats.value_ranks(df, "v").collect()}
     assert r[max(vals)] == len(vals)
 
 
+def test_bands_never_fall(spark):
+    rng = random.Random(8)
+    vals = [0.0, -0.0, 5e-324, -5e-324, 1e308, -1e308, float("inf"), float("-inf"), float("nan")]
+    vals += [s * (2.0**k) * (1 + e) for k in range(-1020, 1020, 17) for e in (0, 2**-52, -(2**-53), 0.25) for s in (1, -1)]
+    vals += [rng.gauss(0, 10 ** rng.uniform(-20, 20)) for _ in range(2000)] + [float(i) for i in range(-3000, 3000, 7)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").select("v", stats.bands(F.col("v")).alias("b"))
+    rows = df.orderBy("v").collect()
+    assert all(a.b <= b.b for a, b in zip(rows, rows[1:]))
+    want, run = {}, 0
+    for r in rows:
+        run += 1
+        want[str(0.0 if r.v == 0 else r.v)] = run
+    got = {str(0.0 if r.v == 0 else r.v): r.cum for r in stats.value_ranks(df, "v").collect()}
+    assert got == want
+
+
+def test_breaks_run_nothing_before_the_query(spark):
+    df = spark.range(1000).selectExpr("id % 37 as v")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("breaks", "no jobs while a plan is built")
+    try:
+        b = stats.class_breaks(df, "v", 10)
+        stats.classified(df, "v", b)
+        assert list(jobs.getJobIdsForGroup("breaks")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stats.class_breaks(df.where("false"), "v", 10).collect() == []
+
+
 def test_pip_join_matches_brute_force(spark):
     rng = random.Random(3)
     pts = [(i, rng.uniform(-5, 130), rng.uniform(-5, 130)) for i in range(3000)]
@@ -174,3 +203,26 @@ def test_time_does_not_grow_with_the_radius(spark):
         terrain.focal_stats(df, 128, radius).write.format("noop").mode("overwrite").save()
         took[radius] = time.time() - start
     assert took[15] < 3 * took[1] + 1
+
+
+def test_pyramid_in_passes_equals_level_by_level(spark, monkeypatch):
+    """Three levels a pass, negative keys, gaps: each level is the join of the one below."""
+    monkeypatch.setattr(terrain, "LEVELS_AT_ONCE", 3)
+    rng = random.Random(17)
+    cells = {(x, y): rng.randrange(4) for x in range(-9, 40) for y in range(-3, 21) if rng.random() > 0.4}
+    df = spark.createDataFrame([(x, y, v) for (x, y), v in cells.items()] + [(100, 100, None)], "x bigint, y bigint, v bigint")
+    mean, mode = ({(r.level, r.x, r.y): r.v for r in f(df, 7).collect()} for f in (terrain.pyramid_mean, terrain.pyramid_mode))
+    below_mean, below_mode = cells, cells
+    for level in range(1, 8):
+        groups = {}
+        for (x, y), v in below_mean.items():
+            groups.setdefault((x // 2, y // 2), []).append(v)
+        below_mean = {k: sum(v) / len(v) for k, v in groups.items()}
+        groups = {}
+        for (x, y), v in below_mode.items():
+            groups.setdefault((x // 2, y // 2), []).append(v)
+        below_mode = {k: min(set(v), key=lambda c: (-v.count(c), c)) for k, v in groups.items()}
+        assert {k[1:]: v for k, v in mode.items() if k[0] == level} == below_mode
+        assert {k[1:]: pytest.approx(v) for k, v in mean.items() if k[0] == level} == below_mean
+    assert {(r.x, r.y): r.v for r in terrain.pyramid_level(df, 2, "mode").collect()} == {k[1:]: v for k, v in mode.items() if k[0] == 2}
+    assert terrain.pyramid_level(df, 0).count() == len(cells) + 1 and terrain.pyramid_mean(df, 0).count() == 0
