@@ -1,13 +1,23 @@
-"""Tile layout operators: tiles <-> cells, retiling, keys, extents, metadata, bands.
-
-Tile form: ``(key_col, key_row, cells ARRAY)`` with ``tile * tile`` entries in
-row-major order (index = row * tile + col inside the tile), NULL = no-data.
+"""Tile layout operators: packed tiles <-> cells, retiling, keys, extents, metadata, bands.
+
+Packed tile form: ``(key_col, key_row, cell_type, constant, valid, data)``. ``data`` holds the
+tile's values in row-major order (index = row * tile + col) as little-endian numbers of
+``cell_type``, or one value if the tile is ``constant``; ``valid`` is a bitmap of the cells with
+data, null if all have. So a tile of one class is a few bytes, no-data needs no value
+of its own inside the library, and whole tiles are read, cut and written as numpy slices. Where files
+want a no-data value in the cells, ``with_nodata`` writes the cell type's own and
+``without_nodata`` reads it.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,90 +33,220 @@ def with_keys(cells: DataFrame, tile: int) -> DataFrame:
     return cells.withColumn("key_col", F.floor(F.col("x") / tile)).withColumn("key_row", F.floor(F.col("y") / tile))
 
 
-def _dense_udf(size: int, dtype: str):
-    """Arrow-batched scatter of (positions, values) into a dense ``size`` array (NULL gaps)."""
+@dataclass(frozen=True)
+class CellType:
+    """``code``: numpy's little-endian type; ``sql``: Spark's; ``nodata``: the value that stands for no data in files (None: has none)."""
+
+    code: str
+    sql: str
+    nodata: float | int | None
+
+
+# Cell types of raster layers and the no-data value each writes by default.
+CELL_TYPES = {
+    "bit": CellType("?", "boolean", None),
+    "int8": CellType("<i1", "tinyint", -128),
+    "uint8": CellType("<u1", "smallint", 0),
+    "int16": CellType("<i2", "smallint", -32768),
+    "uint16": CellType("<u2", "int", 0),
+    "int32": CellType("<i4", "int", INT_NODATA),
+    "uint32": CellType("<u4", "bigint", 0),
+    "int64": CellType("<i8", "bigint", -(1 << 63)),
+    "float32": CellType("<f4", "float", math.nan),
+    "float64": CellType("<f8", "double", math.nan),
+}
+PACKED = "key_col long, key_row long, cell_type string, constant boolean, valid binary, data binary"
+_SQL_TYPES = {"boolean": "bit", "tinyint": "int8", "smallint": "int16", "int": "int32", "bigint": "int64", "float": "float32", "double": "float64"}
+
+
+def _encode(values: np.ndarray, there: np.ndarray) -> tuple[bool, bytes | None, bytes]:
+    """(constant, valid, data) of a tile; places without data must hold zero."""
+    full = bool(there.all())
+    constant = full and bool((values == values[0]).all())
+    stored = values[:1] if constant else values
+    data = np.packbits(stored).tobytes() if values.dtype == bool else stored.tobytes()
+    return constant, None if full else np.packbits(there).tobytes(), data
+
+
+def _decode(kind: CellType, size: int, constant: bool, valid: bytes | None, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(values, there) of a tile of ``size`` cells, read-only views where that is possible."""
+    n = 1 if constant else size
+    values = np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool) if kind.code == "?" else np.frombuffer(data, kind.code)
+    there = np.ones(size, bool) if valid is None else np.unpackbits(np.frombuffer(valid, np.uint8), count=size).astype(bool)
+    return np.broadcast_to(values, size) if constant else values, there
+
 
-    @F.pandas_udf(f"array<{dtype}>")
-    def scatter(ps: pd.Series, vs: pd.Series) -> pd.Series:
-        out = []
-        for p, v in zip(ps, vs):
-            a = np.full(size, None, dtype=object)
-            a[np.asarray(p, dtype=np.int64)] = list(v)
-            out.append(a)
-        return pd.Series(out)
+def _tiles_of(batch: pa.RecordBatch, size: int):
+    """(row, cell type, values, there) of each packed tile of a batch."""
+    columns = (batch.column(c).to_pylist() for c in ("cell_type", "constant", "valid", "data"))
+    for row, (name, constant, valid, data) in enumerate(zip(*columns)):
+        yield row, CELL_TYPES[name], *_decode(CELL_TYPES[name], size, constant, valid, data)
 
-    return scatter
 
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.binary(), pa.binary()]
+    columns = list(zip(*rows)) or [()] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[f.split()[0] for f in PACKED.split(", ")])
 
-def to_tiles(cells: DataFrame, tile: int, value: str = "v") -> DataFrame:
-    """Cells -> dense tiles. Each group holds at most ``tile * tile`` cells (bounded).
 
-    The sparse (position, value) lists are gathered by ``groupBy``; the dense
-    fill is a vectorised scatter per tile (Arrow batches, no per-element lambdas).
+def to_tiles(cells: DataFrame, tile: int, value: str = "v", cell_type: str | None = None) -> DataFrame:
+    """Cells -> packed tiles; ``cell_type`` defaults to the one of the column's type. Each group holds at most ``tile * tile`` cells.
+
+    Values are scattered into the tile's array at once; a value that the cell type cannot hold becomes no data.
     """
+    name = cell_type or _SQL_TYPES[dict(cells.dtypes)[value]]
+    kind, size = CELL_TYPES[name], tile * tile
+
+    def pack(table: pa.Table) -> pa.Table:
+        keys = [table.column(k)[0].as_py() for k in ("key_col", "key_row")]
+        own = table.column("v").to_numpy()
+        fits = _fits(own, kind)
+        at = table.column("p").to_numpy()[fits]
+        values, there = np.zeros(size, kind.code), np.zeros(size, bool)
+        values[at], there[at] = own[fits].astype(kind.code), True
+        return pa.Table.from_batches([_packed([(*keys, name, *_encode(values, there))] if len(at) else [])])
+
     pos = ((F.col("y") % tile) * tile + (F.col("x") % tile)).cast("int")
-    dtype = dict(cells.dtypes)[value]
-    g = with_keys(cells.filter(F.col(value).isNotNull()), tile).groupBy("key_col", "key_row").agg(
-        F.collect_list(F.struct(pos.alias("p"), F.col(value).alias("v"))).alias("s")
-    )
-    return g.select("key_col", "key_row", _dense_udf(tile * tile, dtype)(F.col("s.p"), F.col("s.v")).alias("cells"))
+    keyed = with_keys(cells.filter(F.col(value).isNotNull()), tile).select("key_col", "key_row", pos.alias("p"), F.col(value).alias("v"))
+    return keyed.groupBy("key_col", "key_row").applyInArrow(pack, PACKED)
 
 
-def from_tiles(tiles: DataFrame, tile: int, cells_col: str = "cells") -> DataFrame:
-    """Dense tiles -> data cells ``(x, y, v)`` (no-data entries dropped)."""
-    e = tiles.select("key_col", "key_row", F.posexplode(cells_col).alias("p", "v")).filter(F.col("v").isNotNull())
-    return e.select(
-        (F.col("key_col") * tile + F.col("p") % tile).alias("x"),
-        (F.col("key_row") * tile + F.floor(F.col("p") / tile)).alias("y"),
-        "v",
-    )
+def _fits(values: np.ndarray, kind: CellType) -> np.ndarray:
+    """Which values the cell type can hold (whole numbers within its range, fractions cut off; any number for the others)."""
+    if kind.code in ("?", "<f4", "<f8"):
+        return np.ones(len(values), bool)
+    if values.dtype.kind == "f":
+        info = np.iinfo(kind.code)
+        with np.errstate(invalid="ignore"):
+            cut = np.trunc(values)
+            return np.isfinite(values) & (cut >= float(info.min)) & (cut < float(info.max) + 1)
+    info, own = np.iinfo(kind.code), values.astype(np.int64)
+    return (own >= max(info.min, -(1 << 63))) & (own <= min(info.max, (1 << 63) - 1))
 
 
-def _subtiles_udf(tile: int, new_tile: int, dtype: str):
-    r = tile // new_tile
+def from_tiles(tiles: DataFrame, tile: int, cell_type: str = "int64") -> DataFrame:
+    """Packed tiles of one cell type -> data cells ``(x, y, v)``, v in the cell type's Spark type."""
+    kind, size = CELL_TYPES[cell_type], tile * tile
+    arrow = {"boolean": pa.bool_(), "tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64(), "float": pa.float32(), "double": pa.float64()}[kind.sql]
 
-    @F.pandas_udf(f"array<array<{dtype}>>")
-    def split(cells: pd.Series) -> pd.Series:
-        out = []
-        for c in cells:
-            a = np.asarray(c, dtype=object).reshape(r, new_tile, r, new_tile)  # (j, row, i, col)
-            subs = a.transpose(0, 2, 1, 3).reshape(r * r, new_tile * new_tile)  # sub-tile s = j * r + i
-            out.append([list(sub) for sub in subs])
-        return pd.Series(out)
+    def unpack(batches):
+        for batch in batches:
+            cols, rows = (batch.column(c).to_numpy() for c in ("key_col", "key_row"))
+            for row, own, values, there in _tiles_of(batch, size):
+                if own.code != kind.code:
+                    raise ValueError(f"a tile of another cell type among those of {cell_type}")
+                at = np.flatnonzero(there)
+                x, y = cols[row] * tile + at % tile, rows[row] * tile + at // tile
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(values[at]).cast(arrow)], names=["x", "y", "v"])
 
-    return split
+    return tiles.select("key_col", "key_row", "cell_type", "constant", "valid", "data").mapInArrow(unpack, f"x long, y long, v {kind.sql}")
+
+
+def _each(tiles: DataFrame, change) -> DataFrame:
+    """``change(key_col, key_row, row of the batch)`` -> packed rows, for every tile; no shuffle."""
+    def run(batches):
+        for batch in batches:
+            rows = [out for row in batch.to_pylist() for out in change(row)]
+            if rows:
+                yield _packed(rows)
+
+    return tiles.select("key_col", "key_row", "cell_type", "constant", "valid", "data").mapInArrow(run, PACKED)
 
 
 def retile(tiles: DataFrame, tile: int, new_tile: int) -> DataFrame:
     """Split every tile into (tile / new_tile)^2 smaller tiles on the refined layout.
 
     Each small tile comes from exactly one big tile, so this is a narrow
-    transformation (no shuffle): a vectorised reshape per tile, then ``posexplode``
-    of the sub-tiles; sub-tiles without data are dropped.
+    transformation (no shuffle): slices of the tile's array. Sub-tiles without data are
+    dropped; a constant tile stays so without being unpacked.
     """
     if tile % new_tile:
         raise ValueError(f"tile size {tile} is not a multiple of {new_tile}")
     r = tile // new_tile
-    dtype = dict(tiles.dtypes)["cells"][len("array<"):-1]
-    sub = tiles.select("key_col", "key_row", F.posexplode(_subtiles_udf(tile, new_tile, dtype)("cells")).alias("s", "cells"))
-    out = sub.select(
-        (F.col("key_col") * r + F.col("s") % r).alias("key_col"),
-        (F.col("key_row") * r + F.floor(F.col("s") / r)).alias("key_row"),
-        "cells",
-    )
-    return out.filter(F.size(F.array_compact("cells")) > 0)
 
+    def split(row):
+        at = [(row["key_col"] * r + i, row["key_row"] * r + j) for j in range(r) for i in range(r)]
+        if row["constant"]:
+            return [(*key, row["cell_type"], True, None, row["data"]) for key in at]
+        values, there = _decode(CELL_TYPES[row["cell_type"]], tile * tile, False, row["valid"], row["data"])
+        cut = lambda a: a.reshape(r, new_tile, r, new_tile).transpose(0, 2, 1, 3).reshape(r * r, new_tile * new_tile)
+        return [(*key, row["cell_type"], *_encode(v, t)) for key, v, t in zip(at, cut(values), cut(there)) if t.any()]
 
-def tile_summary(tiles: DataFrame) -> DataFrame:
-    """Per tile: data-cell count, value sum and a digest of all cells in order (NULL: empty between commas)."""
-    data = F.array_compact("cells")
-    texts = F.transform("cells", lambda c: F.coalesce(c.cast("string"), F.lit("")))
-    return tiles.select(
-        "key_col", "key_row",
-        F.size(data).cast("bigint").alias("n_data"),
-        F.aggregate(data, F.lit(0.0), lambda a, v: a + v.cast("double")).alias("sum_v"),
-        F.sha2(F.array_join(texts, ","), 256).alias("cells_sha256"),
-    )
+    return _each(tiles, split)
+
+
+def convert_tiles(tiles: DataFrame, tile: int, cell_type: str) -> DataFrame:
+    """Packed tiles in another cell type; values that it cannot hold become no data, tiles left without data are dropped."""
+    kind, size = CELL_TYPES[cell_type], tile * tile
+
+    def convert(row):
+        values, there = _decode(CELL_TYPES[row["cell_type"]], size, row["constant"], row["valid"], row["data"])
+        there = there & _fits(values, kind)
+        new = np.where(there, values, 0).astype(kind.code)
+        return [(row["key_col"], row["key_row"], cell_type, *_encode(new, there))] if there.any() else []
+
+    return _each(tiles, convert)
+
+
+def with_nodata(tiles: DataFrame, tile: int) -> DataFrame:
+    """Tiles as files hold them: no bitmap, the cell type's own no-data value in its place. A cell that already holds that value would be
+    lost, so it fails; bit tiles have no such value and need data everywhere."""
+    def fill(row):
+        kind = CELL_TYPES[row["cell_type"]]
+        values, there = _decode(kind, tile * tile, row["constant"], row["valid"], row["data"])
+        missing = kind.nodata
+        taken = there & (np.isnan(values) if missing is not None and missing != missing else values == missing) if missing is not None else ~there
+        if taken.any():
+            raise ValueError(f"{row['cell_type']} tile {row['key_col']}, {row['key_row']}: a cell cannot be told from no data")
+        filled = values if missing is None else np.where(there, values, missing).astype(kind.code)
+        return [(row["key_col"], row["key_row"], row["cell_type"], *_encode(filled, np.ones(len(there), bool)))]
+
+    return _each(tiles, fill)
+
+
+def without_nodata(tiles: DataFrame, tile: int) -> DataFrame:
+    """Tiles of files -> packed tiles: cells with the cell type's no-data value have no data."""
+    def read(row):
+        kind = CELL_TYPES[row["cell_type"]]
+        values, there = _decode(kind, tile * tile, row["constant"], row["valid"], row["data"])
+        if kind.nodata is not None:
+            there = there & ~(np.isnan(values) if kind.nodata != kind.nodata else values == kind.nodata)
+        return [(row["key_col"], row["key_row"], row["cell_type"], *_encode(np.where(there, values, 0).astype(kind.code), there))] if there.any() else []
+
+    return _each(tiles, read)
+
+
+def _text(values: np.ndarray, there: np.ndarray) -> str:
+    """All cells in order, comma-joined, nothing where there is no data."""
+    texts = pc.fill_null(pa.array(values, mask=~there).cast(pa.string()), "")
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(texts)], texts), ",")[0].as_py()
+
+
+def tile_summary(tiles: DataFrame, tile: int) -> DataFrame:
+    """Per tile: data-cell count, value sum and a digest of all cells in order (no data: empty between commas).
+
+    Takes packed tiles, or stacks of bands (``band_stack``), over all of whose bands it sums; equal bands are unpacked once.
+    """
+    size, stacked = tile * tile, "bands" in tiles.columns
+    schema = "key_col long, key_row long, n_data long, sum_v double, cells_sha256 string"
+
+    def one(band):
+        values, there = _decode(CELL_TYPES[band["cell_type"]], size, band["constant"], band["valid"], band["data"])
+        return int(there.sum()), float(values[there].astype(np.float64).sum()), _text(values, there)
+
+    def summary(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                bands = row["bands"] if stacked else [row]
+                known: dict = {}
+                of = [known.get(key) or known.setdefault(key, one(b)) for b in bands for key in [(b["cell_type"], b["constant"], b["valid"], b["data"])]]
+                text = ",".join(t for _, _, t in of)
+                out.append((row["key_col"], row["key_row"], sum(n for n, _, _ in of), sum(v for _, v, _ in of), hashlib.sha256(text.encode()).hexdigest()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=[f.split()[0] for f in schema.split(", ")])
+
+    return tiles.mapInArrow(summary, schema)
 
 
 def convert_nodata(v: Column, nodata) -> Column:
@@ -117,8 +257,8 @@ def convert_nodata(v: Column, nodata) -> Column:
 
 
 def band_stack(tiles: DataFrame, bands: int = 64) -> DataFrame:
-    """Literal band stacking: the same tile repeated into ``bands`` bands."""
-    return tiles.select("key_col", "key_row", F.array_repeat("cells", bands).alias("bands"))
+    """Literal band stacking: the same packed tile repeated into ``bands`` bands."""
+    return tiles.select("key_col", "key_row", F.array_repeat(F.struct("cell_type", "constant", "valid", "data"), bands).alias("bands"))
 
 
 def _spread(v: Column) -> Column:

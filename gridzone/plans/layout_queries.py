@@ -34,25 +34,21 @@ def _tile_sum_sql(t: int, layer: str = "la") -> str:
 
 @query("layer_scan", S.with_(S.grid(), S.layers("la")) + _tile_sum_sql(TILE))
 def layer_scan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full scan of a tiled layer (dense tile arrays), summarised per tile."""
-    return layout.tile_summary(_tiles(spark, sf_dir))
+    """Full scan of a tiled layer (packed tiles), summarised per tile."""
+    return layout.tile_summary(_tiles(spark, sf_dir), TILE)
 
 
 @query("retile", S.with_(S.grid(), S.layers("la")) + _tile_sum_sql(SUB_TILE))
 def retile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Re-tile 16 x 16 tiles to 4 x 4 on the refined layout (narrow, no shuffle)."""
-    return layout.tile_summary(layout.retile(_tiles(spark, sf_dir), TILE, SUB_TILE))
+    return layout.tile_summary(layout.retile(_tiles(spark, sf_dir), TILE, SUB_TILE), SUB_TILE)
 
 
 @query("convert_nodata", S.with_(S.grid(), S.layers("la")) + "SELECT x, y, CAST(v AS INTEGER) AS v FROM la")
 def convert_nodata_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles stored with the int32 sentinel for no-data, converted back to NULL-based cells."""
-    tiles = _tiles(spark, sf_dir).select(
-        "key_col", "key_row",
-        F.transform("cells", lambda c: F.coalesce(c, F.lit(layout.INT_NODATA))).alias("cells"),
-    )
-    conv = tiles.select("key_col", "key_row", F.transform("cells", lambda c: layout.convert_nodata(c, layout.INT_NODATA)).alias("cells"))
-    return layout.from_tiles(conv, TILE)
+    files = layout.with_nodata(layout.convert_tiles(_tiles(spark, sf_dir), TILE, "int32"), TILE)
+    return layout.from_tiles(layout.without_nodata(files, TILE), TILE, "int32")
 
 
 @query(
@@ -65,7 +61,7 @@ def convert_nodata_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def band_stack_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """64-band stack of each land-cover tile (the ingest's literal band copy), summarised over all bands."""
     st = layout.band_stack(_tiles(spark, sf_dir))
-    s = layout.tile_summary(st.select("key_col", "key_row", F.flatten("bands").alias("cells")))
+    s = layout.tile_summary(st, TILE)
     return s.select("key_col", "key_row", F.lit(64).alias("n_bands"), "n_data", "sum_v", "cells_sha256")
 
 

@@ -24,7 +24,7 @@ def _cells(spark, w, h, seed=1):
 def test_tiles_round_trip_and_retile_keep_cells(spark):
     cells, rows = _cells(spark, 32, 24)
     tiles = layout.to_tiles(cells, 8)
-    assert all(len(r.cells) == 64 for r in tiles.collect())
+    assert all(len(r.data) == 64 * 8 for r in tiles.where("not constant").collect())
     back = {(r.x, r.y, r.v) for r in layout.from_tiles(tiles, 8).collect()}
     assert back == set(rows)
     small = layout.retile(tiles, 8, 2)
@@ -48,7 +48,7 @@ def test_convert_nodata_and_band_stack(spark):
     assert [r.c for r in df.select(layout.convert_nodata(F.col("v"), -128).alias("c")).collect()] == [1, None, 7]
     cells, _ = _cells(spark, 8, 8)
     st = layout.band_stack(layout.to_tiles(cells, 8)).first()
-    assert len(st.bands) == 64 and st.bands[0] == st.bands[63]
+    assert len(st.bands) == 64 and st.bands[0] == st.bands[63] and len(st.bands[0].data) == 64 * 8
 
 
 def test_key_extent_and_retile_meta(spark):
@@ -197,3 +197,47 @@ def test_a_failed_overwrite_leaves_the_old_layer(spark, monkeypatch):
     assert len(catalog.versions(spark, root, "lc")) == 2 and catalog.list_layers(spark, root).count() == 1
     with pytest.raises(FileNotFoundError):
         catalog.read_layer(spark, root, "none")
+
+
+@pytest.mark.parametrize("name", list(layout.CELL_TYPES))
+def test_packed_tiles_round_trip_per_cell_type(spark, name):
+    """Gaps, a constant tile, the type's extremes; through retiling and through the file form with the type's own no-data."""
+    rng = random.Random(name)
+    kind = layout.CELL_TYPES[name]
+    if name == "bit":
+        pool = [True, False]
+    elif name.startswith("float"):
+        pool = [0.0, -1.5, 2.0**20, -(2.0**-30), float("inf")]
+    else:
+        import numpy as np
+
+        info = np.iinfo(kind.code)
+        pool = [v for v in (info.min, info.max, 1, 2, 77) if v != kind.nodata and v < 2**63]
+    rows = [(x, y, rng.choice(pool)) for x in range(16) for y in range(16) if rng.random() > (0 if name == "bit" else 0.3)]
+    rows += [(x, y, pool[0]) for x in range(16, 24) for y in range(8)]
+    cells = spark.createDataFrame(rows, f"x bigint, y bigint, v {kind.sql}")
+    tiles = layout.to_tiles(cells, 8, cell_type=name)
+    packed = tiles.collect()
+    assert {r.cell_type for r in packed} == {name} and sum(r.constant for r in packed) == 1
+    assert len(next(r for r in packed if r.constant).data) == (1 if name == "bit" else int(kind.code[2]))
+    read = lambda t, side: sorted((r.x, r.y, r.v) for r in layout.from_tiles(t, side, name).collect())
+    assert read(tiles, 8) == sorted(rows)
+    assert read(layout.retile(tiles, 8, 2), 2) == sorted(rows)
+    files = layout.with_nodata(tiles, 8)
+    assert files.where("valid is not null").count() == 0
+    assert read(layout.without_nodata(files, 8), 8) == sorted(rows)
+
+
+def test_cells_that_no_type_can_hold(spark):
+    cells = spark.createDataFrame([(0, 0, 300.7), (1, 0, -1.0), (2, 0, float("nan")), (3, 0, 255.9), (9, 9, -5.0)], "x bigint, y bigint, v double")
+    tiles = layout.to_tiles(cells, 8)
+    got = layout.from_tiles(layout.convert_tiles(tiles, 8, "uint8"), 8, "uint8").collect()
+    assert [(r.x, r.y, r.v) for r in got] == [(3, 0, 255)]  # out of range: no data, the tile without any is gone
+    assert layout.to_tiles(cells, 8, cell_type="uint16").count() == 1
+    zero = layout.to_tiles(spark.createDataFrame([(0, 0, 0), (1, 0, 5)], "x bigint, y bigint, v bigint"), 2, cell_type="uint8")
+    with pytest.raises(Exception, match="cannot be told from no data"):
+        layout.with_nodata(zero, 2).collect()
+    with pytest.raises(Exception, match="another cell type"):
+        layout.from_tiles(zero, 2, "int64").collect()
+    s = layout.tile_summary(layout.band_stack(zero, 3), 2).first()
+    assert (s.n_data, s.sum_v) == (6, 15.0)

@@ -13,8 +13,6 @@ from gridzone.plans.registry import QUERIES
 SMOKE = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver tables not available")
 
-# Tile-array queries use Arrow-batched pandas UDFs for scatter/gather; nothing else runs Python.
-ARROW_OK = {"layer_scan", "retile", "convert_nodata", "band_stack"}
 
 
 def _plan(df):
@@ -27,8 +25,7 @@ def test_no_nested_loop_or_cartesian_and_no_row_udfs(spark):
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
         assert "BatchEvalPython" not in plan, name  # never a row-at-a-time Python UDF
-        if name not in ARROW_OK:
-            assert "ArrowEvalPython" not in plan, name
+        assert "ArrowEvalPython" not in plan, name  # tiles pass Python whole (mapInArrow, applyInArrow), never cell columns
 
 
 def test_flagship_prunes_columns_broadcasts_spans_and_pushes_bbox(spark):
