@@ -29,7 +29,7 @@ from gridzone.llm.tokens import encoder
 
 SCHEMA = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Documents encoded at a time, by characters of text.
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 6_000_000
 
 
 def difference(weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

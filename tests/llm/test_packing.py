@@ -87,3 +87,18 @@ def test_differencing_balances_and_respects_capacity():
     for w in (np.full(50, 1100), rng.integers(1, 2049, 300), np.array([2048, 2048, 1])):
         window, k = balance(w, 2048)
         assert np.bincount(window, w, k).max() <= 2048
+
+
+def test_ids_of_odd_strings_equal_the_tokenizer():
+    """Every kind of space, line break, mark, special token and combining sign beside one another."""
+    import random
+
+    from gridzone.llm.tokens import Encoder, public_vocabulary
+
+    rng = random.Random(5)
+    bits = ["a", "Word", "é", "ÿ", "ß", "'s", "don't", " ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "\u00a0", "\u3000", ".", ",", "...", "!?", "%", "$5", "12", "3,4", "a,b",
+            "x.y.z", "#tag", "|", "\x00", "<|endoftext|>", "日本", "😀", "\r\n", "\x0b", "\x85", "\u0301", "Ǆ", "İ", "word,'s"]
+    odd = ["".join(rng.choices(bits, k=rng.randrange(0, 14))) for _ in range(6000)]
+    encoder = Encoder(public_vocabulary("byte_bpe_50k.json"))
+    got = [ids for i in range(0, len(odd), 700) for ids in encoder.encode(odd[i : i + 700])]
+    assert got == encoder._plain(odd)
