@@ -105,6 +105,26 @@ def span_pieces(spans: DataFrame, block: int) -> DataFrame:
     )
 
 
+def span_atoms(spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Overlapping spans of any number of polygons -> disjoint pieces, (atoms, members).
+
+    ``atoms`` (s1, s2, x, r0, r1) cover each cell of the union once; (s1, s2) names the set of polygons that hold the piece, and
+    ``members`` (s1, s2, poly_id) lists each set once. A sweep down each column toggles a polygon's two hashes in a
+    running exclusive-or where its span starts and ends, so a set is named without being listed; its members are read off
+    one of its pieces. Spans of one polygon and column must be disjoint, as ``polygon_spans`` makes them.
+    """
+    ends = F.array(F.struct(F.col("r0").alias("e"), F.lit(1).alias("step")), F.struct(F.col("r1").alias("e"), F.lit(-1).alias("step")))
+    events = spans.select("x", F.xxhash64("poly_id").alias("h1"), F.xxhash64(F.lit(1), F.col("poly_id")).alias("h2"), F.inline(ends))
+    at = events.groupBy("x", "e").agg(F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"), F.sum("step").alias("step"))
+    column = Window.partitionBy("x").orderBy("e")
+    upto = column.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = at.select("x", F.col("e").alias("r0"), F.lead("e").over(column).alias("r1"), F.bit_xor("h1").over(upto).alias("s1"), F.bit_xor("h2").over(upto).alias("s2"), F.sum("step").over(upto).alias("depth"))
+    atoms = runs.filter("depth > 0").select("s1", "s2", "x", "r0", "r1").checkpoint()
+    one = atoms.groupBy("s1", "s2").agg(F.min_by(F.struct("x", "r0"), F.xxhash64("x", "r0")).alias("at")).select("s1", "s2", F.col("at.x").alias("ax"), F.col("at.r0").alias("ar"))
+    members = spans.join(one, (F.col("x") == F.col("ax")) & (F.col("r0") <= F.col("ar")) & (F.col("ar") < F.col("r1"))).select("s1", "s2", "poly_id")
+    return atoms, members
+
+
 def polygon_cells(spans: DataFrame) -> DataFrame:
     """Every cell of the zone ``(poly_id, x, y)`` — for checks on small zones only."""
     return spans.select("poly_id", "x", F.explode(F.sequence("r0", F.col("r1") - 1)).alias("y")).distinct()

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from gridzone.operators.joins import BROADCAST_MAX_ROWS, sized_broadcast
 from gridzone.operators.joins import cells_in_zone as _cells_in_zone
-from gridzone.operators.vector import polygon_edges, polygon_spans, span_pieces
+from gridzone.operators.vector import polygon_edges, polygon_spans, span_atoms, span_pieces
 
 DEFAULT_BLOCK = 64
 #: Parts whose boxes are told apart when layers are filtered; beyond, one box around all.
@@ -146,6 +146,21 @@ def zonal_crosstab(a: DataFrame, b: DataFrame, pieces: Zone | DataFrame, block:
     return j.groupBy("poly_id", "a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
+def cells_in_atoms(cells: DataFrame, atoms: DataFrame, block: int = DEFAULT_BLOCK, max_rows: int | None = None) -> DataFrame:
+    """Cells of the atoms' union with the set (s1, s2) that holds them: each cell once, however many polygons that is."""
+    pieces = span_pieces(atoms.withColumn("poly_id", F.struct("s1", "s2")), block)
+    held = _cells_in_zone(cells, sized_broadcast(pieces, max_rows)[0], block)
+    return held.select(*cells.columns, "poly_id.s1", "poly_id.s2")
+
+
+def zonal_crosstab_atoms(a: DataFrame, b: DataFrame, spans: DataFrame, block: int = DEFAULT_BLOCK, max_rows: int | None = None) -> DataFrame:
+    """``zonal_crosstab`` for many overlapping polygons: cells are counted per set of polygons, and the few counts are then
+    dealt out to each set's polygons."""
+    atoms, members = span_atoms(spans)
+    counts = cells_in_atoms(data_cells(a, "a"), atoms, block, max_rows).join(data_cells(b, "b"), ["x", "y"]).groupBy("s1", "s2", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(members, ["s1", "s2"]).groupBy("poly_id", "a", "b").agg(F.sum("n").alias("n"))
+
+
 def pairs_crosstab(pairs: DataFrame, pieces: Zone | DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     """The same of cells ``(x, y, a, b)`` that are overlaid already."""
     return cells_in_zone(pairs, pieces, block).groupBy("poly_id", "a", "b").agg(F.count(F.lit(1)).alias("n"))

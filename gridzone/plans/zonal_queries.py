@@ -44,6 +44,14 @@ query("zonal_crosstab", _crosstab_sql([FLAGSHIP]))(lambda spark, sf: zonal_cross
 query("zonal_crosstab_multi", _crosstab_sql(ALL_POLYS))(lambda spark, sf: zonal_crosstab_q(spark, sf, ALL_POLYS))
 
 
+@query("zonal_crosstab_atoms", _crosstab_sql(ALL_POLYS))
+def zonal_crosstab_atoms_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from disjoint pieces: a cell joins once, whichever polygons hold it."""
+    n, verts = _setup(spark, sf_dir, ALL_POLYS)
+    spans = vector.polygon_spans(verts, n, n)
+    return zonal.zonal_crosstab_atoms(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), spans, BLOCK)
+
+
 # ---------------------------------------------------------------- polygon rasterisation
 _SPANS_SQL = S.with_(
     S.grid(), S.layers("la"), S.polygon_ctes(ALL_POLYS), S.grid_cells(),

@@ -170,3 +170,30 @@ def test_one_entry_per_cell_at_most_and_full_words(spark):
             if y < e:
                 want[(f"e{e}", a, b)] = want.get((f"e{e}", a, b), 0) + 1
     assert got == {(*k, n) for k, n in want.items()}
+
+
+def test_a_thousand_stacked_polygons_join_each_cell_once(spark):
+    """Disjoint pieces of all polygons: join output = distinct cells, counts = those of every polygon alone."""
+    W = H = 48
+    la, lb = _layers(spark, W, H, 17)
+    rng = random.Random(23)
+    polys = {f"p{i}": [[[(x0, y0), (x1, y0 + 1.5), (x1 - 2.0, y1), (x0 + 0.5, y1)]]]
+             for i in range(1000) for x0, y0, x1, y1 in [(rng.uniform(-2, 20), rng.uniform(-2, 20), rng.uniform(24, 50), rng.uniform(24, 50))]}
+    polys["twice"] = [[[(5, 5), (15, 5), (15, 15), (5, 15)]], [[(10, 10), (20, 10), (20, 20), (10, 20)]]]
+    spans = vector.polygon_spans(vertices_df(spark, polys), W, H).checkpoint()
+    atoms, members = vector.span_atoms(spans)
+    held = zonal.cells_in_atoms(zonal.data_cells(la), atoms, 16)
+    inside = {}
+    for r in spans.collect():
+        for y in range(r.r0, r.r1):
+            inside.setdefault((r.x, y), set()).add(r.poly_id)
+    a = {(r.x, r.y): r.v for r in la.collect()}
+    rows = held.collect()
+    assert len(rows) == len({(r.x, r.y) for r in rows}) == len(a.keys() & inside.keys())
+    sets = {}
+    for r in members.collect():
+        sets.setdefault((r.s1, r.s2), set()).add(r.poly_id)
+    assert all(sets[(r.s1, r.s2)] == inside[(r.x, r.y)] for r in rows)
+    few = spans.filter("poly_id IN ('twice', 'p1', 'p2', 'p500')")
+    want = _as_set(zonal.zonal_crosstab(la, lb, zonal.zone(vertices_df(spark, {k: polys[k] for k in ("twice", "p1", "p2", "p500")}), W, H, 16), 16))
+    assert _as_set(zonal.zonal_crosstab_atoms(la, lb, few, 16)) == want == _as_set(zonal.zonal_crosstab_atoms(la, lb, few, 16, max_rows=0))
