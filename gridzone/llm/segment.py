@@ -47,16 +47,25 @@ SCHEMA = "sample int, ids binary, n_pieces long, log_prob double, perturbed doub
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """splitmix64."""
-    with np.errstate(over="ignore"):
-        x = x + np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+    x = x + np.uint64(0x9E3779B97F4A7C15)  # arrays wrap without a warning
+    spare = np.right_shift(x, np.uint64(30))
+    x ^= spare
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= np.right_shift(x, np.uint64(27), out=spare)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= np.right_shift(x, np.uint64(31), out=spare)
+    return x
+
+
+def _exponential(code: np.ndarray) -> np.ndarray:
+    u = (_mix(code) >> np.uint64(11)).astype(np.float64)
+    u += 0.5
+    u *= 2.0**-53
+    return np.negative(np.log(u, out=u), out=u)
 
 
 def _gumbel(code: np.ndarray) -> np.ndarray:
-    u = ((_mix(code) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
-    return -np.log(-np.log(u))
+    return -np.log(_exponential(code))
 
 
 def _sums(x: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +119,10 @@ class Sampler:
             pairs.update(pairwise(piece))
         key = np.array([n * self.code_points + ord(c) for n, c in edges] or [-1], dtype=np.int64)
         order = np.argsort(key)
+        self.first_node = np.zeros(self.code_points, np.int32)  # 0: no piece begins so
+        for (n, c), to in edges.items():
+            if n == 0:
+                self.first_node[ord(c)] = to
         self.edge_key, self.edge_to = key[order], np.array(list(edges.values()) or [0], dtype=np.int64)[order]
         self.node_log = np.array([ends.get(n, (0.0, 0))[0] for n in range(len(edges) + 1)])
         self.node_symbol = np.array([ends.get(n, (0.0, -1))[1] for n in range(len(edges) + 1)], dtype=np.int64)
@@ -128,11 +141,16 @@ class Sampler:
         self.flat = (np.empty(0, np.int64),) * 3
         self.nodes = self.arcs = 0
         self.first, self.count = np.empty(0, np.int32), np.empty(0, np.int8)
-        self.arc_from, self.arc_log, self.arc_symbol = np.empty(0, np.int32), np.empty(0), np.empty(0, np.int32)
+        self.arc_from, self.arc_log, self.arc_p, self.arc_symbol = np.empty(0, np.int32), np.empty(0), np.empty(0), np.empty(0, np.int32)
+
+    def _bases(self, words: list[str]) -> np.ndarray:
+        """The first node of every word."""
+        self._learn(list(set(words)))
+        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
 
     def _room(self, nodes: int, arcs: int) -> None:
         """Room for so many more, at least doubled where it runs out."""
-        for names, used, more in ((("first", "count"), self.nodes, nodes), (("arc_from", "arc_log", "arc_symbol"), self.arcs, arcs)):
+        for names, used, more in ((("first", "count"), self.nodes, nodes), (("arc_from", "arc_log", "arc_p", "arc_symbol"), self.arcs, arcs)):
             for name in names:
                 old = getattr(self, name)
                 if used + more > len(old):
@@ -152,11 +170,11 @@ class Sampler:
             self.flat = (n, np.cumsum(n) - n, np.array([i for ids in self.emitted for i in ids], "<u4"))
         return self.flat
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         new = [w for w in words if w not in self.words]
         if self.arcs > REMEMBERED_ARCS:
             self._forget()
-            new = list(words)
+            new = words
         if not new:
             return
         length = np.array([len(w) for w in new], dtype=np.int64)
@@ -192,7 +210,7 @@ class Sampler:
         own, their = slice(self.nodes, self.nodes + len(count)), slice(self.arcs, self.arcs + len(log))
         self.words.update(zip(new, (node + self.nodes).tolist(), strict=True))
         self.first[own], self.count[own] = first + self.arcs, count
-        self.arc_from[their], self.arc_log[their], self.arc_symbol[their] = begin - start[at], log, symbol
+        self.arc_from[their], self.arc_log[their], self.arc_p[their], self.arc_symbol[their] = begin - start[at], log, np.exp(log), symbol
         self.nodes, self.arcs = own.stop, their.stop
 
     def _arcs(self, chars: np.ndarray, limit: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -202,10 +220,15 @@ class Sampler:
         for n in range(1, self.longest + 1):
             fits = at + n <= limit[at]
             at, state = at[fits], state[fits]
-            key = state * self.code_points + chars[at + n - 1]
-            edge = np.minimum(np.searchsorted(self.edge_key, key), len(self.edge_key) - 1)
-            hit = self.edge_key[edge] == key
-            at, state = at[hit], self.edge_to[edge[hit]]
+            if n == 1:
+                to = self.first_node[chars[at]]
+                hit = to > 0
+                at, state = at[hit], to[hit].astype(np.int64)
+            else:
+                key = state * self.code_points + chars[at + n - 1]
+                edge = np.minimum(np.searchsorted(self.edge_key, key), len(self.edge_key) - 1)
+                hit = self.edge_key[edge] == key
+                at, state = at[hit], self.edge_to[edge[hit]]
             full = self.node_symbol[state] >= 0
             found.append((at[full], at[full] + n, self.node_log[state[full]], self.node_symbol[state[full]]))
             if n == 1:
@@ -219,19 +242,20 @@ class Sampler:
                 break
         return found
 
-    def _starts(self, text: str, of_texts: np.ndarray) -> np.ndarray:
+    def _starts(self, chars: np.ndarray, of_texts: np.ndarray) -> np.ndarray:
         """Where the words of the joined texts begin: at each text, and where no piece holds the two characters side by side."""
-        chars = self.kind[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+        kinds = self.kind[chars]
         first = np.ones(len(chars), bool)
-        first[1:] = ~self.beside[chars[:-1], chars[1:]]
+        first[1:] = ~self.beside[kinds[:-1], kinds[1:]]
         first[of_texts] = True
         return np.flatnonzero(first)
 
     def _walk(self, base, pos, off, doc_start, seed, path, log):
         """Follows best children from node ``pos`` of each word (at ``off`` in the batch) to its start. Marks arcs in
-        ``path`` and their logs in ``log`` where they begin; returns the siblings (state, end offset, arc, value, best value)."""
+        ``path`` and their logs in ``log`` where they begin; returns the siblings (state, end offset, arc, time after the best)."""
         state = np.arange(len(base))
-        state, pos = state[pos > 0], pos[pos > 0]
+        state = state[pos[state] > 0]
+        pos = pos[state]
         out = []
         while len(state):
             node = base[state] + pos
@@ -246,19 +270,21 @@ class Sampler:
                 arc = first[many][owner] + nth
                 who = state[many]
                 end = off[who] + pos[many]
-                with np.errstate(over="ignore"):
-                    place = seed[who] + _mix((end - doc_start[who]).astype(np.uint64))
-                    code = place[owner] + nth.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
-                x = self.arc_log[arc] + _gumbel(code)
-                top = np.maximum.reduceat(x, starts)
-                is_top = x == top[owner]
-                at = np.flatnonzero(is_top)
-                at = at[np.concatenate([[True], owner[at][1:] != owner[at][:-1]])]
+                place = seed[who] + _mix((end - doc_start[who]).astype(np.uint64))
+                # Exponential times of rate p: the first to come has the largest log p + Gumbel noise, and exp(-value) is its time.
+                time = _exponential(place[owner] + nth.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+                time /= self.arc_p[arc]
+                first_time = np.minimum.reduceat(time, starts)
+                time -= first_time[owner]
+                at = np.flatnonzero(time == 0)
+                if len(at) > len(many):  # equal times: the first
+                    at = at[np.concatenate([[True], owner[at][1:] != owner[at][:-1]])]
                 best[many] = arc[at]
                 rest = np.ones(len(arc), bool)
                 rest[at] = False
-                own = owner[rest]
-                out.append((who[own], end[own], arc[rest], x[rest], top[own]))
+                rest = np.flatnonzero(rest)
+                node = owner[rest]
+                out.append((who[node], end[node], arc[rest], time[rest]))
             begin = off[state] + self.arc_from[best]
             path[begin], log[begin] = best, self.arc_log[best]
             pos = self.arc_from[best].astype(np.int64)
@@ -282,17 +308,17 @@ class Sampler:
         size = np.array([len(t) for t in texts], dtype=np.int64)
         start = np.cumsum(size) - size
         total, docs, whole = int(size.sum()), len(texts), "".join(texts)
-        off = self._starts(whole, start[size > 0])
+        chars = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        off = self._starts(chars, start[size > 0])
         length = np.diff(off, append=total)
         flat = [whole[a:b] for a, b in pairwise([*off.tolist(), total])]
-        self._learn(set(flat))
-        base = np.fromiter(map(self.words.__getitem__, flat), np.int64, len(flat))
+        base = self._bases(flat)
         first_word = np.searchsorted(off, start)
         doc = np.repeat(np.arange(docs), np.searchsorted(off, start + size) - first_word)
         row = _mix(keys ^ _mix(np.full(docs, seed, np.uint64)))
         value = [_gumbel(row ^ np.uint64(1))]  # of each sample; -inf where there is none
         agenda: list[list[tuple[float, int, int, int]]] = [[] for _ in range(docs)]  # (-value, path, end offset, arc)
-        paths, logs = [], []
+        paths, logs, totals = [], [], []
         for e in range(k):
             path, log = np.full(total, -1, np.int64), np.zeros(total)
             if e == 0:
@@ -318,40 +344,40 @@ class Sampler:
                 pos = length[state_word].copy()
                 pos[np.cumsum(n) - 1] = self.arc_from[arc]
             own = doc[state_word]
-            with np.errstate(over="ignore"):
-                seeds = _mix(row + np.uint64(e + 2))[own]
+            seeds = _mix(row + np.uint64(e + 2))[own]
             found = self._walk(base[state_word], pos, off[state_word], start[own], seeds, path, log)
             paths.append(path)
             logs.append(log)
             if found is None:
+                totals.append(_sums(log, start, size)[1])
                 continue
-            state, end, arc, x, top = found
+            state, end, arc, time = found
             d = own[state]
             upto, log_p = _sums(log, start, size)
-            parent = log_p[d] - upto[end - 1]
-            g = value[e][d]
+            totals.append(log_p)
             with np.errstate(divide="ignore"):
-                v = g - parent - x + np.log1p(-np.exp(x - top))
-            child = g - np.maximum(v, 0) - np.log1p(np.exp(-np.abs(v)))
+                late = np.log(time) + upto[end - 1] - log_p[d]  # the earlier, the better a child; -inf: as good as its node
             for _ in range(k - e):
-                best = np.full(docs, -np.inf)
-                np.maximum.at(best, d, child)
-                at = np.flatnonzero((child == best[d]) & (child > -np.inf))
+                best = np.full(docs, np.inf)
+                np.minimum.at(best, d, late)
+                at = np.flatnonzero((late == best[d]) & (late < np.inf))
                 at = at[np.unique(d[at], return_index=True)[1]]
-                for i, own_doc in zip(at.tolist(), d[at].tolist(), strict=True):
-                    heapq.heappush(agenda[own_doc], (-child[i], e, int(end[i]), int(arc[i])))
-                child[at] = -np.inf
+                g = value[e][d[at]]
+                v = g + late[at]
+                child = g - np.maximum(v, 0) - np.log1p(np.exp(-np.abs(v)))
+                for i, own_doc, c in zip(at.tolist(), d[at].tolist(), child.tolist(), strict=True):
+                    heapq.heappush(agenda[own_doc], (-c, e, int(end[i]), int(arc[i])))
+                late[at] = np.inf
         limit = np.array([-a[0][0] if a else -np.inf for a in agenda])
         emits, emitted_at, emitted = self._emissions()
         out: list[list] = [[] for _ in range(docs)]
-        for e, (path, log) in enumerate(zip(paths, logs, strict=True)):
+        for e, (path, log_p) in enumerate(zip(paths, totals, strict=True)):
             at = np.flatnonzero(path >= 0)
             symbols = self.arc_symbol[path[at]]
             n = emits[symbols]
             upto = np.concatenate([[0], np.cumsum(n)])
             ids = emitted[np.repeat(emitted_at[symbols] - upto[:-1], n) + np.arange(upto[-1])]
             in_doc = upto[np.searchsorted(at, np.append(start, total))]
-            log_p = _sums(log, start, size)[1]
             back = self.decode(ids, in_doc) if decoded else None
             for d in range(docs):
                 if value[e][d] > -np.inf:
