@@ -8,16 +8,17 @@
 3. Each shard builds a graph: nearest candidates of every node, robust-pruned.
    The adjacency lists of a node in all its shards are united.
 4. Each shard searches for every member over the united lists: greedy from
-   the medoid, with a beam that doubles while half of it is in range. Then every
-   member is compared with the whole shard in blocks, and what the search left
-   apart is joined: inside a shard no component is missed.
-5. Found links are joined to components, and within a component all pairs are
+   the medoid, with a beam that doubles while half of it is in range. Only rows whose widest beam is still
+   half in range are compared with the whole shard.
+5. The search leaves a shard along the united lists: where a node near a member has neighbours
+   that live elsewhere, the member visits their shard and is searched for from there.
+6. Found links are joined to components, and within a component all pairs are
    verified in blocks in double precision. So a cluster that was cut by shards
    gets all its links back, and a pair is lost only if no chain of found links connects it.
-6. Labels that were cut are audited: ``SAMPLE`` of their vectors, drawn anew each
-   round, are compared with the whole label in blocks. While a pair is found
-   apart it is joined, and the label is dealt again with other pivots; the
-   links of all rounds are united. Each round's recall is logged.
+7. Every label is audited: ``SAMPLE`` of its vectors, drawn anew each
+   round, are compared with the whole label in blocks; recall is written as a table. While a pair is found
+   apart it is joined, and the label is dealt and searched again with other pivots and graphs; the
+   links of all rounds are united.
 
 A component's pairs are counted, never listed; one of K distinct vectors is
 K^2 / 2 dot products over (K / BLOCK)^2 / 2 tasks.
@@ -37,10 +38,10 @@ from pyspark.sql import functions as F
 from gridzone.llm.common import connected_components, stored
 
 #: Vectors a shard should hold, shards a vector joins, pivots of one shard and of one round.
-SHARD, OVERLAP, FAN, MAX_PIVOTS, MAX_ROUNDS = 8192, 3, 64, 8192, 16
+SHARD, OVERLAP, FAN, MAX_PIVOTS = 8192, 3, 64, 8192
 #: Candidates and neighbours of a node, slack of the pruning rule, first and widest beam.
 CANDIDATES, DEGREE, ALPHA, BEAM, WIDEST = 32, 12, 1.2, 16, 64
-#: Vectors of a component verified at a time; vectors audited in each label that was cut.
+#: Vectors of a component verified at a time; vectors audited in each label.
 BLOCK, SAMPLE = 1024, 256
 
 log = logging.getLogger(__name__)
@@ -97,14 +98,15 @@ def _few_each(links: np.ndarray, n: int, seed: int) -> np.ndarray:
     return links[:, nth < 2 * DEGREE]
 
 
-def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy best-first search of all queries in lockstep: (nodes, similarities) of each final beam, best first.
-    ``graph`` is padded with -1."""
-    q = len(queries)
-    nodes, sims = np.full((q, beam), -1), np.full((q, beam), -np.inf)
-    nodes[:, 0], sims[:, 0] = entry, x[queries] @ x[entry]
-    open_ = np.zeros((q, beam), bool)
-    open_[:, 0] = True
+def search(x: np.ndarray, graph: np.ndarray, points: np.ndarray, entries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy best-first search for all ``points`` in lockstep: (nodes, similarities) of each final beam, best first.
+    ``graph`` and ``entries`` (a row for each point) are padded with -1."""
+    q, m = entries.shape
+    nodes, sims = np.full((q, max(beam, m)), -1), np.full((q, max(beam, m)), -np.inf)
+    nodes[:, :m], sims[:, :m] = entries, np.where(entries < 0, -np.inf, np.einsum("qmd,qd->qm", x[entries], points))
+    order = np.argsort(-sims, axis=1, kind="stable")[:, :beam]
+    nodes, sims = np.take_along_axis(nodes, order, 1), np.take_along_axis(sims, order, 1)
+    open_ = nodes >= 0
     live = np.arange(q)
     while len(live):
         at = open_[live].argmax(axis=1)  # beams are sorted: the best that is still open
@@ -115,7 +117,7 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: int, be
         open_[live, at] = False
         new = graph[nodes[live, at]]
         known = (new[:, :, None] == nodes[live][:, None, :]).any(axis=2) | (new < 0)
-        value = np.where(known, -np.inf, np.einsum("qrd,qd->qr", x[new], x[queries[live]]))
+        value = np.where(known, -np.inf, np.einsum("qrd,qd->qr", x[new], points[live]))
         both_n, both_s = np.concatenate([nodes[live], new], 1), np.concatenate([sims[live], value], 1)
         both_o = np.concatenate([open_[live], ~known], 1)
         order = np.argsort(-both_s, axis=1, kind="stable")[:, :beam]
@@ -124,32 +126,48 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, entry: int, be
     return nodes, sims
 
 
-def range_links(x: np.ndarray, neighbours: list[np.ndarray], threshold: float, beam: int = BEAM) -> np.ndarray:
-    """Links (2, n) at or above the threshold: those that range searches from the medoid find for every row, and those that
-    join what these leave apart, so that their components are exact."""
-    n = len(x)
-    if n < 2:
-        return np.empty((2, 0), np.int64)
-    width = max(1, max(map(len, neighbours)))
-    graph = np.full((n, width), -1)
-    for i, b in enumerate(neighbours):
-        graph[i, : len(b)] = b
-    medoid = int((x @ x.sum(axis=0)).argmax())
-    found, todo, wide = [], np.arange(n), beam
-    while len(todo):
+def _padded(lists: list[np.ndarray]) -> np.ndarray:
+    out = np.full((len(lists), max(1, max(map(len, lists), default=0))), -1)
+    for i, own in enumerate(lists):
+        out[i, : len(own)] = own
+    return out
+
+
+def _in_range(x, graph, points, entries, own, threshold, beam):
+    """Range searches with beams that double while half of one is in range: (links, rows whose widest beam is still
+    half in range, pairs within twice the threshold's angle in the first beam), all as rows of ``points`` and ``x``.
+    ``own`` is a point's row of ``x``, -1 where it is a visitor."""
+    found, near, todo, wide = [np.empty((2, 0), np.int64)], [np.empty((2, 0), np.int64)], np.arange(len(points)), beam
+    while len(todo) and wide <= WIDEST:
         more = []
         for lo in range(0, len(todo), 1024):
-            own = todo[lo : lo + 1024]
-            nodes, sims = search(x, graph, own, medoid, wide)
-            hit = (sims >= threshold) & (nodes != own[:, None]) & (nodes >= 0)
+            rows = todo[lo : lo + 1024]
+            nodes, sims = search(x, graph, points[rows], entries[rows], wide)
+            other = (nodes != own[rows][:, None]) & (nodes >= 0)
+            hit = (sims >= threshold) & other
             row, col = np.nonzero(hit)
-            found.append(np.stack([own[row], nodes[row, col]]))
-            more.append(own[2 * hit.sum(axis=1) >= wide])  # half in range: there may be more
+            found.append(np.stack([rows[row], nodes[row, col]]))
+            more.append(rows[2 * hit.sum(axis=1) >= wide])  # half in range: there may be more
+            if wide == beam:
+                row, col = np.nonzero((sims >= 2 * threshold**2 - 1) & other)
+                near.append(np.stack([rows[row], nodes[row, col]]))
         todo, wide = np.concatenate(more), 2 * wide
-        if wide > WIDEST:
-            break
-    links = np.concatenate(found, axis=1)
-    return np.concatenate([links, _exact_links(x, np.arange(n), threshold, _roots(n, links))], axis=1)
+    return np.concatenate(found, axis=1), todo, np.concatenate(near, axis=1)
+
+
+def range_links(x: np.ndarray, neighbours: list[np.ndarray], threshold: float, beam: int = BEAM) -> np.ndarray:
+    """Links (2, n) at or above the threshold that range searches from the medoid find for every row."""
+    return _member_links(x, neighbours, threshold, beam)[0]
+
+
+def _member_links(x, neighbours, threshold, beam=BEAM):
+    """The links of ``range_links`` and the pairs near each other (``_in_range``)."""
+    n = len(x)
+    if n < 2:
+        return np.empty((2, 0), np.int64), np.empty((2, 0), np.int64)
+    entries = np.full((n, 1), int((x @ x.sum(axis=0)).argmax()))
+    links, full, near = _in_range(x, _padded(neighbours), x, entries, np.arange(n), threshold, beam)
+    return np.concatenate([links, _exact_links(x, full, threshold, _roots(n, links))], axis=1), near
 
 
 def _exact_links(x: np.ndarray, rows: np.ndarray, threshold: float, root: np.ndarray) -> np.ndarray:
@@ -199,14 +217,25 @@ def _nearest(pivots: Broadcast):
 def _shards(vectors: DataFrame, seed: int = 0) -> DataFrame:
     """(shard, node, v): every shard near SHARD vectors; a vector is in one shard or in the nearest few of its label's.
     ``seed`` draws the pivots."""
-    own = stored(vectors.select("shard", "node", "v"), "shards")
-    for _ in range(MAX_ROUNDS):
+    own, parents, deal = stored(vectors.select("shard", "node", "v"), "shards"), {}, 0
+    while True:
+        deal += 1
         sizes = own.groupBy("shard").count().where(F.col("count") > SHARD).orderBy(F.desc("count"), "shard").limit(MAX_PIVOTS // FAN)
-        large = {r["shard"]: min(FAN, max(2 * OVERLAP, math.ceil(1.3 * OVERLAP * r["count"] / SHARD))) for r in sizes.collect()}
+        counts = {r["shard"]: r["count"] for r in sizes.collect()}  # at most MAX_PIVOTS / FAN
+        if not counts:
+            return own
+        # Pivots that most vectors share do not divide a shard. It is then halved by hash; the searches and the audit reach across.
+        stuck = [name for name, n in counts.items() if 4 * n > 3 * parents.get(name.rpartition("/")[0], 2 * n)]
+        large = {name: min(FAN, max(2 * OVERLAP, math.ceil(1.3 * OVERLAP * n / SHARD))) for name, n in counts.items() if name not in stuck}
+        parents |= counts
+        if stuck:
+            log.warning("halved by hash: %d shards that pivots do not divide", len(stuck))
+            halves, rest = F.pmod(F.xxhash64("node", F.lit(deal)), F.lit(2)), ~F.col("shard").isin(stuck)
+            own = stored(own.where(rest).union(own.where(~rest).select(F.concat_ws("/", "shard", halves).alias("shard"), "node", "v")), "shards")
         if not large:
-            break
+            continue
         split = F.col("shard").isin(list(large))
-        by_hash = Window.partitionBy("shard").orderBy(F.xxhash64("node", F.lit(seed)), "node")
+        by_hash = Window.partitionBy("shard").orderBy(F.xxhash64("node", F.lit(seed), F.lit(deal)), "node")
         wanted = own.sparkSession.createDataFrame(list(large.items()), "shard string, k int")
         pivots = own.where(split).withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= FAN).join(F.broadcast(wanted), "shard").where("nth <= k")
         pivots = pivots.orderBy("shard", "nth").select("shard", "v").toArrow()  # at most MAX_PIVOTS
@@ -217,34 +246,78 @@ def _shards(vectors: DataFrame, seed: int = 0) -> DataFrame:
         nearest = _nearest(shared)
         dealt = own.where(split).withColumn("p", F.explode(nearest("shard", "v"))).select(F.concat_ws("/", "shard", "p").alias("shard"), "node", "v")
         own = stored(own.where(~split).union(dealt), "shards")
-    return own
 
 
-def _graph_of(table: pa.Table) -> pa.Table:
-    node = table.column("node").to_numpy()
-    near = robust_graph(_matrix(table.column("v")))
-    return pa.table({"node": node, "near": pa.array([node[b] for b in near], pa.list_(pa.int64()))})
+def _graph_of(seed: int):
+    def graph(table: pa.Table) -> pa.Table:
+        node = table.column("node").to_numpy()
+        near = robust_graph(_matrix(table.column("v")), seed + 1)
+        return pa.table({"node": node, "near": pa.array([node[b] for b in near], pa.list_(pa.int64()))})
 
+    return graph
+
+
+def _local(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """A shard's nodes in order, their vectors, and of each its neighbours here (as rows) and elsewhere (as nodes)."""
+    table = table.sort_by("node")
+    node, x = table.column("node").to_numpy(), _matrix(table.column("v"))
+    near = table.column("near").combine_chunks()
+    ends, flat = near.offsets.to_numpy() - near.offsets[0].as_py(), near.flatten().to_numpy()
+    at = np.minimum(np.searchsorted(node, flat), len(node) - 1)
+    here = node[at] == flat
+    spans = list(zip(ends, ends[1:], strict=False))
+    return node, x, [at[a:b][here[a:b]] for a, b in spans], [flat[a:b][~here[a:b]] for a, b in spans]
 
-def found_links(vectors: DataFrame, threshold: float, seed: int = 0) -> DataFrame:
-    """(a, b): a forest over the links found by graph search, for vectors (shard, node, v)."""
-    shards = _shards(vectors, seed)
-    lists = shards.groupBy("shard").applyInArrow(_graph_of, "node long, near array<long>")
-    united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # of a few shards each
 
+def _search_members(threshold: float):
     def links(table: pa.Table) -> pa.Table:
-        table = table.sort_by("node")
-        node, x = table.column("node").to_numpy(), _matrix(table.column("v"))
-        near = table.column("near").combine_chunks()
-        ends, flat = near.offsets.to_numpy() - near.offsets[0].as_py(), near.flatten().to_numpy()
-        at = np.minimum(np.searchsorted(node, flat), len(node) - 1)
-        here = node[at] == flat  # neighbours in other shards are searched there
-        local = [at[a:b][here[a:b]] for a, b in zip(ends, ends[1:], strict=False)]
-        root = _roots(len(node), range_links(x, local, threshold))
+        """A forest over the links found in the shard, and (member, node elsewhere to go on from) with ``out``."""
+        node, x, local, elsewhere = _local(table)
+        found, (row, by) = _member_links(x, local, threshold)
+        root = _roots(len(node), found)
         own = root != np.arange(len(node))
-        return pa.table({"a": node[own], "b": node[root[own]]})
+        n = np.array([len(e) for e in elsewhere], dtype=np.int64)
+        beyond = np.concatenate([np.empty(0, np.int64), *(elsewhere[i] for i in by.tolist())])
+        leave = np.unique(np.stack([node[np.repeat(row, n[by])], beyond]), axis=1)
+        ends = np.concatenate([np.stack([node[own], node[root[own]]]), leave], axis=1)
+        return pa.table({"a": ends[0], "b": ends[1], "out": np.arange(ends.shape[1]) >= own.sum()})
+
+    return links
+
+
+def _search_visitors(threshold: float):
+    def links(members: pa.Table, visitors: pa.Table) -> pa.Table:
+        """A forest over the links that visitors, searched for from their entries, have with a shard's members."""
+        if not len(members) or not len(visitors):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        node, x, local, _ = _local(members)
+        points, n = _matrix(visitors.column("v")), len(node)
+        entries = _padded([np.searchsorted(node, e) for e in visitors.column("entries").combine_chunks().to_numpy(zero_copy_only=False)])
+        found, full, _ = _in_range(x, _padded(local), points, entries, np.full(len(points), -1), threshold, BEAM)
+        both, found = np.concatenate([x, points]), found + np.array([[n], [0]])
+        names = np.concatenate([node, visitors.column("node").to_numpy()])
+        found = np.concatenate([found, _exact_links(both, n + full, threshold, _roots(len(both), found))], axis=1)
+        root = _roots(len(both), found)
+        own = root != np.arange(len(both))
+        return pa.table({"a": names[own], "b": names[root[own]]})
+
+    return links
 
-    return shards.join(united, "node").groupBy("shard").applyInArrow(links, "a long, b long")
+
+def found_links(vectors: DataFrame, threshold: float, seed: int = 0) -> DataFrame:
+    """(a, b): links found by graph search, a forest for each shard, for vectors (shard, node, v)."""
+    shards = _shards(vectors, seed)
+    lists = shards.groupBy("shard").applyInArrow(_graph_of(seed), "node long, near array<long>")
+    united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # of a few shards each
+    united = stored(shards.join(united, "node"), "vector-graph")
+    found = stored(united.groupBy("shard").applyInArrow(_search_members(threshold), "a long, b long, out boolean"), "vector-links")
+    home = shards.groupBy(F.col("node").alias("b")).agg(F.min("shard").alias("shard"))
+    visits = found.where("out").join(home, "b").groupBy("shard", F.col("a").alias("node")).agg(F.collect_set("b").alias("entries"))
+    visits = visits.join(shards.select("shard", "node"), ["shard", "node"], "left_anti").join(vectors.select("node", "v"), "node")
+    visits = stored(visits.select("shard", "node", "v", "entries"), "vector-visits")
+    visited = united.join(visits.select("shard").distinct(), "shard", "left_semi")
+    across = visited.groupBy("shard").cogroup(visits.groupBy("shard")).applyInArrow(_search_visitors(threshold), "a long, b long")
+    return found.where(~F.col("out")).select("a", "b").union(across)
 
 
 def _audit(vectors: DataFrame, linked: DataFrame, threshold: float, seed: int) -> DataFrame:
@@ -252,7 +325,7 @@ def _audit(vectors: DataFrame, linked: DataFrame, threshold: float, seed: int) -
     ``a`` has a block's count of linked pairs; one with it such a pair of two components that are still apart, one for each two."""
     own = vectors.join(linked, "node", "left").select("shard", "node", "v", F.coalesce("component", "node").alias("component"))
     blocks = vectors.groupBy("shard").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("blocks"))
-    own = own.join(F.broadcast(blocks), "shard")  # labels over SHARD only
+    own = own.join(blocks, "shard")
     drawn = Window.partitionBy("shard").orderBy(F.xxhash64("node", F.lit(seed), F.lit("audit")), "node")
     keys = own.select("shard", "node").withColumn("nth", F.row_number().over(drawn)).where(F.col("nth") <= SAMPLE).select("node")
     sample = own.join(keys, "node").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -278,34 +351,43 @@ def _audit(vectors: DataFrame, linked: DataFrame, threshold: float, seed: int) -
 
 
 def linked_components(vectors: DataFrame, threshold: float) -> DataFrame:
-    """(node, component) over the found links of vectors (shard, node, v); labels that were cut are dealt again until an audit finds nothing apart."""
+    """(node, component) over the found links of vectors (shard, node, v); labels are dealt and searched again until an audit finds nothing apart."""
     links = stored(found_links(vectors, threshold), "vector-links")
     linked = stored(connected_components(links, "vector-components"), "vector-components")
-    sizes = vectors.groupBy("shard").count().where(F.col("count") > SHARD).select("shard")
-    cut, seed = stored(vectors.select("shard", "node", "v").join(F.broadcast(sizes), "shard"), "cut-vectors"), 0
-    while not cut.isEmpty():
-        audit = stored(_audit(cut, linked, threshold, seed), "vector-audit")
-        n, apart = audit.agg(F.sum("n_links"), F.sum("n_apart")).first()
-        log.warning("round %d: %d of %d audited pairs of cut labels joined, recall %.6f", seed, n - apart, n, 1 - apart / n if n else 1)
-        if not apart:
+    several = vectors.groupBy("shard").count().where(F.col("count") > 1).select("shard")
+    due, seed = stored(vectors.select("shard", "node", "v").join(several, "shard"), "audited-vectors"), 0
+    while not due.isEmpty():
+        audit = stored(_audit(due, linked, threshold, seed), "vector-audit")
+        recall(audit, seed)
+        if audit.where("a is not null").isEmpty():
             break
         seed += 1
         missed = audit.where("a is not null").select("shard").distinct()
-        cut = stored(cut.join(F.broadcast(missed), "shard"), "cut-vectors")
+        due = stored(due.join(missed, "shard"), "audited-vectors")
         # A component's star stands for all links found before.
         stars = linked.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
-        links = stars.union(audit.where("a is not null").select("a", "b")).union(found_links(cut, threshold, seed))
+        links = stars.union(audit.where("a is not null").select("a", "b")).union(found_links(due, threshold, seed))
         linked = stored(connected_components(links, "vector-components"), "vector-components")
     return linked
 
 
-def verified(members: DataFrame, threshold: float) -> DataFrame:
-    """(node, links): for members (component, node, weight, v), the summed weight of others in the component at or above the threshold."""
+def recall(audit: DataFrame, seed: int) -> DataFrame:
+    """Written table (label, n_links, n_apart, recall) of one audit, in the shared folder; the whole is logged."""
+    by_label = audit.groupBy(F.col("shard").alias("label")).agg(F.sum("n_links").alias("n_links"), F.sum("n_apart").alias("n_apart"))
+    table = stored(by_label.withColumn("recall", F.when(F.col("n_links") > 0, 1 - F.col("n_apart") / F.col("n_links"))), "vector-recall")
+    n, apart = table.agg(F.sum("n_links"), F.sum("n_apart")).first()
+    log.warning("round %d: %d of %d audited pairs joined, recall %.6f", seed, (n or 0) - (apart or 0), n or 0, 1 - apart / n if n else 1)
+    return table
+
+
+def verified(members: DataFrame, threshold: float, buckets: int) -> DataFrame:
+    """(node, links): for members (component, node, weight, v), the summed weight of others in the component at or above the threshold.
+    Components of up to BLOCK members are dealt to ``buckets`` groups."""
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     # Components of one block share buckets; a larger one has a group for every pair of its blocks.
-    small = own.where("blocks = 1").withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(997))).withColumn("i", F.lit(-1)).withColumn("j", F.lit(-1))
+    small = own.where("blocks = 1").withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(buckets))).withColumn("i", F.lit(-1)).withColumn("j", F.lit(-1))
     large = own.where("blocks > 1").withColumn("o", other).withColumn("bucket", F.col("component")).withColumn("i", F.least("block", "o")).withColumn("j", F.greatest("block", "o"))
     columns = ["bucket", "i", "j", "component", "block", "node", "weight", "v"]
 
@@ -357,7 +439,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     distinct = own.where("k1 is not null").groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("v").alias("v"))
     distinct = stored(distinct.select("k1", "k2", "first", "weight", shard.alias("shard"), "v", F.monotonically_increasing_id().alias("node")), "vectors")
     linked = linked_components(distinct, threshold)
-    counts = verified(distinct.join(linked, "node").select("component", "node", "weight", "v"), threshold)
+    buckets = linked.count() // BLOCK + 1
+    counts = verified(distinct.join(linked, "node").select("component", "node", "weight", "v"), threshold, buckets)
     node = distinct.select("k1", "k2", "first", "weight", "node").join(linked, "node", "left").join(counts, "node", "left")
     node = node.withColumn("component", F.coalesce("component", "node"))
     smallest = node.groupBy("component").agg(F.min("first").alias("component_id"))

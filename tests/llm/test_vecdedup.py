@@ -1,6 +1,7 @@
 """Embedding near-duplicates against brute force, and the graph's parts."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,47 @@ def test_pairs_that_share_no_shard_are_joined(spark, monkeypatch):
     rows, found = planted(150, 6, labels=1), vecdedup.found_links
     monkeypatch.setattr(vecdedup, "found_links", lambda v, t, seed=0: found(v, t, seed).where(F.lit(seed > 0)))
     assert run(spark, rows) == brute(rows)
+
+
+def test_without_its_graph_the_search_finds_less():
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(600, 32))
+    x[1::2] = x[::2] + rng.normal(size=(300, 32)) * 0.05
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    want = np.count_nonzero(x @ x.T >= 0.98) - len(x)
+    with_graph = vecdedup.range_links(x, vecdedup.robust_graph(x), 0.98).shape[1]
+    without = vecdedup.range_links(x, [np.empty(0, np.int64)] * len(x), 0.98).shape[1]
+    assert with_graph >= 0.9 * want and without < 0.1 * want
+
+
+def audited(spark, rows):
+    """Pairs that one round of search leaves apart, and all of them."""
+    v = spark.createDataFrame([(str(r[2]), r[0], r[1]) for r in rows], "shard string, node long, v array<float>")
+    links = vecdedup.found_links(v, 0.98)
+    linked = vecdedup.connected_components(links)
+    table = vecdedup.recall(vecdedup._audit(v, linked, 0.98, 0), 0)
+    assert table.columns == ["label", "n_links", "n_apart", "recall"]
+    return table.agg(F.sum("n_apart"), F.sum("n_links")).first()
+
+
+def test_search_leaves_a_shard(spark, monkeypatch):
+    """Small shards with little overlap: visits to other shards join what the members' own searches leave apart."""
+    monkeypatch.setattr(vecdedup, "SHARD", 40)
+    monkeypatch.setattr(vecdedup, "OVERLAP", 2)
+    monkeypatch.setattr(vecdedup, "SAMPLE", 1000)
+    rows = planted(200, 12, labels=1)
+    apart, n = audited(spark, rows)
+    nothing = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    monkeypatch.setattr(vecdedup, "_search_visitors", lambda threshold: lambda members, visitors: nothing)
+    alone, _ = audited(spark, rows)
+    assert apart <= alone and apart <= 0.1 * n, (apart, alone, n)
+
+
+def test_shards_that_pivots_do_not_divide(spark, monkeypatch):
+    """A pivot near everything: the split goes on until no shard is too large."""
+    monkeypatch.setattr(vecdedup, "SHARD", 40)
+    rng = np.random.default_rng(2)
+    v = [("0", i, [float(c) for c in rng.normal(size=8) * (0.001 if i % 3 else 1) + 5]) for i in range(400)]
+    shards = vecdedup._shards(spark.createDataFrame(v, "shard string, node long, v array<float>"))
+    assert shards.groupBy("shard").count().agg(F.max("count")).first()[0] <= 40
+    assert shards.select("node").distinct().count() == 400
