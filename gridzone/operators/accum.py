@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from gridzone.operators.joins import sized_broadcast
 
 
-def overlay_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Cells where both class layers hold data: ``(x, y, a, b)``."""
+def overlay_pairs(a: DataFrame, b: DataFrame, one_sided: bool = False) -> DataFrame:
+    """Cells where both class layers hold data: ``(x, y, a, b)``; with ``one_sided`` also those of one layer, the other NULL."""
     return (
         a.filter(F.col("v").isNotNull()).select("x", "y", F.col("v").alias("a"))
-        .join(b.filter(F.col("v").isNotNull()).select("x", "y", F.col("v").alias("b")), ["x", "y"])
+        .join(b.filter(F.col("v").isNotNull()).select("x", "y", F.col("v").alias("b")), ["x", "y"], "full" if one_sided else "inner")
     )
 
 

@@ -139,8 +139,14 @@ def key_intersect(a: DataFrame, b: DataFrame, tile: int) -> DataFrame:
     return keys(a).intersect(keys(b))
 
 
-def zonal_crosstab(a: DataFrame, b: DataFrame, pieces: Zone | DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Cells per (poly_id, a, b) value pair inside each zone: ``(poly_id, a, b, n)``."""
+def zonal_crosstab(a: DataFrame, b: DataFrame, pieces: Zone | DataFrame, block: int = DEFAULT_BLOCK, one_sided: bool = False) -> DataFrame:
+    """Cells per (poly_id, a, b) value pair inside each zone: ``(poly_id, a, b, n)``.
+
+    With ``one_sided`` a cell also counts where one layer alone holds data; the other side of its pair is NULL.
+    """
+    if one_sided:
+        pairs = _restrict(data_cells(a, "a"), pieces).join(_restrict(data_cells(b, "b"), pieces), ["x", "y"], "full")
+        return pairs_crosstab(pairs, pieces, block)
     za = cells_in_zone(data_cells(a, "a"), pieces, block)
     j = za.join(_restrict(data_cells(b, "b"), pieces), ["x", "y"])
     return j.groupBy("poly_id", "a", "b").agg(F.count(F.lit(1)).alias("n"))

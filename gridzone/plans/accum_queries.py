@@ -31,6 +31,14 @@ def zonal_crosstab_accum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accum.zonal_crosstab_accum(ranks, vector.polygon_spans(verts, n, n), RANK_TILE)
 
 
+@query("zonal_crosstab_accum_one_sided", _crosstab_sql(ALL_POLYS, "FULL JOIN"))
+def zonal_crosstab_accum_one_sided_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same answer as ``zonal_crosstab_one_sided``, from rank bitmaps that hold pairs with one side missing."""
+    n, verts = _setup(spark, sf_dir, ALL_POLYS)
+    pairs = accum.overlay_pairs(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), one_sided=True)
+    return accum.zonal_crosstab_accum(accum.rank_bitmaps(pairs, n, RANK_TILE), vector.polygon_spans(verts, n, n), RANK_TILE)
+
+
 @query(
     "zonal_methods",
     S.with_(

@@ -30,10 +30,10 @@ def zonal_crosstab_q(spark: SparkSession, sf_dir: str, names: list[str] | None =
     return zonal.zonal_crosstab(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), pieces, BLOCK)
 
 
-def _crosstab_sql(names: list[str]) -> str:
+def _crosstab_sql(names: list[str], join: str = "JOIN") -> str:
     return S.with_(
         S.grid(), S.layers("la", "lb"), S.polygon_ctes(names),
-        "ov AS (SELECT la.x, la.y, la.v AS a, lb.v AS b FROM la JOIN lb USING (x, y))",
+        f"ov AS (SELECT x, y, la.v AS a, lb.v AS b FROM la {join} lb USING (x, y))",
         S.inzone("ov"),
     ) + (
         "SELECT inz.poly_id, ov.a, ov.b, count(*) AS n FROM inz JOIN ov USING (x, y) GROUP BY ALL"
@@ -44,6 +44,13 @@ query("zonal_crosstab", _crosstab_sql([FLAGSHIP]))(lambda spark, sf: zonal_cross
 query("zonal_crosstab_multi", _crosstab_sql(ALL_POLYS))(lambda spark, sf: zonal_crosstab_q(spark, sf, ALL_POLYS))
 
 
+@query("zonal_crosstab_one_sided", _crosstab_sql(ALL_POLYS, "FULL JOIN"))
+def zonal_crosstab_one_sided_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs with one side missing count too."""
+    n, verts = _setup(spark, sf_dir, ALL_POLYS)
+    return zonal.zonal_crosstab(L.layer_a(spark, sf_dir, n), L.layer_b(spark, sf_dir, n), zonal.zone(verts, n, n), BLOCK, one_sided=True)
+
+
 @query("zonal_crosstab_atoms", _crosstab_sql(ALL_POLYS))
 def zonal_crosstab_atoms_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from disjoint pieces: a cell joins once, whichever polygons hold it."""

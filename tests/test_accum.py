@@ -46,6 +46,25 @@ def test_accum_equals_full_crosstab(spark, tile):
     assert _as_set(fast) == _as_set(full)
 
 
+def test_pairs_with_one_side_missing(spark):
+    """Both methods against a count over every cell; a NULL value is a missing side, two missing sides are no pair."""
+    W, H = 20, 150
+    la, lb = _layers(spark, W, H, 5)
+    la = la.unionByName(spark.createDataFrame([(3, 200, None)], la.schema))
+    verts = vertices_df(spark, {"box": [[[(2.0, 3.0), (17.0, 3.0), (17.0, 140.0), (2.0, 140.0)]]]})
+    a, b = ({(r.x, r.y): r.v for r in df.collect()} for df in (la, lb))
+    want = {}
+    for cell in set(a) | set(b):
+        if 2 <= cell[0] < 17 and 3 <= cell[1] < 140:
+            pair = (a.get(cell), b.get(cell))
+            want[pair] = want.get(pair, 0) + 1
+    want = {("box", x, y, n) for (x, y), n in want.items()}
+    assert any(r[1] is None for r in want) and any(r[2] is None for r in want)
+    assert _as_set(zonal.zonal_crosstab(la, lb, zonal.zone(verts, W, H, 8), 8, one_sided=True)) == want
+    ranks = accum.rank_bitmaps(accum.overlay_pairs(la, lb, one_sided=True).filter(f"y < {H}"), H, 64)
+    assert _as_set(accum.zonal_crosstab_accum(ranks, vector.polygon_spans(verts, W, H), 64)) == want
+
+
 def test_prefix_table_is_dense_and_monotone(spark):
     la, lb = _layers(spark, 12, 30, 3)
     pairs = accum.overlay_pairs(la, lb)
