@@ -1,16 +1,16 @@
 """Quality rules: hashed n-gram log-likelihood ratio of trusted text against the raw corpus. DataFrame functions only.
 
 Words and word pairs are hashed into ``buckets`` bins. Two multinomials over
-the bins are counted: one over a bounded sample of trusted documents, one over
-all documents. A document's score is the mean over its n-grams of
+the bins are counted: one over all trusted documents, one over all documents. A document's score is the mean over its n-grams of
 log p_trusted - log p_raw (length-normalised). The threshold follows from the
 scores of the trusted documents and the document's length; it is rounded, so it
 does not depend on the order of sums, and nothing is drawn at random.
 
 Counting explodes bins and sums them map-side: a task sends at most one row per
 bin. The table of log ratios has ``buckets`` floats whatever the corpus; it
-reaches the scoring pass as a scalar subquery, so the scoring pass is one scan
-without a join or shuffle.
+reaches the scoring passes as a scalar subquery, so each is one scan. Trusted ids
+grow with the corpus: Spark broadcasts them or, beyond its own threshold, shuffles. Texts
+meet them once, for the counts; for the threshold the scores do, two numbers a document.
 """
 
 from __future__ import annotations
@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 
 from gridzone.llm.common import WS_CLASS
 
-#: Trusted documents at most (those with the smallest hash of their id); they and nothing else are a sample.
-MAX_TRUSTED = 20_000
 BUCKETS = 1 << 14
 SYMBOLS = r"[#*$%&|<>]"
 #: Base rules: fewest words, and the largest share (percent) of words in repeated 5-word windows.
@@ -47,17 +45,17 @@ def _bins(hashes: Column, buckets: int) -> Column:
     return F.concat(F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int")), pairs)
 
 
-def trusted_ids(labels: DataFrame, id_col: str = "doc_id", most: int = MAX_TRUSTED) -> DataFrame:
-    """Ids labelled good and not toxic, at most ``most`` of them."""
+def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """All ids labelled good and not toxic, each once."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(F.col(id_col).alias("trusted_id")).where("trusted_id is not null")
-    return good.distinct().orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most)
+    return good.distinct()
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """One row: ``ratios``, an array of log p_trusted - log p_raw for each bin, both add-one smoothed."""
-    own = docs.select(F.col(id_col).alias("id"), _word_hashes(F.col(text_col)).alias("hashes"))
-    marked = own.join(F.broadcast(trusted), own.id == trusted.trusted_id, "left")  # at most MAX_TRUSTED ids
-    counts = marked.select(F.explode(_bins(F.col("hashes"), buckets)).alias("bin"), F.col("trusted_id").isNotNull().alias("good")).groupBy("bin").agg(F.count("*").alias("raw"), F.count_if("good").alias("good"))
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marked = own.join(trusted, F.col("id") == F.col("trusted_id"), "left").select(_word_hashes(F.col("text")).alias("hashes"), F.col("trusted_id").isNotNull().alias("good"))
+    counts = marked.select(F.explode(_bins(F.col("hashes"), buckets)).alias("bin"), "good").groupBy("bin").agg(F.count("*").alias("raw"), F.count_if("good").alias("good"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bin")).join(counts, "bin", "left").select("bin", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("raw", F.lit(0)).alias("raw"))
     lists = every.agg(F.sort_array(F.collect_list(F.struct("bin", "good", "raw"))).alias("bins"), F.sum("good").alias("goods"), F.sum("raw").alias("raws"))  # bins in order, all of them
     ratio = F.transform("bins", lambda b: F.when(F.col("goods") == 0, F.lit(0.0)).otherwise(F.log((b["good"] + 1) / (F.col("goods") + buckets)) - F.log((b["raw"] + 1) / (F.col("raws") + buckets))).cast("float"))
@@ -104,9 +102,10 @@ def _scored(docs: DataFrame, ratios: Column, buckets: int) -> DataFrame:
 
 def lowest_score(docs: DataFrame, trusted: DataFrame, ratios: Column, id_col: str, text_col: str, buckets: int) -> DataFrame:
     """One row: ``lowest``, the threshold for long texts, from the scores of the trusted documents with enough words."""
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(trusted), F.col("id") == F.col("trusted_id"), "left_semi")
-    scores = _scored(own.select(_word_hashes(F.col("text")).alias("__hashes")), ratios, buckets)
-    enough = F.when(F.col("__n_grams") >= 2 * MIN_WORDS - 1, F.col("__score"))  # a filter would be pushed below the join, onto all documents
+    own = docs.select(F.col(id_col).alias("id"), _word_hashes(F.col(text_col)).alias("__hashes"))
+    scores = _scored(own, ratios, buckets).select("id", "__n_grams", "__score")
+    scores = scores.join(trusted, F.col("id") == F.col("trusted_id"))  # a semi join would be pushed below the scores and shuffle texts
+    enough = F.when(F.col("__n_grams") >= 2 * MIN_WORDS - 1, F.col("__score"))
     return scores.agg(F.coalesce(F.round(F.avg(enough) - SPREADS * F.stddev_pop(enough), 4), F.lit(0.0)).alias("lowest"))
 
 

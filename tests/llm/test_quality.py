@@ -65,6 +65,17 @@ def test_keeps_clean_and_rejects_junk(spark):
     assert all(good) and sum(bad) <= 0.1 * len(bad)
 
 
+def test_every_trusted_document_counts(spark):
+    """With all documents trusted both counts are the same, however many there are, and the threshold sees them all."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(20_300).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), "id").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    trusted = quality.trusted_ids(labels.unionByName(labels))
+    assert trusted.count() == 20_300
+    assert set(quality.log_ratios(docs, trusted).first().ratios) == {0.0}
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i % 6000}" for i in range(40000))
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "a b c d e a b c d e"), (5, "x\n\nx\n x\nx"), (5, "x\n\nx\n x\nx"), (6, "# * é\x0b| <>\r\n"), (7, long), (None, "one two")]
