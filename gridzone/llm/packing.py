@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +30,8 @@ from pyspark.sql import functions as F
 from gridzone.llm.tokens import encoder
 
 SCHEMA = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-#: Documents encoded at a time, by characters of text.
-CHARS_AT_ONCE = 6_000_000
+#: Documents numbered together, by characters of text, and how many of these are encoded at a time.
+CHARS_AT_ONCE, ENCODED_AT_ONCE = 6_000_000, 1_500_000
 
 
 def difference(weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,6 +76,12 @@ def balance(weights: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
         k += max(1, int(over) // capacity)
 
 
+def _cuts(sizes: np.ndarray, chars: int) -> list[int]:
+    """Bounds of runs of about ``chars`` characters in texts of these ``sizes``."""
+    upto = np.cumsum(sizes)
+    return sorted({0, *np.flatnonzero(np.diff(upto // chars, prepend=0, append=0)).tolist(), len(sizes)}) if len(sizes) else [0]
+
+
 def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, window: int, max_piece: int, group_windows: int) -> Iterator[pa.RecordBatch]:
     encode, end = encoder(path).encode, np.array([end_id], dtype="<u4").tobytes()
     number = TaskContext.get().partitionId() << 32
@@ -101,12 +109,11 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, window: i
     for batch in batches:
         id_type = batch.schema.field("id").type
         ids, texts = batch.column("id").to_pylist(), batch.column("text")
-        sizes = np.cumsum([len(x) if x is not None else 0 for x in texts.to_pylist()])
-        cuts = np.flatnonzero(np.diff(sizes // CHARS_AT_ONCE, prepend=0, append=0)) if len(sizes) else []
-        bounds = sorted({0, *map(int, cuts), len(ids)})
-        for lo, hi in zip(bounds, bounds[1:], strict=False):
+        sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in pairwise(_cuts(sizes, CHARS_AT_ONCE)):
             whole = []
-            for doc, data in zip(ids[lo:hi], encode([x or "" for x in texts.slice(lo, hi - lo).to_pylist()]), strict=True):
+            coded = (x for a, b in pairwise(_cuts(sizes[lo:hi], ENCODED_AT_ONCE)) for x in encode([x or "" for x in texts.slice(lo + a, b - a).to_pylist()]))
+            for doc, data in zip(ids[lo:hi], coded, strict=True):
                 data += end
                 n = len(data) // 4
                 full = n - n % window

@@ -27,8 +27,8 @@ LETTER, MARK = "A-Za-zÀ-ÖØ-öø-ÿ", "[.,!?;:%$&*#|]"
 #: A space and letters alone are one word of the pre-tokenizer, so such words can be encoded in one text.
 PLAIN = re.compile(f" [{LETTER}]+")
 TOGETHER = 500
-#: Remembered parts at most; beyond, memory starts anew.
-REMEMBERED = 1_000_000
+#: Remembered parts at most; beyond, memory starts anew. A worker keeps about 170 bytes for each.
+REMEMBERED = 250_000
 
 
 class Encoder:

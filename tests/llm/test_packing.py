@@ -102,3 +102,36 @@ def test_ids_of_odd_strings_equal_the_tokenizer():
     encoder = Encoder(public_vocabulary("byte_bpe_50k.json"))
     got = [ids for i in range(0, len(odd), 700) for ids in encoder.encode(odd[i : i + 700])]
     assert got == encoder._plain(odd)
+
+
+def test_encodes_little_text_at_a_time(monkeypatch):
+    """A large batch is encoded in small runs of texts; the pieces and their numbers are those of one run."""
+    import pyarrow as pa
+
+    from gridzone.llm import packing
+
+    texts = [None, "", *(f"a{i} " * (i % 700) for i in range(3000))]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    at_once = []
+
+    class Encoder:
+        def encode(self, some):
+            at_once.append(sum(map(len, some)))
+            return [t[: len(t) // 4 * 4].encode() for t in some]
+
+    monkeypatch.setattr(packing, "encoder", lambda path: Encoder())
+    monkeypatch.setattr(packing.TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 3})()))
+    run = lambda: pa.Table.from_batches(packing._packed(iter([batch]), "", 1, 2048, 512, 128))
+    got = run()
+    assert sum(at_once) > 3 * 1_500_000 and max(at_once) < 1_600_000
+    monkeypatch.setattr(packing, "ENCODED_AT_ONCE", 1 << 40)
+    assert run().equals(got)
+
+
+def test_remembers_few_parts():
+    from gridzone.llm import tokens
+
+    e = tokens.Encoder(tokens.public_vocabulary("byte_bpe_50k.json"))
+    e.encode([" ".join(f"x{i}" for i in range(lo, lo + 50_000)) for lo in range(0, 300_000, 50_000)])
+    e.encode(["one two"])
+    assert len(e.parts) < 10
