@@ -105,6 +105,8 @@ class Sampler:
         self.surface = (n, np.cumsum(n) - n, np.frombuffer(b"".join(surface), np.uint8))
         self.prefixed = sp.normalize("a").startswith(SPACE)
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.first, self.count = np.empty(0, np.int32), np.empty(0, np.int8)
+        self.arc_from, self.arc_log, self.arc_p, self.arc_symbol = np.empty(0, np.int32), np.empty(0), np.empty(0), np.empty(0, np.int32)
         self._forget()
 
     def _grow(self) -> None:
@@ -134,19 +136,20 @@ class Sampler:
             self.beside[kinds[a], kinds[b]] = True
 
     def _forget(self) -> None:
-        """Words remembered: their nodes' first arc and number of arcs, and the arcs, entering each node in order."""
-        self.words: dict[str, int] = {}
+        """Words remembered (as UTF-32): their nodes' first arc and number of arcs, and the arcs, entering each node in order."""
+        self.words: dict[bytes, int] = {}
         self.emitted: list[tuple[int, ...]] = [(i,) for i in range(len(self.sp))]  # ids of a symbol; characters without a piece follow
         self.characters: dict[str, int] = {}
         self.flat = (np.empty(0, np.int64),) * 3
-        self.nodes = self.arcs = 0
-        self.first, self.count = np.empty(0, np.int32), np.empty(0, np.int8)
-        self.arc_from, self.arc_log, self.arc_p, self.arc_symbol = np.empty(0, np.int32), np.empty(0), np.empty(0), np.empty(0, np.int32)
+        self.nodes = self.arcs = 0  # the arrays are written over
 
-    def _bases(self, words: list[str]) -> np.ndarray:
-        """The first node of every word."""
-        self._learn(list(set(words)))
-        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+    def _bases(self, chars: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """The first node of every word of the joined texts, which begin at ``off``; each distinct word is looked up once."""
+        bounds = np.append(off, len(chars)).astype(np.int64) * 4
+        coded = pa.Array.from_buffers(pa.large_binary(), len(off), [None, pa.py_buffer(bounds), pa.py_buffer(chars)]).dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(words)
+        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
 
     def _room(self, nodes: int, arcs: int) -> None:
         """Room for so many more, at least doubled where it runs out."""
@@ -170,15 +173,15 @@ class Sampler:
             self.flat = (n, np.cumsum(n) - n, np.array([i for ids in self.emitted for i in ids], "<u4"))
         return self.flat
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         new = [w for w in words if w not in self.words]
         if self.arcs > REMEMBERED_ARCS:
             self._forget()
             new = words
         if not new:
             return
-        length = np.array([len(w) for w in new], dtype=np.int64)
-        chars = np.frombuffer("".join(new).encode("utf-32-le"), "<u4").astype(np.int64)
+        length = np.fromiter(map(len, new), np.int64, len(new)) // 4
+        chars = np.frombuffer(b"".join(new), "<u4").astype(np.int64)
         start = np.cumsum(length) - length
         word = np.repeat(np.arange(len(new)), length)
         found = self._arcs(chars, (start + length)[word])
@@ -267,12 +270,16 @@ class Sampler:
                 starts = np.cumsum(n) - n
                 owner = np.repeat(np.arange(len(many)), n)
                 nth = np.arange(len(owner)) - starts[owner]
-                arc = first[many][owner] + nth
+                arc = first[many][owner]
+                arc += nth
                 who = state[many]
                 end = off[who] + pos[many]
                 place = seed[who] + _mix((end - doc_start[who]).astype(np.uint64))
                 # Exponential times of rate p: the first to come has the largest log p + Gumbel noise, and exp(-value) is its time.
-                time = _exponential(place[owner] + nth.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+                nth = nth.view(np.uint64)
+                nth *= np.uint64(0xD1B54A32D192ED03)
+                nth += place[owner]
+                time = _exponential(nth)
                 time /= self.arc_p[arc]
                 first_time = np.minimum.reduceat(time, starts)
                 time -= first_time[owner]
@@ -311,8 +318,7 @@ class Sampler:
         chars = np.frombuffer(whole.encode("utf-32-le"), "<u4")
         off = self._starts(chars, start[size > 0])
         length = np.diff(off, append=total)
-        flat = [whole[a:b] for a, b in pairwise([*off.tolist(), total])]
-        base = self._bases(flat)
+        base = self._bases(chars, off)
         first_word = np.searchsorted(off, start)
         doc = np.repeat(np.arange(docs), np.searchsorted(off, start + size) - first_word)
         row = _mix(keys ^ _mix(np.full(docs, seed, np.uint64)))

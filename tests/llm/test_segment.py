@@ -115,3 +115,24 @@ def test_edge_cases(spark):
     assert segment.sample(df.limit(0), MODEL).collect() == []
     own = df.select(segment.decode(segment.encode(segment.F.col("text"), MODEL), MODEL).alias("t"), "text").collect()
     assert all(r.t == r.text for r in own)
+
+
+def test_words_are_looked_up_once_and_forgotten(monkeypatch):
+    """Samples do not depend on what a worker remembers; each distinct word of a batch is looked up once."""
+    import numpy as np
+
+    from gridzone.llm import segment
+    from gridzone.llm.tokens import public_vocabulary
+
+    path = public_vocabulary("piece_bpe_32k.model")
+    texts, keys = ["the cat, the caté the \U0001f600 dog\n", "", " x the dog the dog", "a" * 300], np.arange(4, dtype=np.uint64)
+    one, other = segment.Sampler(path), segment.Sampler(path)
+    want = one.sample(texts, keys, 2, 1, True)
+    asked = []
+    learn = other._learn
+    monkeypatch.setattr(other, "_learn", lambda words: (asked.append(len(words) == len(set(words))), learn(words))[1])
+    monkeypatch.setattr(segment, "REMEMBERED_ARCS", 5)
+    for _ in range(3):
+        assert other.sample(texts, keys, 2, 1, True) == want
+    assert [other.sample([t], keys[i : i + 1], 2, 1, True)[0] for i, t in enumerate(texts)] == want
+    assert all(asked) and all(isinstance(w, bytes) for w in other.words)
