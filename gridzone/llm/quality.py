@@ -9,8 +9,9 @@ does not depend on the order of sums, and nothing is drawn at random.
 Counting explodes bins and sums them map-side: a task sends at most one row per
 bin. The table of log ratios has ``buckets`` floats whatever the corpus; it
 reaches the scoring passes as a scalar subquery, so each is one scan. Trusted ids
-grow with the corpus: Spark broadcasts them or, beyond its own threshold, shuffles. Texts
-meet them once, for the counts; for the threshold the scores do, two numbers a document.
+grow with the corpus: they are counted and broadcast up to ``BROADCAST_IDS``, beyond
+that the joins shuffle. Texts meet them once, for the counts; for the threshold the
+scores do, two numbers a document.
 """
 
 from __future__ import annotations
@@ -19,8 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridzone.llm.common import WS_CLASS
+from gridzone.operators.joins import sized_broadcast
 
 BUCKETS = 1 << 14
+#: Trusted ids broadcast at most; more are joined by shuffle, all the same.
+BROADCAST_IDS = 1_000_000
 SYMBOLS = r"[#*$%&|<>]"
 #: Base rules: fewest words, and the largest share (percent) of words in repeated 5-word windows.
 MIN_WORDS, REPEAT_WORDS, MAX_REPEAT_PERCENT = 10, 5, 20
@@ -111,7 +115,7 @@ def lowest_score(docs: DataFrame, trusted: DataFrame, ratios: Column, id_col: st
 
 def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
     """``row`` (a row of ``docs``, whatever its columns are called) with its counts, __score, __base_failed and __kept."""
-    trusted = trusted_ids(labels)
+    trusted = sized_broadcast(trusted_ids(labels), BROADCAST_IDS)[0]
     ratios = log_ratios(docs, trusted, id_col, text_col, buckets).scalar()
     lowest = lowest_score(docs, trusted, ratios, id_col, text_col, buckets).scalar()
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))

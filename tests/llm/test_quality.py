@@ -76,6 +76,13 @@ def test_every_trusted_document_counts(spark):
     assert set(quality.log_ratios(docs, trusted).first().ratios) == {0.0}
 
 
+def test_shuffled_ids_give_the_same(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    want = sorted(quality.judged(docs, labels).select("doc_id", "__score", "__kept").collect())
+    monkeypatch.setattr(quality, "BROADCAST_IDS", 0)
+    assert sorted(quality.judged(docs, labels).select("doc_id", "__score", "__kept").collect()) == want
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i % 6000}" for i in range(40000))
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "a b c d e a b c d e"), (5, "x\n\nx\n x\nx"), (5, "x\n\nx\n x\nx"), (6, "# * é\x0b| <>\r\n"), (7, long), (None, "one two")]
