@@ -167,3 +167,47 @@ def test_zones_far_apart_read_their_own_files(spark, monkeypatch):
         assert got == 400 * len(name)
     assert files["nw+se"] == files["nw"] + files["se"] < _files_read(stored) / 4
     assert len(zonal.zone(vertices_df(spark, corners), side, side).boxes) == 2
+
+
+def test_zones_of_many_ranges_cost_each_row_few_comparisons(spark, monkeypatch):
+    """A ragged zone has dozens of ranges: all of them choose folders, few are compared with each row, and the cross-tab stays exact with
+    pieces of several rows of tiles."""
+    import uuid
+
+    from gridzone.operators import zonal
+    from gridzone.session import ensure_checkpoint_dir
+    from gridzone.sources import catalog
+
+    monkeypatch.setattr(catalog, "FOLDER_BITS", 4)
+    side, tile = 128, 4
+    stored, plain = {}, {}
+    for name, mod in (("a", 5), ("b", 3)):
+        plain[name] = spark.range(side * side).where(f"id % 7 != {mod}").selectExpr(f"id % {side} as x", f"id div {side} as y", f"id % {mod} as v")
+        path = f"{ensure_checkpoint_dir(spark)}/ragged-{uuid.uuid4().hex}"
+        catalog.write_tiled(plain[name], path, tile)
+        stored[name] = catalog.read_tiled(spark, path)
+    comb = [(2.2 + 5 * i + dx, y) for i in range(24) for dx, y in ((0, 9.3 + 4 * (i % 5)), (2.6, 118.7 - 3 * (i % 7)))]
+    verts = vertices_df(spark, {"comb": [[[*comb, (122.4, 3.1), (2.2, 3.1)]]], "box": [[[(30.5, 40.5), (90.5, 40.5), (90.5, 80.5), (30.5, 80.5)]]]})
+    ranges = catalog.zone_ranges(verts, side, side, tile)
+    assert len(ranges) > catalog.LITERALS
+    pruned = {k: catalog.in_ranges(d, ranges) for k, d in stored.items()}
+    plan = pruned["a"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("z#") < 4 * catalog.LITERALS + 8
+    inside = [r.z for r in stored["a"].select("z").distinct().collect() if any(a <= r.z <= b for a, b in ranges)]
+    assert set(inside) <= {r.z for r in pruned["a"].select("z").distinct().collect()}
+
+    rows = lambda df: sorted((r.poly_id, r.a, r.b, r.n) for r in df.collect())
+    want = rows(zonal.zonal_crosstab(plain["a"], plain["b"], zonal.zone(verts, side, side)))
+    pieces = []
+    for block in (tile, 2 * tile, 4 * tile, zonal.tiled_blocks(tile)):
+        z = zonal.zone(verts, side, side, block)
+        pieces.append(z.pieces.count())
+        assert rows(zonal.zonal_crosstab_tiled(pruned["a"], pruned["b"], z, tile)) == want
+    assert pieces[0] > pieces[1] > pieces[2] == pieces[3]
+    assert zonal.zone(verts, side, side, [4, 8, 16], max_rows=10**6).block == 4
+    assert zonal.zone(verts, side, side, [4, 8, 16], max_rows=z.rows).block == 16
+    by_shuffle = zonal.zone(verts, side, side, [4, 8, 16], max_rows=1)
+    assert by_shuffle.block == 4 and rows(zonal.zonal_crosstab_tiled(pruned["a"], pruned["b"], by_shuffle, tile)) == want
+    for block in (tile - 1, 3 * tile, 8 * tile):
+        with pytest.raises(ValueError):
+            zonal.cells_in_zone_tiled(stored["a"], zonal.zone(verts, side, side, block), tile)
